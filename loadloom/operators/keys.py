@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadloom.operators.skew import skew_safe_join
+from loadloom.operators.skew import fits_broadcast, skew_safe_join
 
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,8 +51,12 @@ def guarded(df: DataFrame, keys: list[str], columns: Mapping[str, Column], name:
 
 
 def unseen_rows(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Rows of ``new`` whose key the other frame lacks. Only the key of ``existing`` is read."""
-    return skew_safe_join(new, existing.select(key).distinct(), key, "left_anti")
+    """Rows of ``new`` whose key the other frame lacks. Only the key of ``existing`` is read.
+
+    A small batch is broadcast to that scan; a large one meets the distinct keys, formed before the shuffle.
+    """
+    stored = existing.select(key)
+    return skew_safe_join(new, stored if fits_broadcast(new) else stored.distinct(), key, "left_anti")
 
 
 def align_on_key(

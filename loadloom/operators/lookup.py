@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loadloom import names
 from loadloom.operators.columns import without
 from loadloom.operators.keys import assert_key
-from loadloom.operators.skew import fits_broadcast, skew_safe_join
+from loadloom.operators.skew import skew_safe_join
 
 
 @dataclass(frozen=True)
@@ -86,14 +86,9 @@ def look_up(base: DataFrame, lookup: Lookup) -> DataFrame:
 def look_up_keys(keys: DataFrame, table: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
     """Features for a list of requested keys. Unknown keys stay, with NULL features.
 
-    A short list is broadcast to the table's scan, and only the table's rows for those keys are joined back to it;
-    a list too long for that is joined like any other frame.
+    A short list is broadcast to the table's scan; a list too long for that is joined like any other frame.
     """
-    picked = table.select(key, *features)
-    if fits_broadcast(keys) and not fits_broadcast(picked):
-        wanted = F.broadcast(keys.select(key).distinct())
-        picked = picked.join(wanted, key, "left_semi")
-    return skew_safe_join(keys, picked, key, "left")
+    return skew_safe_join(keys, table.select(key, *features), key, "left")
 
 
 def assemble(

@@ -48,7 +48,8 @@ def fit(
         if c not in undeclared:
             levels = F.array(*[F.lit(int(v)) for v in domains[c]])
             rows.append(_profile_row(c, F.lit(None), F.lit(None), levels))
-    profile = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    kind = "array<struct<column:string,mean:double,scale:double,levels:array<int>>>"
+    profile = df.agg(*aggs).select(F.inline(F.array(*rows).cast(kind)))
     if undeclared:
         profile = profile.unionByName(_found_levels(df, undeclared, max_levels))
     return profile

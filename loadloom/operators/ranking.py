@@ -11,6 +11,7 @@ Order: time ascending, then key ascending; missing values come last.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -25,44 +26,54 @@ BINS = 1024
 # With this many rows or fewer left in a bin, their distinct values are fetched.
 DIRECT = 10_000
 
+
 @dataclass(frozen=True)
 class Place:
-    """The value at a position, how many rows sort before it and how many share it."""
+    """The value at a position, how many rows sort before it, how many share it, and the position itself."""
 
     value: Any
     before: int
     ties: int
+    rank: int
 
 
 def _pick(counts: list[tuple[Any, int]], rank: int, before: int) -> Place:
     for value, n in sorted(counts):
         if before + n >= rank:
-            return Place(value, before, n)
+            return Place(value, before, n, rank)
         before += n
     raise ValueError(f"position {rank} is past the end")
 
 
-def value_at_rank(df: DataFrame, column: str, rank: int) -> Place:
+def value_at_rank(df: DataFrame, column: str, rank: int | Callable[[int], int]) -> Place:
     """The value of ``column`` at a 1-based position in ascending order, missing values last.
 
-    Times and dates come back as numbers (micros, days). Works for times, dates, integers and text.
+    The position may depend on the number of rows, which is found on the way; a position before the first or past the
+    last row is moved there. Times and dates come back as numbers (micros, days). Works for times, dates, integers and
+    text.
     """
     dtype = df.schema[column].dataType
     rows = df.select(column)
-    if isinstance(dtype, T.StringType):
-        return _text_at_rank(rows, column, rank)
-    if isinstance(dtype, (*TIMES, T.DateType, *WHOLE)):
-        return _number_at_rank(rows, column, dtype, rank)
-    raise TypeError(f"cannot order by {column}: {dtype.simpleString()}")
-
-
-def _number_at_rank(rows: DataFrame, column: str, dtype: T.DataType, rank: int) -> Place:
-    v = to_number(F.col(column), dtype)
+    number = not isinstance(dtype, T.StringType)
+    if number and not isinstance(dtype, (*TIMES, T.DateType, *WHOLE)):
+        raise TypeError(f"cannot order by {column}: {dtype.simpleString()}")
+    v = to_number(F.col(column), dtype) if number else F.lit(None)
     total, count, lo, hi = rows.agg(F.count(F.lit(1)), F.count(column), F.min(v), F.max(v)).first()
-    if rank > total or rank < 1:
-        raise ValueError(f"position {rank} of {total}")
-    if rank > count:
-        return Place(None, count, total - count)
+    asked = rank(total) if callable(rank) else rank
+    if total == 0 or asked <= 0:
+        return Place(None, 0, 0, 0)
+    asked = min(asked, total)
+    if asked > count:
+        return Place(None, count, total - count, asked)
+    if number:
+        return _number_at_rank(rows, column, dtype, asked, count, lo, hi)
+    return _text_at_rank(rows, column, asked, count)
+
+
+def _number_at_rank(
+    rows: DataFrame, column: str, dtype: T.DataType, rank: int, count: int, lo: int, hi: int
+) -> Place:
+    v = to_number(F.col(column), dtype)
     before, inside = 0, rows
     while lo < hi:
         inside = rows.filter(F.col(column).between(to_literal(lo, dtype), to_literal(hi, dtype)))
@@ -80,15 +91,10 @@ def _number_at_rank(rows: DataFrame, column: str, dtype: T.DataType, rank: int)
                 count, lo, hi = b["n"], b["lo"], b["hi"]
                 break
             before += b["n"]
-    return Place(lo, before, count)
+    return Place(lo, before, count, rank)
 
 
-def _text_at_rank(rows: DataFrame, column: str, rank: int) -> Place:
-    total, count = rows.agg(F.count(F.lit(1)), F.count(column)).first()
-    if rank > total or rank < 1:
-        raise ValueError(f"position {rank} of {total}")
-    if rank > count:
-        return Place(None, count, total - count)
+def _text_at_rank(rows: DataFrame, column: str, rank: int, count: int) -> Place:
     text = F.encode(F.col(column), "UTF-8")
     before, prefix, inside = 0, b"", rows.filter(F.col(column).isNotNull())
     while True:
@@ -103,79 +109,59 @@ def _text_at_rank(rows: DataFrame, column: str, rank: int) -> Place:
             before += n
         prefix += bytes.fromhex(p)
         if len(p) < 4:
-            return Place(prefix.decode("UTF-8"), before, count)
+            return Place(prefix.decode("UTF-8"), before, count, rank)
         inside = rows.filter(
             F.col(column).startswith(prefix.decode("UTF-8", "ignore"))
             & (F.hex(F.substring(text, 1, len(prefix))) == F.lit(prefix.hex().upper()))
         )
 
 
-@dataclass(frozen=True)
-class Cut:
-    """The last row of the first part: its time, and its key where rows share that time."""
-
-    time: int | None
-    whole_time: bool
-    key: Any = None
-    whole_key: bool = True
-
-
-def cut_after(df: DataFrame, rank: int, time: str = names.TIME, key: str = names.KEY) -> Cut:
-    """The comparison that holds for exactly the first ``rank`` rows.
+def first_and_rest(
+    df: DataFrame, rank: int | Callable[[int], int], time: str = names.TIME, key: str = names.KEY
+) -> tuple[Column, Column]:
+    """Two filters: one passes exactly the first ``rank`` rows in time and key order, the other all remaining rows.
 
-    Rows equal in both time and key cannot be told apart by the order; those at the cut all go to the first part.
+    Both are plain comparisons, so each reaches the scan. Rows equal in both time and key cannot be told apart by the
+    order: if the cut falls among such copies, they all count as first rows.
     """
     at = value_at_rank(df, time, rank)
-    if at.before + at.ties == rank:
-        return Cut(at.value, True)
-    dtype = df.schema[time].dataType
-    same = F.col(time).isNull() if at.value is None else F.col(time) == to_literal(at.value, dtype)
-    within = value_at_rank(df.filter(same).select(key), key, rank - at.before)
-    return Cut(at.value, False, within.value, within.value is None)
-
-
-def in_first_part(df: DataFrame, cut: Cut, time: str = names.TIME, key: str = names.KEY) -> Column:
-    """The cut as a predicate: never NULL."""
+    if at.rank == 0:
+        return F.lit(False), F.lit(True)
     t, k = F.col(time), F.col(key)
-    if cut.time is None and cut.whole_time:
-        return F.lit(True)
-    upto = F.lit(True)
-    if not cut.whole_key:
-        kt = df.schema[key].dataType
-        upto = k <= (F.lit(cut.key) if isinstance(kt, T.StringType) else to_literal(cut.key, kt))
-    if cut.time is None:
-        return t.isNotNull() | F.coalesce(upto, F.lit(False))
-    at = to_literal(cut.time, df.schema[time].dataType)
-    if cut.whole_time:
-        return F.coalesce(t <= at, F.lit(False))
-    return F.coalesce((t < at) | ((t == at) & upto), F.lit(False))
-
-
-def test_rows(n: int, test_size: float) -> int:
-    """Rows of the later part: the share of the rows, rounded up."""
-    return math.ceil(test_size * n)
+    if at.value is None:
+        earlier, same, upto, later = t.isNotNull(), t.isNull(), F.lit(True), F.lit(False)
+    else:
+        here = to_literal(at.value, df.schema[time].dataType)
+        earlier, same, upto, later = t < here, t == here, t <= here, (t > here) | t.isNull()
+    if at.before + at.ties == at.rank:
+        return upto, later
+    within = value_at_rank(df.filter(same), key, at.rank - at.before)
+    if within.value is None:
+        return upto, later
+    dtype = df.schema[key].dataType
+    last = F.lit(within.value) if isinstance(dtype, T.StringType) else to_literal(within.value, dtype)
+    return earlier | (same & (k <= last)), later | (same & ((k > last) | k.isNull()))
+
+
+def _train_rows(test_size: float) -> Callable[[int], int]:
+    # The test part gets its share of the rows rounded up.
+    return lambda n: n - math.ceil(test_size * n)
 
 
 def temporal_split(
     df: DataFrame, test_size: float = 0.2, time: str = names.TIME, key: str = names.KEY
 ) -> DataFrame:
     """A ``split`` column, ``train`` for the earlier rows and ``test`` for the later ones."""
-    n = df.count()
-    first = n - test_rows(n, test_size)
-    if first <= 0:
-        return df.withColumn("split", F.lit("test"))
-    cut = cut_after(df, first, time, key)
-    return df.withColumn("split", F.when(in_first_part(df, cut, time, key), "train").otherwise("test"))
+    early, _ = first_and_rest(df, _train_rows(test_size), time, key)
+    return df.withColumn("split", F.when(early, "train").otherwise("test"))
 
 
-def split_frames(df: DataFrame, test_size: float = 0.2, time: str = names.TIME, key: str = names.KEY):
-    """W1 as two frames; each filter is a comparison the scan can use."""
-    n = df.count()
-    first = n - test_rows(n, test_size)
-    if first <= 0:
-        return df.limit(0), df
-    early = in_first_part(df, cut_after(df, first, time, key), time, key)
-    return df.filter(early), df.filter(~early)
+def split_frames(
+    df: DataFrame, test_size: float = 0.2, time: str = names.TIME, key: str = names.KEY
+) -> tuple[DataFrame, DataFrame]:
+    """W1 as two frames."""
+    early, late = first_and_rest(df, _train_rows(test_size), time, key)
+    return df.filter(early), df.filter(late)
 
 
 def split_summary(df: DataFrame, time: str = names.TIME) -> DataFrame:
@@ -193,11 +179,10 @@ def rows_between(
         return df.limit(0)
     if stop <= DIRECT:
         return df.orderBy(F.asc_nulls_last(time), F.asc_nulls_last(key)).offset(start).limit(stop - start)
-    n = df.count()
-    inside = in_first_part(df, cut_after(df, min(stop, n), time, key), time, key) if n else F.lit(True)
-    if start > 0 and start < n:
-        inside = inside & ~in_first_part(df, cut_after(df, start, time, key), time, key)
-    return df.filter(inside) if start < n else df.limit(0)
+    inside, _ = first_and_rest(df, stop, time, key)
+    if start > 0:
+        inside = inside & first_and_rest(df, start, time, key)[1]
+    return df.filter(inside)
 
 
 def in_time_order(df: DataFrame, time: str = names.TIME, key: str = names.KEY) -> DataFrame:

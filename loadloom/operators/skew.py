@@ -14,6 +14,8 @@ SALTS = 64
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the planner's size estimate of the frame is within the session's broadcast threshold."""
+    if not hasattr(df, "_jdf"):
+        return False  # no estimate over a remote session: take the way that works for any size
     session = df.sparkSession
     limit = session._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
@@ -33,16 +35,28 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     return [entry["item"] for entry in (row["top"] or []) if entry["count"] > share * row["n"]]
 
 
+def narrowed_to(table: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows of ``table`` whose key occurs in ``wanted``, found in the scan; ``wanted`` must fit a broadcast."""
+    return table.join(F.broadcast(wanted.select(key).distinct()), key, "left_semi")
+
+
 def skew_safe_join(left: DataFrame, right: DataFrame, key: str, how: str, salts: int = SALTS) -> DataFrame:
     """Join ``left`` to a frame with unique keys (``left``, ``left_anti``, ``left_semi`` or ``inner``).
 
-    When the right side fits a broadcast, the planner does that and no row of ``left`` moves. Otherwise hot keys of
-    ``left`` are spread over ``salts`` pieces, and only those keys are repeated on the right: every other row is
-    joined as usual.
+    By the planner's size estimates:
+
+    * a right side that fits a broadcast is left to the planner, and no row of ``left`` moves;
+    * a small ``left`` is broadcast to the scan of the right side, so that only matching rows of it are shuffled;
+    * otherwise hot keys of ``left`` are spread over ``salts`` pieces and only those keys are repeated on the right,
+      every other row being joined as usual.
     """
     if how not in ("left", "left_anti", "left_semi", "inner"):
         raise ValueError(how)
-    hot = [] if fits_broadcast(right) else hot_keys(left, key)
+    if fits_broadcast(right):
+        return left.join(right, key, how)
+    if fits_broadcast(left):
+        return left.join(narrowed_to(right, left, key), key, how)
+    hot = hot_keys(left, key)
     if not hot:
         return left.join(right, key, how)
     dtype: T.DataType = left.schema[key].dataType

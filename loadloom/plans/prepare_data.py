@@ -13,7 +13,7 @@ from loadloom.functions import epoch_key, load_stamp, parse_time
 from loadloom.operators import prepare
 from loadloom.operators.columns import clean_names, without
 from loadloom.operators.contracts import coerce
-from loadloom.operators.ranking import temporal_split
+from loadloom.operators.ranking import split_frames, temporal_split
 from loadloom.sources.tables import append
 
 
@@ -37,8 +37,7 @@ def prepared(
     Without a profile the frame is fitted on itself; pass the profile of an earlier fit to put a later batch on the
     same scale, or that of the train rows to keep the test rows out of the statistics.
     """
-    if names.KEY not in df.columns:
-        df = df.withColumn(names.KEY, epoch_key(names.TIME))
+    df = _keyed(df)
     if profile is None:
         profile = prepare.fit(df, domains=domains)
     keep = keep or [names.KEY, names.TIME, *names.TARGETS]
@@ -49,24 +48,37 @@ def prepared(
     return coerce(out, schema)
 
 
-def prepared_split(
+def _keyed(raw: DataFrame) -> DataFrame:
+    return raw if names.KEY in raw.columns else raw.withColumn(names.KEY, epoch_key(names.TIME))
+
+
+def prepared_parts(
     raw: DataFrame, test_size: float = 0.2, fit_on: str = "all", domains: Mapping[str, list[int]] | None = names.DOMAINS
-) -> DataFrame:
-    """Prepared rows with their ``split``.
+) -> tuple[DataFrame, DataFrame]:
+    """Prepared train and test rows.
 
     ``fit_on="all"`` takes the statistics over all rows before the split, ``"train"`` over the train rows only.
     """
-    if names.KEY not in raw.columns:
-        raw = raw.withColumn(names.KEY, epoch_key(names.TIME))
-    split = temporal_split(raw, test_size)
+    raw = _keyed(raw)
+    train, test = split_frames(raw, test_size)
+    profile = prepare.fit(raw if fit_on == "all" else train, domains=domains)
+    return prepared(train, profile), prepared(test, profile)
+
+
+def prepared_split(
+    raw: DataFrame, test_size: float = 0.2, fit_on: str = "all", domains: Mapping[str, list[int]] | None = names.DOMAINS
+) -> DataFrame:
+    """The same as one frame with a ``split`` column, for reports over both parts in one pass."""
+    split = temporal_split(_keyed(raw), test_size)
     base = split if fit_on == "all" else split.filter(F.col("split") == "train")
     profile = prepare.fit(base, domains=domains)
-    keep = [names.KEY, names.TIME, *names.TARGETS, "split"]
-    return prepared(split, profile, keep=keep)
+    return prepared(split, profile, keep=[names.KEY, names.TIME, *names.TARGETS, "split"])
 
 
-def store_split(split: DataFrame, train_table: str, test_table: str, at: datetime | None = None) -> None:
+def store_parts(
+    train: DataFrame, test: DataFrame, train_table: str, test_table: str, at: datetime | None = None
+) -> None:
     """Append both parts, with one load stamp for the run."""
-    stamped = split.withColumn(names.STAMP, load_stamp(at))
-    for part, table in (("train", train_table), ("test", test_table)):
-        append(stamped.filter(F.col("split") == part).drop("split"), table)
+    stamp = load_stamp(at)
+    append(train.withColumn(names.STAMP, stamp), train_table)
+    append(test.withColumn(names.STAMP, stamp), test_table)

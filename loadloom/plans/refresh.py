@@ -25,14 +25,13 @@ def newer_than_mark(source: DataFrame, marked: DataFrame, time: str = names.TIME
 
 @dataclass(frozen=True)
 class Refresh:
-    """What a refresh would store. ``train`` and ``features`` hold whole tables, the ``added`` frames what is new."""
+    """What a refresh would store. ``train`` holds the whole new table, the ``added`` frames what is new."""
 
     refreshed: bool
     train: DataFrame
     test: DataFrame
     train_added: DataFrame
     features_added: DataFrame
-    late: DataFrame
 
 
 def plan_refresh(
@@ -47,23 +46,26 @@ def plan_refresh(
     """The old test rows join train, newer source rows become the test set and join the feature table.
 
     Keys already present are not added again, so a run repeated after a crash changes nothing. An empty test table has
-    no mark and nothing is refreshed. ``late`` holds source rows at or before the mark that no table has seen: they are
-    passed over, as the mark demands, but can be looked at.
+    no mark and nothing is refreshed.
     """
     mark = _mark(test, time)
-    if mark is None:
-        nothing = source.limit(0)
-        return Refresh(False, train, test, train.limit(0), features.limit(0), nothing)
-    at = to_literal(mark, source.schema[time].dataType)
-    newer = source.filter(F.col(time) > at)
-    late = unseen_rows(
-        source.filter(F.col(time) <= at), train.select(key).unionByName(test.select(key)), key
-    )
-    if newer.isEmpty():
-        return Refresh(False, train, test, train.limit(0), features.limit(0), late)
+    newer = None if mark is None else source.filter(F.col(time) > to_literal(mark, source.schema[time].dataType))
+    if newer is None or newer.isEmpty():
+        return Refresh(False, train, test, train.limit(0), features.limit(0))
     train_added = unseen_rows(test, train, key)
     features_added = unseen_rows(newer.select(*feature_columns), features, key)
-    return Refresh(True, train.unionByName(train_added), newer, train_added, features_added, late)
+    return Refresh(True, train.unionByName(train_added), newer, train_added, features_added)
+
+
+def late_rows(
+    source: DataFrame, train: DataFrame, test: DataFrame, key: str = names.KEY, time: str = names.TIME
+) -> DataFrame:
+    """Source rows at or before the mark that no table has seen: a refresh passes them over, here they can be counted."""
+    mark = _mark(test, time)
+    if mark is None:
+        return source.limit(0)
+    old = source.filter(F.col(time) <= to_literal(mark, source.schema[time].dataType))
+    return unseen_rows(old, train.select(key).unionByName(test.select(key)), key)
 
 
 def _mark(df: DataFrame, time: str) -> int | None:

@@ -368,7 +368,8 @@ def refresh_features(spark, sf):
 
 @query
 def refresh_late_rows(spark, sf):
-    return _planned(spark, sf).late.select(names.KEY, names.TIME)
+    source, train, test, _ = _refresh_inputs(spark, sf)
+    return refresh.late_rows(source, train, test).select(names.KEY, names.TIME)
 
 
 @query
@@ -636,9 +637,7 @@ SMALL_FOREST = models.Forest(n_estimators=5, max_depth=4)
 
 
 def _prepared_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
-    split = prepare_data.prepared_split(prepare_data.raw_readings(readings(spark, sf)))
-    train = split.filter(F.col("split") == "train").drop("split")
-    return train, split.filter(F.col("split") == "test").drop("split")
+    return prepare_data.prepared_parts(prepare_data.raw_readings(readings(spark, sf)))
 
 
 @query
