@@ -116,31 +116,74 @@ def _text_at_rank(rows: DataFrame, column: str, rank: int, count: int) -> Place:
         )
 
 
-def first_and_rest(
+@dataclass(frozen=True)
+class Cut:
+    """Two filters that divide a frame at a position, and the copies of one row that the position falls among.
+
+    ``first`` and ``rest`` are plain comparisons, so each reaches the scan, and no row passes both. ``copies`` of a row
+    equal in every column pass neither; ``copies_first`` of them belong to the first part.
+    """
+
+    first: Column
+    rest: Column
+    same: Column | None = None
+    copies: int = 0
+    copies_first: int = 0
+
+
+def cut_at(
     df: DataFrame, rank: int | Callable[[int], int], time: str = names.TIME, key: str = names.KEY
-) -> tuple[Column, Column]:
-    """Two filters: one passes exactly the first ``rank`` rows in time and key order, the other all remaining rows.
+) -> Cut:
+    """Divides a frame after its first ``rank`` rows in time and key order.
 
-    Both are plain comparisons, so each reaches the scan. Rows equal in both time and key cannot be told apart by the
-    order: if the cut falls among such copies, they all count as first rows.
+    Rows equal in time and key are ordered by a hash of the whole row; what is still equal then is a set of copies.
     """
     at = value_at_rank(df, time, rank)
     if at.rank == 0:
-        return F.lit(False), F.lit(True)
-    t, k = F.col(time), F.col(key)
-    if at.value is None:
-        earlier, same, upto, later = t.isNotNull(), t.isNull(), F.lit(True), F.lit(False)
-    else:
-        here = to_literal(at.value, df.schema[time].dataType)
-        earlier, same, upto, later = t < here, t == here, t <= here, (t > here) | t.isNull()
+        return Cut(F.lit(False), F.lit(True))
+    first, same, rest = _sides(F.col(time), df.schema[time].dataType, at)
     if at.before + at.ties == at.rank:
-        return upto, later
-    within = value_at_rank(df.filter(same), key, at.rank - at.before)
-    if within.value is None:
-        return upto, later
-    dtype = df.schema[key].dataType
-    last = F.lit(within.value) if isinstance(dtype, T.StringType) else to_literal(within.value, dtype)
-    return earlier | (same & (k <= last)), later | (same & ((k > last) | k.isNull()))
+        return Cut(first | same, rest)
+    for column, dtype in ((F.col(key), df.schema[key].dataType), (_row_hash(df), T.LongType())):
+        tied = df.filter(same).select(column.alias("v"))
+        at = value_at_rank(tied, "v", at.rank - at.before)
+        earlier, equal, later = _sides(column, dtype, at)
+        first, rest, same = first | (same & earlier), rest | (same & later), same & equal
+        if at.before + at.ties == at.rank:
+            return Cut(first | same, rest)
+    if df.filter(same).select(F.to_json(F.struct(*df.columns))).distinct().limit(2).count() != 1:
+        raise ValueError("rows with equal hashes that are not copies")
+    return Cut(first, rest, same, at.ties, at.rank - at.before)
+
+
+def _sides(c: Column, dtype: T.DataType, at: Place) -> tuple[Column, Column, Column]:
+    """Before, at and after a place, missing values last; none of them NULL on the rows it must pass."""
+    if at.value is None:
+        return c.isNotNull(), c.isNull(), F.lit(False)
+    here = F.lit(at.value) if isinstance(dtype, T.StringType) else to_literal(at.value, dtype)
+    return c < here, c == here, (c > here) | c.isNull()
+
+
+def _row_hash(df: DataFrame) -> Column:
+    # Half the range, so that differences of two hashes stay within a LONG.
+    values = [F.to_json(f.name) if isinstance(f.dataType, T.MapType) else F.col(f.name) for f in df.schema.fields]
+    return F.shiftrightunsigned(F.xxhash64(*values), 1)
+
+
+def _copies(df: DataFrame, cut: Cut) -> DataFrame:
+    """The copies at the cut, numbered from 0 in ``_nth``: the one row, generated wherever the range is."""
+    one = df.filter(cut.same).limit(1).select(F.struct(*df.columns)).scalar()
+    return df.sparkSession.range(cut.copies).select(F.col("id").alias("_nth"), one.alias("_row")).select(
+        "_nth", "_row.*"
+    )
+
+
+def _part(df: DataFrame, cut: Cut, first: bool) -> DataFrame:
+    rows = df.filter(cut.first if first else cut.rest)
+    if not cut.copies:
+        return rows
+    mine = F.col("_nth") < cut.copies_first if first else F.col("_nth") >= cut.copies_first
+    return rows.unionByName(_copies(df, cut).filter(mine).drop("_nth"))
 
 
 def _train_rows(test_size: float) -> Callable[[int], int]:
@@ -152,16 +195,20 @@ def temporal_split(
     df: DataFrame, test_size: float = 0.2, time: str = names.TIME, key: str = names.KEY
 ) -> DataFrame:
     """A ``split`` column, ``train`` for the earlier rows and ``test`` for the later ones."""
-    early, _ = first_and_rest(df, _train_rows(test_size), time, key)
-    return df.withColumn("split", F.when(early, "train").otherwise("test"))
+    cut = cut_at(df, _train_rows(test_size), time, key)
+    if not cut.copies:
+        return df.withColumn("split", F.when(cut.first, "train").otherwise("test"))
+    rows = df.filter(cut.first | cut.rest).withColumn("split", F.when(cut.first, "train").otherwise("test"))
+    place = F.when(F.col("_nth") < cut.copies_first, "train").otherwise("test")
+    return rows.unionByName(_copies(df, cut).withColumn("split", place).drop("_nth"))
 
 
 def split_frames(
     df: DataFrame, test_size: float = 0.2, time: str = names.TIME, key: str = names.KEY
 ) -> tuple[DataFrame, DataFrame]:
     """W1 as two frames."""
-    early, late = first_and_rest(df, _train_rows(test_size), time, key)
-    return df.filter(early), df.filter(late)
+    cut = cut_at(df, _train_rows(test_size), time, key)
+    return _part(df, cut, True), _part(df, cut, False)
 
 
 def split_summary(df: DataFrame, time: str = names.TIME) -> DataFrame:
@@ -179,10 +226,8 @@ def rows_between(
         return df.limit(0)
     if stop <= DIRECT:
         return df.orderBy(F.asc_nulls_last(time), F.asc_nulls_last(key)).offset(start).limit(stop - start)
-    inside, _ = first_and_rest(df, stop, time, key)
-    if start > 0:
-        inside = inside & first_and_rest(df, start, time, key)[1]
-    return df.filter(inside)
+    upto = _part(df, cut_at(df, stop, time, key), True)
+    return _part(upto, cut_at(upto, start, time, key), False) if start > 0 else upto
 
 
 def in_time_order(df: DataFrame, time: str = names.TIME, key: str = names.KEY) -> DataFrame:

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is hot when it holds more than this share of the rows; at most 1/share keys can be.
+# A key is hot when it holds more than this share of the rows (at most 1/share keys can) and at least so many of them
+# that one task would feel it. Milder skew is left to the adaptive skew join.
 HOT_SHARE = 0.001
+HOT_ROWS = 100_000
 # Pieces a hot key is cut into.
 SALTS = 64
 
@@ -23,7 +25,7 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys that hold more than ``share`` of the rows, from one counting sketch of fixed size per task.
+    """Keys that hold more than ``share`` of the rows and ``HOT_ROWS``, by one counting sketch of fixed size per task.
 
     The sketch only steers salting, so an estimate is enough; no key is shuffled.
     """
@@ -32,12 +34,17 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
         F.expr(f"approx_top_k(`{key}`, {most}, {most * 10})").alias("top"), F.count(F.lit(1)).alias("n")
     )
     row = top.first()
-    return [entry["item"] for entry in (row["top"] or []) if entry["count"] > share * row["n"]]
+    least = max(share * row["n"], HOT_ROWS)
+    return [entry["item"] for entry in (row["top"] or []) if entry["count"] > least]
 
 
 def narrowed_to(table: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """The rows of ``table`` whose key occurs in ``wanted``, found in the scan; ``wanted`` must fit a broadcast."""
-    return table.join(F.broadcast(wanted.select(key).distinct()), key, "left_semi")
+    """The rows of ``table`` whose key occurs in ``wanted``.
+
+    For a ``wanted`` that fits a broadcast the planner sends its keys to the scan of ``table``; there is no hint, so
+    the planner's own size limits hold.
+    """
+    return table.join(wanted.select(key).distinct(), key, "left_semi")
 
 
 def skew_safe_join(left: DataFrame, right: DataFrame, key: str, how: str, salts: int = SALTS) -> DataFrame:

@@ -17,13 +17,25 @@ def scan(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table) if "/" in table else spark.table(table)
 
 
-def _writer(df: DataFrame, path: str | None):
-    return df.write.option("path", path) if path else df.write
+def _writer(df: DataFrame, path: str | None, key: str | None = None, buckets: int | None = None):
+    if buckets:
+        # One task per bucket, so that each bucket is one file.
+        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    else:
+        writer = df.write
+    return writer.option("path", path) if path else writer
 
 
-def append(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Adds the rows; makes the table if there is none. Columns are matched by name."""
-    _writer(df, path).mode("append").saveAsTable(table)
+def append(df: DataFrame, table: str, path: str | None = None, key: str = names.KEY, buckets: int | None = None) -> None:
+    """Adds the rows; makes the table if there is none, with ``buckets`` bucketed by its key.
+
+    Columns are matched by name. Tables bucketed alike are joined by key without a shuffle.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        df.select(*spark.table(table).columns).write.insertInto(table)
+    else:
+        _writer(df, path, key, buckets).saveAsTable(table)
 
 
 def overwrite(df: DataFrame, table: str, path: str | None = None) -> None:
@@ -33,7 +45,7 @@ def overwrite(df: DataFrame, table: str, path: str | None = None) -> None:
 
 def append_unseen(df: DataFrame, table: str, key: str = names.KEY) -> None:
     """S4 with J5: rows whose key the table already has are not added again, so a repeated run adds nothing."""
-    unseen_rows(df, df.sparkSession.table(table), key).write.mode("append").saveAsTable(table)
+    append(unseen_rows(df, df.sparkSession.table(table), key), table)
 
 
 def insert_select(df: DataFrame, table: str, columns: Sequence[str]) -> None:
@@ -51,14 +63,22 @@ def create_empty(spark: SparkSession, table: str, schema: T.StructType, path: st
 
 
 def create_keyed_table(
-    df: DataFrame, table: str, key: Sequence[str] = (names.KEY,), description: str = "", path: str | None = None
+    df: DataFrame,
+    table: str,
+    key: str = names.KEY,
+    description: str = "",
+    path: str | None = None,
+    buckets: int | None = None,
 ) -> None:
-    """A new table whose key is checked before it is written (S8), with the key kept as a table property."""
-    assert_key(df, list(key))
-    _writer(df, path).mode("errorifexists").saveAsTable(table)
-    text = description.replace("'", "''")
+    """A new table whose key is checked before it is written (S8), with the key kept as a table property.
+
+    For a table that is looked up over and over, ``buckets`` (its size over some 200 MB) saves its shuffle each time.
+    """
+    assert_key(df, [key])
+    _writer(df, path, key, buckets).mode("errorifexists").saveAsTable(table)
+    text = description.replace("'", "\\'")
     df.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{text}'")
-    df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('loadloom.key' = '{','.join(key)}')")
+    df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('loadloom.key' = '{key}')")
 
 
 def temp_view(df: DataFrame, name: str) -> None:

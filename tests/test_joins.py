@@ -8,6 +8,11 @@ from loadloom.plans import training
 from loadloom.registry.inputs import readings
 
 
+@pytest.fixture
+def some_are_hot(monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 100)
+
+
 @pytest.fixture
 def skewed(spark):
     """A third of the rows have key 7, and some have none."""
@@ -18,7 +23,7 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "left_anti", "left_semi", "inner"])
-def test_salted_join_equals_the_plain_one(spark, skewed, no_broadcast, how):
+def test_salted_join_equals_the_plain_one(spark, skewed, no_broadcast, some_are_hot, how):
     right = spark.range(0, 2000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v")).unionAll(
         spark.sql("SELECT 7L, 70L")
     )
@@ -30,7 +35,7 @@ def test_salted_join_equals_the_plain_one(spark, skewed, no_broadcast, how):
     assert sorted(map(repr, salted.collect())) == sorted(map(repr, plain.collect()))
 
 
-def test_hot_key_is_spread_over_tasks(spark, skewed, no_broadcast):
+def test_hot_key_is_spread_over_tasks(spark, skewed, no_broadcast, some_are_hot):
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

@@ -39,10 +39,10 @@ def in_order(rows):
 def test_first_rows_are_those_of_a_full_sort(spark, tiny_bins, rank):
     rows = rows_with_ties(60, seed=rank)
     df = spark.createDataFrame(rows, "t timestamp_ntz, k string")
-    first, rest = ranking.first_and_rest(df, rank, "t", "k")
+    cut = ranking.cut_at(df, rank, "t", "k")
     expected = in_order(rows)
-    assert set(map(tuple, df.filter(first).collect())) == set(expected[:rank])
-    assert set(map(tuple, df.filter(rest).collect())) == set(expected[rank:])
+    assert set(map(tuple, df.filter(cut.first).collect())) == set(expected[:rank])
+    assert set(map(tuple, df.filter(cut.rest).collect())) == set(expected[rank:])
 
 
 @pytest.mark.parametrize("kind", ["bigint", "int", "date", "timestamp"])
@@ -95,10 +95,24 @@ def test_one_time_for_all_rows(spark, tiny_bins):
     assert {r.k for r in test.collect()} == set(ordered[80:])
 
 
-def test_copies_at_the_cut_stay_together(spark, tiny_bins):
-    df = spark.createDataFrame([(datetime(2020, 1, 1), "same")] * 10, "t timestamp, k string")
+def test_rows_equal_in_time_and_key_are_still_divided(spark, tiny_bins):
+    df = spark.range(100).select(F.lit(datetime(2020, 1, 1)).alias("t"), F.lit("same").alias("k"), "id")
     train, test = ranking.split_frames(df, 0.2, "t", "k")
-    assert (train.count(), test.count()) == (10, 0)
+    assert (train.count(), test.count()) == (80, 20)
+    assert {r.id for r in train.collect()} | {r.id for r in test.collect()} == set(range(100))
+
+
+def test_copies_of_one_row_are_divided_by_number(spark, tiny_bins, no_broadcast):
+    early = [(datetime(2019, 1, 1), str(i), None) for i in range(5)]
+    rows = early + [(datetime(2020, 1, 1), "same", 1.5)] * 10 + [(datetime(2021, 1, 1), "x", 2.0)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, k string, x double")
+    train, test = ranking.split_frames(df, 0.5, "t", "k")
+    assert sorted(map(repr, map(tuple, train.collect()))) == sorted(map(repr, early + [rows[5]] * 3))
+    assert sorted(map(repr, map(tuple, test.collect()))) == sorted(map(repr, [rows[5]] * 7 + rows[-1:]))
+    labelled = ranking.temporal_split(df, 0.5, "t", "k")
+    assert labelled.columns == ["t", "k", "x", "split"]
+    assert {r["split"]: r["count"] for r in labelled.groupBy("split").count().collect()} == {"train": 8, "test": 8}
+    assert ranking.rows_between(df, 6, 8, "t", "k").count() == 2
 
 
 def test_slices_by_position(spark, monkeypatch):

@@ -1,9 +1,11 @@
 from datetime import datetime
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from loadloom import names
+from loadloom.operators.lookup import Lookup, look_up
 from loadloom.plans import refresh
 from loadloom.session import scratch_path
 from loadloom.sources import tables
@@ -114,3 +116,18 @@ def test_keyed_table_checks_before_writing(spark):
     tables.create_keyed_table(frame(spark, [1, 2]), f"k_{tag}.good", description="it's fine")
     properties = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES k_{tag}.good").collect()}
     assert properties["loadloom.key"] == "id"
+    comment = spark.sql(f"DESCRIBE EXTENDED k_{tag}.good").filter("col_name = 'Comment'").first()["data_type"]
+    assert comment == "it's fine"
+
+
+def test_tables_bucketed_alike_are_looked_up_without_a_shuffle(spark, no_broadcast):
+    tag = scratch_path(spark, "db").rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE b_{tag} LOCATION '{scratch_path(spark, 'db')}'")
+    base, features = f"b_{tag}.base", f"b_{tag}.features"
+    tables.append(frame(spark, range(30)), base, buckets=4)
+    tables.append(frame(spark, range(30, 40)), base)
+    tables.create_keyed_table(frame(spark, range(5, 50), 2.0).withColumnRenamed("Temperature", "x"), features, buckets=4)
+    lookup = Lookup(spark.table(features), ["x"], key_checked=True)
+    out = look_up(spark.table(base), lookup)
+    assert "Exchange" not in plan_of(out)
+    assert out.count() == 40 and out.filter("x = 2").count() == 35
