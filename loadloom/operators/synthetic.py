@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,25 +34,19 @@ def continue_series(
     df: DataFrame,
     columns: Sequence[str],
     rows: int = 1008,
-    after: datetime | None = None,
+    marked: DataFrame | None = None,
     minutes: int = 10,
     seed: int = 0,
     time: str = names.TIME,
 ) -> DataFrame:
-    """New rows on a grid after the series (or after ``after``), each column normal with its own moments.
+    """New rows on a grid after the series, each column normal with its own moments.
 
-    The moments are one pass and enter the plan as literals; rows are generated where they are used.
+    The grid starts after the last time of ``marked`` where that is given. The moments are one pass and enter the plan
+    as literals; rows are generated where they are used.
     """
     found = {r["column"]: r for r in moments(df, columns).collect()}
-    if after is None:
-        grid = time_grid(df, rows, minutes, time)
-    else:
-        start = F.lit(after).cast(df.schema[time].dataType)
-        grid = df.sparkSession.range(1, rows + 1).select(
-            F.col("id").alias("step"), step_after(start, F.col("id"), minutes).alias(time)
-        )
     values = []
     for i, c in enumerate(columns):
         mean, deviation = F.lit(found[c]["mean"]).cast("double"), F.lit(found[c]["deviation"]).cast("double")
         values.append((F.randn(seed + i) * deviation + mean).alias(c))
-    return grid.select(time, *values)
+    return time_grid(df if marked is None else marked, rows, minutes, time).select(time, *values)

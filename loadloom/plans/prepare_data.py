@@ -14,6 +14,7 @@ from loadloom.operators import prepare
 from loadloom.operators.columns import clean_names, without
 from loadloom.operators.contracts import coerce
 from loadloom.operators.ranking import split_frames, temporal_split
+from loadloom.operators.synthetic import continue_series
 from loadloom.sources.tables import append
 
 
@@ -82,3 +83,10 @@ def store_parts(
     stamp = load_stamp(at)
     append(train.withColumn(names.STAMP, stamp), train_table)
     append(test.withColumn(names.STAMP, stamp), test_table)
+
+
+def synthetic_batch(raw: DataFrame, marked: DataFrame, rows: int = 1008, seed: int = 0) -> DataFrame:
+    """Prepared rows that continue ``marked`` in time with the moments of ``raw`` (M11), fitted on themselves."""
+    measures = [c for c in without(clean_names(raw), [names.LEFTOVER, names.TIME, names.KEY]).columns]
+    more = continue_series(clean_names(raw), measures, rows, marked=marked, seed=seed)
+    return prepared(raw_readings(more)).withColumn(names.STAMP, load_stamp())

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
 from loadloom import names
 from loadloom.operators.columns import to_double
 from loadloom.operators.evaluate import champion_challenger, metrics_uniform
-from loadloom.operators.lookup import WEATHER_FEATURE, Lookup, assemble
+from loadloom.operators.lookup import WEATHER_FEATURE, FunctionFeature, Lookup, assemble
 from loadloom.operators.models import Boosting, Forest, TargetModels, fit_per_target
 
 FEATURES = [*names.MODEL_INPUTS, names.INTERACTION]
@@ -48,6 +48,22 @@ def train_and_judge(
     return Trained(models, metrics_uniform(models.score(testing_frame(test)), pairs))
 
 
+def score_batch(
+    models: TargetModels,
+    df: DataFrame,
+    lookups: Sequence[Lookup] = (),
+    functions: Sequence[FunctionFeature] = (),
+) -> DataFrame:
+    """M6 for rows that lack some inputs: those are looked up or computed first; columns at hand are kept as they are."""
+    needed = []
+    for source in lookups:
+        absent = [c for c in source.features if source.as_names.get(c, c) not in df.columns]
+        if absent:
+            needed.append(replace(source, features=absent))
+    absent = [f for f in functions if f.output not in df.columns]
+    return models.score(assemble(df, needed, absent))
+
+
 def compare_models(test: DataFrame, old: TargetModels, new: TargetModels, target: str = names.TARGETS[0]) -> DataFrame:
     """M7 for two models: both score the same row, so nothing is joined; one pass gives all errors."""
     rows = testing_frame(test)

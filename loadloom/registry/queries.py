@@ -424,6 +424,12 @@ def _fresh_table(spark, label: str) -> tuple[str, str]:
     return path.rsplit("/", 1)[1].replace("-", "_"), path
 
 
+def _released(spark, name: str, path: str) -> DataFrame:
+    """The table's files, its name given back to the catalog."""
+    spark.sql(f"DROP TABLE {name}")
+    return tables.scan(spark, path)
+
+
 @query
 def appended_table(spark, sf):
     _, train, test, _ = _refresh_inputs(spark, sf)
@@ -431,7 +437,7 @@ def appended_table(spark, sf):
     tables.append(train, name, path)
     tables.append_unseen(test, name)
     tables.append_unseen(test, name)
-    return tables.scan(spark, name)
+    return _released(spark, name, path)
 
 
 @query
@@ -440,7 +446,7 @@ def overwritten_table(spark, sf):
     name, path = _fresh_table(spark, "overwritten")
     tables.append(train, name, path)
     tables.overwrite(test, name, path)
-    return tables.scan(spark, path)
+    return _released(spark, name, path)
 
 
 @query
@@ -449,15 +455,16 @@ def inserted_features(spark, sf):
     name, path = _fresh_table(spark, "features")
     tables.create_empty(spark, name, names.FEATURE_TABLE_SCHEMA, path)
     tables.insert_select(rows, name, names.FEATURE_TABLE_SCHEMA.names)
-    tables.temp_view(spark.table(name), f"{name}_view")
-    return spark.table(f"{name}_view").withColumn(names.TIME, F.col(names.TIME).cast("timestamp_ntz"))
+    stored = _released(spark, name, path)
+    tables.temp_view(stored.withColumn(names.TIME, F.col(names.TIME).cast("timestamp_ntz")), "stored_features")
+    return spark.table("stored_features")
 
 
 @query
 def keyed_table(spark, sf):
     name, path = _fresh_table(spark, "keyed")
     tables.create_keyed_table(_flows(spark, sf), name, description="flows by key", path=path)
-    return tables.scan(spark, name)
+    return _released(spark, name, path)
 
 
 @query
@@ -625,6 +632,13 @@ def synthetic_rows(spark, sf):
     return synthetic.continue_series(readings(spark, sf), [*names.WEATHER, *names.FLOWS, *names.TARGETS])
 
 
+@query
+def synthetic_batch(spark, sf):
+    source = readings(spark, sf)
+    test = source.filter((F.col("DateTime") >= _at(TEST_FROM)) & (F.col("DateTime") < _at(TEST_UNTIL)))
+    return prepare_data.synthetic_batch(source.drop(names.KEY), test).drop(names.STAMP)
+
+
 @query
 def bootstrap_sample(spark, sf):
     return sample_exactly(readings(spark, sf), 1000)
@@ -683,6 +697,19 @@ def model_comparison(spark, sf):
     return training.compare_models(test, old, new)
 
 
+@query
+def batch_scored_keys(spark, sf):
+    """Rows given by key, time and calendar columns only; the other inputs are looked up and computed."""
+    train, test = _prepared_parts(spark, sf)
+    features = test.select(names.KEY, *names.WEATHER, *names.FLOWS)
+    frame = training.training_frame(train, train.select(names.KEY, *names.FLOWS), key_checked=True)
+    target, output = names.TARGETS[:1], names.PREDICTED[:1]
+    fitted = models.fit_per_target(frame, SMALL_FOREST, training.FEATURES, target, output)
+    given = test.drop(*names.WEATHER, *names.FLOWS, *names.TARGETS)
+    source = lookup.Lookup(features, [*names.WEATHER, *names.FLOWS])
+    return training.score_batch(fitted, given, [source], [lookup.WEATHER_FEATURE]).select(names.KEY, *output)
+
+
 @query
 def ab_scored_rows(spark, sf):
     train, test = _prepared_parts(spark, sf)

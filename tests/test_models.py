@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from loadloom import names
 from loadloom.operators import evaluate, models, routing
+from loadloom.operators.lookup import WEATHER_FEATURE, Lookup
 from loadloom.plans import prepare_data, serving, training
 
 PAIRS = {t: (t, p) for t, p in zip(names.TARGETS, names.PREDICTED, strict=True)}
@@ -109,3 +110,17 @@ def test_prediction_table_and_routing(parts, forest):
     expected = {r["id"]: r["model"] for r in routing.assign(parts[1].select("id")).collect()}
     assert {r["id"]: r["model"] for r in routed.collect()} == expected
     assert set(expected.values()) == {"Model A", "Model B"}
+
+
+def test_score_batch_fills_in_what_is_missing(parts):
+    train, test = parts
+    frame = training.training_frame(train, train.select("id", *names.FLOWS), key_checked=True)
+    fitted = models.fit_per_target(frame, models.Forest(3, 4), training.FEATURES, names.TARGETS[:1], ["p"])
+    full = fitted.score(training.testing_frame(test)).select("id", "p")
+    given = test.drop(*names.WEATHER, *names.FLOWS)
+    source = Lookup(test, [*names.WEATHER, *names.FLOWS])
+    filled = training.score_batch(fitted, given, [source], [WEATHER_FEATURE]).select("id", "p")
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, filled.collect()))
+    # Columns at hand win over the table.
+    kept = training.score_batch(fitted, test, [source], [WEATHER_FEATURE])
+    assert sorted(map(tuple, kept.select("id", "p").collect())) == sorted(map(tuple, full.collect()))

@@ -1,10 +1,13 @@
 import math
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from loadloom import names
 from loadloom.operators import sampling
 from loadloom.operators.synthetic import continue_series, moments
+from loadloom.plans import prepare_data
 
 
 @pytest.mark.parametrize("n", [1, 10, 1000, 5000])
@@ -55,11 +58,17 @@ def test_continued_series_has_grid_and_moments(spark, hourly):
     assert abs(corr) < 0.1
 
 
-def test_continued_series_after_a_given_time(spark, hourly):
-    from datetime import datetime
-
-    out = continue_series(hourly, ["Temperature"], rows=2, after=datetime(2030, 1, 1))
+def test_continued_series_after_another_frame(spark, hourly):
+    marked = spark.sql("SELECT timestamp'2030-01-01 00:00:00' AS DateTime")
+    out = continue_series(hourly, ["Temperature"], rows=2, marked=marked)
     assert sorted(r[0] for r in out.select("DateTime").collect()) == [
         datetime(2030, 1, 1, 0, 10),
         datetime(2030, 1, 1, 0, 20),
     ]
+
+
+def test_synthetic_batch_is_ready_for_the_source_table(spark, hourly):
+    out = prepare_data.synthetic_batch(hourly, hourly, rows=1008)
+    assert set(out.columns) == {names.KEY, names.TIME, names.STAMP, *names.TARGETS, *names.MODEL_INPUTS}
+    assert out.count() == 1008 == out.select(names.KEY).distinct().count()
+    assert out.agg(F.min(names.TIME)).first()[0] == datetime(2023, 1, 10, 0, 10)
