@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loadloom import names
 from loadloom.operators.columns import without
 from loadloom.operators.keys import assert_key
-from loadloom.operators.skew import skew_safe_join
+from loadloom.operators.skew import fits_broadcast, narrowed_to, skew_safe_join
 
 
 @dataclass(frozen=True)
@@ -74,13 +74,20 @@ WEATHER_FEATURE = FunctionFeature(
 
 
 def look_up(base: DataFrame, lookup: Lookup) -> DataFrame:
-    """Every base row once, with the features of its key, NULL where the table lacks the key."""
-    table = lookup.table if lookup.key_checked else assert_key(lookup.table, [lookup.key])
-    base_key = lookup.base_key or lookup.key
-    picked = table.select(
-        F.col(lookup.key).alias(base_key), *[F.col(c).alias(lookup.as_names.get(c, c)) for c in lookup.features]
+    """Every base row once, with the features of its key, NULL where the table lacks the key.
+
+    For a small base only the table's rows for its keys are checked and joined.
+    """
+    key = lookup.base_key or lookup.key
+    picked = lookup.table.select(
+        F.col(lookup.key).alias(key), *[F.col(c).alias(lookup.as_names.get(c, c)) for c in lookup.features]
     )
-    return skew_safe_join(base, picked, base_key, "left")
+    narrow = fits_broadcast(base) and not fits_broadcast(picked)
+    if narrow:
+        picked = narrowed_to(picked, base, key)
+    if not lookup.key_checked:
+        assert_key(picked, [key])
+    return base.join(picked, key, "left") if narrow else skew_safe_join(base, picked, key, "left")
 
 
 def look_up_keys(keys: DataFrame, table: DataFrame, key: str, features: Sequence[str]) -> DataFrame:

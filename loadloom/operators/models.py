@@ -45,10 +45,11 @@ class Boosting:
 
 @dataclass(frozen=True)
 class Forest:
-    """Random forest: trees, depth; every split sees all features."""
+    """Random forest: trees, depth; every split sees all features, every tree its own draw of the rows."""
 
     n_estimators: int = 1000
     max_depth: int = 6
+    bootstrap: bool = True
 
     def estimator(self, target: str, output: str) -> RandomForestRegressor:
         return RandomForestRegressor(
@@ -58,6 +59,7 @@ class Forest:
             numTrees=self.n_estimators,
             maxDepth=self.max_depth,
             featureSubsetStrategy="all",
+            bootstrap=self.bootstrap,
             seed=SEED,
         )
 

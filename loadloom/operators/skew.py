@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 # that one task would feel it. Milder skew is left to the adaptive skew join.
 HOT_SHARE = 0.001
 HOT_ROWS = 100_000
+# Key types the counting sketch takes; for others all skew is left to the adaptive join.
+COUNTABLE = (T.StringType, T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
 # Pieces a hot key is cut into.
 SALTS = 64
 
@@ -29,6 +31,8 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
 
     The sketch only steers salting, so an estimate is enough; no key is shuffled.
     """
+    if not isinstance(df.schema[key].dataType, COUNTABLE):
+        return []
     most = round(1 / share)
     top = df.filter(F.col(key).isNotNull()).agg(
         F.expr(f"approx_top_k(`{key}`, {most}, {most * 10})").alias("top"), F.count(F.lit(1)).alias("n")

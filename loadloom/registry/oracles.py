@@ -358,3 +358,57 @@ SELECT * FROM both_sides WHERE change IS NOT NULL""",
     "synthetic_grid": f"WITH {BASE} SELECT i AS step, last + to_minutes(10 * i) AS DateTime "
     "FROM (SELECT max(DateTime) AS last FROM readings), range(1, 1009) r(i)",
 }
+
+
+def _group_means(column: str, prefix: str) -> str:
+    means = ", ".join(f"avg({t}) AS {prefix}{i}" for i, t in enumerate(names.TARGETS, start=1))
+    return f"{prefix}_means AS (SELECT {column}, {means} FROM split WHERE split = 'train' GROUP BY {column})"
+
+
+MEANS = (
+    f"{PREPARED},\n{SPLIT.format(source='prepared')},\n{_group_means('IsWeekend_1', 'w')},\n"
+    f"{_group_means('DayOfWeek_1', 'd')},\n"
+    + "overall AS (SELECT "
+    + ", ".join(f"avg({t}) AS o{i}" for i, t in enumerate(names.TARGETS, start=1))
+    + " FROM split WHERE split = 'train'),\n"
+    "predicted AS (SELECT * FROM split JOIN w_means USING (IsWeekend_1) JOIN d_means USING (DayOfWeek_1), overall),\n"
+    "judged AS (SELECT * FROM predicted WHERE split = 'test')"
+)
+
+
+def _mean_pairs(prefix: str, name: str) -> str:
+    union = " UNION ALL ".join(
+        f"SELECT '{t}' AS target, {t} AS y, {prefix}{i} AS p FROM judged" for i, t in enumerate(names.TARGETS, start=1)
+    )
+    return f"""{name} AS (
+  SELECT target, count(*) AS n, avg((y - p) * (y - p)) AS mse, avg(abs(y - p)) AS mae,
+         1 - avg((y - p) * (y - p)) / var_pop(y) AS r2
+  FROM ({union}) GROUP BY target)"""
+
+
+_W = ", ".join(_r(f"w{i}", p) for i, p in enumerate(names.PREDICTED, start=1))
+
+ORACLES |= {
+    "forest_group_means": f"WITH {MEANS} SELECT id, {_W} FROM judged",
+    "boosted_group_metrics": f"WITH {MEANS},\n{_mean_pairs('w', 'm')} SELECT target, n AS rows, {_r('mse')}, "
+    f"{_r('sqrt(mse)', 'rmse')}, {_r('mae')}, {_r('r2')} FROM m",
+    "importance_of_one_input": "SELECT DISTINCT 'IsWeekend_1' AS feature, CAST(1 AS DOUBLE) AS importance FROM events",
+    "variant_group_metrics": f"WITH {MEANS},\n{_mean_pairs('o', 'a')},\n{_mean_pairs('w', 'b')} "
+    + " UNION ALL ".join(
+        f"SELECT '{v.upper()}' AS variant, '{depth}' AS max_depth, {_r('avg(mse)', 'mse')}, {_r('avg(mae)', 'mae')}, "
+        f"{_r('avg(r2)', 'r2')} FROM {v}"
+        for v, depth in (("a", 0), ("b", 1))
+    ),
+    "model_comparison_means": f"WITH {MEANS},\n"
+    f"pair AS (SELECT *, o1 AS prediction_old, w1 AS prediction_new FROM judged) {_metric_row('pair')}",
+    "ab_group_means": f"WITH {MEANS} SELECT id, CASE WHEN {ODD} THEN 'Model A' ELSE 'Model B' END AS model, "
+    + ", ".join(
+        _r(f"CASE WHEN {ODD} THEN w{i} ELSE d{i} END", p) for i, p in enumerate(names.PREDICTED, start=1)
+    )
+    + " FROM judged",
+    "prediction_table_means": f"WITH {MEANS} SELECT id, {', '.join(_r(c) for c in names.WEATHER)}, {_W} FROM predicted",
+    "bootstrap_members": "SELECT CAST(1000 AS BIGINT) AS rows, CAST(0 AS BIGINT) AS strangers FROM events LIMIT 1",
+    "synthetic_moments": " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", true AS mean_fits, true AS deviation_fits" for c in READING_DOUBLES
+    ),
+}

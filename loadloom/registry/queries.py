@@ -716,3 +716,93 @@ def ab_scored_rows(spark, sf):
     a = models.fit_per_target(train, models.Boosting(0.3, 2, 2))
     b = models.fit_per_target(train, models.Boosting(0.3, 2, 4))
     return routing.route_scored(test, a.score, b.score).select(names.KEY, "model", *names.PREDICTED)
+
+
+# With one 0/1 input a tree of depth 1 predicts the mean of each group, and a tree of depth 0 the overall mean: results
+# that SQL can check through training, scoring and judging alike.
+
+ONE_SPLIT = models.Forest(n_estimators=1, max_depth=1, bootstrap=False)
+NO_SPLIT = models.Forest(n_estimators=1, max_depth=0, bootstrap=False)
+WEEKEND = ["IsWeekend_1"]
+
+
+def _target_pairs() -> dict[str, tuple[str, str]]:
+    return {t: (t, p) for t, p in zip(names.TARGETS, names.PREDICTED, strict=True)}
+
+
+@query
+def forest_group_means(spark, sf):
+    train, test = _prepared_parts(spark, sf)
+    fitted = models.fit_per_target(train, ONE_SPLIT, WEEKEND)
+    return fitted.score(test).select(names.KEY, *names.PREDICTED)
+
+
+@query
+def boosted_group_metrics(spark, sf):
+    train, test = _prepared_parts(spark, sf)
+    fitted = models.fit_per_target(train, models.Boosting(0.5, 2, 1), WEEKEND)
+    return evaluate.metrics_per_target(fitted.score(test), _target_pairs())
+
+
+@query
+def importance_of_one_input(spark, sf):
+    train, _ = _prepared_parts(spark, sf)
+    fitted = models.fit_per_target(train, ONE_SPLIT, WEEKEND)
+    return evaluate.mean_importance(fitted.importances(train))
+
+
+@query
+def variant_group_metrics(spark, sf):
+    variants = {"A": NO_SPLIT, "B": ONE_SPLIT}
+    report = models.compare_variants(*_prepared_parts(spark, sf), variants, WEEKEND)
+    return report.select("variant", F.col("parameters")["max_depth"].alias("max_depth"), "mse", "mae", "r2")
+
+
+@query
+def model_comparison_means(spark, sf):
+    train, test = _prepared_parts(spark, sf)
+    target, output = names.TARGETS[:1], names.PREDICTED[:1]
+    old = models.fit_per_target(train, NO_SPLIT, WEEKEND, target, output)
+    new = models.fit_per_target(train, ONE_SPLIT, WEEKEND, target, output)
+    return training.compare_models(test, old, new)
+
+
+@query
+def ab_group_means(spark, sf):
+    train, test = _prepared_parts(spark, sf)
+    a = models.fit_per_target(train, ONE_SPLIT, WEEKEND)
+    b = models.fit_per_target(train, ONE_SPLIT, ["DayOfWeek_1"])
+    return routing.route_scored(test, a.score, b.score).select(names.KEY, "model", *names.PREDICTED)
+
+
+@query
+def prediction_table_means(spark, sf):
+    train, test = _prepared_parts(spark, sf)
+    return serving.prediction_table(train, test, models.fit_per_target(train, ONE_SPLIT, WEEKEND).score)
+
+
+@query
+def bootstrap_members(spark, sf):
+    """Every drawn row, with all its values, is one of the table's."""
+    base = readings(spark, sf).select(names.KEY, *names.TARGETS)
+    drawn = sample_exactly(base, 1000)
+    known = keys.unseen_rows(drawn, base, names.KEY).agg(F.count(F.lit(1)).alias("strangers"))
+    whole = drawn.join(base, base.columns).agg(F.count(F.lit(1)).alias("rows"))
+    return whole.select("rows", known.scalar().alias("strangers"))
+
+
+@query
+def synthetic_moments(spark, sf):
+    """Whether the generated rows have the source's moments, within five standard errors."""
+    source = readings(spark, sf)
+    measures = [*names.WEATHER, *names.FLOWS, *names.TARGETS]
+    rows = 5000
+    made = synthetic.moments(synthetic.continue_series(source, measures, rows), measures)
+    both = made.join(
+        synthetic.moments(source, measures).withColumnsRenamed({"mean": "m", "deviation": "s"}), "column"
+    )
+    return both.select(
+        "column",
+        (F.abs(F.col("mean") - F.col("m")) <= 5 * F.col("s") / rows**0.5).alias("mean_fits"),
+        (F.abs(F.col("deviation") / F.col("s") - 1) <= 5 / (2 * rows) ** 0.5).alias("deviation_fits"),
+    )

@@ -47,6 +47,22 @@ def test_hot_key_is_spread_over_tasks(spark, skewed, no_broadcast, some_are_hot)
         spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
+def test_keys_the_sketch_cannot_count_are_joined_plainly(spark, no_broadcast):
+    left = spark.range(10).select(F.encode(F.col("id").cast("string"), "UTF-8").alias("k"))
+    assert skew.hot_keys(left, "k") == []
+    assert skew.skew_safe_join(left, left.limit(4), "k", "left_anti").count() == 6
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "date", "timestamp", "timestamp_ntz", "decimal(10,2)"])
+def test_hot_keys_of_any_kind(spark, some_are_hot, kind):
+    base = spark.range(900).select(F.when(F.col("id") < 300, 5).otherwise(F.col("id")).cast("int").alias("n"))
+    value = {"date": F.date_from_unix_date("n"), "timestamp": F.timestamp_seconds("n")}.get(kind, F.col("n"))
+    value = F.timestamp_seconds("n").cast(kind) if kind == "timestamp_ntz" else value.cast(kind)
+    df = base.select(value.alias("k"))
+    found = skew.hot_keys(df, "k")
+    assert len(found) == 1 and df.filter(F.col("k") == F.lit(found[0]).cast(kind)).count() == 300
+
+
 def test_small_left_side_is_sent_to_the_scan(spark, tmp_path):
     spark.range(200_000).select(F.col("id").alias("k"), F.rand(1).alias("v")).write.parquet(str(tmp_path / "big"))
     big = spark.read.parquet(str(tmp_path / "big"))
@@ -60,6 +76,8 @@ def test_small_left_side_is_sent_to_the_scan(spark, tmp_path):
         rows = sorted((r["k"], r["v"] is not None) for r in out.collect())
         assert rows == [(-1, False), (5, True), (5, True)]
         assert keys.unseen_rows(wanted, big, "k").count() == 1
+        looked_up = lookup.look_up(wanted, lookup.Lookup(big, ["v"], key="k"))
+        assert "LeftSemi" in plan_of(looked_up) and looked_up.count() == 3
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
