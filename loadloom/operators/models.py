@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -122,8 +123,9 @@ def fit_per_target(
     targets: Sequence[str] = tuple(names.TARGETS),
     outputs: Sequence[str] = tuple(names.PREDICTED),
     encode: Sequence[str] = (),
+    parallelism: int = 3,
 ) -> TargetModels:
-    """M4 / M5: one regressor per target over the same assembled inputs.
+    """M4 / M5: one regressor per target over the same assembled inputs, ``parallelism`` of them at a time.
 
     ``encode`` one-hot encodes columns of small non-negative integers first, unknown values giving all zeros. Missing
     inputs are passed on as NaN, which the trees send to the right branch.
@@ -145,11 +147,16 @@ def fit_per_target(
     shared = Pipeline(stages=first).fit(narrow)
     # All regressors read the assembled rows many times over.
     assembled = shared.transform(narrow).select(INPUTS, *targets).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit_one(names_of: tuple[str, str]):
+        target, output = names_of
+        return model.estimator(target, output).fit(assembled.filter(F.col(target).isNotNull()))
+
     try:
-        fitted = [
-            model.estimator(t, o).fit(assembled.filter(F.col(t).isNotNull()))
-            for t, o in zip(targets, outputs, strict=True)
-        ]
+        with ThreadPool(max(1, min(parallelism, len(targets)))) as pool:
+            # As in Spark's own parallel tuning: each thread submits its jobs with this thread's properties.
+            work = inheritable_thread_target(df.sparkSession)(fit_one)
+            fitted = pool.map(work, list(zip(targets, outputs, strict=True)))
     finally:
         assembled.unpersist()
     chain = PipelineModel([*shared.stages, *fitted])

@@ -99,6 +99,11 @@ def refresh_summary(source: DataFrame, train: DataFrame, test: DataFrame, time:
     )
 
 
+def _not_in(new: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    # Normally nothing of the time range is stored yet, and nothing needs to be joined.
+    return new if known.isEmpty() else unseen_rows(new, known, key)
+
+
 def run_refresh(
     spark: SparkSession,
     source_table: str,
@@ -125,8 +130,8 @@ def run_refresh(
         return 0
     dtype = train.schema[time].dataType
     known = train.filter(F.col(time).between(to_literal(first, dtype), to_literal(mark, dtype)))
-    unseen_rows(test, known, key).select(*train.columns).write.insertInto(train_table)
+    _not_in(test, known, key).select(*train.columns).write.insertInto(train_table)
     known = features.filter(F.col(time) > to_literal(mark, features.schema[time].dataType))
-    insert_select(unseen_rows(newer, known, key), feature_table, features.columns)
+    insert_select(_not_in(newer, known, key), feature_table, features.columns)
     overwrite(newer.select(*test.columns), test_table)
     return 1
