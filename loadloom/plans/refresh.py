@@ -118,11 +118,16 @@ def run_refresh(
     The test table is overwritten last: until then its mark stands, and a run after a crash finds the same rows again
     and skips those already stored. Appends look for known keys only among stored rows of the batch's own time range,
     since a row stored by an earlier try has the same time; the scan skips everything outside it.
+
+    Replacing a table is not atomic: a crash in that last step may leave it empty. Its old rows are in train by then, so
+    the latest train row has the same mark, and the next run goes on from there.
     """
     source, test, train = spark.table(source_table), spark.table(test_table), spark.table(train_table)
     features = spark.table(feature_table)
     dtype = test.schema[time].dataType
     first, mark = test.agg(to_number(F.min(time), dtype), to_number(F.max(time), dtype)).first()
+    if mark is None:
+        first = mark = _mark(train, time)
     if mark is None:
         return 0
     newer = source.filter(F.col(time) > to_literal(mark, source.schema[time].dataType))

@@ -92,6 +92,26 @@ def test_refresh_after_a_crash_adds_nothing_twice(spark, stored, monkeypatch, st
     assert state(spark, stored) == AFTER
 
 
+def test_refresh_after_a_crash_that_emptied_the_test_table(spark, stored, monkeypatch):
+    def crash(df, table):
+        tables.overwrite(df.limit(0), table)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(refresh, "overwrite", crash)
+        with pytest.raises(RuntimeError):
+            run(spark, stored)
+    assert spark.table(stored["test"]).count() == 0
+    assert run(spark, stored) == 1
+    assert state(spark, stored) == AFTER
+
+
+def test_refresh_of_empty_tables_does_nothing(spark, stored):
+    for name in ("train", "test"):
+        tables.overwrite(frame(spark, range(1)).limit(0), stored[name])
+    assert run(spark, stored) == 0
+
+
 def test_insert_narrows_to_the_declared_types(spark):
     tag = scratch_path(spark, "db").rsplit("-", 1)[1]
     spark.sql(f"CREATE DATABASE n_{tag} LOCATION '{scratch_path(spark, 'db')}'")
