@@ -13,7 +13,7 @@ from loadloom.functions import epoch_key, load_stamp, parse_time
 from loadloom.operators import prepare
 from loadloom.operators.columns import clean_names, without
 from loadloom.operators.contracts import coerce
-from loadloom.operators.ranking import split_frames, temporal_split
+from loadloom.operators.ranking import in_time_order, split_frames, temporal_split
 from loadloom.operators.synthetic import continue_series
 from loadloom.sources.tables import append
 
@@ -77,12 +77,22 @@ def prepared_split(
 
 
 def store_parts(
-    train: DataFrame, test: DataFrame, train_table: str, test_table: str, at: datetime | None = None
+    train: DataFrame,
+    test: DataFrame,
+    train_table: str,
+    test_table: str,
+    at: datetime | None = None,
+    in_order: bool = True,
 ) -> None:
-    """Append both parts, with one load stamp for the run."""
+    """Append both parts, with one load stamp for the run.
+
+    Rows are stored in time order (O1), so each file covers a short stretch of time and later filters on time skip most
+    of the files. That is one shuffle by ranges of time and key; leave it out where the input already comes in order.
+    """
     stamp = load_stamp(at)
-    append(train.withColumn(names.STAMP, stamp), train_table)
-    append(test.withColumn(names.STAMP, stamp), test_table)
+    for part, table in ((train, train_table), (test, test_table)):
+        stamped = part.withColumn(names.STAMP, stamp)
+        append(in_time_order(stamped) if in_order else stamped, table)
 
 
 def synthetic_batch(raw: DataFrame, marked: DataFrame, rows: int = 1008, seed: int = 0) -> DataFrame:

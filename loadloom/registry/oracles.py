@@ -255,6 +255,13 @@ SELECT "column", string_agg(CAST(level AS VARCHAR), ',' ORDER BY level) AS level
     "feature_lookup": f"WITH {BASE} SELECT r.id, {_r('r.Wind_Speed', 'Wind_Speed')}, "
     + ", ".join(_r(f"f.{c}", c) for c in names.FLOWS)
     + " FROM readings r LEFT JOIN (SELECT * FROM readings WHERE DateTime < '2024-01-25') f ON r.id = f.id",
+    "two_table_lookup": f"WITH {BASE} SELECT r.id, "
+    + ", ".join(_r(f"f.{c}", c) for c in names.FLOWS)
+    + ", "
+    + ", ".join(_r(f"w.{c}", c) for c in names.WEATHER)
+    + f", {_r('w.Temperature * w.Humidity * w.Wind_Speed', names.INTERACTION)} FROM readings r "
+    "LEFT JOIN (SELECT * FROM readings WHERE DateTime < '2024-01-25') f ON r.id = f.id "
+    "LEFT JOIN (SELECT * FROM readings WHERE DateTime >= '2024-01-05') w ON r.id = w.id",
     "customer_lookup": "SELECT o_orderkey, o_custkey, round(o_totalprice, 6) + 0.0 AS o_totalprice, "
     "c_mktsegment AS segment, round(c_acctbal, 6) + 0.0 AS balance "
     "FROM orders LEFT JOIN customer ON o_custkey = c_custkey",

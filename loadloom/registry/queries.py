@@ -290,6 +290,19 @@ def feature_lookup(spark, sf):
     return lookup.look_up(base, lookup.Lookup(known, names.FLOWS)).select(names.KEY, "Wind_Speed", *names.FLOWS)
 
 
+@query
+def two_table_lookup(spark, sf):
+    source = readings(spark, sf)
+    flows = source.filter(F.col("DateTime") < _at(TEST_UNTIL)).select(names.KEY, *names.FLOWS)
+    weather = source.filter(F.col("DateTime") >= _at(FIRST_DAY)).select(names.KEY, *names.WEATHER)
+    return lookup.assemble(
+        source.select(names.KEY, names.TIME),
+        [lookup.Lookup(flows, names.FLOWS), lookup.Lookup(weather, names.WEATHER)],
+        [lookup.WEATHER_FEATURE],
+        [names.TIME],
+    )
+
+
 @query
 def customer_lookup(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")

@@ -111,6 +111,21 @@ def test_sql_function_arguments_bind_by_name(spark):
     assert df.select(function.bind({"den": "b", "num": "a"})).first()[0] == 2.0
 
 
+def test_sql_function_can_be_kept_in_the_catalog(spark):
+    function = lookup.SqlFunction("t_twice", {"x": "DOUBLE"}, "DOUBLE", "x * 2").create(spark, temporary=False)
+    df = spark.sql("SELECT 6.0D AS a, CAST(NULL AS DOUBLE) AS b")
+    assert tuple(df.select(function.bind({"x": "a"}), function.bind({"x": "b"})).first()) == (12.0, None)
+    spark.sql("DROP FUNCTION t_twice")
+
+
+def test_second_lookup_reuses_the_partitioning_of_the_first(spark, sf, no_broadcast):
+    base = readings(spark, sf)
+    one, two = base.select("id", *names.FLOWS), base.select("id", *names.WEATHER)
+    lookups = [lookup.Lookup(one, names.FLOWS, key_checked=True), lookup.Lookup(two, names.WEATHER, key_checked=True)]
+    out = lookup.assemble(base.select("id", "DateTime"), lookups)
+    assert plan_of(out).count("Exchange hashpartitioning") == 3
+
+
 def test_aligned_frames_keep_common_keys_only(spark):
     base = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", None), (None, 5.0)], "id string, y double")
     old = spark.createDataFrame([("a", 1.5), ("c", 3.0), (None, 1.0)], "id string, prediction double")

@@ -116,6 +116,26 @@ def test_store_parts_appends_with_one_stamp(spark, hourly):
     assert stamps == 2
 
 
+def test_stored_files_cover_separate_stretches_of_time(spark, sf):
+    from loadloom.registry.inputs import readings
+    from loadloom.session import scratch_path
+
+    tag = scratch_path(spark, "t").rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE o_{tag} LOCATION '{scratch_path(spark, 'db')}'")
+    train, test = prepare_data.prepared_parts(prepare_data.raw_readings(readings(spark, sf)))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        prepare_data.store_parts(train.repartition(3), test, f"o_{tag}.train_set", f"o_{tag}.test_set")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    stored = spark.table(f"o_{tag}.train_set")
+    files = stored.groupBy(F.input_file_name().alias("f")).agg(F.min(names.TIME), F.max(names.TIME))
+    spans = sorted((r[1], r[2]) for r in files.collect())
+    assert len(spans) > 1
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_apply_is_a_single_projection_over_the_scan(spark, sf):
     from conftest import plan_of
 
