@@ -49,13 +49,13 @@ def _cast(df: DataFrame, field: T.StructField, value: Column, lenient: bool) ->
 def violations(df: DataFrame, schema: T.StructType, key: list[str]) -> DataFrame:
     """One row per value that is present but cannot be coerced: key, column, value.
 
-    A NOT NULL field also reports its NULLs. The frame is read once; every row lists its own faults.
+    A NOT NULL field also reports its NULLs. The frame is read once; only rows with a fault are unfolded.
     """
     lacking = missing_columns(df, schema)
     if lacking:
         raise ValueError(f"columns missing from the frame: {lacking}")
     cleaned = nan_to_null(df, schema.names)
-    faults = []
+    faults, any_bad = [], F.lit(False)
     for field in schema.fields:
         value = cleaned[field.name]
         same = df.schema[field.name].dataType == field.dataType
@@ -64,13 +64,14 @@ def violations(df: DataFrame, schema: T.StructType, key: list[str]) -> DataFrame
         bad = F.lit(False) if same else value.isNotNull() & _cast(df, field, value, True).isNull()
         if not field.nullable:
             bad = bad | value.isNull()
+        any_bad = any_bad | bad
         faults.append(
             F.when(bad, F.struct(F.lit(field.name).alias("column"), F.col(field.name).cast("string").alias("value")))
         )
     if not faults:
         empty = F.array().cast("array<struct<column:string,value:string>>")
         return df.select(*key, F.inline(empty))
-    return df.select(*key, F.inline(F.filter(F.array(*faults), lambda x: x.isNotNull())))
+    return df.filter(any_bad).select(*key, F.inline(F.filter(F.array(*faults), lambda x: x.isNotNull())))
 
 
 def column_report(df: DataFrame, schema: T.StructType) -> DataFrame:

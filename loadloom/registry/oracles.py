@@ -193,7 +193,8 @@ UNION ALL SELECT id, 'Hour', Hour FROM text WHERE Hour IS NOT NULL AND TRY_CAST(
 UNION ALL SELECT id, 'Zone_1_Power_Consumption', NULL FROM text WHERE Zone_1_Power_Consumption IS NULL""",
     "contract_columns": f"""WITH {TEXT}
 SELECT 'Temperature' AS "column", 'double' AS declared, true AS found, count(*) AS rows,
-       count(Temperature) AS present, count(*) FILTER (Temperature IS NOT NULL AND TRY_CAST(Temperature AS DOUBLE) IS NULL) AS uncastable FROM text
+       count(Temperature) AS present,
+       count(*) FILTER (Temperature IS NOT NULL AND TRY_CAST(Temperature AS DOUBLE) IS NULL) AS uncastable FROM text
 UNION ALL SELECT 'Hour', 'int', true, count(*), count(Hour),
        count(*) FILTER (Hour IS NOT NULL AND TRY_CAST(Hour AS DOUBLE) IS NULL) FROM text
 UNION ALL SELECT 'Zone_1_Power_Consumption', 'double', true, count(*), count(Zone_1_Power_Consumption), 0 FROM text""",
