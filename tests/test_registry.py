@@ -4,8 +4,8 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from loadloom.registry.oracles import ORACLES
+from loadloom.registry.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +16,8 @@ def duck():
 
 
 def test_every_oracle_has_a_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {
         "preview_rows", "synthetic_rows", "bootstrap_sample", "gbt_metrics", "forest_metrics", "forest_importance",
