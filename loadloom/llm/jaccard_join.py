@@ -9,10 +9,10 @@ two sets with ``intersection >= t * union`` satisfy ``difference <= (1-t)/(1+t)
 2. *Regions.* The first pivots are single shingles. A set lies nearest to the pivots it holds; of those, the one held by
    the fewest sets is its cell. A partner may lack at most ``(1-t)|x|`` of its shingles, so a set at the boundary is
    repeated in that many next cells (its window) and in no more, less those of its own outer region.
-3. *Recursion.* In each cell the set with the most room (smallest u for its size) becomes the pivot of a region; every
-   member that the windows allow is compared with it exactly. Members that are now connected with each other need no more
-   comparisons, nor do those whose window reaches no other member. What is left of a cell is joined again, with four times
-   as many pivots, until nothing is left. Pairs inside a region are never listed.
+3. *Recursion.* In each cell the set with the most room (smallest u for its size) becomes the pivot; cells of one pivot
+   form its region. Every member is compared with the pivot exactly. Members connected with it need no comparison with each
+   other; loose ones, whose window still reaches other members, are joined with the region again, block by block and inside
+   the tasks. Pairs are never listed: a loose member yields one link for each component it meets.
 
 Everything is shuffled by region in blocks; one task holds a block of bounded size. Shingles are 64-bit hashes, of which
 cells keep 48 bits and their bucket: two sets are compared on those, and differ from the exact answer only if two of their
@@ -33,8 +33,8 @@ from loadloom.llm.graphs import components, written
 
 #: Text bytes per bucket of shingles: a task then holds about two million of them.
 BUCKET_BYTES = 14_000_000
-#: Members of a region that one task compares with their pivot.
-BLOCK = 512
+#: Members of a region that one task holds of either side.
+BLOCK = 2048
 
 _LOW = np.uint64((1 << 48) - 1)
 
@@ -202,82 +202,102 @@ def _regions(percent: int):
     return run
 
 
-def _linked(percent: int):
-    """Members of one block of a region compared with its pivot."""
+def _overlaps(one: np.ndarray, every: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Size of the intersection of ``one`` with each of the sets laid in a row in ``every``."""
+    at = np.minimum(np.searchsorted(one, every), len(one) - 1)
+    hit = np.concatenate([[0], np.cumsum(one[at] == every)])
+    ends = np.cumsum(lengths)
+    return hit[ends] - hit[ends - lengths]
+
+
+def _columns(group: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    held = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in group.column("held")]
+    return group.column("sid").to_numpy(), group.column("n").to_numpy().astype(np.int64), held
+
+
+def _with_pivot(percent: int):
+    """Links of the members of one block of a region with its pivot."""
 
     def run(group: pa.Table) -> pa.Table:
-        pivot = group.column("pivot")[0].as_py()
-        sid, n = group.column("sid").to_numpy(), group.column("n").to_numpy().astype(np.int64)
-        held = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in group.column("held")]
+        pivot = group.column("region")[0].as_py()
+        sid, n, held = _columns(group)
         own = int(np.flatnonzero(sid == pivot)[0])
-        lengths = np.array([len(h) for h in held])
-        every = np.concatenate(held)
-        at = np.minimum(np.searchsorted(held[own], every), len(held[own]) - 1)
-        hit = np.concatenate([[0], np.cumsum(held[own][at] == every)])
-        ends = np.cumsum(lengths)
-        both = hit[ends] - hit[ends - lengths]
+        both = _overlaps(held[own], np.concatenate(held), np.array([len(h) for h in held]))
         good = (100 * both >= percent * (n + n[own] - both)) & (sid != pivot)
         return pa.table({"a": pa.array(sid[good]), "b": pa.array(np.full(good.sum(), pivot, dtype=np.int64))})
 
     return run
 
 
-def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among ``pairs`` (pivot, sid): one shuffle of the members' sets, each pivot's once per block."""
-    blocks = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    members = pairs.join(blocks, "pivot").select("pivot", block.alias("block"), "sid")
-    pivots = members.select("pivot", "block", F.col("pivot").alias("sid")).distinct()
-    rows = members.union(pivots).join(sets.select("sid", "n", "held"), "sid").select("pivot", "block", "sid", "n", "held")
-    return rows.groupBy("pivot", "block").applyInArrow(_linked(percent), "a bigint, b bigint")
+def _between_blocks(percent: int):
+    """Links between a block of loose members and a block of all members: for each loose one, one per component it meets."""
+
+    def run(group: pa.Table) -> pa.Table:
+        loose = group.column("loose").to_numpy(zero_copy_only=False)
+        sid, n, held = _columns(group)
+        label = group.column("label").to_numpy()
+        rows, ones = np.flatnonzero(~loose), np.flatnonzero(loose)
+        if not len(rows) or not len(ones):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        every, codes = np.unique(np.concatenate([held[r] for r in rows]), return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum([len(held[r]) for r in rows])[:-1]])
+        mark = np.zeros(len(every), dtype=np.uint8)
+        a, b = [], []
+        for i in ones:
+            at = np.minimum(np.searchsorted(every, held[i]), len(every) - 1)
+            at = at[every[at] == held[i]]
+            mark[at] = 1
+            both = np.add.reduceat(mark[codes], starts, dtype=np.int64)
+            mark[at] = 0
+            good = rows[(100 * both >= percent * (n[i] + n[rows] - both)) & (label[rows] != label[i])]
+            _, firsts = np.unique(label[good], return_index=True)
+            a += [sid[i]] * len(firsts)
+            b += sid[good[firsts]].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    labels = written(components(links), "labels").withColumnRenamed("node", "sid")
+    return rows.join(labels, "sid", "left").withColumn("label", F.coalesce("root", "sid")).drop("root")
 
 
 def _join_regions(sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of all linked sets."""
-    spark = sets.sparkSession
     cells = sets.select("sid", "n", "room", F.explode("cells").alias("cell"))
-    links = labels = None
-    pivots_per_cell = 1
-    while True:
-        if labels is not None:
-            cells = cells.drop("label").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
-            cells = cells.withColumn("label", F.coalesce("root", "sid")).drop("root")
-        else:
-            cells = cells.withColumn("label", F.col("sid"))
-        # A cell is done when all members are connected; a member, when its window reaches no other.
-        nearest = F.min(F.struct("room", "sid", "label")).alias("best")
-        state = cells.groupBy("cell").agg(nearest, F.min("label").alias("lo"), F.max("label").alias("hi"))
-        live = state.where("lo <> hi").select("cell", "best")
-        open_ = cells.join(live, "cell").where((F.col("room") + F.col("best.room") <= 0) | (F.col("sid") == F.col("best.sid")))
-        cells = written(open_.select("cell", "sid", "n", "room", "label", F.col("best.label").alias("main")), "cells")
-        if cells.isEmpty():
-            break
-        if links is None:
-            chosen = cells.groupBy("cell").agg(F.min(F.struct("room", "sid", "label", "n")).alias("p"))
-        else:
-            from pyspark.sql import Window
-
-            by = Window.partitionBy("cell").orderBy("room", "sid")
-            away = cells.where("label <> main").withColumn("rank", F.row_number().over(by))
-            away = away.where(F.col("rank") <= pivots_per_cell)
-            chosen = away.select("cell", F.struct("room", "sid", "label", "n").alias("p"))
-        chosen = written(chosen, "pivots")
-        pairs = cells.join(chosen, "cell").where(
-            (F.col("label") != F.col("p.label"))
-            & (F.col("room") + F.col("p.room") <= 0)
-            & (100 * F.least("n", F.col("p.n")) >= percent * F.greatest("n", F.col("p.n")))
-        )
-        pairs = written(pairs.select(F.col("p.sid").alias("pivot"), "sid").distinct(), "pairs")
-        found = written(_compare(pairs, sets, percent), "links")
-        links = found if links is None else links.union(found)
-        labels = written(components(links), "labels")
-        cells = cells.drop("main").join(
-            chosen.select("cell", F.col("p.sid").alias("sid")), ["cell", "sid"], "left_anti"
-        )
-        pivots_per_cell *= 4
-    if labels is None:
-        return spark.createDataFrame([], "node bigint, root bigint")
-    return labels
+    # The pivot of a cell has the most room; whom even it cannot reach is alone there.
+    pivots = cells.groupBy("cell").agg(F.min(F.struct("room", "sid")).alias("p"), F.count("*").alias("c")).where("c > 1")
+    members = cells.join(pivots, "cell").where("room + p.room <= 0 or sid = p.sid")
+    members = written(members.select(F.col("p.sid").alias("region"), "sid", "n", "room").distinct(), "regions")
+
+    size = members.groupBy("region").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.max(F.when(F.col("sid") == F.col("region"), F.col("n"))).alias("pn"))
+    near = members.join(size.where("pn is not null"), "region").where(
+        (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")) & (F.col("sid") != F.col("region"))
+    )
+    near = near.select("region", F.pmod(F.xxhash64("sid"), F.col("blocks")).alias("block"), "sid")
+    pivot_rows = near.select("region", "block", F.col("region").alias("sid")).distinct()
+    rows = near.union(pivot_rows).join(sets.select("sid", "n", "held"), "sid").select("region", "block", "sid", "n", "held")
+    links = rows.groupBy("region", "block").applyInArrow(_with_pivot(percent), "a bigint, b bigint")
+    links = written(links, "links")
+
+    # Members not connected with their pivot are loose: they still have to meet the others that their window reaches.
+    known = _labelled(members, links)
+    mains = known.where("sid = region").select("region", F.col("label").alias("main"))
+    others = written(known.where("sid <> region").join(mains, "region").withColumn("loose", F.col("label") != F.col("main")), "members")
+    span = others.groupBy("region").agg(F.min("room").alias("least"), F.min(F.when(F.col("loose"), F.col("room"))).alias("least_loose"))
+    others = others.join(span, "region").where("(loose and room + least <= 0) or room + least_loose <= 0")
+    counts = others.groupBy("region").agg(
+        F.ceil(F.count(F.when(F.col("loose") & (F.col("room") + F.col("least") <= 0), 1)) / BLOCK).alias("a"),
+        F.ceil(F.count("*") / BLOCK).alias("b"), F.count("*").alias("c"),
+    ).where("a > 0 and c > 1")
+    others = others.join(counts, "region").join(sets.select("sid", "held"), "sid")
+    own = lambda blocks: F.pmod(F.xxhash64("sid"), F.col(blocks))
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    loose = others.where("loose and room + least <= 0").select("region", own("a").alias("x"), every("b").alias("y"), "sid", "n", "held", "label", F.lit(True).alias("loose"))
+    rest = others.where("room + least_loose <= 0").select("region", every("a").alias("x"), own("b").alias("y"), "sid", "n", "held", "label", F.lit(False).alias("loose"))
+    more = loose.union(rest).groupBy("region", "x", "y").applyInArrow(_between_blocks(percent), "a bigint, b bigint")
+    return written(components(links.union(written(more, "links"))), "labels")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
