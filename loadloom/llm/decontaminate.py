@@ -1,6 +1,6 @@
 """Benchmark passages in documents, exact or edited, by CGK embedding and bit-sampling LSH.
 
-Texts are sequences of words (runs of ASCII letters, digits and other characters' bytes, A-Z lowered). A passage is a window
+Texts are sequences of words (runs of ASCII letters, digits and other characters' bytes, capitals of ASCII and Latin-1 lowered). A passage is a window
 of a document within ``percent`` word edits of an item; items of fewer than six words must match exactly, and items of fewer
 than ``MIN_WORDS`` words are not searched for.
 
@@ -232,10 +232,20 @@ def _verified(c: SizeClass, stream, owner, firsts, starts, items) -> Iterator[tu
             yield int(s[r]), int(it[r]), int(best[r]), int(where[r])
 
 
+def item_words(data: np.ndarray, at: np.ndarray) -> ta.Words:
+    """Words with the capitals of Latin-1 lowered as well: in UTF-8, 0xC3 and 0x80-0x9E but for the multiplication sign."""
+    high = np.flatnonzero(data[:-1] == 0xC3) + 1
+    high = high[(data[high] >= 0x80) & (data[high] <= 0x9E) & (data[high] != 0x97)]
+    if len(high):
+        data = data.copy()
+        data[high] += 0x20
+    return ta.words(data, at, ta.ALNUM)
+
+
 def _item_words(texts: list[str | None]) -> list[np.ndarray]:
     out = []
     for _, _, data, at in ta.pieces(pa.array(texts, pa.string())):
-        w = ta.words(data, at, ta.ALNUM)
+        w = item_words(data, at)
         cut = np.concatenate([[0], np.cumsum(w.counts)])
         out += [w.hashes[a:b] for a, b in zip(cut, cut[1:])]
     return out
@@ -266,7 +276,7 @@ FOUND = T.StructType(
 
 def _in_batch(index: Index, texts: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
     for first, _, data, at in ta.pieces(texts):
-        for text, *rest in index.search(ta.words(data, at, ta.ALNUM)):
+        for text, *rest in index.search(item_words(data, at)):
             yield (first + text, *rest)
 
 

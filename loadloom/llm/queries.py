@@ -5,8 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loadloom.llm import chat, secrets, toxicity
+from loadloom.llm.decontaminate import contaminations
+from loadloom.llm.graphs import written
 from loadloom.llm.jaccard_join import jaccard_components
+from loadloom.llm.sharding import shard_by_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,9 +20,77 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op2_chat(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of ``conversations`` and one record in another layout, conversation -1."""
+    turns = [F.struct(F.lit(r).alias("role"), F.lit(CONTROL_TEXT).alias("content")) for r in ("user", "assistant")]
+    extra = spark.range(1).select(F.lit(-1).cast("bigint").alias("conv_id"), F.array(*turns).alias("messages"))
+    records = _table(spark, sf, "conversations").unionByName(extra, allowMissingColumns=True)
+    return chat.conversation_digests(chat.canonical_turns(records))
+
+
+def found_secrets(docs: DataFrame) -> DataFrame:
+    """Candidates of ``docs``, judged by a forest that learned from those beyond doubt."""
+    rows = written(secrets.with_features(secrets.candidates(docs)), "candidates")
+    return secrets.findings(docs, secrets.fit_forest(secrets.weak_labels(rows)), rows=rows)
+
+
+def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return found_secrets(_table(spark, sf, "documents")).drop("text_key")
+
+
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminations(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """24 shards of near-equal bytes; adding a shard moves other rows too under this law, so grown_shard is null."""
+    shards = shard_by_bytes(_table(spark, sf, "documents"), 24)
+    return shards.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+def learn_toxicity(spark: SparkSession, sf: str, docs: DataFrame) -> toxicity.Weights:
+    """From labelled rows that are not held out."""
+    known = _table(spark, sf, "labels").where(~F.coalesce(toxicity.held_out(), F.lit(False)))
+    return toxicity.train(docs, known)
+
+
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    scored = toxicity.score_documents(docs, learn_toxicity(spark, sf, docs))
+    return scored.withColumn("held_out", F.coalesce(toxicity.held_out(), F.lit(False)))
+
+
 def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_components(_table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op9_jaccard_join": op9_jaccard_join}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {
+    "op2_chat": op2_chat,
+    "op4_secrets": op4_secrets,
+    "op7_decontamination": op7_decontamination,
+    "op8_sharding": op8_sharding,
+    "op9_jaccard_join": op9_jaccard_join,
+    "op10_toxicity": op10_toxicity,
+}
+
+# DuckDB counts code points, sorts and hashes bytes as Spark does.
+_CONTROLS = r"<\||</?s>|\[/?INST\]|<</?SYS>>"
+_ESCAPED = f"(length({{0}}) + length({{0}}) - length(replace({{0}}, '\\', '')) + len(regexp_extract_all({{0}}, '{_CONTROLS}')))"
+_ROLE = _ESCAPED.format("role") + " + length(role) - length(replace(role, chr(10), ''))"
+ORACLES: dict[str, str] = {
+    "op2_chat": f"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_TEXT}'
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum({len(chat.OPEN + chat.CLOSE) + 1} + {_ROLE} + {_ESCAPED.format("text")}) AS BIGINT) AS formatted_chars
+        FROM c GROUP BY conv_id
+    """,
+}
