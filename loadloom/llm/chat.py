@@ -70,11 +70,12 @@ def _known() -> set[str]:
 
 def fingerprint(df: DataFrame) -> Column:
     """Hash of the field paths that a record fills, of those that any layout names."""
-    here = []
-    for p in sorted(set(paths(df.schema)) & _known()):
-        name, _, field = p.partition("[].")
-        filled = F.exists(F.col(f"`{name}`"), lambda x, f=field: x[f].isNotNull()) if field else F.col(f"`{name}`").isNotNull()
-        here.append(F.when(filled, F.lit(p)))
+
+    def filled(path: str) -> Column:
+        name, _, field = path.partition("[].")
+        return F.exists(F.col(name), lambda x: x[field].isNotNull()) if field else F.col(name).isNotNull()
+
+    here = [F.when(filled(p), F.lit(p)) for p in sorted(set(paths(df.schema)) & _known())]
     return F.xxhash64(F.concat_ws("\n", *here)) if here else F.xxhash64(F.lit(""))
 
 

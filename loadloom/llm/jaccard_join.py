@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,17 +85,20 @@ def _spread(buckets: int, width: int):
                 hashes, owner, bucket = hashes[order], owner[order], bucket[order]
                 cuts = np.flatnonzero(np.diff(bucket)) + 1
                 starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(bucket)]])
-                table = np.stack([sids[once], sizes[once].astype(np.int64)], axis=1)
-                yield _rows([(int(bucket[a]), *_packed(table, owner[a:b], hashes[a:b] & _LOW), b"") for a, b in zip(starts, ends)])
+                yield _rows([(int(bucket[a]), *_packed(sids[once], owner[a:b], hashes[a:b] & _LOW), b"") for a, b in zip(starts, ends)])
 
     return run
 
 
-def _packed(table: np.ndarray, owner: np.ndarray, payload: np.ndarray) -> list[bytes]:
-    """Owners (set id and size) in order with their counts, and the payload as 32 and 16 bits."""
-    cut = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1, [len(owner)]])
-    counts = np.diff(cut).astype(np.uint32)
-    return _blob(table[owner[cut[:-1]]], counts, payload.astype(np.uint32), (payload >> np.uint64(32)).astype(np.uint16))
+def _packed(sids: np.ndarray, owner: np.ndarray, payload: np.ndarray) -> list[bytes]:
+    """Set ids in order with the count of their entries, at most 255 each, and the payload as 32 and 16 bits."""
+    new = np.ones(len(owner), dtype=bool)
+    new[1:] = owner[1:] != owner[:-1]
+    starts = np.flatnonzero(new)
+    inside = np.arange(len(owner)) - np.repeat(starts, np.diff(np.append(starts, len(owner))))
+    cut = np.flatnonzero(inside % 255 == 0)
+    counts = np.diff(np.append(cut, len(owner))).astype(np.uint8)
+    return _blob(sids[owner[cut]], counts, payload.astype(np.uint32), (payload >> np.uint64(32)).astype(np.uint16))
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -107,15 +111,14 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _unpacked(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Set table, owner of each entry in it, payload, and share counts (empty if none) of all rows of a group."""
+    """Set ids, place of each entry's set among them, payload, and share counts (empty if none) of all rows of a group."""
     joined = {}
-    for name, kind in (("owners", np.int64), ("counts", np.uint32), ("low", np.uint32), ("high", np.uint16), ("df", np.uint8)):
+    for name, kind in (("owners", np.int64), ("counts", np.uint8), ("low", np.uint32), ("high", np.uint16), ("df", np.uint8)):
         parts = [np.frombuffer(x.as_buffer(), dtype=kind) for x in group.column(name) if x.is_valid]
         joined[name] = np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
-    table = joined["owners"].reshape(-1, 2)
-    owner = np.repeat(np.arange(len(table)), joined["counts"])
+    owner = np.repeat(np.arange(len(joined["owners"])), joined["counts"])
     payload = joined["low"].astype(np.uint64) | joined["high"].astype(np.uint64) << np.uint64(32)
-    return table, owner, payload, joined["df"]
+    return joined["owners"], owner, payload, joined["df"]
 
 
 def _shared(buckets: int):
@@ -125,10 +128,9 @@ def _shared(buckets: int):
         bucket = group.column("bucket")[0].as_py()
         if bucket < 0:
             return group
-        table, owner, payload, _ = _unpacked(group)
+        owners, owner, payload, _ = _unpacked(group)
         # The same set may come from several tasks: count it once.
-        sids, where, inverse = np.unique(table[:, 0], return_index=True, return_inverse=True)
-        sizes = table[where, 1]
+        sids, inverse = np.unique(owners, return_inverse=True)
         owner = inverse[owner].astype(np.int32)
         order = np.lexsort((owner, payload))
         owner, payload = owner[order], payload[order]
@@ -142,20 +144,18 @@ def _shared(buckets: int):
         owner, payload = owner[keep], payload[keep]
         # Rarer first; beyond 15, by powers of 2^(1/8).
         df = np.where(df[keep] < 16, df[keep], np.minimum(255, np.log2(df[keep]) * 8 - 16)).astype(np.uint8)
-        target = (sids.view(np.uint64) % np.uint64(buckets)).astype(np.int64)[owner]
+        target = ((sids.view(np.uint64) >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)[owner]
         order = np.lexsort((owner, target))
         owner, payload, df, target = owner[order], payload[order], df[order], target[order]
         if not len(owner):
             return _ARROW.empty_table()
         cuts = np.flatnonzero(np.diff(target)) + 1
-        whole = np.stack([sids, sizes], axis=1)
-        high = np.uint64(bucket)
         out = []
         for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(target)]])):
-            # The bucket of the shingle rides in front of the owners' table as one pseudo owner without entries.
-            owners, counts, low, top = _packed(whole, owner[a:b], payload[a:b])
-            owners = np.array([high, 0], dtype=np.int64).tobytes() + owners
-            counts = np.zeros(1, dtype=np.uint32).tobytes() + counts
+            # The bucket of the shingles rides in front of the set ids, as one without entries.
+            owners, counts, low, top = _packed(sids, owner[a:b], payload[a:b])
+            owners = np.array([bucket], dtype=np.int64).tobytes() + owners
+            counts = bytes(1) + counts
             out.append((int(target[a]), owners, counts, low, top, df[a:b].tobytes()))
         return pa.Table.from_batches([_rows(out)])
 
@@ -176,19 +176,26 @@ def _regions(percent: int):
     Room is ``(100 + percent) * u - (100 - percent) * n``: for a pair to be linked, both rooms must add up to 0 or less.
     """
 
+    kinds = [("sid", pa.int64()), ("n", pa.int32()), ("room", pa.int64()), ("held", pa.binary()), ("cells", pa.list_(pa.int64()))]
+    empty = pa.schema(kinds).empty_table()
+
     def run(group: pa.Table) -> pa.Table:
+        known = group.filter(pc.is_null(group.column("owners")))
+        known_sids, known_n = known.column("sid").to_numpy(), known.column("n").to_numpy()
         parts = []
-        for row in group.to_batches():
-            for i in range(row.num_rows):
-                table, owner, payload, df = _unpacked(pa.Table.from_batches([row.slice(i, 1)]))
-                bucket = np.uint64(table[0, 0])
-                parts.append((table[owner], payload | bucket << np.uint64(48), df))
-        owners = np.concatenate([p[0] for p in parts])
-        hashes, df = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
-        order = np.lexsort((hashes, df, owners[:, 0]))
+        for batch in group.filter(pc.is_valid(group.column("owners"))).to_batches():
+            for i in range(batch.num_rows):
+                owners, owner, payload, df = _unpacked(pa.Table.from_batches([batch.slice(i, 1)]))
+                parts.append((owners[owner], payload | np.uint64(owners[0]) << np.uint64(48), df))
+        if not parts:
+            return empty
+        owners, hashes, df = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((hashes, df, owners))
         owners, hashes = owners[order], hashes[order]
-        cut = np.concatenate([[0], np.flatnonzero(np.diff(owners[:, 0])) + 1, [len(owners)]])
-        sids, n, shared = owners[cut[:-1], 0], owners[cut[:-1], 1], np.diff(cut)
+        cut = np.concatenate([[0], np.flatnonzero(np.diff(owners)) + 1, [len(owners)]])
+        sids, shared = owners[cut[:-1]], np.diff(cut)
+        by_sid = np.argsort(known_sids)
+        n = known_n[by_sid][np.searchsorted(known_sids[by_sid], sids)].astype(np.int64)
         room = (100 + percent) * (n - shared) - (100 - percent) * n
         window = n - least_shared(n, percent) + 1 - (n - shared)
         keep = np.flatnonzero((shared >= least_shared(n, percent)) & (window > 0))
@@ -314,7 +321,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, bucke
     buckets = min(max(8, size // bucket_bytes), 1 << 16)
     spread = docs.mapInArrow(_spread(buckets, width), _SPREAD)
     shared = written(spread.groupBy("bucket").applyInArrow(_shared(buckets), _SPREAD), "shingles")
-    sets = shared.where("bucket >= 0").groupBy("bucket").applyInArrow(_regions(percent), _SETS)
+    place = F.pmod(F.shiftrightunsigned("sid", 1), F.lit(buckets)).cast("int").alias("bucket")
+    sizes = shared.where("bucket < 0 and n > 0").groupBy("sid", "n").agg(F.count("*").alias("rows")).select(place, "n", "sid")
+    entries = shared.where("bucket >= 0").select("bucket", "owners", "counts", "low", "high", "df")
+    sets = entries.unionByName(sizes, allowMissingColumns=True).groupBy("bucket").applyInArrow(_regions(percent), _SETS)
     labels = _join_regions(written(sets, "sets"), percent)
     rows = shared.where("bucket < 0").select("doc_id", "n", "sid")
     first = rows.groupBy("sid").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
