@@ -15,8 +15,8 @@ two sets with ``intersection >= t * union`` satisfy ``difference <= (1-t)/(1+t)
    the tasks. Pairs are never listed: a loose member yields one link for each component it meets.
 
 Everything is shuffled by region in blocks; one task holds a block of bounded size. Shingles are 64-bit hashes, of which
-cells keep 48 bits and their bucket: two sets are compared on those, and differ from the exact answer only if two of their
-few hundred shingles collide (1 in 10^10 pairs). Set ids are 64-bit hashes of the whole set.
+48 bits are kept: two sets are compared on those, and the answer can differ from the exact one only if two of their few
+hundred shingles collide (1 in 10^9 pairs). Set ids are 64-bit hashes of the whole set.
 """
 
 from __future__ import annotations
@@ -32,11 +32,13 @@ from pyspark.sql import functions as F
 from loadloom.llm import textarrays as ta
 from loadloom.llm.graphs import components, written
 
-#: Text bytes per bucket of shingles: a task then holds about two million of them.
-BUCKET_BYTES = 14_000_000
+#: Text bytes per bucket of shingles: a task then holds about three and a half million of them.
+BUCKET_BYTES = 24_000_000
 #: Members of a region that one task holds of either side.
 BLOCK = 2048
 
+#: Passes over a bucket, each sorting its part.
+_PARTS = 4
 _LOW = np.uint64((1 << 48) - 1)
 
 
@@ -116,7 +118,7 @@ def _unpacked(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     for name, kind in (("owners", np.int64), ("counts", np.uint8), ("low", np.uint32), ("high", np.uint16), ("df", np.uint8)):
         parts = [np.frombuffer(x.as_buffer(), dtype=kind) for x in group.column(name) if x.is_valid]
         joined[name] = np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
-    owner = np.repeat(np.arange(len(joined["owners"])), joined["counts"])
+    owner = np.repeat(np.arange(len(joined["owners"]), dtype=np.int32), joined["counts"])
     payload = joined["low"].astype(np.uint64) | joined["high"].astype(np.uint64) << np.uint64(32)
     return joined["owners"], owner, payload, joined["df"]
 
@@ -131,19 +133,21 @@ def _shared(buckets: int):
         owners, owner, payload, _ = _unpacked(group)
         # The same set may come from several tasks: count it once.
         sids, inverse = np.unique(owners, return_inverse=True)
-        owner = inverse[owner].astype(np.int32)
-        order = np.lexsort((owner, payload))
-        owner, payload = owner[order], payload[order]
-        new = np.ones(len(payload), dtype=bool)
-        new[1:] = (payload[1:] != payload[:-1]) | (owner[1:] != owner[:-1])
-        owner, payload = owner[new], payload[new]
-        cut = np.concatenate([[0], np.flatnonzero(np.diff(payload)) + 1, [len(payload)]])
-        held = np.diff(cut)
-        df = np.repeat(held, held)
-        keep = df > 1
-        owner, payload = owner[keep], payload[keep]
+        owner, found = inverse.astype(np.int32)[owner], []
+        for part in range(_PARTS):
+            some = payload & np.uint64(_PARTS - 1) == part
+            o, p = owner[some], payload[some]
+            order = np.lexsort((o, p))
+            o, p = o[order], p[order]
+            new = np.ones(len(p), dtype=bool)
+            new[1:] = (p[1:] != p[:-1]) | (o[1:] != o[:-1])
+            o, p = o[new], p[new]
+            held = np.diff(np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1], [True]]))) if len(p) else np.zeros(0, dtype=np.int64)
+            df = np.repeat(held, held)
+            found.append((o[df > 1], p[df > 1], df[df > 1]))
+        owner, payload, df = (np.concatenate(x) for x in zip(*found))
         # Rarer first; beyond 15, by powers of 2^(1/8).
-        df = np.where(df[keep] < 16, df[keep], np.minimum(255, np.log2(df[keep]) * 8 - 16)).astype(np.uint8)
+        df = np.where(df < 16, df, np.minimum(255, np.log2(df) * 8 - 16)).astype(np.uint8)
         target = ((sids.view(np.uint64) >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)[owner]
         order = np.lexsort((owner, target))
         owner, payload, df, target = owner[order], payload[order], df[order], target[order]
@@ -199,7 +203,7 @@ def _regions(percent: int):
         room = (100 + percent) * (n - shared) - (100 - percent) * n
         window = n - least_shared(n, percent) + 1 - (n - shared)
         keep = np.flatnonzero((shared >= least_shared(n, percent)) & (window > 0))
-        held = [np.sort(hashes[cut[i] : cut[i + 1]]).tobytes() for i in keep]
+        held = [_short(np.sort(hashes[cut[i] : cut[i + 1]] & _LOW)) for i in keep]
         cells = [hashes[cut[i] : cut[i] + window[i]].view(np.int64) for i in keep]
         return pa.table(
             {"sid": pa.array(sids[keep]), "n": pa.array(n[keep].astype(np.int32)), "room": pa.array(room[keep]),
@@ -209,6 +213,16 @@ def _regions(percent: int):
     return run
 
 
+def _short(hashes: np.ndarray) -> bytes:
+    """48 bits of each hash: the low 32 of all, then the next 16."""
+    return hashes.astype(np.uint32).tobytes() + (hashes >> np.uint64(32)).astype(np.uint16).tobytes()
+
+
+def _long(held: bytes) -> np.ndarray:
+    n = len(held) // 6
+    return np.frombuffer(held, np.uint32, n) | np.frombuffer(held, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32)
+
+
 def _overlaps(one: np.ndarray, every: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Size of the intersection of ``one`` with each of the sets laid in a row in ``every``."""
     at = np.minimum(np.searchsorted(one, every), len(one) - 1)
@@ -218,7 +232,7 @@ def _overlaps(one: np.ndarray, every: np.ndarray, lengths: np.ndarray) -> np.nda
 
 
 def _columns(group: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    held = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in group.column("held")]
+    held = [_long(x) for x in group.column("held").to_pylist()]
     return group.column("sid").to_numpy(), group.column("n").to_numpy().astype(np.int64), held
 
 
