@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadloom.llm import chat, secrets, toxicity
+import corpus_pipeline
+from loadloom.llm import chat, html, packing, secrets, sentence_spans, toxicity, vector_search
 from loadloom.llm.decontaminate import contaminations
-from loadloom.llm.graphs import written
 from loadloom.llm.jaccard_join import jaccard_components
 from loadloom.llm.sharding import shard_by_bytes
 
@@ -20,6 +20,22 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_html(spark: SparkSession, sf: str) -> DataFrame:
+    return html.extract_pages(_table(spark, sf, "pages"))
+
+
+def op3_sentence_spans(spark: SparkSession, sf: str) -> DataFrame:
+    return sentence_spans.remove_repeats(_table(spark, sf, "documents"))
+
+
+def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf, "documents"))
+
+
+def op6_vector_search(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_search.top_k(_table(spark, sf, "embeddings"))
+
+
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -31,14 +47,8 @@ def op2_chat(spark: SparkSession, sf: str) -> DataFrame:
     return chat.conversation_digests(chat.canonical_turns(records))
 
 
-def found_secrets(docs: DataFrame) -> DataFrame:
-    """Candidates of ``docs``, judged by a forest that learned from those beyond doubt."""
-    rows = written(secrets.with_features(secrets.candidates(docs)), "candidates")
-    return secrets.findings(docs, secrets.fit_forest(secrets.weak_labels(rows)), rows=rows)
-
-
 def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
-    return found_secrets(_table(spark, sf, "documents")).drop("text_key")
+    return secrets.scan(_table(spark, sf, "documents")).drop("text_key")
 
 
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,15 +61,9 @@ def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shards.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
-def learn_toxicity(spark: SparkSession, sf: str, docs: DataFrame) -> toxicity.Weights:
-    """From labelled rows that are not held out."""
-    known = _table(spark, sf, "labels").where(~F.coalesce(toxicity.held_out(), F.lit(False)))
-    return toxicity.train(docs, known)
-
-
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
-    scored = toxicity.score_documents(docs, learn_toxicity(spark, sf, docs))
+    scored = toxicity.score_documents(docs, toxicity.train_on_rest(docs, _table(spark, sf, "labels")))
     return scored.withColumn("held_out", F.coalesce(toxicity.held_out(), F.lit(False)))
 
 
@@ -68,12 +72,17 @@ def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html": op1_html,
     "op2_chat": op2_chat,
+    "op3_sentence_spans": op3_sentence_spans,
     "op4_secrets": op4_secrets,
+    "op5_packing": op5_packing,
+    "op6_vector_search": op6_vector_search,
     "op7_decontamination": op7_decontamination,
     "op8_sharding": op8_sharding,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 
 # DuckDB counts code points, sorts and hashes bytes as Spark does.
@@ -93,4 +102,18 @@ ORACLES: dict[str, str] = {
             CAST(sum({len(chat.OPEN + chat.CLOSE) + 1} + {_ROLE} + {_ESCAPED.format("text")}) AS BIGINT) AS formatted_chars
         FROM c GROUP BY conv_id
     """,
+    "op6_vector_search": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM s QUALIFY rank <= 10
+    """,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

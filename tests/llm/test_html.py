@@ -1,0 +1,54 @@
+import pytest
+
+from loadloom.llm import html
+
+ARTICLE = "<article><h1>Title &amp; more</h1><p>One <b>bold</b>\n two.<p>Three<br>four.</article>"
+
+
+def _pages(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id bigint, url string, html string, host string, text string")
+
+
+def _texts(spark, rows):
+    return {r["page_id"]: r["text"] for r in html.extract_pages(_pages(spark, rows)).collect()}
+
+
+@pytest.mark.parametrize("page, text", [
+    (ARTICLE, "Title & more One bold two. Three four."),
+    ("", ""), ("no markup at all &lt;", "no markup at all <"), ("<p>unclosed <b>tags", "unclosed tags"),
+    ("<script>var a='<p>x</p>';</script><style>p{}</style><p>y</p>", "y"), ("<!-- <p>gone</p> --><p>kept</p>", "kept"),
+    ("<body><nav>menu</nav><header>top</header><main><p>a</p></main><footer>f</footer></body>", "a"),
+    ("<article><header><h1>T</h1></header><p>a</p><aside>s</aside><div class='Share-Buttons'>b</div><form>f</form></article>", "T a"),
+    ("<article><p>a</p></article><div class=comments><article><p>c</p></article></div>", "a c"),
+    ("<article><p>a</p><section id='comments'><p>c</p></section></article>", "a"),
+    ("<div class='content with-sidebar'><article><p>a</p></article></div>", "a"),
+    ("<ul><li>one<li>two</ul><table><tr><td>x<td>y</table>", "one two x y"), ("<p>x &#233; &nbsp; &eacute;y</p>", "x é éy"),
+    ("<p>a<em>b</em>c</p><p>  </p><hr><p>d", "abc d"), ("<a href='x>y'>z</a>", "z"), ("a < b", "a < b"), ("<title>t</title><body>b", "b"),
+])
+def test_main_text(page, text):
+    assert html.main_text(page) == text
+
+
+def test_recurring_subtrees_of_a_host_go(spark):
+    bar = "<div class=x><p>Read our other pages</p><a href=/>home</a></div>"
+    pages = [(i, f"http://A.example/{i}", f"<body>{bar}<div><p>own words {i}</p></div></body>") for i in range(8)]
+    pages += [(100 + i, f"http://b.example/{i}", f"<body>{bar}<div><p>own words {i}</p></div></body>") for i in range(3)]
+    # One page many times over is no template, nor is a passage inside articles.
+    pages += [(200 + i, f"http://c.example/{i}", "<body><div><p>the same page</p></div></body>") for i in range(9)]
+    pages += [(300 + i, f"http://d.example/{i}", f"<article><p>licence</p><div>{bar}</div><p>{i}</p></article>") for i in range(9)]
+    got = _texts(spark, pages)
+    assert all(got[i] == f"own words {i}" for i in range(8))
+    assert all(got[100 + i] == f"Read our other pages home own words {i}" for i in range(3))
+    assert all(got[200 + i] == "the same page" for i in range(9))
+    assert all(got[300 + i] == f"licence {i}" for i in range(9))
+
+
+def test_edges(spark):
+    rows = [(None, None, None), (1, None, ""), (2, "nonsense", "<p>a</p>"), (2, "nonsense", "<p>a</p>"), (3, "http://x/", "<p>" + "word " * 50_000)]
+    got = html.extract_pages(_pages(spark, rows)).collect()
+    assert sorted((r["page_id"] or 0, r["text"][:5], r["n_chars"]) for r in got) == [(0, "", 0), (1, "", 0), (2, "a", 1), (2, "a", 1), (3, "word ", 249_999)]
+    assert html.extract_pages(_pages(spark, [])).count() == 0
+
+
+def test_deeply_nested_page_does_not_fail(spark):
+    assert html.main_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"

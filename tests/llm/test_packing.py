@@ -1,0 +1,71 @@
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from helpers import EDGES, doc_frame, prose
+
+from loadloom.llm.packing import LENGTHS, pack, pack_documents, sequence_cost
+
+
+def _plain_best_fit(sizes, opened):
+    bins, out = [], []
+    for s in sizes:
+        fitting = [(b[0] - b[1], k) for k, b in enumerate(bins) if b[0] - b[1] >= s]
+        if fitting:
+            room = min(fitting)[0]
+            k = next(k for r, k in reversed(fitting) if r == room)
+        else:
+            bins.append([opened[s], 0])
+            k = len(bins) - 1
+        bins[k][1] += s
+        out.append(bins[k][0] - bins[k][1])
+    return out, len(bins)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_places_as_plain_best_fit_does_and_takes_the_cheapest_limit(seed):
+    rng = random.Random(seed)
+    lengths = (8, 16, 32)
+    sizes = np.array(sorted((rng.randint(1, 32) for _ in range(120)), reverse=True))
+    bins, offsets, kept = pack(sizes, lengths)
+    used = Counter()
+    for s, b, o in zip(sizes, bins, offsets):
+        assert o == used[b]
+        used[b] += s
+    hold = lambda n: next(c for c in lengths if c >= n)
+    assert all(kept[i] == hold(used[b]) for i, b in enumerate(bins))
+    mine = sum(sequence_cost(hold(n)) for n in used.values())
+    totals = []
+    for limit in lengths:
+        opened = {s: min([c for c in lengths if s <= c <= limit] or [hold(s)], key=lambda c: (sequence_cost(c) / c, -c)) for s in range(1, 33)}
+        rooms, n = _plain_best_fit(sizes.tolist(), opened)
+        totals.append(n)
+    assert len(used) in totals and mine <= sum(sequence_cost(hold(s)) for s in sizes.tolist())
+
+
+def test_every_word_has_one_place(spark):
+    rng = random.Random(11)
+    rows = [*EDGES, *[(100 + i, prose(rng, rng.choice((1, 40, 400, 3000, 9000)))) for i in range(60)]]
+    got = pack_documents(doc_frame(spark, rows), group=50).collect()
+    need = Counter()
+    for d, t in rows:
+        need[d] += len((t or "").split()) + 1
+    have, used, length = Counter(), defaultdict(list), {}
+    for r in got:
+        have[r["doc_id"]] += r["n_places"]
+        used[r["sequence"]].append((r["place"], r["n_places"]))
+        length[r["sequence"]] = r["length"]
+    assert have == need
+    for s, parts in used.items():
+        parts.sort()
+        assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:]))
+        full = sum(parts[-1])
+        assert length[s] == next(c for c in LENGTHS if c >= full)
+    assert len({(r["doc_id"], r["text_key"], r["copy"], r["piece"]) for r in got}) == len(got)
+    # Little is left empty.
+    assert sum(length.values()) < 1.1 * sum(need.values()) + max(LENGTHS) * 4
+
+
+def test_empty_table(spark):
+    assert pack_documents(doc_frame(spark, [])).count() == 0

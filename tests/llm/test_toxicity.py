@@ -1,0 +1,60 @@
+import random
+import zlib
+
+import numpy as np
+from helpers import EDGES, doc_frame, prose
+
+from loadloom.llm import toxicity
+from loadloom.llm.queries import op10_toxicity
+
+
+def _corpus(n=600):
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(n):
+        toxic = rng.random() < 0.2
+        ws = prose(rng, 60, 300).split()
+        if toxic:
+            ws[rng.randrange(60)] = rng.choice(("idiot", "scum", "Moron"))
+        rows.append((i, " ".join(ws)))
+        labels.append((i, 1, int(toxic), "x"))
+    return rows, labels
+
+
+def test_learns_rare_words_and_scores_every_row(spark):
+    rows, labels = _corpus()
+    docs = doc_frame(spark, rows)
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int, text string")
+    model = toxicity.train(docs, marks.where(~toxicity.held_out()))
+    assert 0 < len(model.index) < 5000
+    got = {r["doc_id"]: r for r in toxicity.score_documents(docs, model).collect()}
+    assert len(got) == len(rows)
+    held = [i for i, *_ in labels if zlib.crc32(str(i).encode()) % 4 == 2]
+    right = np.mean([got[i]["predicted"] == labels[i][2] for i in held])
+    assert right > 0.95
+    assert toxicity.drop_toxic(docs, model).count() == sum(r["predicted"] == 0 for r in got.values())
+
+
+def test_edges(spark):
+    rows, labels = _corpus(200)
+    docs = doc_frame(spark, rows)
+    marks = spark.createDataFrame([*[x[:3] for x in labels], (None, 1, 1), (3, None, None)], "doc_id bigint, quality int, toxic int")
+    model = toxicity.train(docs, marks)
+    got = toxicity.score_documents(doc_frame(spark, EDGES), model).collect()
+    assert sorted(map(repr, ((r["doc_id"],) for r in got))) == sorted(map(repr, ((d,) for d, _ in EDGES)))
+    assert all(0 <= r["score"] <= 1 for r in got)
+    empty = {r["score"] for r in got if r["doc_id"] in (1, 2, 3)}
+    assert len(empty) == 1
+    assert toxicity.score_documents(doc_frame(spark, []), model).count() == 0
+
+
+def test_without_labels_every_score_is_half(spark):
+    none = spark.createDataFrame([], "doc_id bigint, toxic int")
+    model = toxicity.train(doc_frame(spark, [(1, "a b")]), none)
+    assert [r["score"] for r in toxicity.score_documents(doc_frame(spark, [(1, "a b"), (2, None)]), model).collect()] == [0.5, 0.5]
+
+
+def test_query_holds_rows_out(spark, sf):
+    rows = op10_toxicity(spark, sf).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
