@@ -5,8 +5,9 @@ coordinates and worth 1. Every coordinate has its own learning rate, which falls
 keeps at zero whatever has not earned a weight. What scoring needs is a small table of weights.
 
 Training uses at most ``max_rows`` labelled rows, those with the smallest hash of their id, dealt over shards of about
-``shard_rows``. In each round every shard continues from the common state over its own rows, and the states are averaged
-coordinate by coordinate. The bound covers training only: every row of the corpus is scored, whole.
+``shard_rows``. Each shard learns from its own rows, ``rounds`` times over; the states are then averaged coordinate by
+coordinate in Spark, and only coordinates with a weight leave it. The bound covers training only: every row of the corpus is
+scored, whole.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ class Settings:
     bits: int = 20
     rounds: int = 3
     max_rows: int = 40_000
-    shard_rows: int = 5_000
+    shard_rows: int = 8_000
     seed: int = 7
 
     @property
@@ -105,18 +106,18 @@ class Weights:
         return out
 
 
-def _shard_learns(s: Settings, state, turn: int):
+def _shard_learns(s: Settings):
     def run(group: pa.Table) -> pa.Table:
         labels, rows = group.column("label").to_numpy(), []
         for _, _, data, at in ta.pieces(group.column("text")):
             rows += rows_of_features(data, at, s.bits)
-        z, n = state.value
-        own = State(z.copy(), n.copy())
-        order = np.lexsort((group.column("order").to_numpy(),))
-        for i in np.random.default_rng(s.seed + turn).permutation(order):
-            own.learn(s, rows[i], labels[i])
-        moved = np.flatnonzero((own.n != n) | (own.z != z))
-        return pa.table({"at": moved, "z": own.z[moved] - z[moved], "n": own.n[moved] - n[moved]})
+        own = State(np.zeros(s.dims), np.zeros(s.dims))
+        order = np.argsort(group.column("order").to_numpy(), kind="stable")
+        for turn in range(s.rounds):
+            for i in np.random.default_rng(s.seed + turn).permutation(order):
+                own.learn(s, rows[i], labels[i])
+        seen = np.flatnonzero(own.n)
+        return pa.table({"at": seen, "z": own.z[seen], "n": own.n[seen]})
 
     return run
 
@@ -128,25 +129,23 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings | None = None) -> Weig
     counts. Without any labelled row all weights are 0 and every score is 0.5.
     """
     s = s or Settings()
-    spark = docs.sparkSession
     order = F.xxhash64("doc_id", F.lit(s.seed))
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     known = known.orderBy(order, "doc_id").limit(s.max_rows)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = texts.join(F.broadcast(known), "doc_id").withColumn("order", order)
+    chosen = texts.join(F.broadcast(known), "doc_id").withColumn("order", F.xxhash64("doc_id", "text", F.lit(s.seed)))
     total = known.count()
     shards = max(1, -(-total // s.shard_rows))
-    chosen = chosen.withColumn("label", F.col("label").cast("double")).withColumn("shard", F.pmod("order", F.lit(shards)))
+    chosen = chosen.withColumn("label", F.col("label").cast("double")).withColumn("shard", F.pmod(order, F.lit(shards)))
     state = State(np.zeros(s.dims), np.zeros(s.dims))
-    for turn in range(s.rounds if total else 0):
-        sent = spark.sparkContext.broadcast((state.z, state.n))
-        moved = chosen.groupBy("shard").applyInArrow(_shard_learns(s, sent, turn), "at bigint, z double, n double")
-        step = moved.groupBy("at").agg((F.sum("z") / shards).alias("z"), (F.sum("n") / shards).alias("n")).toPandas()
-        sent.destroy()
+    if total:
+        seen = chosen.groupBy("shard").applyInArrow(_shard_learns(s), "at bigint, z double, n double")
         # Sums of doubles depend on the order of arrival in their last bits; cut them off.
-        state.z[step["at"]] = np.round(state.z[step["at"]] + step["z"], 9)
-        state.n[step["at"]] = np.round(state.n[step["at"]] + step["n"], 9)
+        mean = lambda c: F.round(F.sum(c) / shards, 9).alias(c)
+        heavy = seen.groupBy("at").agg(mean("z"), mean("n")).where((F.abs("z") > s.l1) | (F.col("at") == 0))
+        for row in heavy.toLocalIterator():
+            state.z[row["at"]], state.n[row["at"]] = row["z"], row["n"]
     w = state.weights(s)
     w[0] = 0
     index = np.flatnonzero(w)
@@ -183,6 +182,11 @@ def held_out() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
 
 
+def train_on_rest(docs: DataFrame, labels: DataFrame, s: Settings | None = None) -> Weights:
+    """``train`` on the labelled rows that are not held out."""
+    return train(docs, labels.where(~F.coalesce(held_out(), F.lit(False))), s)
+
+
 def score_documents(docs: DataFrame, model: Weights, threshold: float = 0.3) -> DataFrame:
     """(doc_id, score, predicted) of every row of ``docs`` (doc_id, text), one row for each, repeated ones included.
 
