@@ -51,9 +51,9 @@ def _blob(*arrays: np.ndarray) -> list[bytes]:
     return [a.tobytes() for a in arrays]
 
 
-_SPREAD = "bucket int, doc_id bigint, n int, sid bigint, owners binary, counts binary, low binary, high binary, df binary"
+_SPREAD = "bucket int, doc_id bigint, key bigint, n int, sid bigint, owners binary, counts binary, low binary, high binary, df binary"
 _ARROW = pa.schema(
-    [("bucket", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int32()), ("sid", pa.int64()), ("owners", pa.binary()),
+    [("bucket", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("sid", pa.int64()), ("owners", pa.binary()),
      ("counts", pa.binary()), ("low", pa.binary()), ("high", pa.binary()), ("df", pa.binary())]
 )
 
@@ -64,8 +64,8 @@ def _spread(buckets: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = 0
         for batch in batches:
-            ids = batch.column(0)
-            for first, last, data, at in ta.pieces(batch.column(1)):
+            ids, keys = batch.column(0), batch.column(1)
+            for first, last, data, at in ta.pieces(batch.column(2)):
                 sets = ta.shingle_sets(ta.words(data, at), width)
                 sids = _set_ids(sets)
                 sizes = np.array([len(s) for s in sets], dtype=np.int32)
@@ -73,7 +73,7 @@ def _spread(buckets: int, width: int):
                 rows = len(sets)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(rows, -1 - (piece + int(sids[0] & 0xFFFF)) % buckets, dtype=np.int32)),
-                     ids.slice(first, rows).cast(pa.int64()), pa.array(sizes), pa.array(sids),
+                     ids.slice(first, rows), keys.slice(first, rows), pa.array(sizes), pa.array(sids),
                      *[pa.nulls(rows, pa.binary())] * 5], schema=_ARROW,
                 )
                 _, once = np.unique(sids, return_index=True)
@@ -107,7 +107,7 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     n = len(rows)
     columns = list(zip(*rows)) if rows else [[] for _ in range(6)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()),
+        [pa.array(columns[0], pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()),
          *[pa.array(c, pa.binary()) for c in columns[1:]]], schema=_ARROW,
     )
 
@@ -321,16 +321,10 @@ def _join_regions(sets: DataFrame, percent: int) -> DataFrame:
     return written(components(links.union(written(more, "links"))), "labels")
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text); other columns are ignored.
-
-    Words are maximal runs of anything but blank and 0x09-0x0D with A-Z lowered. Rows are linked when
-    ``100 * intersection >= percent * union`` (both sides whole numbers, so ties count as links). A component is named by its
-    smallest doc_id. Null and empty texts have an empty set and are linked with nothing. Repeated rows and equal sets are one
-    set, each row with its own result row. Rows with a null doc_id take part; they get a null component_id if all rows of
-    their component lack an id. An empty table gives an empty result.
-    """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _rooted(docs: DataFrame, width: int, percent: int, bucket_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, n, sid) of every document, and (sid, root) of every set; ``key`` is a hash of the text."""
+    text = F.col("text").cast("string")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(max(8, size // bucket_bytes), 1 << 16)
     spread = docs.mapInArrow(_spread(buckets, width), _SPREAD)
@@ -340,14 +334,41 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, bucke
     entries = shared.where("bucket >= 0").select("bucket", "owners", "counts", "low", "high", "df")
     sets = entries.unionByName(sizes, allowMissingColumns=True).groupBy("bucket").applyInArrow(_regions(percent), _SETS)
     labels = _join_regions(written(sets, "sets"), percent)
-    rows = shared.where("bucket < 0").select("doc_id", "n", "sid")
-    first = rows.groupBy("sid").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
-    rooted = first.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("sid", "component_id")
-    out = rows.join(named, "sid").select(
+    rows = shared.where("bucket < 0").select("doc_id", "key", "n", "sid")
+    sids = rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first"))
+    roots = sids.join(labels.withColumnRenamed("node", "sid"), "sid", "left")
+    return rows, roots.select("sid", "first", F.coalesce("root", "sid").alias("root"))
+
+
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text); other columns are ignored.
+
+    Words are maximal runs of anything but blank and 0x09-0x0D with A-Z lowered. Rows are linked when
+    ``100 * intersection >= percent * union`` (both sides whole numbers, so ties count as links). A component is named by its
+    smallest doc_id. Null and empty texts have an empty set and are linked with nothing. Repeated rows and equal sets are one
+    set, each row with its own result row. Rows with a null doc_id take part; they get a null component_id if all rows of
+    their component lack an id. An empty table gives an empty result.
+    """
+    rows, roots = _rooted(docs, width, percent, bucket_bytes)
+    least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = roots.join(least, "root").select("sid", "component_id")
+    return rows.join(named, "sid", "left").select(
         "doc_id",
         F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
-    return out
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """``docs``, all columns, with one row of each component: that of the smallest doc_id (nulls last), then of the smallest
+    hash of its text. Rows without any word are no component's and all stay."""
+    rows, roots = _rooted(docs, width, percent, bucket_bytes)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("__null"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("key").alias("__key")))
+    kept = rows.where("n > 0").join(roots, "sid").groupBy("root").agg(best.alias("b")).select("b.*")
+    text, own = F.col("text").cast("string"), ["__null", "__id", "__key"]
+    marked = docs.withColumns(
+        {"__null": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), "__key": F.xxhash64(text)}
+    )
+    wordless = text.isNull() | ~text.rlike(r"[^\x20\x09-\x0D]")
+    one = marked.join(kept, own, "left_semi").dropDuplicates(own).drop(*own)
+    return one.union(docs.where(wordless))
