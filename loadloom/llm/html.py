@@ -26,6 +26,8 @@ from loadloom.llm.graphs import written
 
 #: A subtree is a template on a host from this many different pages on, and this share of its pages.
 MIN_PAGES, MIN_SHARE = 5, 0.01
+#: Up to so many templates are broadcast; more are joined to the pages.
+BROADCAST = 200_000
 
 # Fixed by the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -150,7 +152,7 @@ def parse(page: str) -> Element:
                 new.children.append(page[at:stop])
             close = page.find(">", stop)
             at = end if close < 0 else close + 1
-        elif tag not in VOID and not attributes.endswith("/") or tag in CLOSES_P:
+        elif tag not in VOID and (tag in CLOSES_P or not attributes.endswith("/")):
             depth[id(new)] = depth[id(node)] + 1
             if depth[id(new)] < DEPTH:
                 node = new
@@ -281,14 +283,25 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, urls, pages, templates = batch.columns
-        found = [main_text(p.as_py(), frozenset(t.as_py() or ())) for p, t in zip(pages, templates)]
-        yield pa.RecordBatch.from_arrays([ids, urls, pa.array(found, pa.string())], schema=_TEXTS)
+def _texts(sent=None):
+    """Texts of pages (page_id, url, html, host, templates); with ``sent``, templates come from there by host."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, urls, pages, hosts = batch.columns[:4]
+            if sent is None:
+                gone = [frozenset(t.as_py() or ()) for t in batch.column(4)]
+            else:
+                gone = [sent.value.get(h, frozenset()) for h in hosts.to_pylist()]
+            found = [main_text(p, t) for p, t in zip(pages.to_pylist(), gone)]
+            yield pa.RecordBatch.from_arrays([ids, urls, pa.array(found, pa.string())], schema=_TEXTS)
 
+    return run
 
-def extract_pages(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+
+def extract_pages(
+    pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, broadcast: int = BROADCAST
+) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html); other columns are ignored.
 
     Null and empty pages give an empty text. Pages without a host form one group. Repeated rows give repeated results; ids
@@ -305,7 +318,17 @@ def extract_pages(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     sizes = rows.select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     counts = marks.select("host", "subtree", "digest").distinct().groupBy("host", "subtree").agg(F.count("*").alias("held"))
     templates = counts.where(F.col("held") >= min_pages).join(sizes, "host").where(F.col("held") >= min_share * F.col("pages"))
-    flagged = marks.distinct().join(templates.select("host", "subtree"), ["host", "subtree"])
-    flagged = flagged.groupBy("page_key").agg(F.collect_set("subtree").alias("templates"))
-    joined = rows.join(flagged, "page_key", "left").select("page_id", "url", "html", "templates")
-    return joined.mapInArrow(_texts, "page_id bigint, url string, text string").withColumn("n_chars", F.length("text").cast("bigint"))
+    templates = written(templates.select("host", "subtree"), "templates")
+    columns = ["page_id", "url", "html", "host"]
+    if templates.count() <= broadcast:
+        by_host: dict[str, set[int]] = {}
+        for row in templates.toLocalIterator():
+            by_host.setdefault(row["host"], set()).add(row["subtree"])
+        sent = pages.sparkSession.sparkContext.broadcast({h: frozenset(s) for h, s in by_host.items()})
+        out = rows.select(*columns).mapInArrow(_texts(sent), "page_id bigint, url string, text string")
+    else:
+        flagged = marks.distinct().join(templates, ["host", "subtree"])
+        flagged = flagged.groupBy("page_key").agg(F.collect_set("subtree").alias("templates"))
+        joined = rows.join(flagged, "page_key", "left").select(*columns, "templates")
+        out = joined.mapInArrow(_texts(), "page_id bigint, url string, text string")
+    return out.withColumn("n_chars", F.length("text").cast("bigint"))

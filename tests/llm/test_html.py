@@ -9,8 +9,8 @@ def _pages(spark, rows):
     return spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id bigint, url string, html string, host string, text string")
 
 
-def _texts(spark, rows):
-    return {r["page_id"]: r["text"] for r in html.extract_pages(_pages(spark, rows)).collect()}
+def _texts(spark, rows, **kw):
+    return {r["page_id"]: r["text"] for r in html.extract_pages(_pages(spark, rows), **kw).collect()}
 
 
 @pytest.mark.parametrize("page, text", [
@@ -29,14 +29,15 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
-def test_recurring_subtrees_of_a_host_go(spark):
+@pytest.mark.parametrize("broadcast", [html.BROADCAST, 0])
+def test_recurring_subtrees_of_a_host_go(spark, broadcast):
     bar = "<div class=x><p>Read our other pages</p><a href=/>home</a></div>"
     pages = [(i, f"http://A.example/{i}", f"<body>{bar}<div><p>own words {i}</p></div></body>") for i in range(8)]
     pages += [(100 + i, f"http://b.example/{i}", f"<body>{bar}<div><p>own words {i}</p></div></body>") for i in range(3)]
     # One page many times over is no template, nor is a passage inside articles.
     pages += [(200 + i, f"http://c.example/{i}", "<body><div><p>the same page</p></div></body>") for i in range(9)]
     pages += [(300 + i, f"http://d.example/{i}", f"<article><p>licence</p><div>{bar}</div><p>{i}</p></article>") for i in range(9)]
-    got = _texts(spark, pages)
+    got = _texts(spark, pages, broadcast=broadcast)
     assert all(got[i] == f"own words {i}" for i in range(8))
     assert all(got[100 + i] == f"Read our other pages home own words {i}" for i in range(3))
     assert all(got[200 + i] == "the same page" for i in range(9))
