@@ -9,18 +9,20 @@ from pyspark.sql import functions as F
 
 from loadloom import names
 from loadloom.operators.keys import guarded
+from loadloom.operators.skew import key_columns
 
 
-def change_set(old: DataFrame, new: DataFrame, columns: Sequence[str], key: str = names.KEY) -> DataFrame:
-    """Keys that were inserted, updated or deleted: key, ``change``, and each column before and after.
+def change_set(old: DataFrame, new: DataFrame, columns: Sequence[str], key: str | Sequence[str] = names.KEY) -> DataFrame:
+    """Keys that were inserted, updated or deleted: key columns, ``change``, and each column before and after.
 
     One sort-merge join; both sides fail on a repeated key, at no extra shuffle. Two NULLs count as equal.
     """
+    keys = key_columns(key)
     before = {c: F.col(c) for c in columns}
     there = {"_there": F.lit(True)}
-    left = guarded(old, [key], {f"old_{c}": v for c, v in before.items()} | {"_old": there["_there"]}, "old version")
-    right = guarded(new, [key], {f"new_{c}": v for c, v in before.items()} | {"_new": there["_there"]}, "new version")
-    both = left.join(right, key, "full_outer")
+    left = guarded(old, keys, {f"old_{c}": v for c, v in before.items()} | {"_old": there["_there"]}, "old version")
+    right = guarded(new, keys, {f"new_{c}": v for c, v in before.items()} | {"_new": there["_there"]}, "new version")
+    both = left.join(right, keys, "full_outer")
     same = F.lit(True)
     for c in columns:
         same = same & F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}"))

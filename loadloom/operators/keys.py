@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadloom.operators.skew import fits_broadcast, skew_safe_join
+from loadloom.operators.skew import fits_broadcast, key_columns, skew_safe_join
 
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -50,12 +50,13 @@ def guarded(df: DataFrame, keys: list[str], columns: Mapping[str, Column], name:
     )
 
 
-def unseen_rows(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Rows of ``new`` whose key the other frame lacks. Only the key of ``existing`` is read.
+def unseen_rows(new: DataFrame, existing: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Rows of ``new`` whose key (one column or several) the other frame lacks. Only its key columns are read.
 
-    A small batch is broadcast to that scan; a large one meets the distinct keys, formed before the shuffle.
+    A small batch is broadcast to that scan; a large one meets the distinct keys, formed before the shuffle. A key with a
+    NULL in it equals no other, so such rows always stay.
     """
-    stored = existing.select(key)
+    stored = existing.select(*key_columns(key))
     return skew_safe_join(new, stored if fits_broadcast(new) else stored.distinct(), key, "left_anti")
 
 

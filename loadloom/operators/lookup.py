@@ -10,22 +10,22 @@ from pyspark.sql import functions as F
 
 from loadloom import names
 from loadloom.operators.columns import without
-from loadloom.operators.keys import assert_key
-from loadloom.operators.skew import fits_broadcast, narrowed_to, skew_safe_join
+from loadloom.operators.skew import Skew, fits_broadcast, key_columns, narrowed_to, skew_of, skew_safe_join
 
 
 @dataclass(frozen=True)
 class Lookup:
     """Features taken from a keyed table; ``as_names`` renames them on the way.
 
-    ``key_checked`` says that the table was checked when it was written (see ``sources.tables.create_keyed_table``);
-    otherwise its key is checked here, since a repeated key would multiply rows.
+    ``key`` is one column or several, ``base_key`` their names in the base. ``key_checked`` says that the table was
+    checked when it was written (see ``sources.tables.create_keyed_table``); otherwise a requested key that the table
+    repeats is an error, since it would multiply rows. Keys nobody asks for, and NULL ones, do not matter.
     """
 
     table: DataFrame
     features: Sequence[str]
-    key: str = names.KEY
-    base_key: str | None = None
+    key: str | Sequence[str] = names.KEY
+    base_key: str | Sequence[str] | None = None
     as_names: Mapping[str, str] = field(default_factory=dict)
     key_checked: bool = False
 
@@ -73,29 +73,42 @@ WEATHER_FEATURE = FunctionFeature(
 )
 
 
-def look_up(base: DataFrame, lookup: Lookup) -> DataFrame:
+COPIES = "_copies"
+
+
+def look_up(base: DataFrame, lookup: Lookup, skew: Skew | None = None) -> DataFrame:
     """Every base row once, with the features of its key, NULL where the table lacks the key.
 
-    For a small base only the table's rows for its keys are checked and joined.
+    The table is brought to one row per key with a count, combined before the one shuffle that the join needs anyway;
+    reading a feature of a key with more than one row fails the job. The result is lazy and the same for every way the
+    join may be planned. For a small base only the table's rows for its keys are taken.
     """
-    key = lookup.base_key or lookup.key
+    own, keys = key_columns(lookup.key), key_columns(lookup.base_key or lookup.key)
+    features = [lookup.as_names.get(c, c) for c in lookup.features]
     picked = lookup.table.select(
-        F.col(lookup.key).alias(key), *[F.col(c).alias(lookup.as_names.get(c, c)) for c in lookup.features]
+        *[F.col(a).alias(b) for a, b in zip(own, keys, strict=True)],
+        *[F.col(c).alias(name) for c, name in zip(lookup.features, features, strict=True)],
     )
     narrow = fits_broadcast(base) and not fits_broadcast(picked)
     if narrow:
-        picked = narrowed_to(picked, base, key)
+        picked = narrowed_to(picked, base, keys)
     if not lookup.key_checked:
-        assert_key(picked, [key])
-    return base.join(picked, key, "left") if narrow else skew_safe_join(base, picked, key, "left")
+        picked = picked.groupBy(*keys).agg(*[F.any_value(c).alias(c) for c in features], F.count(F.lit(1)).alias(COPIES))
+    joined = base.join(picked, keys, "left") if narrow else skew_safe_join(base, picked, keys, "left", skew)
+    ordered = joined.select(*base.columns, *features, *([] if lookup.key_checked else [COPIES]))
+    if lookup.key_checked:
+        return ordered
+    refused = F.raise_error(F.lit(f"lookup: key ({', '.join(own)}) is requested and repeated in the table"))
+    checked = {c: F.when(F.col(COPIES) > 1, refused).otherwise(F.col(c)) for c in features}
+    return ordered.withColumns(checked).drop(COPIES)
 
 
-def look_up_keys(keys: DataFrame, table: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
-    """Features for a list of requested keys. Unknown keys stay, with NULL features.
+def look_up_keys(keys: DataFrame, table: DataFrame, key: str | Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Features for a list of requested keys. Unknown keys stay, with NULL features; each request gives one row.
 
     A short list is broadcast to the table's scan; a list too long for that is joined like any other frame.
     """
-    return skew_safe_join(keys, table.select(key, *features), key, "left")
+    return look_up(keys, Lookup(table, features, key))
 
 
 def assemble(
@@ -106,11 +119,15 @@ def assemble(
 ) -> DataFrame:
     """A training set: base columns, looked-up features, function results, less the excluded columns.
 
-    Lookups come before functions, so a function may use a looked-up feature.
+    Lookups come before functions, so a function may use a looked-up feature. Hot keys are found once for each key, on
+    the key columns of the bare base; no lookup evaluates those before it.
     """
-    df = base
+    df, known = base, {}
     for lookup in lookups:
-        df = look_up(df, lookup)
+        keys = tuple(key_columns(lookup.base_key or lookup.key))
+        if keys not in known and set(keys) <= set(base.columns) and not fits_broadcast(lookup.table):
+            known[keys] = Skew({}) if fits_broadcast(base) else skew_of(base, keys)
+        df = look_up(df, lookup, known.get(keys))
     for feature in functions:
         df = df.withColumn(feature.output, feature.function.create(df.sparkSession).bind(feature.bindings))
     return without(df, exclude)

@@ -27,7 +27,7 @@ def test_salted_join_equals_the_plain_one(spark, skewed, no_broadcast, some_are_
     right = spark.range(0, 2000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v")).unionAll(
         spark.sql("SELECT 7L, 70L")
     )
-    assert skew.hot_keys(skewed, "k") == [7]
+    assert list(skew.skew_of(skewed, "k").rows.values()) == [1002]
     salted = skew.skew_safe_join(skewed, right, "k", how)
     assert "_salt" in plan_of(salted)
     plain = skewed.join(right, "k", how)
@@ -47,20 +47,72 @@ def test_hot_key_is_spread_over_tasks(spark, skewed, no_broadcast, some_are_hot)
         spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
-def test_keys_the_sketch_cannot_count_are_joined_plainly(spark, no_broadcast):
-    left = spark.range(10).select(F.encode(F.col("id").cast("string"), "UTF-8").alias("k"))
-    assert skew.hot_keys(left, "k") == []
-    assert skew.skew_safe_join(left, left.limit(4), "k", "left_anti").count() == 6
-
-
 @pytest.mark.parametrize("kind", ["string", "int", "date", "timestamp", "timestamp_ntz", "decimal(10,2)"])
 def test_hot_keys_of_any_kind(spark, some_are_hot, kind):
     base = spark.range(900).select(F.when(F.col("id") < 300, 5).otherwise(F.col("id")).cast("int").alias("n"))
     value = {"date": F.date_from_unix_date("n"), "timestamp": F.timestamp_seconds("n")}.get(kind, F.col("n"))
     value = F.timestamp_seconds("n").cast(kind) if kind == "timestamp_ntz" else value.cast(kind)
     df = base.select(value.alias("k"))
-    found = skew.hot_keys(df, "k")
-    assert len(found) == 1 and df.filter(F.col("k") == F.lit(found[0]).cast(kind)).count() == 300
+    found = skew.skew_of(df, "k").rows
+    assert len(found) == 1 and df.filter(F.xxhash64("k") == next(iter(found))).count() == 300
+
+
+def test_equal_rows_of_a_hot_key_part(spark, no_broadcast, some_are_hot):
+    wanted = spark.range(0, 6000, 1, 4).select(F.lit(7).cast("bigint").alias("k"))
+    right = spark.range(2000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    plan = skew.skew_safe_join(wanted, right, "k", "left")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert plan.groupBy(F.spark_partition_id()).count().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert plan.filter("v = 7").count() == 6000
+
+
+def test_rows_without_a_key_part(spark, no_broadcast, some_are_hot):
+    left = spark.range(0, 3000, 1, 4).select(F.col("id").alias("row"), F.when(F.col("id") < 0, 1).cast("bigint").alias("k"))
+    joined = skew.skew_safe_join(left, spark.range(2000).select(F.col("id").alias("k"), F.lit(1).alias("v")), "k", "left")
+    assert "_salt" in plan_of(joined) and joined.filter("v is null").count() == 3000
+
+
+def test_composite_keys(spark, no_broadcast, some_are_hot):
+    left = spark.range(3000).select(F.when(F.col("id") < 1500, 1).otherwise(F.col("id")).alias("a"), F.lit(2).cast("bigint").alias("b"), "id")
+    right = spark.range(3000).select(F.col("id").alias("a"), F.lit(2).cast("bigint").alias("b"), (F.col("id") * 10).alias("v"))
+    got = lookup.look_up(left, lookup.Lookup(right, ["v"], key=["a", "b"]))
+    assert got.filter("a = 1 and v = 10").count() == 1500 and got.filter("v is null").count() == 0
+    assert keys.unseen_rows(left, right.filter("a > 10"), ["a", "b"]).count() == 1500
+
+
+@pytest.mark.parametrize("threshold", ["-1", "20000", "10000000"])
+def test_lookup_does_not_depend_on_the_size_estimate(spark, tmp_path, threshold):
+    rows = spark.range(20_000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    rows = rows.unionAll(spark.sql("SELECT 5L, 1L UNION ALL SELECT CAST(NULL AS BIGINT), 2L UNION ALL SELECT CAST(NULL AS BIGINT), 3L"))
+    rows.write.parquet(str(tmp_path / "t"))
+    spark.range(0, 3000, 2).select(F.when(F.col("id") != 4, F.col("id")).alias("k"), F.col("id")).write.parquet(str(tmp_path / "b"))
+    table, base = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "b"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = lookup.look_up(base, lookup.Lookup(table, ["v"], key="k")).collect()
+        assert len(got) == 1500 and all(r["v"] == r["k"] for r in got) and sum(r["k"] is None for r in got) == 1
+        asked = base.unionByName(spark.sql("SELECT 5L AS k, 0L AS id"))
+        with pytest.raises(Exception, match="requested and repeated"):
+            lookup.look_up(asked, lookup.Lookup(table, ["v"], key="k")).collect()
+        with pytest.raises(Exception, match="requested and repeated"):
+            lookup.look_up_keys(asked.select("k"), table, "k", ["v"]).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lookups_run_no_join_before_the_action(spark, sf, no_broadcast, monkeypatch):
+    seen = []
+    real = skew.skew_of
+    monkeypatch.setattr(lookup, "skew_of", lambda df, key: seen.append(plan_of(df)) or real(df, key))
+    base = readings(spark, sf)
+    parts = [base.select("id", F.col(c).alias(f"x_{c}")) for c in (*names.WEATHER, names.FLOWS[0])]
+    lookup.assemble(base.select("id", "DateTime"), [lookup.Lookup(p, [p.columns[1]]) for p in parts])
+    assert len(seen) == 1 and "Join" not in seen[0]
 
 
 def test_small_left_side_is_sent_to_the_scan(spark, tmp_path):
@@ -91,8 +143,8 @@ def test_lookup_keeps_every_base_row_once(spark, skewed):
 
 def test_lookup_table_with_a_repeated_key_is_refused(spark, skewed):
     table = spark.sql("SELECT 7L AS k, 'x' AS a UNION ALL SELECT 7L, 'z'")
-    with pytest.raises(ValueError, match="not a key"):
-        lookup.look_up(skewed, lookup.Lookup(table, ["a"], key="k"))
+    with pytest.raises(Exception, match="requested and repeated"):
+        lookup.look_up(skewed, lookup.Lookup(table, ["a"], key="k")).collect()
 
 
 def test_training_set_columns_and_no_python(spark, sf):
