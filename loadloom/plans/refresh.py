@@ -40,20 +40,28 @@ def plan_refresh(
     test: DataFrame,
     features: DataFrame,
     feature_columns: Sequence[str] = tuple(names.FEATURE_TABLE_SCHEMA.names),
-    key: str = names.KEY,
+    key: str | Sequence[str] = names.KEY,
     time: str = names.TIME,
 ) -> Refresh:
     """The old test rows join train, newer source rows become the test set and join the feature table.
 
-    Keys already present are not added again, so a run repeated after a crash changes nothing. An empty test table has
-    no mark and nothing is refreshed.
+    Keys already present are not added again, so a run repeated after a crash changes nothing. An empty test table takes
+    the mark of train, which then holds all of its rows; if train is empty as well, nothing is refreshed.
+
+    Known keys are looked for only among stored rows of the batch's own time range, since a row stored by an earlier try
+    has the same time; the scans skip everything outside it.
     """
-    mark = _mark(test, time)
+    first, mark = _range(test, time)
+    if mark is None:
+        first = mark = _mark(train, time)
     newer = None if mark is None else source.filter(F.col(time) > to_literal(mark, source.schema[time].dataType))
     if newer is None or newer.isEmpty():
         return Refresh(False, train, test, train.limit(0), features.limit(0))
-    train_added = unseen_rows(test, train, key)
-    features_added = unseen_rows(newer.select(*feature_columns), features, key)
+    dtype = train.schema[time].dataType
+    known = train.filter(F.col(time).between(to_literal(first, dtype), to_literal(mark, dtype)))
+    train_added = _not_in(test, known, key)
+    known = features.filter(F.col(time) > to_literal(mark, features.schema[time].dataType)) if time in features.columns else features
+    features_added = _not_in(newer.select(*feature_columns), known, key)
     return Refresh(True, train.unionByName(train_added), newer, train_added, features_added)
 
 
@@ -68,15 +76,20 @@ def late_rows(
     return unseen_rows(old, train.select(key).unionByName(test.select(key)), key)
 
 
+def _range(df: DataFrame, time: str) -> tuple[int | None, int | None]:
+    dtype = df.schema[time].dataType
+    return tuple(df.agg(to_number(F.min(time), dtype), to_number(F.max(time), dtype)).first())
+
+
 def _mark(df: DataFrame, time: str) -> int | None:
     return df.agg(to_number(F.max(time), df.schema[time].dataType)).first()[0]
 
 
-def refresh_summary(source: DataFrame, train: DataFrame, test: DataFrame, time: str = names.TIME) -> DataFrame:
-    """One row: the mark, rows before and after, and the ``refreshed`` flag, all from one aggregate.
-
-    The row count of the new train table assumes the test keys are not in it yet.
-    """
+def refresh_summary(
+    source: DataFrame, train: DataFrame, test: DataFrame, time: str = names.TIME, key: str | Sequence[str] = names.KEY
+) -> DataFrame:
+    """One row: rows before and after, and the ``refreshed`` flag, from one aggregate and one count of new keys."""
+    moved = unseen_rows(test, train, key).agg(F.count(F.lit(1)).alias("moved")).scalar()
     mark = test.agg(F.max(time).alias("mark"))
     newer = F.col(time) > mark.scalar()
     tagged = (
@@ -93,7 +106,7 @@ def refresh_summary(source: DataFrame, train: DataFrame, test: DataFrame, time:
     return counts.select(
         refreshed.cast("int").alias("refreshed"),
         "train_before",
-        (F.col("train_before") + F.when(refreshed, F.col("test_before")).otherwise(0)).alias("train_after"),
+        (F.col("train_before") + F.when(refreshed, moved).otherwise(0)).alias("train_after"),
         "test_before",
         F.when(refreshed, F.col("newer")).otherwise(F.col("test_before")).alias("test_after"),
     )
@@ -110,33 +123,22 @@ def run_refresh(
     train_table: str,
     test_table: str,
     feature_table: str,
-    key: str = names.KEY,
+    key: str | Sequence[str] = names.KEY,
     time: str = names.TIME,
 ) -> int:
     """Refresh stored tables; returns 1 if anything was refreshed, else 0.
 
-    The test table is overwritten last: until then its mark stands, and a run after a crash finds the same rows again
-    and skips those already stored. Appends look for known keys only among stored rows of the batch's own time range,
-    since a row stored by an earlier try has the same time; the scan skips everything outside it.
-
-    Replacing a table is not atomic: a crash in that last step may leave it empty. Its old rows are in train by then, so
+    ``plan_refresh`` plus writes. The test table is overwritten last: until then its mark stands, and a run after a crash
+    finds the same rows again and skips those already stored. Its new rows are staged completely before the old ones go; a
+    crash while they are copied in may leave the table empty, its definition intact. Its old rows are in train by then, so
     the latest train row has the same mark, and the next run goes on from there.
     """
-    source, test, train = spark.table(source_table), spark.table(test_table), spark.table(train_table)
+    test = spark.table(test_table)
     features = spark.table(feature_table)
-    dtype = test.schema[time].dataType
-    first, mark = test.agg(to_number(F.min(time), dtype), to_number(F.max(time), dtype)).first()
-    if mark is None:
-        first = mark = _mark(train, time)
-    if mark is None:
-        return 0
-    newer = source.filter(F.col(time) > to_literal(mark, source.schema[time].dataType))
-    if newer.isEmpty():
+    plan = plan_refresh(spark.table(source_table), spark.table(train_table), test, features, features.columns, key, time)
+    if not plan.refreshed:
         return 0
-    dtype = train.schema[time].dataType
-    known = train.filter(F.col(time).between(to_literal(first, dtype), to_literal(mark, dtype)))
-    _not_in(test, known, key).select(*train.columns).write.insertInto(train_table)
-    known = features.filter(F.col(time) > to_literal(mark, features.schema[time].dataType))
-    insert_select(_not_in(newer, known, key), feature_table, features.columns)
-    overwrite(newer.select(*test.columns), test_table)
+    plan.train_added.select(*spark.table(train_table).columns).write.insertInto(train_table)
+    insert_select(plan.features_added, feature_table, features.columns)
+    overwrite(plan.test.select(*test.columns), test_table)
     return 1

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from loadloom import names
 from loadloom.operators.keys import assert_key, unseen_rows
+from loadloom.operators.skew import key_columns
+from loadloom.session import remove, scratch_path
 
 
 def scan(spark: SparkSession, table: str) -> DataFrame:
@@ -17,16 +19,20 @@ def scan(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table) if "/" in table else spark.table(table)
 
 
-def _writer(df: DataFrame, path: str | None, key: str | None = None, buckets: int | None = None):
+def _writer(df: DataFrame, path: str | None, key: str | Sequence[str] | None = None, buckets: int | None = None):
     if buckets:
         # One task per bucket, so that each bucket is one file.
-        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+        keys = key_columns(key)
+        writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
     else:
         writer = df.write
     return writer.option("path", path) if path else writer
 
 
-def append(df: DataFrame, table: str, path: str | None = None, key: str = names.KEY, buckets: int | None = None) -> None:
+def append(
+    df: DataFrame, table: str, path: str | None = None, key: str | Sequence[str] = names.KEY,
+    buckets: int | None = None,
+) -> None:
     """Adds the rows; makes the table if there is none, with ``buckets`` bucketed by its key.
 
     Columns are matched by name. Tables bucketed alike are joined by key without a shuffle.
@@ -39,11 +45,23 @@ def append(df: DataFrame, table: str, path: str | None = None, key: str = names.
 
 
 def overwrite(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Replaces the table. The frame must not read that same table."""
-    _writer(df, path).mode("overwrite").saveAsTable(table)
+    """Replaces the rows of the table; location, buckets, comment and properties stay. Makes the table if there is
+    none.
+
+    The new rows are first written completely beside the table, so a frame that fails, or that reads the table itself,
+    leaves it as it was. They are then copied in; a crash in that copy may leave the table empty, but whole as a table.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        _writer(df, path).saveAsTable(table)
+        return
+    staged = scratch_path(spark, "staged")
+    df.select(*spark.table(table).columns).write.parquet(staged)
+    spark.read.schema(spark.table(table).schema).parquet(staged).write.insertInto(table, overwrite=True)
+    remove(spark, staged)
 
 
-def append_unseen(df: DataFrame, table: str, key: str = names.KEY) -> None:
+def append_unseen(df: DataFrame, table: str, key: str | Sequence[str] = names.KEY) -> None:
     """S4 with J5: rows whose key the table already has are not added again, so a repeated run adds nothing."""
     append(unseen_rows(df, df.sparkSession.table(table), key), table)
 
@@ -58,14 +76,14 @@ def insert_select(df: DataFrame, table: str, columns: Sequence[str]) -> None:
 
 
 def create_empty(spark: SparkSession, table: str, schema: T.StructType, path: str | None = None) -> None:
-    """An empty table of a declared schema, in place of any table of that name."""
-    overwrite(spark.createDataFrame([], schema), table, path)
+    """An empty table of a declared schema, in place of any table of that name and of its definition."""
+    _writer(spark.createDataFrame([], schema), path).mode("overwrite").saveAsTable(table)
 
 
 def create_keyed_table(
     df: DataFrame,
     table: str,
-    key: str = names.KEY,
+    key: str | Sequence[str] = names.KEY,
     description: str = "",
     path: str | None = None,
     buckets: int | None = None,
@@ -74,11 +92,12 @@ def create_keyed_table(
 
     For a table that is looked up over and over, ``buckets`` (its size over some 200 MB) saves its shuffle each time.
     """
-    assert_key(df, [key])
+    keys = key_columns(key)
+    assert_key(df, keys)
     _writer(df, path, key, buckets).mode("errorifexists").saveAsTable(table)
     text = description.replace("'", "\\'")
     df.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{text}'")
-    df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('loadloom.key' = '{key}')")
+    df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('loadloom.key' = '{','.join(keys)}')")
 
 
 def temp_view(df: DataFrame, name: str) -> None:

@@ -35,7 +35,9 @@ def test_nothing_newer_or_no_mark(spark):
     train, test = frame(spark, range(5)), frame(spark, range(5, 8))
     same = refresh.plan_refresh(frame(spark, range(8)), train, test, train, ["id", "DateTime", "Temperature"])
     assert not same.refreshed and ids(same.test) == [5, 6, 7] and same.train_added.count() == 0
-    empty = refresh.plan_refresh(frame(spark, range(9)), train, test.limit(0), train, train.columns)
+    emptied = refresh.plan_refresh(frame(spark, range(9)), train, test.limit(0), train, train.columns)
+    assert emptied.refreshed and ids(emptied.test) == [5, 6, 7, 8] and emptied.train_added.count() == 0
+    empty = refresh.plan_refresh(frame(spark, range(9)), train.limit(0), test.limit(0), train, train.columns)
     assert not empty.refreshed
     assert refresh.newer_than_mark(frame(spark, range(9)), test.limit(0)).count() == 0
 
@@ -106,6 +108,34 @@ def test_refresh_after_a_crash_that_emptied_the_test_table(spark, stored, monkey
     assert state(spark, stored) == AFTER
 
 
+def test_refresh_recovers_from_a_write_that_fails_half_way(spark, stored, monkeypatch):
+    real = tables.overwrite
+
+    def half(df, table):
+        poison = F.when(F.col("id") == "18", F.raise_error(F.lit("lost"))).otherwise(F.col("Temperature"))
+        real(df.withColumn("Temperature", poison), table)
+
+    with monkeypatch.context() as m:
+        m.setattr(refresh, "overwrite", half)
+        with pytest.raises(Exception, match="lost"):
+            run(spark, stored)
+    assert ids(spark.table(stored["test"])) == list(range(10, 15))
+    assert run(spark, stored) == 1
+    assert state(spark, stored) == AFTER
+
+
+def test_overwrite_keeps_the_definition(spark):
+    tag = scratch_path(spark, "db").rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE o_{tag} LOCATION '{scratch_path(spark, 'db')}'")
+    name, path = f"o_{tag}.kept", scratch_path(spark, "kept")
+    tables.create_keyed_table(frame(spark, range(20)), name, description="kept", path=path, buckets=4)
+    tables.overwrite(spark.table(name).filter("id < '15'"), name)  # reads the table that it replaces
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    assert told["Type"] == "EXTERNAL" and told["Num Buckets"] == "4" and told["Comment"] == "kept" and path in told["Location"]
+    assert "loadloom.key=id" in told["Table Properties"]
+    assert ids(spark.table(name)) == sorted(i for i in range(20) if str(i) < "15") == ids(spark.read.parquet(path))
+
+
 def test_refresh_of_empty_tables_does_nothing(spark, stored):
     for name in ("train", "test"):
         tables.overwrite(frame(spark, range(1)).limit(0), stored[name])
