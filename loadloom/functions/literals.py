@@ -6,6 +6,8 @@ Going through numbers keeps the driver's local time zone out of it.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +16,16 @@ TIMES = (T.TimestampType, T.TimestampNTZType)
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
+def has_number(dtype: T.DataType) -> bool:
+    """Whether ``to_number`` takes the type: times, dates, integers and decimals of up to 18 digits."""
+    small = isinstance(dtype, T.DecimalType) and dtype.precision <= 18
+    return small or isinstance(dtype, (*TIMES, T.DateType, *WHOLE))
+
+
 def to_number(c: Column, dtype: T.DataType) -> Column:
-    """Micros for times, days for dates, the value itself for integers."""
+    """Micros for times, days for dates, the value itself for integers, without its point for decimals."""
+    if isinstance(dtype, T.DecimalType):
+        return (c.cast(T.DecimalType(38, dtype.scale)) * F.lit(10**dtype.scale)).cast("long")
     if isinstance(dtype, TIMES):
         return F.unix_micros(c.cast("timestamp"))
     if isinstance(dtype, T.DateType):
@@ -29,4 +39,6 @@ def to_literal(value: int, dtype: T.DataType) -> Column:
         return F.timestamp_micros(F.lit(value)).cast(dtype)
     if isinstance(dtype, T.DateType):
         return F.date_from_unix_date(F.lit(value).cast("int"))
+    if isinstance(dtype, T.DecimalType):
+        return F.lit(Decimal(value).scaleb(-dtype.scale)).cast(dtype)
     return F.lit(value).cast(dtype)

@@ -46,4 +46,7 @@ def step_after(ts: Column | str, steps: Column | int, minutes: int = 10) -> Colu
     """a timestamp plus a number of fixed steps."""
     ts = F.col(ts) if isinstance(ts, str) else ts
     steps = F.lit(steps) if isinstance(steps, int) else steps
-    return ts + F.make_dt_interval(mins=(steps * F.lit(minutes)).cast("int"))
+    total = steps.cast("bigint") * F.lit(minutes).cast("bigint")
+    # Days and the rest apart: minutes alone would not fit an INT after some 4,000 years.
+    days = F.floor(total / 1440).cast("int")
+    return ts + F.make_dt_interval(days=days, mins=F.pmod(total, F.lit(1440).cast("bigint")).cast("int"))

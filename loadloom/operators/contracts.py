@@ -40,9 +40,13 @@ def _cast(df: DataFrame, field: T.StructField, value: Column, lenient: bool) ->
     if df.schema[field.name].dataType == field.dataType:
         return value
     if isinstance(df.schema[field.name].dataType, T.StringType) and isinstance(field.dataType, _WHOLE):
-        # '3.0' is a whole number in the source files; go through DOUBLE.
-        number = value.try_cast("double") if lenient else value.cast("double")
-        return number.try_cast(field.dataType) if lenient else number.cast(field.dataType)
+        # '3.0' is a whole number in the source files. Through DECIMAL, since DOUBLE would blur long ones; a fraction that
+        # is not zero, or more digits than the type holds, is a violation.
+        number = value.try_cast("decimal(38,9)")
+        found = F.coalesce(
+            value.try_cast(field.dataType), F.when(number == F.floor(number), number).try_cast(field.dataType)
+        )
+        return found if lenient else F.coalesce(found, value.cast(field.dataType))
     return value.try_cast(field.dataType) if lenient else value.cast(field.dataType)
 
 

@@ -128,8 +128,9 @@ def champion_challenger_tables(
 
 
 def with_errors(df: DataFrame, actual: str, predictions: Sequence[str]) -> DataFrame:
-    """``error_<suffix>`` beside each ``prediction_<suffix>`` column."""
-    return df.withColumns({p.replace("prediction", "error", 1): absolute_error(actual, p) for p in predictions})
+    """``error_<suffix>`` beside each ``prediction_<suffix>`` column, ``error_<name>`` beside any other."""
+    named = {p: "error" + p.removeprefix("prediction") if p.startswith("prediction") else f"error_{p}" for p in predictions}
+    return df.withColumns({name: absolute_error(actual, p) for p, name in named.items()})
 
 
 def mean_importance(df: DataFrame) -> DataFrame:

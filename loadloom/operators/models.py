@@ -24,11 +24,15 @@ SEED = 42
 
 @dataclass(frozen=True)
 class Boosting:
-    """Gradient boosting: shrinkage, rounds, depth."""
+    """Gradient boosting: shrinkage, rounds, depth.
+
+    ``max_bins``: distinct values of an input that a split can tell apart; more of them are binned by their quantiles.
+    """
 
     learning_rate: float = 0.01
     n_estimators: int = 1000
     max_depth: int = 6
+    max_bins: int = 32
 
     def estimator(self, target: str, output: str) -> GBTRegressor:
         return GBTRegressor(
@@ -38,6 +42,7 @@ class Boosting:
             stepSize=self.learning_rate,
             maxIter=self.n_estimators,
             maxDepth=self.max_depth,
+            maxBins=self.max_bins,
             featureSubsetStrategy="all",
             checkpointInterval=10,
             seed=SEED,
@@ -46,11 +51,15 @@ class Boosting:
 
 @dataclass(frozen=True)
 class Forest:
-    """Random forest: trees, depth; every split sees all features, every tree its own draw of the rows."""
+    """Random forest: trees, depth; every split sees all features, every tree its own draw of the rows.
+
+    ``max_bins`` as for ``Boosting``.
+    """
 
     n_estimators: int = 1000
     max_depth: int = 6
     bootstrap: bool = True
+    max_bins: int = 32
 
     def estimator(self, target: str, output: str) -> RandomForestRegressor:
         return RandomForestRegressor(
@@ -59,6 +68,7 @@ class Forest:
             predictionCol=output,
             numTrees=self.n_estimators,
             maxDepth=self.max_depth,
+            maxBins=self.max_bins,
             featureSubsetStrategy="all",
             bootstrap=self.bootstrap,
             seed=SEED,

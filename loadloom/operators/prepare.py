@@ -55,6 +55,14 @@ def fit(
     return profile
 
 
+def fixed(profile: DataFrame) -> DataFrame:
+    """The profile with its values: the fit runs once, here, and every later use gets the same statistics.
+
+    It has one row per column of the fitted frame and can be stored like any small table.
+    """
+    return profile.sparkSession.createDataFrame(profile.collect(), profile.schema)
+
+
 def _profile_row(column, mean, scale, levels):
     return F.struct(
         F.lit(column).alias("column"),

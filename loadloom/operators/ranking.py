@@ -5,7 +5,7 @@ bins, combined before the shuffle), keeps the one bin that holds the position an
 scans of one column suffice for any size, a timestamp shared by a third of the rows is only a large count, and rows are
 then told apart by a plain comparison that reaches the file scan. Nothing is sorted, shuffled or numbered.
 
-Order: time ascending, then key ascending; missing values come last.
+Order: time ascending, then key ascending, then a hash of the row; missing values come last.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadloom import names
-from loadloom.functions.literals import TIMES, WHOLE, to_literal, to_number
+from loadloom.functions.literals import has_number, to_literal, to_number
 
 BINS = 1024
 # With this many rows or fewer left in a bin, their distinct values are fetched.
@@ -49,13 +49,13 @@ def value_at_rank(df: DataFrame, column: str, rank: int | Callable[[int], int])
     """The value of ``column`` at a 1-based position in ascending order, missing values last.
 
     The position may depend on the number of rows, which is found on the way; a position before the first or past the
-    last row is moved there. Times and dates come back as numbers (micros, days). Works for times, dates, integers and
-    text.
+    last row is moved there. Times, dates and decimals come back as numbers (micros, days, without the point). Works for
+    times, dates, integers, decimals of up to 18 digits, text and bytes.
     """
     dtype = df.schema[column].dataType
     rows = df.select(column)
-    number = not isinstance(dtype, T.StringType)
-    if number and not isinstance(dtype, (*TIMES, T.DateType, *WHOLE)):
+    number = has_number(dtype)
+    if not number and not isinstance(dtype, (T.StringType, T.BinaryType)):
         raise TypeError(f"cannot order by {column}: {dtype.simpleString()}")
     v = to_number(F.col(column), dtype) if number else F.lit(None)
     total, count, lo, hi = rows.agg(F.count(F.lit(1)), F.count(column), F.min(v), F.max(v)).first()
@@ -67,7 +67,7 @@ def value_at_rank(df: DataFrame, column: str, rank: int | Callable[[int], int])
         return Place(None, count, total - count, asked)
     if number:
         return _number_at_rank(rows, column, dtype, asked, count, lo, hi)
-    return _text_at_rank(rows, column, asked, count)
+    return _text_at_rank(rows, column, dtype, asked, count)
 
 
 def _number_at_rank(
@@ -94,12 +94,14 @@ def _number_at_rank(
     return Place(lo, before, count, rank)
 
 
-def _text_at_rank(rows: DataFrame, column: str, rank: int, count: int) -> Place:
-    text = F.encode(F.col(column), "UTF-8")
+def _text_at_rank(rows: DataFrame, column: str, dtype: T.DataType, rank: int, count: int) -> Place:
+    binary = isinstance(dtype, T.BinaryType)
+    text = F.col(column) if binary else F.encode(F.col(column), "UTF-8")
     before, prefix, inside = 0, b"", rows.filter(F.col(column).isNotNull())
     while True:
         if count <= DIRECT:
-            return _pick([tuple(r) for r in inside.groupBy(column).count().collect()], rank, before)
+            found = [(bytes(v) if binary else v, n) for v, n in inside.groupBy(column).count().collect()]
+            return _pick(found, rank, before)
         # Two more bytes at a time: byte order is text order, and the number of pairs is bounded.
         pair = F.hex(F.substring(text, len(prefix) + 1, 2)).alias("pair")
         for p, n in sorted(tuple(r) for r in inside.groupBy(pair).count().collect()):
@@ -109,11 +111,11 @@ def _text_at_rank(rows: DataFrame, column: str, rank: int, count: int) -> Place:
             before += n
         prefix += bytes.fromhex(p)
         if len(p) < 4:
-            return Place(prefix.decode("UTF-8"), before, count, rank)
-        inside = rows.filter(
-            F.col(column).startswith(prefix.decode("UTF-8", "ignore"))
-            & (F.hex(F.substring(text, 1, len(prefix))) == F.lit(prefix.hex().upper()))
-        )
+            return Place(prefix if binary else prefix.decode("UTF-8"), before, count, rank)
+        within = F.hex(F.substring(text, 1, len(prefix))) == F.lit(prefix.hex().upper())
+        if not binary:
+            within = F.col(column).startswith(prefix.decode("UTF-8", "ignore")) & within
+        inside = rows.filter(within)
 
 
 @dataclass(frozen=True)
@@ -160,7 +162,7 @@ def _sides(c: Column, dtype: T.DataType, at: Place) -> tuple[Column, Column, Col
     """Before, at and after a place, missing values last; none of them NULL on the rows it must pass."""
     if at.value is None:
         return c.isNotNull(), c.isNull(), F.lit(False)
-    here = F.lit(at.value) if isinstance(dtype, T.StringType) else to_literal(at.value, dtype)
+    here = to_literal(at.value, dtype) if has_number(dtype) else F.lit(at.value)
     return c < here, c == here, (c > here) | c.isNull()
 
 
@@ -221,11 +223,12 @@ def split_summary(df: DataFrame, time: str = names.TIME) -> DataFrame:
 def rows_between(
     df: DataFrame, start: int, stop: int, time: str = names.TIME, key: str = names.KEY
 ) -> DataFrame:
-    """Rows at positions ``start`` (0-based) up to, not including, ``stop``, in time and key order."""
+    """Rows at positions ``start`` (0-based) up to, not including, ``stop``, in the order of ``cut_at``.
+
+    Which rows they are does not depend on how many; the frame itself is not sorted (``in_time_order`` does that).
+    """
     if stop <= start:
         return df.limit(0)
-    if stop <= DIRECT:
-        return df.orderBy(F.asc_nulls_last(time), F.asc_nulls_last(key)).offset(start).limit(stop - start)
     upto = _part(df, cut_at(df, stop, time, key), True)
     return _part(upto, cut_at(upto, start, time, key), False) if start > 0 else upto
 
@@ -236,10 +239,15 @@ def in_time_order(df: DataFrame, time: str = names.TIME, key: str = names.KEY) -
 
 
 def latest(df: DataFrame, n: int = 5, time: str = names.TIME, key: str = names.KEY) -> DataFrame:
-    """O2: the last ``n`` rows, oldest first."""
-    return df.orderBy(F.desc(time), F.desc(key)).limit(n).orderBy(time, key)
+    """O2: the last ``n`` of the rows that have a time, oldest first: cut off by counts, then sorted by ranges."""
+    dated = df.filter(F.col(time).isNotNull())
+    if n <= 0:
+        return dated.limit(0)
+    return in_time_order(_part(dated, cut_at(dated, lambda rows: max(0, rows - n), time, key), False), time, key)
 
 
 def earliest(df: DataFrame, n: int = 5, time: str = names.TIME, key: str = names.KEY) -> DataFrame:
-    """O3: the first ``n`` rows."""
-    return df.orderBy(F.asc_nulls_last(time), F.asc_nulls_last(key)).limit(n)
+    """O3: the first ``n`` rows, oldest first: cut off by counts, then sorted by ranges."""
+    if n <= 0:
+        return df.limit(0)
+    return in_time_order(_part(df, cut_at(df, n, time, key), True), time, key)

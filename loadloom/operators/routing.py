@@ -14,8 +14,8 @@ MODEL_B = "Model B"
 
 
 def goes_to_a(key: Column | str = names.KEY) -> Column:
-    """Odd digests go to A, even ones to B."""
-    return digest_parity(text_digest(key)) == 1
+    """Odd digests go to A, even ones to B, and so does a missing key."""
+    return F.coalesce(digest_parity(text_digest(key)) == 1, F.lit(False))
 
 
 def assign(df: DataFrame, key: str = names.KEY) -> DataFrame:
@@ -30,7 +30,10 @@ def route(df: DataFrame, prediction_a: str, prediction_b: str, key: str = names.
 
 
 def route_scored(df: DataFrame, score_a, score_b, key: str = names.KEY, outputs: list[str] | None = None) -> DataFrame:
-    """Each row is scored by its own model only, so the work is that of one model."""
+    """Each row is scored by its own model only, so the work is that of one model.
+
+    Both branches read ``df``: write it first if making it costs more than scanning it twice.
+    """
     outputs = outputs or names.PREDICTED
     a = score_a(df.filter(goes_to_a(key))).select(*df.columns, *outputs).withColumn("model", F.lit(MODEL_A))
     b = score_b(df.filter(~goes_to_a(key))).select(*df.columns, *outputs).withColumn("model", F.lit(MODEL_B))

@@ -3,16 +3,37 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadloom.operators.ranking import DIRECT, value_at_rank
-from loadloom.session import scratch_path
+from loadloom.operators.ranking import value_at_rank
+from loadloom.session import remove, scratch_path
+
+
+@contextmanager
+def exact_sample(df: DataFrame, n: int, seed: int = 0) -> Iterator[DataFrame]:
+    """``sample_exactly`` for the length of a block; its stored draws are removed at the end."""
+    kept, path = _drawn(df, n, seed)
+    try:
+        yield kept
+    finally:
+        if path:
+            remove(df.sparkSession, path)
 
 
 def sample_exactly(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """``n`` independent uniform draws of rows.
+    """``n`` independent uniform draws of rows, in no order.
+
+    The draws are kept below the shared scratch folder; use ``exact_sample`` to have them removed.
+    """
+    return _drawn(df, n, seed)[0]
+
+
+def _drawn(df: DataFrame, n: int, seed: int) -> tuple[DataFrame, str | None]:
+    """The draws and where they are kept.
 
     Spark's sampling with replacement gives every row its own Poisson number of copies: a random number of independent
     uniform draws in all. Asking for slightly more than ``n`` and keeping a random ``n`` of them leaves exactly that
@@ -22,7 +43,7 @@ def sample_exactly(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
     if n <= 0 or size == 0:
         if n > 0:
             raise ValueError("cannot draw from an empty frame")
-        return df.limit(0)
+        return df.limit(0), None
     while True:
         # Eight deviations above n: falling short has a probability below 1e-14, and is then retried.
         expected = n + 8 * math.sqrt(n) + 16
@@ -34,9 +55,8 @@ def sample_exactly(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
         stored = df.sparkSession.read.schema(numbered.schema).parquet(path)
         if stored.count() >= n:
             break
+        remove(df.sparkSession, path)
         seed += 2
-    if n <= DIRECT:
-        return stored.orderBy("_draw").limit(n).drop("_draw")
     last = value_at_rank(stored, "_draw", n)
     kept = stored.filter(F.col("_draw") <= F.lit(last.value))
     surplus = last.before + last.ties - n
@@ -44,4 +64,4 @@ def sample_exactly(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
         # Equal 63-bit draw numbers: all but practically impossible, resolved among those few rows.
         tied = stored.filter(F.col("_draw") == F.lit(last.value)).limit(last.ties - surplus)
         kept = stored.filter(F.col("_draw") < F.lit(last.value)).unionAll(tied)
-    return kept.drop("_draw")
+    return kept.drop("_draw"), path

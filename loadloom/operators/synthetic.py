@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -30,6 +31,11 @@ def time_grid(df: DataFrame, rows: int = 1008, minutes: int = 10, time: str = na
     )
 
 
+def _seed_of(seed: int, column: str) -> int:
+    """Spark adds the number of the partition to a seed, so seeds of columns must lie far apart to give other streams."""
+    return int.from_bytes(hashlib.sha256(f"{seed}:{column}".encode()).digest()[:7], "big")
+
+
 def continue_series(
     df: DataFrame,
     columns: Sequence[str],
@@ -46,7 +52,7 @@ def continue_series(
     """
     found = {r["column"]: r for r in moments(df, columns).collect()}
     values = []
-    for i, c in enumerate(columns):
+    for c in columns:
         mean, deviation = F.lit(found[c]["mean"]).cast("double"), F.lit(found[c]["deviation"]).cast("double")
-        values.append((F.randn(seed + i) * deviation + mean).alias(c))
+        values.append((F.randn(_seed_of(seed, c)) * deviation + mean).alias(c))
     return time_grid(df if marked is None else marked, rows, minutes, time).select(time, *values)

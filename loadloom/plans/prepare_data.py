@@ -62,7 +62,7 @@ def prepared_parts(
     """
     raw = _keyed(raw)
     train, test = split_frames(raw, test_size)
-    profile = prepare.fit(raw if fit_on == "all" else train, domains=domains)
+    profile = prepare.fixed(prepare.fit(raw if fit_on == "all" else train, domains=domains))
     return prepared(train, profile), prepared(test, profile)
 
 

@@ -24,6 +24,7 @@ TABLES = (
 KINDS = {
     "bigint": {"BIGINT", "NUMBER"},
     "double": {"DOUBLE", "NUMBER"},
+    "int": {"INTEGER", "NUMBER"},
     "string": {"VARCHAR", "STRING"},
     "boolean": {"BOOLEAN", "BOOL"},
     "timestamp_ntz": {"TIMESTAMP", "DATETIME"},

@@ -120,12 +120,38 @@ def test_slices_by_position(spark, monkeypatch):
     df = spark.createDataFrame(rows, "t timestamp_ntz, k string")
     expected = in_order(rows)
     for start, stop in [(0, 1), (1, 2), (10, 40), (50, 100), (5, 5)]:
-        small = [tuple(r) for r in ranking.rows_between(df, start, stop, "t", "k").collect()]
+        got = ranking.in_time_order(ranking.rows_between(df, start, stop, "t", "k"), "t", "k")
+        assert [tuple(r) for r in got.collect()] == expected[start:stop]
         monkeypatch.setattr(ranking, "DIRECT", 0)
-        large = {tuple(r) for r in ranking.rows_between(df, start, stop, "t", "k").collect()}
+        looked_closer = {tuple(r) for r in ranking.rows_between(df, start, stop, "t", "k").collect()}
         monkeypatch.undo()
-        assert small == expected[start:stop]
-        assert large == set(expected[start:stop])
+        assert looked_closer == set(expected[start:stop])
+
+
+def test_slices_of_tied_rows_nest(spark):
+    df = spark.range(30).select(F.lit(datetime(2020, 1, 1)).alias("t"), F.lit("same").alias("k"), "id")
+    slices = [{r["id"] for r in ranking.rows_between(df, 0, n, "t", "k").collect()} for n in (0, 3, 10, 11, 30)]
+    assert [len(s) for s in slices] == [0, 3, 10, 11, 30] and all(a <= b for a, b in zip(slices, slices[1:]))
+
+
+@pytest.mark.parametrize("kind", ["decimal(12,3)", "decimal(5,0)", "binary", "bigint"])
+def test_keys_of_other_kinds_order_the_ties(spark, tiny_bins, kind):
+    key = F.encode(F.lpad(F.col("id").cast("string"), 3, "0"), "UTF-8") if kind == "binary" else (F.col("id") - 20).cast(kind)
+    df = spark.range(50).select(F.lit(datetime(2020, 1, 1)).alias("t"), key.alias("k"), "id").repartition(3)
+    train, test = ranking.split_frames(df, 0.2, "t", "k")
+    assert sorted(r["id"] for r in train.collect()) == list(range(40))
+    assert sorted(r["id"] for r in test.collect()) == list(range(40, 50))
+
+
+def test_latest_of_many_rows_is_not_one_task(spark):
+    df = spark.range(30_000).select(F.timestamp_seconds(F.col("id") % 20_000).alias("t"), F.col("id").alias("k"))
+    last = ranking.latest(df, 12_000, "t", "k")
+    assert "TakeOrdered" not in plan_of(last)
+    want = sorted(((i % 20_000, i) for i in range(30_000)))[-12_000:]
+    assert [r["k"] for r in last.collect()] == [i for _, i in want]
+    first = ranking.earliest(df, 12_000, "t", "k")
+    assert [r["k"] for r in first.collect()] == [i for _, i in sorted(((i % 20_000, i) for i in range(30_000)))[:12_000]]
+    assert ranking.latest(df, 0, "t", "k").count() == ranking.earliest(df, 0, "t", "k").count() == 0
 
 
 def test_latest_and_earliest(spark, hourly):

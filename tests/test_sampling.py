@@ -1,5 +1,6 @@
 import math
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from loadloom import names
 from loadloom.operators import sampling
 from loadloom.operators.synthetic import continue_series, moments
 from loadloom.plans import prepare_data
+from loadloom.session import scratch_path
 
 
 @pytest.mark.parametrize("n", [1, 10, 1000, 5000])
@@ -15,8 +17,23 @@ def test_exactly_n_rows(spark, n):
     assert sampling.sample_exactly(spark.range(1000), n, seed=n).count() == n
 
 
-def test_large_draw_takes_the_counting_way(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "DIRECT", 100)
+def test_a_block_leaves_nothing_behind(spark):
+    root = Path(scratch_path(spark, "x")).parent
+    before = set(root.glob("draws-*"))
+    with sampling.exact_sample(spark.range(100), 500) as rows:
+        assert rows.count() == 500
+    assert set(root.glob("draws-*")) == before
+
+
+def test_columns_share_no_random_stream(spark):
+    df = spark.range(1000).select(F.timestamp_seconds("id").alias("DateTime"), *[(F.col("id") * k).cast("double").alias(f"c{k}") for k in (1, 2, 3)])
+    rows = continue_series(df.repartition(4), ["c1", "c2", "c3"], rows=4000).collect()
+    found = {m["column"]: m for m in moments(df, ["c1", "c2", "c3"]).collect()}
+    drawn = [{round((r[c] - found[c]["mean"]) / found[c]["deviation"], 9) for r in rows} for c in ("c1", "c2", "c3")]
+    assert all(len(d) > 3990 for d in drawn) and not drawn[0] & drawn[1] and not drawn[1] & drawn[2] and not drawn[0] & drawn[2]
+
+
+def test_draws_are_uneven_as_chance_has_it(spark):
     out = sampling.sample_exactly(spark.range(50), 2000, seed=4)
     counts = {r["id"]: r["count"] for r in out.groupBy("id").count().collect()}
     assert sum(counts.values()) == 2000 and set(counts) == set(range(50))
