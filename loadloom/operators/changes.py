@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadloom import names
@@ -30,3 +30,9 @@ def change_set(old: DataFrame, new: DataFrame, columns: Sequence[str], key: str
         F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "delete").when(~same, "update")
     )
     return both.withColumn("change", change).filter(F.col("change").isNotNull()).drop("_old", "_new")
+
+
+def as_updates(changes: DataFrame, columns: Sequence[str], version: Column, key: str | Sequence[str] = names.KEY) -> DataFrame:
+    """A change set as rows for the keyed sync (T2): key columns, new values, ``version`` and ``deleted``."""
+    values = [F.col(f"new_{c}").alias(c) for c in columns]
+    return changes.select(*key_columns(key), *values, version.alias("version"), (F.col("change") == "delete").alias("deleted"))

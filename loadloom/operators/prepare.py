@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadloom import names
 from loadloom.functions import calendar_parts, fill, indicators, standardise, whole
@@ -32,8 +33,10 @@ def fit(
     ``mean`` ignores missing values and is also what fills them. ``scale`` is the population deviation after filling:
     with m of n values present it is the deviation of the present ones times sqrt(m / n), so one pass gives both. A
     constant column gets scale 1. ``levels`` are the declared ones, or without a declaration those found in the frame
-    (a missing value counts as level -1).
+    (a missing value counts as level -1). Categories that are text have theirs in ``labels``, a column that is there
+    only if some category is text (a missing value is then no level).
     """
+    text = [c for c in categories if isinstance(df.schema[c].dataType, T.StringType)]
     values = nan_to_null(df, list(numeric))
     aggs = [F.count(F.lit(1)).alias("n")]
     rows = []
@@ -43,18 +46,39 @@ def fit(
         deviation = F.col(f"s{i}") * F.sqrt(F.col(f"c{i}") / F.col("n"))
         scale = F.when(deviation > 0, deviation).otherwise(1.0)
         rows.append(_profile_row(c, F.col(f"m{i}"), scale, F.lit(None)))
-    undeclared = [c for c in categories if domains is None or c not in domains]
+    declared = {} if domains is None else domains
+    undeclared = [c for c in categories if c not in text and c not in declared]
     for c in categories:
-        if c not in undeclared:
+        if c not in undeclared and c not in text:
             levels = F.array(*[F.lit(int(v)) for v in domains[c]])
             rows.append(_profile_row(c, F.lit(None), F.lit(None), levels))
     kind = "array<struct<column:string,mean:double,scale:double,levels:array<int>>>"
     profile = df.agg(*aggs).select(F.inline(F.array(*rows).cast(kind)))
     if undeclared:
         profile = profile.unionByName(_found_levels(df, undeclared, max_levels))
+    if text:
+        profile = profile.withColumn("labels", F.lit(None).cast("array<string>"))
+        profile = profile.unionByName(_text_levels(df, text, declared, max_levels), allowMissingColumns=True)
     return profile
 
 
+def _text_levels(df: DataFrame, categories: Sequence[str], declared: Mapping[str, list], max_levels: int) -> DataFrame:
+    """A7 for text: the declared labels, or the sorted ones found, at most ``max_levels`` per column."""
+    given = [F.struct(F.lit(c).alias("column"), F.array(*[F.lit(str(v)) for v in declared[c]]).alias("labels")) for c in categories if c in declared]
+    sought = [c for c in categories if c not in declared]
+    kind = "array<struct<column:string,labels:array<string>>>"
+    out = df.sparkSession.range(1).select(F.inline(F.array(*given).cast(kind)))
+    if sought:
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("label")) for c in sought])
+        # If the limit cuts anything off, some column has more labels than allowed and the check below fires.
+        found = df.select(F.inline(pairs)).where("label is not null").distinct().limit(max_levels * len(sought) + 1)
+        labels = found.groupBy("column").agg(F.array_sort(F.collect_list("label")).alias("labels"))
+        message = F.concat(F.col("column"), F.lit(f" has more than {max_levels} levels"))
+        checked = F.when(F.size("labels") > max_levels, F.raise_error(message)).otherwise(F.col("labels"))
+        out = out.unionByName(labels.select("column", checked.alias("labels")))
+    return out
+
+
 def fixed(profile: DataFrame) -> DataFrame:
     """The profile with its values: the fit runs once, here, and every later use gets the same statistics.
 
@@ -113,17 +137,24 @@ def apply(
     return df.select(*keep, *_prepared(df, profile, cut_to_whole))
 
 
+def _is_category(entry: Mapping) -> bool:
+    return entry["levels"] is not None or entry.get("labels") is not None
+
+
 def _prepared(df: DataFrame, profile: DataFrame, cut_to_whole: Sequence[str]) -> list:
     # Numeric columns first, in profile order, then categories by name.
-    entries = sorted(profile.collect(), key=lambda e: (e["levels"] is not None, e["column"] if e["levels"] else ""))
-    numeric = [e["column"] for e in entries if e["levels"] is None]
+    entries = [e.asDict() for e in profile.collect()]
+    entries.sort(key=lambda e: (_is_category(e), e["column"] if _is_category(e) else ""))
+    numeric = [e["column"] for e in entries if not _is_category(e)]
     values = nan_to_null(df, numeric)
     out = []
     for e in entries:
         c = e["column"]
-        if e["levels"] is None:
+        if not _is_category(e):
             x = standardise(fill(values[c].cast("double"), F.lit(e["mean"]).cast("double")), e["mean"], e["scale"])
             out.append((whole(x) if c in cut_to_whole else x).alias(c))
+        elif e.get("labels") is not None:
+            out += [col.alias(n) for n, col in indicators(c, e["labels"]).items()]
         else:
             source = fill(F.col(c).cast("int"), MISSING_LEVEL)
             out += [col.alias(n) for n, col in indicators(c, e["levels"], source=source).items()]

@@ -146,7 +146,7 @@ def cut_at(
     first, same, rest = _sides(F.col(time), df.schema[time].dataType, at)
     if at.before + at.ties == at.rank:
         return Cut(first | same, rest)
-    for column, dtype in ((F.col(key), df.schema[key].dataType), (_row_hash(df), T.LongType())):
+    for column, dtype in ((F.col(key), df.schema[key].dataType), (row_hash(df), T.LongType())):
         tied = df.filter(same).select(column.alias("v"))
         at = value_at_rank(tied, "v", at.rank - at.before)
         earlier, equal, later = _sides(column, dtype, at)
@@ -166,7 +166,8 @@ def _sides(c: Column, dtype: T.DataType, at: Place) -> tuple[Column, Column, Col
     return c < here, c == here, (c > here) | c.isNull()
 
 
-def _row_hash(df: DataFrame) -> Column:
+def row_hash(df: DataFrame) -> Column:
+    """A hash over all columns, whatever their types."""
     # Half the range, so that differences of two hashes stay within a LONG.
     values = [F.to_json(f.name) if isinstance(f.dataType, T.MapType) else F.col(f.name) for f in df.schema.fields]
     return F.shiftrightunsigned(F.xxhash64(*values), 1)

@@ -166,6 +166,20 @@ joined AS (
 
 _INTERACTION = "Temperature * Humidity * Wind_Speed"
 
+_CUSTOMER = (
+    "SELECT o.o_orderkey, o.o_custkey, c.c_mktsegment, round(c.c_acctbal, 6) + 0.0 AS c_acctbal "
+    "FROM (SELECT o_orderkey, {} AS o_custkey FROM orders) o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"
+)
+_LINES = """
+lines AS (
+  SELECT l_orderkey, l_linenumber, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity, count(*) AS copies
+  FROM lineitem GROUP BY l_orderkey, l_linenumber)"""
+_SYNCED = (
+    "SELECT event_id, ts, user_id, event_type, round(value, 6) + 0.0 AS value, props FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS nth FROM events) "
+    "WHERE nth = 1 AND event_type <> 'purchase'"
+)
+
 ORACLES: dict[str, str] = {
     "calendar_features": f"WITH {CALENDAR} SELECT id, CAST(Hour AS BIGINT) AS Hour, CAST(Day AS BIGINT) AS Day, "
     "CAST(Month AS BIGINT) AS Month, CAST(DayOfWeek AS BIGINT) AS DayOfWeek, CAST(IsWeekend AS BIGINT) AS IsWeekend "
@@ -292,10 +306,10 @@ SELECT CAST(CASE WHEN nw > 0 THEN 1 ELSE 0 END AS BIGINT) AS refreshed, tr AS tr
        tr + CASE WHEN nw > 0 THEN te ELSE 0 END AS train_after, te AS test_before,
        CASE WHEN nw > 0 THEN nw ELSE te END AS test_after FROM counts""",
     "unseen_keys": _readings("readings WHERE DateTime >= '2024-01-25'"),
-    "union_by_position": f"WITH {REFRESH} SELECT id, {_r('Wind_Speed')} FROM "
-    "(SELECT * FROM train UNION ALL SELECT * FROM test)",
-    "union_by_name": f"WITH {REFRESH} SELECT id, {_r('Wind_Speed')}, CAST(NULL AS DOUBLE) AS Humidity FROM train "
-    f"UNION ALL SELECT id, NULL, {_r('Humidity')} FROM test",
+    "union_by_position": f"WITH {BASE} SELECT id, {_r('Wind_Speed')} FROM readings",
+    "union_by_name": f"WITH {BASE} SELECT id, {_r('Wind_Speed')}, CAST(NULL AS DOUBLE) AS Humidity FROM readings "
+    f"WHERE DateTime < '2024-01-20' UNION ALL SELECT id, NULL, {_r('Humidity')} FROM readings "
+    "WHERE DateTime >= '2024-01-20'",
     "changed_rows": f"""WITH {BASE},
 older AS (SELECT * FROM readings WHERE DateTime < '2024-01-25'),
 newer AS (
@@ -315,8 +329,8 @@ SELECT * FROM both_sides WHERE change IS NOT NULL""",
     "stream_sync_state": "SELECT event_id, ts, user_id, event_type, round(value, 6) + 0.0 AS value, props FROM ("
     "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS nth FROM events) "
     "WHERE nth = 1",
-    "appended_table": _readings("(SELECT * FROM train UNION ALL SELECT * FROM test)", ctes=REFRESH),
-    "overwritten_table": _readings("test", ctes=REFRESH),
+    "appended_table": _readings("readings"),
+    "overwritten_table": _readings("readings"),
     "inserted_features": f"WITH {PREPARED} SELECT id, DateTime, "
     + ", ".join(_r(c) for c in [*names.WEATHER, *names.FLOWS])
     + f", {', '.join(names.INDICATORS)} FROM prepared",
@@ -351,9 +365,9 @@ SELECT * FROM both_sides WHERE change IS NOT NULL""",
     + _r(f"CASE WHEN {ODD} THEN prediction_old ELSE prediction_new END", "Prediction")
     + f", CASE WHEN {ODD} THEN 'Model A' ELSE 'Model B' END AS model FROM scored",
     "scaled_prediction": f"WITH {SCORED} SELECT id, {_r('prediction_new * 1.3', 'prediction_new')} FROM scored",
-    "prediction_table": f"WITH {REFRESH} SELECT id, {', '.join(_r(c) for c in names.WEATHER)}, "
+    "prediction_table": f"WITH {BASE} SELECT id, {', '.join(_r(c) for c in names.WEATHER)}, "
     + ", ".join(_r(f"{t} * 0.5", p) for t, p in zip(names.TARGETS, names.PREDICTED, strict=True))
-    + " FROM (SELECT * FROM train UNION ALL SELECT * FROM test)",
+    + " FROM readings",
     "latest_run_by_tag": "SELECT CAST(o_orderkey AS VARCHAR) AS run_id, o_orderpriority AS experiment, "
     "o_orderdate AS started, round(o_totalprice, 6) + 0.0 AS price FROM orders WHERE o_orderstatus = 'F' "
     "ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC LIMIT 1",
@@ -419,4 +433,50 @@ ORACLES |= {
     "synthetic_moments": " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", true AS mean_fits, true AS deviation_fits" for c in READING_DOUBLES
     ),
+    # Repeated, missing and hot keys, ties, long numbers, stored state.
+    "lookup_repeated_key_unused": _CUSTOMER.format("o_custkey"),
+    "lookup_null_keys": _CUSTOMER.format("CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END"),
+    "lookup_hot_key": _CUSTOMER.format("CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END"),
+    "composite_key_lookup": f"""WITH {_LINES}
+SELECT b.l_orderkey, CAST(b.l_linenumber AS BIGINT) AS l_linenumber, b.l_partkey, k.quantity, k.copies FROM lineitem b
+LEFT JOIN (SELECT * FROM lines WHERE l_orderkey % 5 <> 0) k
+ON b.l_orderkey = k.l_orderkey AND b.l_linenumber = k.l_linenumber""",
+    "composite_key_changes": f"""WITH {_LINES},
+older AS (SELECT * FROM lines WHERE l_orderkey % 5 <> 0),
+newer AS (
+  SELECT l_orderkey, l_linenumber, quantity + CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END AS quantity
+  FROM lines WHERE l_orderkey % 3 <> 0)
+SELECT * FROM (
+  SELECT coalesce(o.l_orderkey, n.l_orderkey) AS l_orderkey,
+         CAST(coalesce(o.l_linenumber, n.l_linenumber) AS BIGINT) AS l_linenumber,
+         o.quantity AS old_quantity, n.quantity AS new_quantity,
+         CASE WHEN o.l_orderkey IS NULL THEN 'insert' WHEN n.l_orderkey IS NULL THEN 'delete'
+              WHEN o.quantity <> n.quantity THEN 'update' END AS change
+  FROM older o FULL JOIN newer n ON o.l_orderkey = n.l_orderkey AND o.l_linenumber = n.l_linenumber)
+WHERE change IS NOT NULL""",
+    "row_slice_ties": "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 1000 OFFSET 100",
+    "latest_many_rows": "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 12000",
+    "time_steps_far": "SELECT event_id, epoch_us(ts) + (event_id + 250000000) * 600000000 AS micros FROM events",
+    "stored_refresh": f"""WITH {REFRESH}
+SELECT 'train' AS part, id FROM (SELECT * FROM train UNION ALL SELECT * FROM test)
+UNION ALL SELECT 'test', id FROM newer
+UNION ALL SELECT 'features', id FROM (SELECT * FROM source WHERE DateTime < '2024-01-25' UNION ALL SELECT * FROM newer)""",
+    "ab_scored_null_keys": f"""WITH {BASE},
+keyed AS (SELECT CASE WHEN Humidity >= 10 THEN id END AS id, Humidity FROM readings)
+SELECT id, {_r('Humidity')}, {_r(f'CASE WHEN id IS NOT NULL AND {ODD} THEN Humidity ELSE -Humidity END', 'Prediction')},
+       CASE WHEN id IS NOT NULL AND {ODD} THEN 'Model A' ELSE 'Model B' END AS model FROM keyed""",
+    "synthetic_independence": 'SELECT CAST(20000 AS BIGINT) AS "values", CAST(0 AS BIGINT) AS shared FROM events LIMIT 1',
+    "contract_long_integers": "SELECT event_id, CASE WHEN event_id % 3 <> 2 THEN event_id + 9007199254740993 END AS number FROM events",
+    "contract_fractions": "SELECT event_id, 'number' AS \"column\", CAST(event_id + 9007199254740993 AS VARCHAR) || '.7' AS value "
+    "FROM events WHERE event_id % 3 = 2",
+    "text_category_fit": """WITH found AS (
+  SELECT event_type AS label, count(*) AS rows, row_number() OVER (ORDER BY event_type) - 1 AS place FROM events
+  WHERE event_type IS NOT NULL GROUP BY event_type)
+SELECT place, label, CASE WHEN place > 0 THEN rows END AS n FROM found""",
+    "stream_sync_deletes": _SYNCED,
+    "stream_sync_compacted": _SYNCED,
+    "column_data_document": """SELECT '{"columns":["event_id","user_id","event_type","props"],"data":[[' || event_id || ','
+|| user_id || ',' || CAST(to_json(event_type) AS VARCHAR) || ',' || CAST(to_json(props) AS VARCHAR) || ']]}' AS document
+FROM events""",
+    "column_data_document_back": "SELECT event_id, event_type, props FROM events",
 }

@@ -399,15 +399,21 @@ def unseen_keys(spark, sf):
     return keys.unseen_rows(new, stored, names.KEY)
 
 
+def _halves(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """All readings, in two parts."""
+    source = readings(spark, sf)
+    return source.filter(F.col("DateTime") < _at(TEST_FROM)), source.filter(F.col("DateTime") >= _at(TEST_FROM))
+
+
 @query
 def union_by_position(spark, sf):
-    _, train, test, _ = _refresh_inputs(spark, sf)
+    train, test = _halves(spark, sf)
     return columns.stack_by_position(train.select("id", "Wind_Speed"), test.select("id", "Wind_Speed"))
 
 
 @query
 def union_by_name(spark, sf):
-    _, train, test, _ = _refresh_inputs(spark, sf)
+    train, test = _halves(spark, sf)
     return columns.stack_by_name(train.select("id", "Wind_Speed"), test.select("Humidity", "id"))
 
 
@@ -445,7 +451,7 @@ def _released(spark, name: str, path: str) -> DataFrame:
 
 @query
 def appended_table(spark, sf):
-    _, train, test, _ = _refresh_inputs(spark, sf)
+    train, test = _halves(spark, sf)
     name, path = _fresh_table(spark, "appended")
     tables.append(train, name, path)
     tables.append_unseen(test, name)
@@ -455,10 +461,11 @@ def appended_table(spark, sf):
 
 @query
 def overwritten_table(spark, sf):
-    _, train, test, _ = _refresh_inputs(spark, sf)
+    """The later half first, then all rows in its place: a frame that reads the table which it replaces."""
+    train, test = _halves(spark, sf)
     name, path = _fresh_table(spark, "overwritten")
-    tables.append(train, name, path)
-    tables.overwrite(test, name, path)
+    tables.append(test, name, path)
+    tables.overwrite(spark.table(name).unionByName(train.select(*spark.table(name).columns)), name, path)
     return _released(spark, name, path)
 
 
@@ -607,7 +614,7 @@ def scaled_prediction(spark, sf):
 
 @query
 def prediction_table(spark, sf):
-    _, train, test, _ = _refresh_inputs(spark, sf)
+    train, test = _halves(spark, sf)
 
     def score(df: DataFrame) -> DataFrame:
         return df.withColumn("predictions", F.array(*[F.col(t) * 0.5 for t in names.TARGETS]))
@@ -716,11 +723,10 @@ def batch_scored_keys(spark, sf):
     train, test = _prepared_parts(spark, sf)
     features = test.select(names.KEY, *names.WEATHER, *names.FLOWS)
     frame = training.training_frame(train, train.select(names.KEY, *names.FLOWS), key_checked=True)
-    target, output = names.TARGETS[:1], names.PREDICTED[:1]
-    fitted = models.fit_per_target(frame, SMALL_FOREST, training.FEATURES, target, output)
+    fitted = models.fit_per_target(frame, SMALL_FOREST, training.FEATURES)
     given = test.drop(*names.WEATHER, *names.FLOWS, *names.TARGETS)
     source = lookup.Lookup(features, [*names.WEATHER, *names.FLOWS])
-    return training.score_batch(fitted, given, [source], [lookup.WEATHER_FEATURE]).select(names.KEY, *output)
+    return training.score_batch(fitted, given, [source], [lookup.WEATHER_FEATURE]).select(names.KEY, *names.PREDICTED)
 
 
 @query
@@ -819,3 +825,188 @@ def synthetic_moments(spark, sf):
         (F.abs(F.col("mean") - F.col("m")) <= 5 * F.col("s") / rows**0.5).alias("mean_fits"),
         (F.abs(F.col("deviation") / F.col("s") - 1) <= 5 / (2 * rows) ** 0.5).alias("deviation_fits"),
     )
+
+
+# ---- repeated, missing and hot keys, ties, long numbers, stored state ------------------------------------------------
+
+
+def _customers(spark, sf) -> DataFrame:
+    return table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+
+
+def _customer_of(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    source = lookup.Lookup(customers, ["c_mktsegment", "c_acctbal"], key="c_custkey", base_key="o_custkey")
+    return lookup.look_up(orders.select("o_orderkey", "o_custkey"), source)
+
+
+@query
+def lookup_repeated_key_unused(spark, sf):
+    """Keys that nobody asks for are repeated in the table."""
+    customers = _customers(spark, sf)
+    unused = customers.withColumn("c_custkey", -1 - F.col("c_custkey") % 10)
+    return _customer_of(table(spark, sf, "orders"), customers.unionAll(unused))
+
+
+@query
+def lookup_null_keys(spark, sf):
+    """Some rows have no key, and some rows of the table neither."""
+    orders = table(spark, sf, "orders").withColumn("o_custkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey")))
+    customers = _customers(spark, sf)
+    return _customer_of(orders, customers.unionAll(customers.withColumn("c_custkey", F.lit(None).cast("bigint"))))
+
+
+@query
+def lookup_hot_key(spark, sf):
+    """One customer has a third of the orders."""
+    orders = table(spark, sf, "orders").withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey")))
+    return _customer_of(orders, _customers(spark, sf))
+
+
+def _order_lines(spark, sf) -> DataFrame:
+    """``lineitem`` with one row per order and line."""
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber")
+    return lines.agg(F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"), F.count(F.lit(1)).alias("copies"))
+
+
+@query
+def composite_key_lookup(spark, sf):
+    base = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    known = _order_lines(spark, sf).filter("l_orderkey % 5 <> 0")
+    return lookup.look_up(base, lookup.Lookup(known, ["quantity", "copies"], key=["l_orderkey", "l_linenumber"]))
+
+
+@query
+def composite_key_changes(spark, sf):
+    lines = _order_lines(spark, sf)
+    old = lines.filter("l_orderkey % 5 <> 0")
+    new = lines.filter("l_orderkey % 3 <> 0").withColumn("quantity", F.col("quantity") + (F.col("l_linenumber") == 1).cast("int"))
+    return change_set(old, new, ["quantity"], ["l_orderkey", "l_linenumber"])
+
+
+@query
+def row_slice_ties(spark, sf):
+    """Orders of one date are told apart by their key."""
+    orders = table(spark, sf, "orders")
+    return ranking.rows_between(orders, 100, 1100, "o_orderdate", "o_orderkey").select("o_orderkey", "o_orderdate")
+
+
+@query
+def latest_many_rows(spark, sf):
+    orders = table(spark, sf, "orders")
+    return ranking.latest(orders, 12_000, "o_orderdate", "o_orderkey").select("o_orderkey", "o_orderdate")
+
+
+@query
+def time_steps_far(spark, sf):
+    """More steps than minutes fit a 32-bit number."""
+    steps = F.col("event_id") + 250_000_000
+    far = step_after(F.col("ts").cast("timestamp"), steps, 10)
+    return table(spark, sf, "events").select("event_id", F.unix_micros(far).alias("micros"))
+
+
+@query
+def stored_refresh(spark, sf):
+    """Train, test and feature keys after a stored refresh that ran twice."""
+    source, train, test, features = _refresh_inputs(spark, sf)
+    made = {part: _fresh_table(spark, part) for part in ("source", "train", "test", "features")}
+    for part, rows in zip(made, (source, train, test, features), strict=True):
+        tables.append(rows, *made[part])
+    for _ in range(2):
+        refresh.run_refresh(spark, *[name for name, _ in made.values()])
+    out = None
+    for part in ("train", "test", "features"):
+        keys_of = _released(spark, *made[part]).select(F.lit(part).alias("part"), names.KEY)
+        out = keys_of if out is None else out.unionAll(keys_of)
+    spark.sql(f"DROP TABLE {made['source'][0]}")
+    return out
+
+
+@query
+def ab_scored_null_keys(spark, sf):
+    """Each row scored by its own model, rows without a key by B."""
+    rows = readings(spark, sf).select(F.when(F.col("Humidity") >= 10, F.col("id")).alias("id"), "Humidity")
+    score = lambda k: lambda df: df.withColumn("Prediction", F.col("Humidity") * k)
+    return routing.route_scored(rows, score(1), score(-1), outputs=["Prediction"])
+
+
+@query
+def synthetic_independence(spark, sf):
+    """Standardised values of generated columns: rows, and distinct values in each column and in all together."""
+    source, measures = readings(spark, sf), [*names.WEATHER, *names.FLOWS]
+    made = synthetic.continue_series(source.repartition(4), measures, 4000)
+    found = {r["column"]: r for r in synthetic.moments(source, measures).collect()}
+    drawn = [F.round((F.col(c) - found[c]["mean"]) / found[c]["deviation"], 11).alias("z") for c in measures]
+    rows = made.select(F.posexplode(F.array(*drawn)).alias("place", "z"))
+    each = rows.groupBy("place").agg(F.countDistinct("z").alias("n")).agg(F.sum("n").alias("per_column"))
+    overall = rows.agg(F.count(F.lit(1)).alias("values"), F.countDistinct("z").alias("overall"))
+    return overall.select("values", (each.scalar() - F.col("overall")).alias("shared"))
+
+
+_LONG = T.StructType([T.StructField("number", T.LongType())])
+
+
+def _long_texts(spark, sf) -> DataFrame:
+    """Numbers as text beyond what a DOUBLE holds, some with a fraction."""
+    number = (F.col("event_id") + 9_007_199_254_740_993).cast("string")
+    ending = F.when(F.col("event_id") % 3 == 0, "").when(F.col("event_id") % 3 == 1, ".0").otherwise(".7")
+    return table(spark, sf, "events").select("event_id", F.concat(number, ending).alias("number"))
+
+
+@query
+def contract_long_integers(spark, sf):
+    return contracts.coerce(_long_texts(spark, sf), _LONG, lenient=True).select("event_id", "number")
+
+
+@query
+def contract_fractions(spark, sf):
+    return contracts.violations(_long_texts(spark, sf), _LONG, ["event_id"])
+
+
+@query
+def text_category_fit(spark, sf):
+    """Levels of a text category found by the fit, and the rows of each by the indicators it gives."""
+    events = table(spark, sf, "events")
+    profile = prepare.fixed(prepare.fit(events, ["value"], ["event_type"], domains=None))
+    prepared = prepare.apply(events, profile, ["event_id"], ())
+    marks = [c for c in prepared.columns if c.startswith("event_type_")]
+    rows = F.array(*[F.struct(F.lit(c.removeprefix("event_type_")).alias("label"), F.col(c).alias("n")) for c in marks])
+    sums = prepared.agg(*[F.sum(c).alias(c) for c in marks]).select(F.inline(rows))
+    labels = profile.filter("column = 'event_type'").select(F.posexplode("labels").alias("place", "label"))
+    return labels.join(sums, "label", "left").select("place", "label", "n")
+
+
+def _synced(spark, sf, compacted: bool) -> DataFrame:
+    """Events in several files and batches, those of one type deletions."""
+    events = table(spark, sf, "events").withColumn("gone", F.col("event_type") == F.lit("purchase"))
+    source, target = scratch_path(spark, "feed"), scratch_path(spark, "sync")
+    version = ["ts", "event_id"]
+    for part in range(3):
+        events.filter(F.col("event_id") % 3 == part).repartition(2).write.mode("append").parquet(source)
+        keyed_sync.sync(keyed_sync.read_stream(spark, source, events.schema, 1), target, "user_id", version, 8)
+        if compacted and part < 2:
+            keyed_sync.compact(spark, target, events.schema, "user_id", version, 8)
+            keyed_sync.vacuum(spark, target)
+    return keyed_sync.read_state(spark, target, events.schema, "user_id", version, "gone")
+
+
+@query
+def stream_sync_deletes(spark, sf):
+    return _synced(spark, sf, False)
+
+
+@query
+def stream_sync_compacted(spark, sf):
+    return _synced(spark, sf, True)
+
+
+@query
+def column_data_document(spark, sf):
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "props")
+    return files.column_document(events, events.columns, into="document")
+
+
+@query
+def column_data_document_back(spark, sf):
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "props")
+    wanted = T.StructType([f for f in events.schema.fields if f.name != "user_id"])
+    return files.from_column_document(files.column_document(events, events.columns), wanted)

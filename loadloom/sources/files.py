@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +47,22 @@ def from_column_split(df: DataFrame, columns: list[str], types: T.StructType, da
     )
 
 
+def column_document(df: DataFrame, columns: list[str], keep: Sequence[str] = (), into: str = "document") -> DataFrame:
+    """Each row as the object ``{"columns": [...], "data": [[...]]}``, values with their JSON types, beside ``keep``."""
+    values = [F.to_json(F.struct(F.col(c).alias("v")), {"ignoreNullFields": "false"}) for c in columns]
+    plain = [F.substring(v, 6, F.length(v) - 6) for v in values]  # what {"v":...} holds
+    head = F.lit(json.dumps({"columns": list(columns)}, separators=(",", ":"))[:-1] + ',"data":[[')
+    return df.select(*keep, F.concat(head, F.concat_ws(",", *plain), F.lit("]]}")).alias(into))
+
+
+def from_column_document(df: DataFrame, schema: T.StructType, document: str = "document") -> DataFrame:
+    """S15 back: a row for each value list, with the columns of ``schema`` taken by name from the document's own list."""
+    kind = "columns array<string>, data array<array<string>>"
+    opened = df.select(F.from_json(document, kind).alias("_d")).select("_d.columns", F.explode("_d.data").alias("_v"))
+    at = {f.name: F.array_position("columns", f.name).cast("int") - 1 for f in schema.fields}
+    return opened.select(*[F.when(at[f.name] >= 0, F.get("_v", at[f.name])).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def column_split(df: DataFrame, columns: list[str], into: str = "values") -> DataFrame:
     """Each row as the list of its values in column order, as text; the column list is the header."""
     return df.select(F.array(*[F.col(c).cast("string") for c in columns]).alias(into))

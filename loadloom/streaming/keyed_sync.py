@@ -1,42 +1,62 @@
-"""A keyed table kept up to date from a stream of rows, the latest row per key winning.
+"""A keyed table kept up to date from a stream of rows and deletions, the latest row per key winning.
 
-Layout below the target folder:
+Layout below the target folder, everything divided into a fixed number of parts by a hash of the key:
 
-* ``log/batch=N``: the winners among the rows of micro-batch N. A batch that runs again rewrites its own folder, so
+* ``log/batch=N/part=P``: the winners among the rows of micro-batch N. A batch that runs again rewrites its own folder, so
   replays change nothing, and no batch ever copies the table.
-* ``base/upto=N``: winners of all batches up to N, written by ``compact``.
+* ``base/upto=N/part=P``: winners of all batches up to N, written by ``compact`` for the parts that those batches touched;
+  every other part stays where an earlier compaction put it.
 
-The state is resolved on read from the newest finished base and the log folders after it.
+The state is resolved on read, part by part: one without log rows is read as it is, without a shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadloom.operators.ranking import row_hash
+from loadloom.operators.skew import key_columns
+from loadloom.session import remove
 
-def winners(df: DataFrame, key: str, version: Sequence[str]) -> DataFrame:
-    """The row with the highest version per key. Losers go before the shuffle, also those of a hot key."""
-    rest = [c for c in df.columns if c not in (key, *version)]
-    newest = F.max(F.struct(*version, *rest)).alias("_w")
-    return df.groupBy(key).agg(newest).select(*[F.col(key) if c == key else F.col(f"_w.{c}") for c in df.columns])
+# Parts of a table; a table keeps the number it was begun with.
+PARTS = 64
+PART = "_part"
+
+
+def winners(df: DataFrame, key: str | Sequence[str], version: Sequence[str]) -> DataFrame:
+    """The row with the highest version per key, equal versions decided by a hash of the row.
+
+    Losers go before the shuffle, also those of a hot key. Columns of any type are carried along.
+    """
+    keys = key_columns(key)
+    rest = [c for c in df.columns if c not in keys]
+    newest = F.max_by(F.struct(*rest), F.struct(*version, row_hash(df))).alias("_w")
+    return df.groupBy(*keys).agg(newest).select(*[F.col(c) if c in keys else F.col(f"_w.{c}") for c in df.columns])
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
     """A stream over parquet at a folder or a single file."""
     # A pattern matches a file and a folder alike; a streaming source refuses the plain path of a file.
+    path = path.rstrip("/")
     pattern = f"{path[:-1]}[{path[-1]}]"
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(pattern)
 
 
-def sync(stream: DataFrame, target: str, key: str, version: Sequence[str]) -> None:
+def _write(df: DataFrame, path: str, key: str | Sequence[str], parts: int) -> None:
+    part = F.pmod(F.xxhash64(*key_columns(key)), F.lit(parts)).cast("int")
+    df.withColumn(PART, part).write.mode("overwrite").partitionBy(PART).parquet(path)
+
+
+def sync(stream: DataFrame, target: str, key: str | Sequence[str], version: Sequence[str], parts: int = PARTS) -> None:
     """Take in everything the stream has not delivered yet, then stop. The checkpoint lives beside the data."""
 
     def take_in(batch: DataFrame, number: int) -> None:
-        winners(batch, key, version).write.mode("overwrite").parquet(f"{target}/log/batch={number}")
+        _write(winners(batch, key, version), f"{target}/log/batch={number}", key, parts)
 
     (
         stream.writeStream.trigger(availableNow=True)
@@ -47,8 +67,8 @@ def sync(stream: DataFrame, target: str, key: str, version: Sequence[str]) -> No
     )
 
 
-def _numbered(spark: SparkSession, folder: str, label: str) -> list[int]:
-    """Numbers of the finished ``label=N`` folders."""
+def _numbered(spark: SparkSession, folder: str, label: str, finished: bool = True) -> list[int]:
+    """Numbers of the ``label=N`` folders, only of those whose write has finished."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     root = hadoop(folder)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -57,30 +77,89 @@ def _numbered(spark: SparkSession, folder: str, label: str) -> list[int]:
     found = []
     for status in fs.listStatus(root):
         name = status.getPath().getName()
-        if name.startswith(f"{label}=") and fs.exists(hadoop(f"{folder}/{name}/_SUCCESS")):
+        if name.startswith(f"{label}=") and (not finished or fs.exists(hadoop(f"{folder}/{name}/_SUCCESS"))):
             found.append(int(name.split("=")[1]))
     return sorted(found)
 
 
-def _parts(spark: SparkSession, target: str) -> tuple[list[str], int]:
-    bases = _numbered(spark, f"{target}/base", "upto")
-    upto = bases[-1] if bases else -1
-    logs = [n for n in _numbered(spark, f"{target}/log", "batch") if n > upto]
-    paths = [f"{target}/base/upto={upto}"] if bases else []
-    return paths + [f"{target}/log/batch={n}" for n in logs], (logs[-1] if logs else upto)
+@dataclass(frozen=True)
+class Layout:
+    """Where each part of the base lies, the parts of each batch of the log, and the last batch in either."""
+
+    base: dict[int, str]
+    log: dict[str, list[int]]
+    last: int
 
+    @property
+    def touched(self) -> set[int]:
+        return {p for parts in self.log.values() for p in parts}
 
-def read_state(spark: SparkSession, target: str, schema: T.StructType, key: str, version: Sequence[str]) -> DataFrame:
-    """The current row of every key."""
-    paths, _ = _parts(spark, target)
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return winners(spark.read.schema(schema).parquet(*paths), key, version)
+    def paths(self, parts: set[int]) -> list[str]:
+        own = [path for p, path in self.base.items() if p in parts]
+        return own + [f"{path}/{PART}={p}" for path, found in self.log.items() for p in found if p in parts]
 
 
-def compact(spark: SparkSession, target: str, schema: T.StructType, key: str, version: Sequence[str]) -> None:
-    """Fold the log into a new base. Readers use it once it is finished; older folders stay for running readers."""
-    paths, last = _parts(spark, target)
-    if len(paths) > 1:
-        state = winners(spark.read.schema(schema).parquet(*paths), key, version)
-        state.write.mode("overwrite").parquet(f"{target}/base/upto={last}")
+def layout(spark: SparkSession, target: str) -> Layout:
+    """Folder names only: as many as parts times unfolded batches."""
+    bases, base = _numbered(spark, f"{target}/base", "upto"), {}
+    for n in bases:  # later ones replace
+        for p in _numbered(spark, f"{target}/base/upto={n}", PART, finished=False):
+            base[p] = f"{target}/base/upto={n}/{PART}={p}"
+    upto = bases[-1] if bases else -1
+    batches = [n for n in _numbered(spark, f"{target}/log", "batch") if n > upto]
+    log = {f"{target}/log/batch={n}": _numbered(spark, f"{target}/log/batch={n}", PART, finished=False) for n in batches}
+    return Layout(base, log, batches[-1] if batches else upto)
+
+
+def _resolved(spark, at: Layout, parts: set[int], schema, key, version) -> DataFrame:
+    return winners(spark.read.schema(schema).parquet(*at.paths(parts)), key, version)
+
+
+def read_state(
+    spark: SparkSession, target: str, schema: T.StructType, key: str | Sequence[str], version: Sequence[str],
+    deleted: str | None = None,
+) -> DataFrame:
+    """The current row of every key. ``deleted`` names a BOOLEAN column: a key whose latest row has it true is gone.
+
+    Only parts with log rows are grouped by key; the others hold each key once already.
+    """
+    at = layout(spark, target)
+    touched, still = at.touched, set(at.base) - at.touched
+    state = spark.createDataFrame([], schema)
+    if still:
+        state = spark.read.schema(schema).parquet(*at.paths(still))
+    if touched:
+        moved = _resolved(spark, at, touched, schema, key, version)
+        state = state.unionByName(moved) if still else moved
+    if deleted:
+        state = state.filter(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted)
+    return state
+
+
+def compact(
+    spark: SparkSession, target: str, schema: T.StructType, key: str | Sequence[str], version: Sequence[str],
+    parts: int = PARTS,
+) -> None:
+    """Fold the log into the base: the parts it touched are written anew, the others stay.
+
+    Readers use the new parts once they are finished; older folders stay for running readers until ``vacuum``. Deletions
+    are kept as rows, so that a late row cannot bring a key back.
+    """
+    at = layout(spark, target)
+    if at.log:
+        state = _resolved(spark, at, at.touched, schema, key, version)
+        _write(state, f"{target}/base/upto={at.last}", key, parts)
+
+
+def vacuum(spark: SparkSession, target: str) -> None:
+    """Remove folded batches and parts of the base that newer ones replace; no reader may be at work on them."""
+    at = layout(spark, target)
+    bases = _numbered(spark, f"{target}/base", "upto")
+    for n in _numbered(spark, f"{target}/log", "batch"):
+        if bases and n <= bases[-1]:
+            remove(spark, f"{target}/log/batch={n}")
+    current = set(at.base.values())
+    for n in bases:
+        for p in _numbered(spark, f"{target}/base/upto={n}", PART, finished=False):
+            if (path := f"{target}/base/upto={n}/{PART}={p}") not in current:
+                remove(spark, path)

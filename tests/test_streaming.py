@@ -1,4 +1,5 @@
 import pytest
+from conftest import plan_of
 
 from loadloom.streaming import keyed_sync
 
@@ -45,8 +46,8 @@ def test_compaction_changes_nothing_and_syncs_go_on(spark, setup):
     before = state()
     keyed_sync.compact(spark, target, schema, "k", ["v"])
     assert state() == before
-    paths, last = keyed_sync._parts(spark, target)
-    assert len(paths) == 1 and "/base/upto=" in paths[0]
+    at = keyed_sync.layout(spark, target)
+    assert not at.log and all("/base/upto=2/" in p for p in at.base.values())
     write(spark, source, [("a", 9, 9.0)])
     sync()
     assert ("a", 9, 9.0) in state() and len(state()) == len(before)
@@ -56,8 +57,8 @@ def test_a_batch_written_twice_counts_once(spark, setup):
     source, target, schema, sync, state = setup
     write(spark, source, [("a", 1, 1.0)])
     sync()
-    paths, _ = keyed_sync._parts(spark, target)
-    spark.createDataFrame([("a", 1, 1.0)], DDL).write.mode("overwrite").parquet(paths[0])
+    (path,) = keyed_sync.layout(spark, target).log
+    keyed_sync._write(spark.createDataFrame([("a", 1, 1.0)], DDL), path, "k", keyed_sync.PARTS)
     assert state() == {("a", 1, 1.0)}
 
 
@@ -77,4 +78,43 @@ def test_many_small_batches_equal_one_large(spark, setup):
         write(spark, source, [("a", i, float(i)), ("b", -i, float(i))])
     sync(files=1)
     assert state() == {("a", 3, 3.0), ("b", 0, 0.0)}
-    assert len(keyed_sync._parts(spark, target)[0]) == 4
+    assert len(keyed_sync.layout(spark, target).log) == 4
+
+
+def test_untouched_parts_stay_and_are_read_without_a_shuffle(spark, setup):
+    source, target, schema, sync, state = setup
+    write(spark, source, [(f"k{i}", 1, float(i)) for i in range(40)])
+    sync()
+    keyed_sync.compact(spark, target, schema, "k", ["v"])
+    first = keyed_sync.layout(spark, target).base
+    assert "Exchange" not in plan_of(keyed_sync.read_state(spark, target, schema, "k", ["v"]))
+    write(spark, source, [("k7", 2, 7.5)])
+    sync()
+    keyed_sync.compact(spark, target, schema, "k", ["v"])
+    second = keyed_sync.layout(spark, target).base
+    assert sum(first[p] != second[p] for p in first) == 1 and first.keys() == second.keys()
+    before = state()
+    keyed_sync.vacuum(spark, target)
+    assert state() == before and ("k7", 2, 7.5) in before and len(before) == 40
+    assert keyed_sync._numbered(spark, f"{target}/log", "batch") == []
+
+
+def test_deletions_composite_keys_and_maps(spark, tmp_path):
+    ddl = "a string, b int, v bigint, m map<string,int>, gone boolean"
+    source, target = str(tmp_path / "in") + "/", str(tmp_path / "out")
+    schema = spark.createDataFrame([], ddl).schema
+
+    def step(*rows):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(source)
+        keyed_sync.sync(keyed_sync.read_stream(spark, source, schema), target, ["a", "b"], ["v"])
+
+    def state():
+        rows = keyed_sync.read_state(spark, target, schema, ["a", "b"], ["v"], "gone").collect()
+        return sorted((r["a"], r["b"], r["v"], r["m"]) for r in rows)
+
+    step(("x", 1, 1, {"p": 1}, None), ("x", 2, 1, {}, False), ("y", 1, 1, None, False))
+    step(("x", 1, 5, None, True))
+    assert state() == [("x", 2, 1, {}), ("y", 1, 1, None)]
+    keyed_sync.compact(spark, target, schema, ["a", "b"], ["v"])
+    step(("x", 1, 4, {"late": 1}, False), ("y", 1, 2, {"q": 2}, False))
+    assert state() == [("x", 2, 1, {}), ("y", 1, 2, {"q": 2})]
