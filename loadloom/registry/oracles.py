@@ -408,6 +408,25 @@ def _mean_pairs(prefix: str, name: str) -> str:
   FROM ({union}) GROUP BY target)"""
 
 
+# Each target's best 0/1 split of the train rows, and the group means it predicts.
+BEST = (
+    f"{PREPARED},\n{SPLIT.format(source='prepared')},\ngroups AS ("
+    + " UNION ALL ".join(
+        f"SELECT {i} AS target, '{f}' AS feature, {f} AS side, count(*) AS n, avg({t}) AS mean "
+        f"FROM split WHERE split = 'train' GROUP BY {f}"
+        for i, t in enumerate(names.TARGETS, start=1)
+        for f in names.INDICATORS
+    )
+    + "),\nbest AS (SELECT target, feature FROM (SELECT target, feature, sum(n * mean * mean) AS gain FROM groups "
+    "GROUP BY target, feature) QUALIFY row_number() OVER (PARTITION BY target ORDER BY gain DESC) = 1),\n"
+    "chosen AS (SELECT g.* FROM groups g JOIN best b USING (target, feature)),\n"
+    "sides AS (SELECT *, MAP {"
+    + ", ".join(f"'{f}': {f}" for f in names.INDICATORS)
+    + "} AS inputs FROM split WHERE split = 'test'),\njudged_best AS (SELECT id, "
+    + ", ".join(f"max(CASE WHEN target = {i} THEN mean END) AS w{i}" for i in range(1, len(names.TARGETS) + 1))
+    + " FROM sides JOIN chosen ON sides.inputs[chosen.feature] = chosen.side GROUP BY id)"
+)
+
 _W = ", ".join(_r(f"w{i}", p) for i, p in enumerate(names.PREDICTED, start=1))
 
 ORACLES |= {
@@ -479,4 +498,9 @@ SELECT place, label, CASE WHEN place > 0 THEN rows END AS n FROM found""",
 || user_id || ',' || CAST(to_json(event_type) AS VARCHAR) || ',' || CAST(to_json(props) AS VARCHAR) || ']]}' AS document
 FROM events""",
     "column_data_document_back": "SELECT event_id, event_type, props FROM events",
+    "boosted_many_rounds": f"WITH {MEANS},\n{_mean_pairs('w', 'm')} SELECT target, n AS rows, {_r('mse')}, "
+    f"{_r('sqrt(mse)', 'rmse')}, {_r('mae')}, {_r('r2')} FROM m",
+    "forest_best_split": f"WITH {BEST} SELECT id, {_W} FROM judged_best",
+    "forest_best_split_importance": f"WITH {BEST} SELECT feature, round(count(*) / {len(names.TARGETS)}.0, 6) + 0.0 "
+    "AS importance FROM best GROUP BY feature",
 }

@@ -1010,3 +1010,26 @@ def column_data_document_back(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "props")
     wanted = T.StructType([f for f in events.schema.fields if f.name != "user_id"])
     return files.from_column_document(files.column_document(events, events.columns), wanted)
+
+
+@query
+def boosted_many_rounds(spark, sf):
+    """More rounds than the checkpoint interval; with one 0/1 input the first already finds the group means."""
+    train, test = _prepared_parts(spark, sf)
+    fitted = models.fit_per_target(train, models.Boosting(0.5, 12, 1), WEEKEND)
+    return evaluate.metrics_per_target(fitted.score(test), _target_pairs())
+
+
+@query
+def forest_best_split(spark, sf):
+    """A tree of depth 1 over seven 0/1 inputs splits by the one that lowers the squared error most."""
+    train, test = _prepared_parts(spark, sf)
+    fitted = models.fit_per_target(train, ONE_SPLIT, names.INDICATORS)
+    return fitted.score(test).select(names.KEY, *names.PREDICTED)
+
+
+@query
+def forest_best_split_importance(spark, sf):
+    train, _ = _prepared_parts(spark, sf)
+    fitted = models.fit_per_target(train, ONE_SPLIT, names.INDICATORS)
+    return evaluate.mean_importance(fitted.importances(train)).filter("importance > 0")
