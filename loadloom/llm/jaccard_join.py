@@ -131,6 +131,7 @@ def _shared(buckets: int):
         if bucket < 0:
             return group
         owners, owner, payload, _ = _unpacked(group)
+        del group
         # The same set may come from several tasks: count it once.
         sids, inverse = np.unique(owners, return_inverse=True)
         owner, found = inverse.astype(np.int32)[owner], []
@@ -144,7 +145,7 @@ def _shared(buckets: int):
             o, p = o[new], p[new]
             held = np.diff(np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1], [True]]))) if len(p) else np.zeros(0, dtype=np.int64)
             df = np.repeat(held, held)
-            found.append((o[df > 1], p[df > 1], df[df > 1]))
+            found.append((o[df > 1], p[df > 1], df[df > 1].astype(np.int32)))
         owner, payload, df = (np.concatenate(x) for x in zip(*found))
         # Rarer first; beyond 15, by powers of 2^(1/8).
         df = np.where(df < 16, df, np.minimum(255, np.log2(df) * 8 - 16)).astype(np.uint8)

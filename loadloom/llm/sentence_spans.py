@@ -3,8 +3,9 @@
 From every sentence on, and back from every sentence, the shortest run of at least ``MIN_SENTENCES`` sentences and
 ``MIN_WORDS`` words is hashed over its words (A-Z lowered). Runs meet by hash all over the corpus; the first occurrence, by
 doc_id and place, stays, and every sentence that any other one covers is removed. Sentences end with a full stop, a question
-or exclamation mark (also before closing punctuation) or a line; one of more than ``LONG`` words counts as several, cut after
-each ``LONG`` words, so that a long sentence alone can repeat.
+or exclamation mark (also before closing punctuation) or a line. One of more than ``LONG`` words counts as several: it is cut
+before every word whose hash is smaller than those of the two words on either side. Such cuts follow from the words around
+them alone, so a passage without any full stop is cut alike wherever it stands.
 
 Runs travel in blocks by bucket of their hash, found places in blocks by document. A run in a third of all documents puts
 one entry for each of them into its bucket, no more. Hashes have 64 bits.
@@ -45,9 +46,13 @@ def _sentence_starts(w: ta.Words, data: np.ndarray) -> np.ndarray:
     lines = np.concatenate([[0], np.cumsum(data == 0x0A)])
     starts = np.ones(n, dtype=bool)
     starts[1:] = ended[:-1] | (lines[w.start[1:]] > lines[w.end[:-1]]) | (w.owner[1:] != w.owner[:-1])
-    first = np.flatnonzero(starts)
-    inside = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
-    return inside % LONG == 0
+    sentence = np.cumsum(starts)
+    low = np.bincount(sentence)[sentence] > LONG
+    for d in (1, 2):
+        apart = (sentence[d:] != sentence[:-d])
+        low[d:] &= apart | (w.hashes[d:] < w.hashes[:-d])
+        low[:-d] &= apart | (w.hashes[:-d] < w.hashes[d:])
+    return starts | low
 
 
 def runs(w: ta.Words, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -68,7 +73,7 @@ def runs(w: ta.Words, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.
     fine = back >= low
     both = np.unique(np.concatenate([s[good] << 32 | ahead[good], back[fine] << 32 | (s + 1)[fine]]))
     a, b = bounds[both >> 32], bounds[both & 0xFFFFFFFF]
-    up, down = ta._power_tables(n + 1)
+    up, down = ta.power_tables(n + 1)
     total = np.concatenate([[U64(0)], np.cumsum(w.hashes * up[:n])])
     hashes = ta.mix((total[b] - total[a]) * down[a] + (b - a).astype(U64))
     text = w.owner[a]

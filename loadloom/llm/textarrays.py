@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-PIECE = 2 << 20
+PIECE = 1 << 20
 _STEP = U64(0x9E3779B97F4A7C15)  # odd, so its powers can be inverted
 
 
@@ -44,7 +44,7 @@ ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Tru
 _powers: list[np.ndarray] = []
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         size = max(n, PIECE + 1)
         inverse = U64(pow(int(_STEP), -1, 1 << 64))
@@ -111,7 +111,7 @@ def words(data: np.ndarray, at: np.ndarray, solid: np.ndarray = SOLID) -> Words:
     after[ends] = False
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
-    up, down = _power_tables(n + 1)
+    up, down = power_tables(n + 1)
     total = np.empty(n + 1, dtype=U64)
     total[0] = 0
     np.cumsum(_VALUES[data] * up[:n], out=total[1:])

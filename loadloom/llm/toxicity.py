@@ -61,6 +61,7 @@ def rows_of_features(data: np.ndarray, at: np.ndarray, bits: int) -> list[np.nda
     both = np.unique(texts.astype(np.int64) << bits | index)
     bounds = np.searchsorted(both, np.arange(len(w.counts) + 1, dtype=np.int64) << bits)
     both &= (1 << bits) - 1
+    both = both.astype(np.int32)
     return [both[a:b] for a, b in zip(bounds, bounds[1:])]
 
 

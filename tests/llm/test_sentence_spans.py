@@ -1,26 +1,31 @@
 import random
 import re
 
+import pyarrow as pa
 from helpers import EDGES, doc_frame, prose
 
 from loadloom.llm import sentence_spans as ss
+from loadloom.llm import textarrays as ta
 
 
 def _pieces(text):
     """(first byte, end of words) of each sentence piece, and the words in order, from the text by regular expression."""
     data = (text or "").encode()
     found = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
-    starts, since = [], 0
+    first = []
     for i, (a, b) in enumerate(found):
         if i:
             word, gap = data[found[i - 1][0] : found[i - 1][1]], data[found[i - 1][1] : a]
             tail = re.search(rb"[^0-9A-Za-z\x80-\xff]*$", word).group()[-4:]
-            new = b"\n" in gap or any(c in tail for c in b".!?")
-        else:
-            new = True
-        since = 0 if new else since + 1
-        if since % ss.LONG == 0:
-            starts.append(i)
+        if not i or b"\n" in gap or any(c in tail for c in b".!?"):
+            first.append(i)
+    ((*_, raw, at),) = ta.pieces(pa.array([text or ""], pa.string()), 1 << 30)
+    hashes, starts = ta.words(raw, at).hashes.tolist(), []
+    for a, b in zip(first, [*first[1:], len(found)]):
+        for i in range(a, b):
+            near = [hashes[j] for j in (i - 2, i - 1, i + 1, i + 2) if a <= j < b]
+            if i == a or b - a > ss.LONG and hashes[i] < min(near):
+                starts.append(i)
     return data, found, starts
 
 
@@ -85,5 +90,16 @@ def test_passages_go_from_all_but_the_first(spark):
     assert all("q30" not in got[i]["text"] and got[i]["n_removed"] == len(long) + 1 for i in range(1, 6))
 
 
+def test_a_passage_without_full_stops_is_found_inside_other_words(spark):
+    rng = random.Random(15)
+    passage = " ".join(f"q{i}" for i in range(60))
+    bare = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    rows = [(i, bare(rng.randrange(20, 60)) + " " + passage + " " + bare(30)) for i in range(8)]
+    rows += [(100 + i, bare(120)) for i in range(8)]
+    got = {r["doc_id"]: r for r in ss.remove_repeats(doc_frame(spark, rows)).collect()}
+    assert got[0]["n_removed"] == 0 and all(got[i]["n_removed"] == 0 for i in range(100, 108))
+    assert all("q30" not in got[i]["text"].split() and got[i]["n_removed"] > 0.7 * len(passage) for i in range(1, 8))
+
+
 def test_empty_table(spark):
     assert _got(doc_frame(spark, [])) == []
