@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -13,8 +13,17 @@ def parse_time(c: Column | str, fmt: str | None = None) -> Column:
     return F.to_timestamp(c, fmt) if fmt else F.to_timestamp(c)
 
 
+def require_utc() -> None:
+    """Fails unless the session's time zone is UTC; in another, keys and calendar columns would silently differ."""
+    session = SparkSession.getActiveSession()
+    zone = session.conf.get("spark.sql.session.timeZone") if session is not None else "UTC"
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise RuntimeError(f"the session time zone is {zone}; set spark.sql.session.timeZone to UTC")
+
+
 def calendar_parts(ts: Column | str) -> dict[str, Column]:
     """Hour, day of month, month, weekday with Monday = 0, and the weekend flag."""
+    require_utc()
     weekday = F.weekday(ts)
     return {
         "Hour": F.hour(ts),
@@ -27,6 +36,7 @@ def calendar_parts(ts: Column | str) -> dict[str, Column]:
 
 def epoch_key(ts: Column | str) -> Column:
     """whole epoch seconds as text. Unique only if rows are at least a second apart."""
+    require_utc()
     return F.unix_seconds(F.col(ts).cast("timestamp") if isinstance(ts, str) else ts.cast("timestamp")).cast("string")
 
 

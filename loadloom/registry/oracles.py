@@ -503,4 +503,8 @@ FROM events""",
     "forest_best_split": f"WITH {BEST} SELECT id, {_W} FROM judged_best",
     "forest_best_split_importance": f"WITH {BEST} SELECT feature, round(count(*) / {len(names.TARGETS)}.0, 6) + 0.0 "
     "AS importance FROM best GROUP BY feature",
+    "logged_runs": "SELECT event_type AS run_id, 'by_type' AS experiment, CAST(count(*) AS VARCHAR) AS rows, "
+    "round(max(value), 6) + 0.0 AS top, event_type = 'click' AS found FROM events GROUP BY event_type",
+    "stored_parts": f"WITH {PREPARED},\n{SPLIT.format(source='prepared')} SELECT split AS part, id, "
+    f"CAST(2 AS BIGINT) AS copies, CAST(2 AS BIGINT) AS stamps, {_r('Zone_1_Power_Consumption', 'zone')} FROM split",
 }

@@ -1033,3 +1033,36 @@ def forest_best_split_importance(spark, sf):
     train, _ = _prepared_parts(spark, sf)
     fitted = models.fit_per_target(train, ONE_SPLIT, names.INDICATORS)
     return evaluate.mean_importance(fitted.importances(train)).filter("importance > 0")
+
+
+@query
+def logged_runs(spark, sf):
+    """A run logged for each event type, read back."""
+    path = scratch_path(spark, "runs")
+    kinds = table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("top"))
+    for row in kinds.collect():
+        kind = row["event_type"]
+        runlog.log_run(spark, path, kind, "by_type", {"kind": kind}, {"rows": row["n"]}, {"top": row["top"]})
+    runs = runlog.read_runs(spark, path)
+    found = runlog.search_runs(runs, {"kind": "click"}, "by_type").select("run_id", F.lit(True).alias("found"))
+    return runs.join(found, "run_id", "left").select(
+        "run_id", "experiment", F.col("params")["rows"].alias("rows"), F.col("metrics")["top"].alias("top"),
+        F.coalesce("found", F.lit(False)).alias("found"),
+    )
+
+
+@query
+def stored_parts(spark, sf):
+    """Prepared train and test rows stored in two runs, with the stamps of each."""
+    train, test = _prepared_parts(spark, sf)
+    made = {part: _fresh_table(spark, part)[0] for part in ("train", "test")}
+    for minute in (0, 1):
+        prepare_data.store_parts(train, test, made["train"], made["test"], datetime(2024, 3, 1, 0, minute, tzinfo=timezone.utc))
+    out = None
+    for part, name in made.items():
+        rows = spark.table(name).groupBy(names.KEY).agg(
+            F.count(F.lit(1)).alias("copies"), F.countDistinct(names.STAMP).alias("stamps"), F.max("Zone_1_Power_Consumption").alias("zone")
+        )
+        rows = rows.select(F.lit(part).alias("part"), "*")
+        out = rows if out is None else out.unionAll(rows)
+    return out

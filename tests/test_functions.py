@@ -1,6 +1,7 @@
 import hashlib
 from datetime import datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from loadloom import functions as fn
@@ -85,3 +86,13 @@ def test_fan_out_and_stacking(spark):
 def test_without_ignores_unknown_names(spark):
     df = spark.sql("SELECT 1 AS a, 2 AS b, 3 AS c")
     assert columns.without(df, ["b", "nope"]).columns == ["a", "c"]
+
+
+def test_other_time_zones_are_refused(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+    XX
+            with pytest.raises(RuntimeError, match="UTC"):
+                make("t")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
