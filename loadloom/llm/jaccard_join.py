@@ -82,7 +82,7 @@ def _spread(buckets: int, width: int):
                     continue
                 hashes = np.concatenate([sets[i] for i in once])
                 owner = np.repeat(np.arange(len(once), dtype=np.int32), sizes[once])
-                bucket = ((hashes >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.uint16 if buckets < 65536 else np.int32)
+                bucket = ((hashes >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.uint16 if buckets < 65536 else np.int32)
                 order = np.argsort(bucket, kind="stable")
                 hashes, owner, bucket = hashes[order], owner[order], bucket[order]
                 cuts = np.flatnonzero(np.diff(bucket)) + 1
@@ -191,7 +191,8 @@ def _regions(percent: int):
         for batch in group.filter(pc.is_valid(group.column("owners"))).to_batches():
             for i in range(batch.num_rows):
                 owners, owner, payload, df = _unpacked(pa.Table.from_batches([batch.slice(i, 1)]))
-                parts.append((owners[owner], payload | np.uint64(owners[0]) << np.uint64(48), df))
+                # The same 48 bits mean other shingles in other buckets.
+                parts.append((owners[owner], payload ^ ta.mix(owners[:1].view(np.uint64)), df))
         if not parts:
             return empty
         owners, hashes, df = (np.concatenate(x) for x in zip(*parts))
@@ -327,7 +328,7 @@ def _rooted(docs: DataFrame, width: int, percent: int, bucket_bytes: int) -> tup
     text = F.col("text").cast("string")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = min(max(8, size // bucket_bytes), 1 << 16)
+    buckets = min(max(8, size // bucket_bytes), 1 << 24)
     spread = docs.mapInArrow(_spread(buckets, width), _SPREAD)
     shared = written(spread.groupBy("bucket").applyInArrow(_shared(buckets), _SPREAD), "shingles")
     place = F.pmod(F.shiftrightunsigned("sid", 1), F.lit(buckets)).cast("int").alias("bucket")

@@ -202,7 +202,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("key", F.xxhash64("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = min(max(8, size // BUCKET_BYTES), 1 << 20)
+    buckets = min(max(8, size // BUCKET_BYTES), 1 << 24)
     found = rows.select("doc_id", "key", "text").mapInArrow(_spread(buckets), _BLOCKS)
     again = found.groupBy("bucket").applyInArrow(_repeated(buckets), _BLOCKS)
     cuts = again.groupBy("bucket").applyInArrow(_merged, _CUTS)
