@@ -115,5 +115,25 @@ ORACLES: dict[str, str] = {
         FROM s QUALIFY rank <= 10
     """,
 }
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ORACLES["op9_jaccard_join"] = f"""
+    WITH RECURSIVE words AS (
+        SELECT row_number() OVER () AS row, doc_id,
+            regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS ws
+        FROM documents
+    ), sets AS (
+        SELECT row, doc_id, CASE
+            WHEN len(ws) >= 5 THEN list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))
+            WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS shingles
+        FROM words
+    ), held AS (SELECT row, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+    links AS (
+        SELECT a.row AS a, b.row AS b FROM held a JOIN held b ON a.shingle = b.shingle AND a.row <> b.row
+        GROUP BY a.row, b.row, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+    ), reach AS (
+        SELECT row AS start, row FROM sets UNION SELECT r.start, l.b FROM reach r JOIN links l ON r.row = l.a
+    ), least AS (SELECT r.start, min(s.doc_id) AS component_id FROM reach r JOIN sets s ON s.row = r.row GROUP BY r.start)
+    SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, l.component_id FROM sets s JOIN least l ON l.start = s.row
+"""
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
