@@ -1,6 +1,7 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of at least ``MIN_LENGTH`` letters, digits and ``_+/-`` with a digit in it. The forest sees its length and
+A candidate is a run of at least ``MIN_LENGTH`` letters, digits and ``_+/-`` with a digit in it, or behind an equals sign, or of
+an issued format. The forest sees its length and
 make-up, how often it changes between kinds of characters, how much of it dictionary words cover, whether it is part of a
 path, and the words beside it. It learns from labelled findings; ``weak_labels`` makes some from formats that leave no doubt.
 Only DataFrame functions and Spark's own forest run.
@@ -19,7 +20,10 @@ from loadloom.llm.graphs import written
 
 MIN_LENGTH = 12
 _CHARS = r"A-Za-z0-9_+/\-"
-CANDIDATE = rf"(?<![{_CHARS}])(?=[A-Za-z_+/\-]*+[0-9])[{_CHARS}]{{{MIN_LENGTH},}}+"
+CANDIDATE = (
+    rf"(?<![{_CHARS}])(?:(?:(?=[A-Za-z_+/\-]*+[0-9])|(?<==\s?[\"']?))[{_CHARS}]{{{MIN_LENGTH},}}+"
+    rf"|(?:AKIA|ASIA)[A-Z0-9]{{16}}(?![{_CHARS}]))"
+)
 #: Context kept on either side, in characters.
 CONTEXT = 48
 #: Labelled findings that training takes at most, those with the smallest hash.

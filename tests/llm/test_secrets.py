@@ -51,6 +51,15 @@ def test_edges(spark):
     assert secrets.scan(none).count() == 0 and secrets.redacted(none, found).count() == 0
 
 
+def test_candidates_without_a_digit(spark):
+    rows = [(1, "a key AKIA" + "Q" * 16 + " here"), (2, 'password = "abcdefabcdefabcdef" x'), (3, "password=abcdefabcdefabcdef"),
+            (4, "someordinarylongword and AKIA" + "Q" * 17), (5, "note: someordinarylongword")]
+    docs = doc_frame(spark, rows)
+    found = secrets.scan(docs)
+    assert sorted((r["doc_id"], r["start"], r["n_chars"], r["is_secret"]) for r in found.collect()) == [(1, 6, 20, True), (2, 12, 18, True), (3, 9, 18, True)]
+    assert {r["doc_id"]: r["text"] for r in secrets.redacted(docs, found).collect()}[3] == "password=" + secrets.REPLACEMENT
+
+
 def test_main_path_has_no_python(spark):
     rows, _ = _corpus()
     plan = secrets.scan(doc_frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
