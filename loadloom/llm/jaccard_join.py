@@ -365,8 +365,10 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, bucket_bytes
     """``docs``, all columns, with one row of each component: that of the smallest doc_id (nulls last), then of the smallest
     hash of its text. Rows without any word are no component's and all stay."""
     rows, roots = _rooted(docs, width, percent, bucket_bytes)
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("__null"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("key").alias("__key")))
-    kept = rows.where("n > 0").join(roots, "sid").groupBy("root").agg(best.alias("b")).select("b.*")
+    own_key = F.struct(F.col("doc_id").isNull().alias("__null"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("key").alias("__key"))
+    # Copies are brought to one row per set, combined before the shuffle, before sets are brought to components.
+    first = rows.where("n > 0").groupBy("sid").agg(F.min(own_key).alias("b"))
+    kept = first.join(roots, "sid").groupBy("root").agg(F.min("b").alias("b")).select("b.*")
     text, own = F.col("text").cast("string"), ["__null", "__id", "__key"]
     marked = docs.withColumns(
         {"__null": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), "__key": F.xxhash64(text)}
