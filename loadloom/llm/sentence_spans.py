@@ -3,9 +3,10 @@
 From every sentence on, and back from every sentence, the shortest run of at least ``MIN_SENTENCES`` sentences and
 ``MIN_WORDS`` words is hashed over its words (A-Z lowered). Runs meet by hash all over the corpus; the first occurrence, by
 doc_id and place, stays, and every sentence that any other one covers is removed. Sentences end with a full stop, a question
-or exclamation mark (also before closing punctuation) or a line. One of more than ``LONG`` words counts as several: it is cut
-before every word whose hash is smaller than those of the two words on either side. Such cuts follow from the words around
-them alone, so a passage without any full stop is cut alike wherever it stands.
+or exclamation mark (also before closing punctuation) or a line. One of more than ``LONG`` words, so any, counts as several: it
+is cut before every word whose hash is smaller than those of the two words on either side. Such cuts follow from the words
+around them alone, so a passage is cut alike wherever it stands, also where its ends are glued to the words of its host. So
+two sentences, or one, of ``MIN_WORDS`` words are a run as well if they hold ``MIN_SENTENCES`` cuts.
 
 Runs travel in blocks by bucket of their hash, found places in blocks by document. A run in a third of all documents puts
 one entry for each of them into its bucket, no more. Hashes have 64 bits.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from loadloom.llm import textarrays as ta
 
-MIN_SENTENCES, MIN_WORDS, LONG = 3, 15, 16
+MIN_SENTENCES, MIN_WORDS, LONG = 3, 15, 0
 #: Text bytes per bucket of runs.
 BUCKET_BYTES = 16_000_000
 

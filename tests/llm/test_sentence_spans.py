@@ -101,5 +101,27 @@ def test_a_passage_without_full_stops_is_found_inside_other_words(spark):
     assert all("q30" not in got[i]["text"].split() and got[i]["n_removed"] > 0.7 * len(passage) for i in range(1, 8))
 
 
+def test_passages_of_short_sentences_are_found_inside_other_sentences(spark):
+    rng = random.Random(16)
+    bare = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows, copies = [], {}
+    for n in (50, 52, 60):
+        for size in (5, 8, 11, 13, 16):
+            for host in (0, 1, 3, 6):
+                for _ in range(5):
+                    words = [f"p{rng.randrange(10**6)}" for _ in range(n)]
+                    passage = [w + "." if i % size == size - 1 and i < n - 1 else w for i, w in enumerate(words)]
+                    for copy in range(2):
+                        ends = bare(30)[: host + copy], bare(30)[: host + 1 + copy]
+                        doc = [*bare(40), "end.", *ends[0], *passage, *ends[1], "stop.", *bare(40)]
+                        copies[len(rows)] = (copy, words)
+                        rows.append((len(rows), " ".join(doc)))
+    got = {r["doc_id"]: r["text"].replace(".", "").split() for r in ss.remove_repeats(doc_frame(spark, rows)).collect()}
+    left = {d: len(set(words) & set(got[d])) / len(set(words)) for d, (_, words) in copies.items()}
+    assert all(left[d] == 1 for d, (copy, _) in copies.items() if copy == 0)
+    again = [left[d] for d, (copy, _) in copies.items() if copy == 1]
+    assert sum(x < 1 for x in again) >= 0.99 * len(again) and sum(again) < 0.3 * len(again)
+
+
 def test_empty_table(spark):
     assert _got(doc_frame(spark, [])) == []
