@@ -9,8 +9,10 @@ than ``MIN_WORDS`` words are not searched for.
 2. *CGK.* A walk over a window repeats or advances at each step by a random bit of the word it stands on. Walks that read
    the same word fall into step again after an edit, so sequences at small edit distance have walks at small Hamming distance.
 3. *Bit sampling.* Each of many keys joins the words that a walk read at a few random steps; a window meets an item if any
-   key agrees. Their number is set per size class, by trial on edited copies of its items, to reach ``recall``.
-4. *Verification.* Word edit distance between the item and the best end of the window, exactly.
+   key agrees. Their number is set per size class, by trial on edited copies of its items, to reach ``recall``. Walks drift
+   apart with length; a class that misses ``recall`` with all keys has none, and all its dense windows are verified.
+4. *Verification.* Word edit distance between the item and the best end of the window, exactly; without keys, between each
+   item and the best window of each dense stretch of a text.
 
 Items travel in broadcast blocks of a bounded number of words; more items mean more passes. Each text is read once per
 block, with no shuffle, and whole.
@@ -35,6 +37,8 @@ MIN_WORDS = 3
 BLOCK_WORDS = 400_000
 #: Words read at, walks, and step sets of each walk for every key.
 SAMPLED, WALKS, STEP_SETS = 3, 12, 8
+#: Edited copies at least in a trial.
+TRIALS = 60
 #: Windows embedded at once.
 EMBEDDED = 4_000
 _BITMAP_BITS = 24
@@ -57,6 +61,8 @@ class SizeClass:
     salts: np.ndarray = field(default=None)
     keys: np.ndarray = field(default=None)
     owner: np.ndarray = field(default=None)
+    #: The word triples of each item, if the class has no keys.
+    held: list[np.ndarray] | None = None
 
     def embed(self, stream: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Keys of the windows at ``starts``, one column each."""
@@ -86,10 +92,13 @@ class SizeClass:
         keys = self.embed(*_laid(self.words, length))
         # Trial: copies edited as much as is allowed, in random places.
         found = np.concatenate([self.embed(*_laid([_edited(w, k, rng) for w, k in zip(self.words, self.allowed)], length)) == keys
-                                for _ in range(max(1, 60 // len(self.words)))], axis=1)
+                                for _ in range(max(1, TRIALS // len(self.words)))], axis=1)
         for used in range(1, STEP_SETS + 1):
             if found[: used * WALKS].any(axis=0).mean() >= recall:
                 break
+        else:
+            self.held = [np.unique(_triples(w)) for w in self.words]
+            return
         self.steps, keys = self.steps[:used], keys[: used * WALKS]
         order = np.argsort(keys, axis=None, kind="stable")
         self.keys, self.owner = keys.ravel()[order], np.broadcast_to(np.arange(len(self.words)), keys.shape).ravel()[order]
@@ -181,12 +190,11 @@ class Index:
         out: dict[tuple[int, int], tuple[int, int, int]] = {}
         for k, c in enumerate(self.classes):
             starts = _dense(at[held >> U64(k) & U64(1) == 1], w.owner, firsts, c.needed, c.window)
-            for a in range(0, len(starts), EMBEDDED):
-                for start, item, dist, end in _verified(c, stream, w.owner, firsts, *c.matches(stream, starts[a : a + EMBEDDED])):
-                    text = int(w.owner[start])
-                    key, own = (text, int(c.items[item])), start - int(firsts[text])
-                    found = (dist, own, own + end)
-                    out[key] = min(out.get(key, found), found)
+            for start, item, dist, end in _matched(c, stream, w.owner, firsts, starts) if c.held is None else _all_verified(c, stream, w.owner, firsts, starts):
+                text = int(w.owner[start])
+                key, own = (text, int(c.items[item])), start - int(firsts[text])
+                found = (dist, own, own + end)
+                out[key] = min(out.get(key, found), found)
         return [(text, item, *rest) for (text, item), rest in sorted(out.items())]
 
 
@@ -205,6 +213,38 @@ def _dense(hits: np.ndarray, owner: np.ndarray, firsts: np.ndarray, needed: int,
     return np.flatnonzero(np.cumsum(marks[:-1]) > 0)
 
 
+def _matched(c: SizeClass, stream, owner, firsts, starts) -> Iterator[tuple[int, int, int, int]]:
+    for a in range(0, len(starts), EMBEDDED):
+        yield from _verified(c, stream, owner, firsts, *c.matches(stream, starts[a : a + EMBEDDED]))
+
+
+def _all_verified(c: SizeClass, stream, owner, firsts, starts) -> Iterator[tuple[int, int, int, int]]:
+    """(start, item, edits, words of the window) of the best window of every item in every run of starts, by Sellers' algorithm:
+    one row of the distance table for each word of the text, each cell with the first of the best starts."""
+    cuts = np.flatnonzero((np.diff(starts) > 1) | (np.diff(owner[starts]) != 0)) + 1
+    for run in np.split(starts, cuts) if len(starts) else ():
+        low, high = int(run[0]), int(min(run[-1] + c.window, firsts[owner[run[0]] + 1]))
+        text = stream[low:high]
+        triples = _triples(text)
+        for i, (words, k) in enumerate(zip(c.words, c.allowed)):
+            n = len(words)
+            if np.isin(triples, c.held[i]).sum() < n - 2 - 3 * k:
+                continue
+            unit = np.int64(1 << 32)
+            steps = np.arange(n + 1, dtype=np.int64) * unit
+            row, best, end = steps.copy(), steps[n], 0  # edits above, start below
+            for e, word in enumerate(text, 1):
+                new = np.empty_like(row)
+                new[0] = e
+                np.minimum(row[1:] + unit, row[:-1] + np.where(words != word, unit, 0), out=new[1:])
+                row = np.minimum.accumulate(new - steps) + steps
+                if row[n] < best:
+                    best, end = row[n], e
+            dist, start = divmod(int(best), 1 << 32)
+            if dist <= k and end > start:
+                yield low + start, i, dist, end - start
+
+
 def _verified(c: SizeClass, stream, owner, firsts, starts, items) -> Iterator[tuple[int, int, int, int]]:
     """(start, item, edits, words of the window) of the pairs within the allowed edits."""
     for a in range(0, len(starts), 1024):

@@ -60,6 +60,41 @@ def test_edited_passages_are_found_and_verified(spark):
     assert kept == {d for d, _ in rows + clean} - {d for d, _ in got}
 
 
+def test_edited_copies_of_long_items_are_found(spark):
+    rng = random.Random(7)
+    items = [(k, prose(rng, n)) for k, n in enumerate((200, 400, 1000))]
+    rows, planted = [], set()
+    for d in range(60):
+        k, text = items[d % 3]
+        ws = text.split()
+        limit, part = dc.edits(len(ws), 20), len(ws) // 3 if d % 2 else len(ws)  # edits all over, or in the first third
+        for _ in range(limit):
+            at, what = rng.randrange(part), rng.randrange(3)
+            ws[at : at + (what < 2)] = [f"new{rng.randrange(10**6)}"] if what else []
+        host = prose(rng, 80).split()
+        rows.append((d, " ".join(host[:40] + ws + host[40:])))
+        planted.add((d, k))
+    clean = [(1000 + d, prose(rng, 1500)) for d in range(20)]
+    found = dc.contaminations(doc_frame(spark, rows + clean), _items(spark, items)).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in found}
+    assert len(planted & got) >= 0.98 * len(planted) and got <= planted
+    for r in found[:6]:
+        window = _tokens(dict(rows)[r["doc_id"]])[r["first_word"] : r["end_word"]]
+        assert _distance(_tokens(items[r["item_id"]][1]), window) == r["n_edits"]
+
+
+def test_the_best_window_is_the_same_with_and_without_keys():
+    rng = random.Random(8)
+    words = dc._item_words([prose(rng, n, 60) for n in (20, 21, 24)])
+    keyed = dc.Index.build([1, 2, 3], words, 20, 0.98, 11)
+    exact = dc.Index.build([1, 2, 3], words, 20, 1.01, 11)
+    assert all(c.held is not None for c in exact.classes)
+    text = " ".join(dc_text for _ in range(40) for dc_text in (prose(rng, 7, 60), prose(random.Random(8), 20, 60)))
+    ((*_, data, at),) = dc.ta.pieces(dc.pa.array([text, "", text[100:]]))
+    some, every = (x.search(dc.item_words(data, at)) for x in (keyed, exact))
+    assert {x[:2] for x in every} == {(0, 1), (2, 1)} and some == every
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     rng = random.Random(6)
     items = [(k, prose(rng, 20)) for k in range(8)]
