@@ -1,7 +1,10 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of at least ``MIN_LENGTH`` letters, digits and ``_+/-`` with a digit in it, or behind an equals sign, or of
-an issued format. The forest sees its length and
+A candidate is a value behind a hint word and a colon or an equals sign, of at least ``MIN_HINTED`` characters of any kind (with
+blanks, if quoted and of up to 200); a value of at least ``MIN_ASSIGNED`` behind any equals sign, or behind a colon if it is quoted or has a
+digit, unless it holds an assignment itself; a run of at least ``MIN_LENGTH`` letters, digits and ``_+/-`` with a digit in it, or
+behind an equals sign; or of an issued format. Unquoted values end at a blank, a quote, an angle bracket or the next
+assignment, without closing punctuation. The forest sees its length and
 make-up, how often it changes between kinds of characters, how much of it dictionary words cover, whether it is part of a
 path, and the words beside it. It learns from labelled findings; ``weak_labels`` makes some from formats that leave no doubt.
 Only DataFrame functions and Spark's own forest run.
@@ -18,10 +21,35 @@ from pyspark.sql import functions as F
 
 from loadloom.llm.graphs import written
 
-MIN_LENGTH = 12
+MIN_LENGTH, MIN_ASSIGNED, MIN_HINTED = 12, 6, 4
 _CHARS = r"A-Za-z0-9_+/\-"
+#: Words that stand beside secrets, and beside what only looks like one.
+HINTS = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key|bearer"
+OTHERS = "commit|sha1|sha256|md5|checksum|digest|hash|uuid|guid|isbn|version|build|invoice|order|phone|card|account"
+
+
+def _quoted(least: int, most: str, outside: str) -> str:
+    return "|".join(rf"(?<={q})(?:\\[^\r\n]|[^{q}\\{outside}]){{{least},{most}}}+(?={q})" for q in "\"'`")
+
+
+def _bare(least: int) -> str:
+    """Closing punctuation counts if more of the value follows. Possessive, so that long values need no stack."""
+    stop, core = r",;&.:)\]}", r"[^\s\"'`<>,;&.:)\]}]"
+    more = rf"(?=[{stop}]{{1,20}}+{core})"
+    return rf"(?<![\"'`])(?:{core}|{more}(?:[.:)\]}}]|[,;&](?![\"']?\w{{1,50}}[\"']?\s?[=:]))){{{least},}}+"
+
+
+#: Whether the place is behind an assignment, and whether that assigns to a name with a hint word.
+_BEHIND = r"(?<=[=:]\s{0,2}[\"'`]?)(?![=:>\s])"
+_HINTED = rf"(?<=(?i:{HINTS})\w{{0,12}}[\"'\])]{{0,2}}\s{{0,2}}[=:]{{1,2}}\s{{0,2}}[\"'`]?)"
+#: A value that is a URL or holds assignments is no value as a whole; its parts are.
+_WHOLE = r"(?!//|[^\s\"'`]{0,200}\w[=:][^\s=\"'`])"
+_SHAPE = r"(?:(?<=[\"'`])|(?<==\s{0,2})|(?=[^\s\"'`<>0-9]{0,200}+[0-9]))"
+BLANK, LINE = r"\s", r"\r\n"
 CANDIDATE = (
-    rf"(?<![{_CHARS}])(?:(?:(?=[A-Za-z_+/\-]*+[0-9])|(?<==\s?[\"']?))[{_CHARS}]{{{MIN_LENGTH},}}+"
+    rf"{_BEHIND}(?:{_HINTED}(?:{_quoted(MIN_HINTED, '', BLANK)}|{_quoted(MIN_HINTED, '200', LINE)}|{_bare(MIN_HINTED)})"
+    rf"|{_WHOLE}{_SHAPE}(?:{_quoted(MIN_ASSIGNED, '', BLANK)}|{_bare(MIN_ASSIGNED)}))"
+    rf"|(?<![{_CHARS}])(?:(?:(?=[A-Za-z_+/\-]*+[0-9])|(?<==\s?[\"']?))[{_CHARS}]{{{MIN_LENGTH},}}+"
     rf"|(?:AKIA|ASIA)[A-Z0-9]{{16}}(?![{_CHARS}]))"
 )
 #: Context kept on either side, in characters.
@@ -30,9 +58,6 @@ CONTEXT = 48
 MAX_LABELLED = 20_000
 REPLACEMENT = "[SECRET]"
 
-#: Words that stand beside secrets, and beside what only looks like one.
-HINTS = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key|bearer"
-OTHERS = "commit|sha1|sha256|md5|checksum|digest|hash|uuid|guid|isbn|version|build|invoice|order|phone|card|account"
 #: Words that readable identifiers are made of.
 DICTIONARY = (
     "account|address|admin|and|array|base|block|build|cache|class|client|code|config|content|count|data|date|default|demo|"
@@ -42,8 +67,11 @@ DICTIONARY = (
     "result|sample|search|section|server|service|session|setting|size|source|start|state|status|string|style|system|table|"
     "target|template|test|text|the|time|title|true|type|update|upload|user|value|version|view|web|widget|window|with|your"
 )
-#: Formats fixed by those who issue them.
-ISSUED = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[baprs]-[A-Za-z0-9-]{10,}$|^AIza[A-Za-z0-9_-]{35}$"
+#: Formats fixed by those who issue them, whole or within a longer value.
+ISSUED = (
+    r"(?<![A-Za-z0-9_])((AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[baprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})"
+    r"(?![A-Za-z0-9_-])"
+)
 
 FEATURES = ["n_chars", "digits", "uppers", "hex", "changes", "alternations", "distinct", "covered", "path", "hinted", "assigned", "quoted", "other", "issued"]
 
@@ -104,10 +132,11 @@ def with_features(found: DataFrame) -> DataFrame:
 
 
 def weak_labels(rows: DataFrame) -> DataFrame:
-    """Rows of ``with_features`` whose label is beyond doubt: issued formats and assigned, hinted values of mixed characters
-    are secrets (1); plain numbers, covered words and named digests are not (0)."""
+    """Rows of ``with_features`` whose label is beyond doubt: issued formats and assigned, hinted values with a digit or of
+    ``MIN_LENGTH`` characters, without blanks, are secrets (1); plain numbers, covered words and named digests are not (0)."""
     plain = (F.col("digits") == 1) | (F.col("covered") > 0.5) | ((F.col("other") == 1) & (F.col("hinted") == 0))
-    secret = (F.col("issued") == 1) | ((F.col("hinted") == 1) & (F.col("assigned") == 1) & (F.col("digits") < 1) & (F.col("covered") < 0.3))
+    mixed = F.col("found").rlike("[0-9]") | (F.col("n_chars") >= MIN_LENGTH)
+    secret = (F.col("issued") == 1) | (mixed & ~F.col("found").rlike(r"\s") & (F.col("hinted") == 1) & (F.col("assigned") == 1) & (F.col("digits") < 1) & (F.col("covered") < 0.3))
     return rows.withColumn("label", F.when(plain, 0.0).when(secret, 1.0)).where("label is not null")
 
 

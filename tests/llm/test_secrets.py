@@ -60,6 +60,32 @@ def test_candidates_without_a_digit(spark):
     assert {r["doc_id"]: r["text"] for r in secrets.redacted(docs, found).collect()}[3] == "password=" + secrets.REPLACEMENT
 
 
+def test_short_punctuated_and_colon_assigned_secrets(spark):
+    values = {
+        10_001: ('password = "{}"', "hunter2x9"), 10_002: ('password="{}"', "P4ss.w0rd!2024x"), 10_003: ('{{"secret": "{}"}}', "abcdefabcdefabcdef"),
+        10_004: ("db:\n  password: {}\n", "x9.K@2#f"), 10_005: ("password={}&user=joe", "a$b%c7!e&f"), 10_006: ("api_key: '{}', other", "q7w8e9"),
+        10_007: ("the token: {}.", "s3cr3t-v4lue"), 10_008: ("aws_key = {};", "x.AKIA" + "Q3" * 8),
+    }
+    rows, _ = _corpus()
+    docs = doc_frame(spark, rows + [(d, "say " + form.format(v) + " end") for d, (form, v) in values.items()])
+    got = {r["doc_id"]: r["text"] for r in secrets.redacted(docs, secrets.scan(docs)).collect()}
+    for d, (form, _) in values.items():
+        assert got[d] == "say " + form.format(secrets.REPLACEMENT) + " end"
+
+
+def test_any_assigned_value_is_a_candidate(spark):
+    rows = [(1, 'x = "p.q@r!s#t"'), (2, '{"k": "a%b&c.d"}'), (3, "k=ab.cd!ef"), (4, "k: ab.c7!ef"), (5, 'see "https://h.example/?token=abcdef0123456789"'),
+            (6, 'secret: "horse battery"'), (7, "password: swordfish, and"), (8, "at 10:30 he said: nothing more"),
+            (9, "password=" + "x." * 100_000 + "y"), (10, 'token="' + "x.4" * 100_000 + '"'), (11, "a:" * 50_000), (12, "k=" + "." * 100_000)]
+    texts = dict(rows)
+    found = secrets.candidates(doc_frame(spark, rows)).collect()
+    assert all(texts[r["doc_id"]][r["start"] :].startswith(r["found"]) for r in found)
+    assert sorted((r["doc_id"], r["found"]) for r in found) == [
+        (1, "p.q@r!s#t"), (2, "a%b&c.d"), (3, "ab.cd!ef"), (4, "ab.c7!ef"), (5, "abcdef0123456789"), (6, "horse battery"), (7, "swordfish"),
+        (9, "x." * 100_000 + "y"), (10, "x.4" * 100_000),
+    ]
+
+
 def test_main_path_has_no_python(spark):
     rows, _ = _corpus()
     plan = secrets.scan(doc_frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
