@@ -1,7 +1,8 @@
 """Chat formatting: records of any known layout become canonical turns, and turns one training text per conversation.
 
 *Layouts.* The field paths that a record fills are hashed into its fingerprint; a declared mapping is looked up by it and says
-which fields are role, text and order. Fields that no mapping names do not count, so clashing or extra columns do no harm.
+which fields are role, text and order. Fields that no mapping names do not count, so clashing or extra columns do no harm. A
+record that fills fields of several layouts takes the first of ``PRECEDENCE`` whose fields it fills; the others are ignored.
 
 *Template.* ``<|turn|>role`` newline ``text<|end|>`` newline, for each turn. Inside roles and texts a backslash is doubled and a
 control string gets one after its first character, so no text can open or close a turn, and reading back is exact. The loss
@@ -13,6 +14,7 @@ Only DataFrame functions run.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -50,6 +52,12 @@ LAYOUTS = (
     Layout("row", (("role", ("text",)),), optional=("turn", "role", "text"), order="turn"),
 )
 
+#: (layout, paths filled, paths not filled) for records whose fingerprint is no layout's own; any one of the last three will do.
+PRECEDENCE = (
+    ("messages", ("messages",), ()), ("conversations", ("conversations",), ()), ("row", ("role", "text"), ()), ("instruction", ("instruction",), ()),
+    ("prompt_response", ("prompt", "response"), ("completion",)), ("prompt", ("prompt",), ()), ("row", ("text",), ()), ("row", ("role",), ()), ("row", ("turn",), ()),
+)
+
 
 def paths(schema: T.StructType) -> list[str]:
     """Field paths of a schema; ``[]`` stands for the elements of a list."""
@@ -86,10 +94,15 @@ def _variants(layout: Layout) -> list[str]:
 
 def layout_of(df: DataFrame) -> Column:
     """Name of the layout; NULL for an unknown one."""
-    mark, out = fingerprint(df), None
+    mark, out, top = fingerprint(df), F.when(F.lit(False), F.lit(None).cast("string")), set(df.columns)
+    usable = {x.name for x in LAYOUTS if _turns(df, x) is not None}
     for layout in LAYOUTS:
-        wanted = _any_of(mark, _variants(layout))
-        out = F.when(wanted, layout.name) if out is None else out.when(wanted, layout.name)
+        if layout.name in usable:
+            out = out.when(_any_of(mark, _variants(layout)), layout.name)
+    for name, some, none in PRECEDENCE:
+        if name in usable and top.issuperset(some):
+            wanted = [F.col(p).isNotNull() for p in some] + [F.col(p).isNull() for p in none if p in top]
+            out = out.when(reduce(Column.__and__, wanted), name)
     return out
 
 

@@ -68,6 +68,23 @@ def test_layouts_are_known_by_their_fingerprint(spark):
     assert named.where(chat.layout_of(named).isNull()).select("conv_id").collect() == [(7,)]
 
 
+def test_filled_columns_of_other_layouts_do_no_harm(spark):
+    texts = ("instruction", "system", "input", "output", "prompt", "completion", "response", "role", "text")
+    schema = "conv_id bigint, messages array<struct<role:string,content:string>>, conversations array<struct<from:string,value:string>>, turn bigint"
+    schema += "".join(f", {c} string" for c in texts)
+    said, also = [("user", "hi")], [("human", "ho")]
+    cases = [
+        ({"messages": said, "prompt": "p"}, "messages"), ({"messages": said, "conversations": also, "role": "r"}, "messages"),
+        ({"conversations": also, "prompt": "p", "text": "t"}, "conversations"), ({"instruction": "i", "output": "o", "prompt": "p"}, "instruction"),
+        ({"prompt": "p", "completion": "c", "response": "r"}, "prompt"), ({"prompt": "p", "response": "r", "system": "s"}, "prompt_response"),
+        *[({"turn": 1, "role": "user", "text": "t", c: "x"}, "row") for c in texts[:7]], ({"turn": 1, "text": "t", "system": "s"}, "row"),
+    ]
+    names = [x.split(" ")[0] for x in ("conv_id", "messages", "conversations", "turn", *texts)]
+    df = spark.createDataFrame([tuple({"conv_id": i, **case}.get(c) for c in names) for i, (case, _) in enumerate(cases)], schema)
+    got = {r["conv_id"]: r["layout"] for r in chat.canonical_turns(df).collect()}
+    assert got == {i: name for i, (_, name) in enumerate(cases)}
+
+
 def test_empty_table_and_main_path_without_python(spark):
     turns = chat.canonical_turns(_rows(spark, []))
     assert chat.conversation_digests(turns).count() == 0
