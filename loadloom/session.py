@@ -52,3 +52,23 @@ def remove(spark: SparkSession, path: str) -> None:
     """Removes a scratch folder. Frames that still read it must not be used any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def numbered_folders(spark: SparkSession, folder: str, label: str, finished: bool = True) -> list[int]:
+    """Numbers of the ``label=N`` folders, only of those whose write has finished."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    root = hadoop(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith(f"{label}=") and (not finished or fs.exists(hadoop(f"{folder}/{name}/_SUCCESS"))):
+            found.append(int(name.split("=")[1]))
+    return sorted(found)
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
