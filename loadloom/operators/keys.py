@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +31,17 @@ def assert_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df
 
 
+def divide_by_key(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with a key of their own, and rows whose key is NULL in a column or occurs more than once.
+
+    The offending keys are counted before the shuffle; rows are then joined to those few keys, so a key that a third of the table
+    shares is one row there.
+    """
+    bad = key_violations(df, keys).select(*[F.col(k).alias(f"_bad_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_bad_{k}")) for k in keys])
+    return df.join(bad, same, "left_anti"), df.join(bad, same, "left_semi")
+
+
 def guarded(df: DataFrame, keys: list[str], columns: Mapping[str, Column], name: str) -> DataFrame:
     """The given columns, failing at run time on a repeated or NULL key.
 

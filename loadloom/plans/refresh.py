@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from loadloom import names
 from loadloom.functions.literals import to_literal, to_number
-from loadloom.operators.keys import unseen_rows
+from loadloom.operators.keys import assert_key, unseen_rows
+from loadloom.operators.skew import key_columns
 from loadloom.sources.tables import insert_select, overwrite
 
 
@@ -128,16 +129,17 @@ def run_refresh(
 ) -> int:
     """Refresh stored tables; returns 1 if anything was refreshed, else 0.
 
-    ``plan_refresh`` plus writes. The test table is overwritten last: until then its mark stands, and a run after a crash
-    finds the same rows again and skips those already stored. Its new rows are staged completely before the old ones go; a
-    crash while they are copied in may leave the table empty, its definition intact. Its old rows are in train by then, so
-    the latest train row has the same mark, and the next run goes on from there.
+    ``plan_refresh`` plus writes. The test table is replaced last, by one switch of its location: until then its mark stands, and
+    a run after a crash finds the same rows again and skips those already stored; readers find the old test rows or the new
+    ones, never none. Skipping goes by key, so a batch with a NULL or repeated key is refused before anything is written.
     """
     test = spark.table(test_table)
     features = spark.table(feature_table)
     plan = plan_refresh(spark.table(source_table), spark.table(train_table), test, features, features.columns, key, time)
     if not plan.refreshed:
         return 0
+    assert_key(plan.test, key_columns(key))
+    assert_key(test, key_columns(key))
     plan.train_added.select(*spark.table(train_table).columns).write.insertInto(train_table)
     insert_select(plan.features_added, feature_table, features.columns)
     overwrite(plan.test.select(*test.columns), test_table)

@@ -5,6 +5,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from loadloom import names
+from loadloom.operators import keys
 from loadloom.operators.lookup import Lookup, look_up
 from loadloom.plans import refresh
 from loadloom.session import scratch_path
@@ -133,7 +134,82 @@ def test_overwrite_keeps_the_definition(spark):
     told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
     assert told["Type"] == "EXTERNAL" and told["Num Buckets"] == "4" and told["Comment"] == "kept" and path in told["Location"]
     assert "loadloom.key=id" in told["Table Properties"]
-    assert ids(spark.table(name)) == sorted(i for i in range(20) if str(i) < "15") == ids(spark.read.parquet(path))
+    stored = spark.read.parquet(tables.location(spark, name))
+    assert ids(spark.table(name)) == sorted(i for i in range(20) if str(i) < "15") == ids(stored)
+    tables.append(frame(spark, [99]), name)
+    assert 99 in ids(spark.table(name)) and spark.table(name).count() == stored.count() + 1
+
+
+STEPS = ("_new_version", "_stage", "_switch", "expire")
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_a_failed_replacement_leaves_the_old_or_the_new_rows(spark, monkeypatch, step, after, buckets):
+    tag = scratch_path(spark, "db").rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE f_{tag} LOCATION '{scratch_path(spark, 'db')}'")
+    name, real = f"f_{tag}.t", getattr(tables, step)
+    tables.append(frame(spark, range(5)), name, buckets=buckets)
+    tables.overwrite(frame(spark, range(5, 10)), name)
+    reader = spark.table(name)
+
+    def crash(*args):
+        if after:
+            real(*args)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, step, crash)
+        with pytest.raises(RuntimeError):
+            tables.overwrite(frame(spark, range(10, 30)), name)
+    switched = STEPS.index(step) > 2 or (step == "_switch" and after)
+    assert ids(spark.table(name)) == list(range(10, 30) if switched else range(5, 10))
+    assert ids(reader) == list(range(5, 10))  # its version is still there
+    tables.overwrite(spark.table(name).limit(3), name)
+    assert spark.table(name).count() == 3
+    assert len(tables.versions(spark, name)) == 2
+    root = tables._root(tables.location(spark, name))
+    tables.drop(spark, name)
+    assert not spark.catalog.tableExists(name) and tables._listed(spark, root) == []
+
+
+def test_replacement_of_managed_formats_types_and_partitions(spark):
+    tag = scratch_path(spark, "db").rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE g_{tag} LOCATION '{scratch_path(spark, 'db')}'")
+    spark.sql(f"CREATE TABLE g_{tag}.j (id STRING, `a b` INT) USING json")
+    for n in range(4):
+        tables.overwrite(spark.createDataFrame([(n, str(n))], "`a b` bigint, id string"), f"g_{tag}.j")
+    assert [tuple(r) for r in spark.table(f"g_{tag}.j").collect()] == [("3", 3)]
+    assert len(tables.versions(spark, f"g_{tag}.j")) == 2
+    frame(spark, range(4)).write.partitionBy("id").saveAsTable(f"g_{tag}.p")
+    with pytest.raises(ValueError, match="partitioned"):
+        tables.overwrite(frame(spark, range(2)), f"g_{tag}.p")
+    assert spark.table(f"g_{tag}.p").count() == 4
+
+
+def test_unseen_rows_are_added_once_and_rows_without_a_key_of_their_own_refused(spark):
+    tag = scratch_path(spark, "db").rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE u_{tag} LOCATION '{scratch_path(spark, 'db')}'")
+    name = f"u_{tag}.t"
+    tables.append(frame(spark, range(3)), name)
+    batch = frame(spark, [2, 3, 4, 5, 5, 5]).withColumn("id", F.when(F.col("id") != "4", F.col("id")))
+    with pytest.raises(ValueError, match="not a key"):
+        tables.append_unseen(batch, name)
+    assert ids(spark.table(name)) == [0, 1, 2]
+    good, bad = keys.divide_by_key(batch, ["id"])
+    for _ in range(2):
+        tables.append_unseen(good, name)
+    assert ids(spark.table(name)) == [0, 1, 2, 3]
+    assert sorted((r["id"] or "") for r in bad.collect()) == ["", "5", "5", "5"]
+
+
+def test_refresh_refuses_a_batch_without_unique_keys(spark, stored):
+    twice = frame(spark, [18])
+    tables.append(twice, stored["source"])
+    with pytest.raises(ValueError, match="not a key"):
+        run(spark, stored)
+    assert state(spark, stored) == (list(range(10)), list(range(10, 15)), list(range(15)))
 
 
 def test_refresh_of_empty_tables_does_nothing(spark, stored):
