@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadloom import names
 from loadloom.operators.keys import guarded
@@ -15,7 +16,8 @@ from loadloom.operators.skew import key_columns
 def change_set(old: DataFrame, new: DataFrame, columns: Sequence[str], key: str | Sequence[str] = names.KEY) -> DataFrame:
     """Keys that were inserted, updated or deleted: key columns, ``change``, and each column before and after.
 
-    One sort-merge join; both sides fail on a repeated key, at no extra shuffle. Two NULLs count as equal.
+    One sort-merge join; both sides fail on a repeated key, at no extra shuffle. Two NULLs count as equal, and so do maps with
+    the same entries in any order.
     """
     keys = key_columns(key)
     before = {c: F.col(c) for c in columns}
@@ -25,7 +27,9 @@ def change_set(old: DataFrame, new: DataFrame, columns: Sequence[str], key: str
     both = left.join(right, keys, "full_outer")
     same = F.lit(True)
     for c in columns:
-        same = same & F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}"))
+        is_map = isinstance(old.schema[c].dataType, T.MapType)
+        sides = [F.array_sort(F.map_entries(f"{s}_{c}")) if is_map else F.col(f"{s}_{c}") for s in ("old", "new")]
+        same = same & sides[0].eqNullSafe(sides[1])
     change = (
         F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "delete").when(~same, "update")
     )
