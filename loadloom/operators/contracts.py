@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadloom.operators.counting import Counted, counted
+
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType)
 
@@ -78,8 +80,8 @@ def violations(df: DataFrame, schema: T.StructType, key: list[str]) -> DataFrame
     return df.filter(any_bad).select(*key, F.inline(F.filter(F.array(*faults), lambda x: x.isNotNull())))
 
 
-def column_report(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """One row per declared column: rows, values present, values that cannot be coerced. One pass."""
+def _report(df: DataFrame, schema: T.StructType) -> tuple[list[Column], list[Column]]:
+    """Aggregates over the frame, and a row per declared column made of them."""
     lacking = missing_columns(df, schema)
     cleaned = nan_to_null(df, [n for n in schema.names if n not in lacking])
     aggs, rows = [F.count(F.lit(1)).alias("rows")], []
@@ -103,9 +105,21 @@ def column_report(df: DataFrame, schema: T.StructType) -> DataFrame:
                 bad.alias("uncastable"),
             )
         )
+    return aggs, rows
+
+
+def column_report(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row per declared column: rows, values present, values that cannot be coerced. One pass."""
+    aggs, rows = _report(df, schema)
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
+def reported(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Counted]:
+    """The frame, and the ``column_report`` of the rows that its first action reads: no pass of its own."""
+    aggs, rows = _report(df, schema)
+    return counted(df, aggs, lambda sums: sums.select(F.inline(F.array(*rows))))
+
+
 def schema_differences(actual: T.StructType, declared: T.StructType) -> dict[str, tuple[str | None, str | None]]:
     """Names whose types differ, as (actual, declared) type names; None where a side lacks the column."""
     a = {f.name: f.dataType.simpleString() for f in actual.fields}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from loadloom import names
 from loadloom.functions import absolute_error
+from loadloom.functions.literals import to_number
 from loadloom.operators.keys import align_on_key
 
 
@@ -91,6 +92,37 @@ def long_pairs(
     return df.select(*keep, F.inline(F.array(*rows)))
 
 
+def chart_points(
+    df: DataFrame, pairs: Mapping[str, tuple[str, str]], pixels: int = 1000, time: str = names.TIME
+) -> DataFrame:
+    """M14 for drawing: of each target, series and pixel column the first, last, lowest and highest point.
+
+    ``target, series, pixel, points`` and a time and value of each; lines through these points cover the same pixels as lines
+    through all rows, and there are at most ``pixels`` rows per series whatever the table holds. Pixel columns divide the range of
+    times evenly. Rows without a time, and missing or NaN values, draw nothing. Of equal values the earliest is taken, of equal
+    times the lowest value first and the highest last.
+    """
+    if pixels < 1:
+        raise ValueError("pixels must be at least 1")
+    dtype = df.schema[time].dataType
+    dated = df.filter(F.col(time).isNotNull())
+    ends = dated.agg(to_number(F.min(time), dtype).alias("a"), to_number(F.max(time), dtype).alias("b"))
+    start = ends.select("a").scalar()
+    width = ends.select(F.expr(f"(b - a) div {int(pixels)} + 1")).scalar()
+    series = [
+        F.struct(F.lit(target).alias("target"), F.lit(name).alias("series"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("value"))
+        for target, both in pairs.items() for name, c in zip(("actual", "predicted"), both, strict=True)
+    ]
+    points = dated.select(time, ((to_number(F.col(time), dtype) - start) / width).cast("bigint").alias("pixel"), F.inline(F.array(*series)))
+    points = points.filter(F.col("value").isNotNull())
+    value, at = F.col("value"), F.col(time)
+    by_time, by_value = F.struct(at, value), F.struct(value, at)
+    ends = {"first": F.min(by_time), "last": F.max(by_time), "low": F.min(by_value), "high": F.max_by(by_value, F.struct(value, -to_number(at, dtype)))}
+    rows = points.groupBy("target", "series", "pixel").agg(F.count(F.lit(1)).alias("points"), *[c.alias(n) for n, c in ends.items()])
+    parts = [F.col(n)[f].alias(f"{n}_{label}") for n in ends for f, label in ((time, "time"), ("value", "value"))]
+    return rows.select("target", "series", "pixel", "points", *parts)
+
+
 def _comparison(df: DataFrame, actual: str, old: str, new: str) -> DataFrame:
     def rmse(predicted: str) -> Column:
         residual = F.col(actual) - F.col(predicted)

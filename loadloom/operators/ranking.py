@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from loadloom import names
 from loadloom.functions.literals import has_number, to_literal, to_number
+from loadloom.operators.counting import Counted, counted
 
 BINS = 1024
 # With this many rows or fewer left in a bin, their distinct values are fetched.
@@ -221,6 +222,17 @@ def split_summary(df: DataFrame, time: str = names.TIME) -> DataFrame:
     )
 
 
+def summarised_split(df: DataFrame, time: str = names.TIME) -> tuple[DataFrame, Counted]:
+    """The frame, and the ``split_summary`` of the rows that its first action reads (the write of the parts, say)."""
+    aggs, rows = [], []
+    for i, part in enumerate(("train", "test")):
+        mine = F.col("split") == part
+        at = F.when(mine, F.col(time))
+        aggs += [F.count_if(mine).alias(f"n{i}"), F.min(at).alias(f"a{i}"), F.max(at).alias(f"b{i}")]
+        rows.append(F.struct(F.lit(part).alias("split"), F.col(f"n{i}").alias("rows"), F.col(f"a{i}").alias("first_time"), F.col(f"b{i}").alias("last_time")))
+    return counted(df, aggs, lambda sums: sums.select(F.inline(F.array(*rows))).where("rows > 0"))
+
+
 def rows_between(
     df: DataFrame, start: int, stop: int, time: str = names.TIME, key: str = names.KEY
 ) -> DataFrame:
