@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
-from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadloom import names
-from loadloom.operators.evaluate import metrics_uniform
+from loadloom.operators.evaluate import metrics_per_target
 from loadloom.session import checkpoint_root
 
 INPUTS = "_inputs"
@@ -126,21 +126,28 @@ def _made_by(stage) -> list[str]:
     return []
 
 
-def fit_per_target(
+@dataclass(frozen=True)
+class Matrix:
+    """Rows assembled once into vectors, with the targets beside them, kept while models are fitted on them."""
+
+    stages: Sequence
+    rows: DataFrame
+    features: Sequence[str]
+    targets: Sequence[str]
+
+
+@contextmanager
+def assembled(
     df: DataFrame,
-    model: Boosting | Forest,
     features: Sequence[str] = tuple(names.MODEL_INPUTS),
     targets: Sequence[str] = tuple(names.TARGETS),
-    outputs: Sequence[str] = tuple(names.PREDICTED),
     encode: Sequence[str] = (),
-    parallelism: int = 3,
-) -> TargetModels:
-    """M4 / M5: one regressor per target over the same assembled inputs, ``parallelism`` of them at a time.
+) -> Iterator[Matrix]:
+    """The training matrix for the length of a block; all regressors read it many times over.
 
     ``encode`` one-hot encodes columns of small non-negative integers first, unknown values giving all zeros. Missing
     inputs are passed on as NaN, which the trees send to the right branch.
     """
-    checkpoint_root(df.sparkSession)
     first = []
     plain = [f for f in features if f not in encode]
     if encode:
@@ -155,22 +162,57 @@ def fit_per_target(
     first.append(VectorAssembler(inputCols=inputs, outputCol=INPUTS, handleInvalid="keep"))
     narrow = df.select(*features, *targets)
     shared = Pipeline(stages=first).fit(narrow)
-    # All regressors read the assembled rows many times over.
-    assembled = shared.transform(narrow).select(INPUTS, *targets).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit_one(names_of: tuple[str, str]):
-        target, output = names_of
-        return model.estimator(target, output).fit(assembled.filter(F.col(target).isNotNull()))
-
+    rows = shared.transform(narrow).select(INPUTS, *targets).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        with ThreadPool(max(1, min(parallelism, len(targets)))) as pool:
-            # As in Spark's own parallel tuning: each thread submits its jobs with this thread's properties.
-            work = inheritable_thread_target(df.sparkSession)(fit_one)
-            fitted = pool.map(work, list(zip(targets, outputs, strict=True)))
+        yield Matrix(shared.stages, rows, list(features), list(targets))
     finally:
-        assembled.unpersist()
-    chain = PipelineModel([*shared.stages, *fitted])
-    return TargetModels(chain, list(features), dict(zip(targets, outputs, strict=True)))
+        rows.unpersist()
+
+
+def _fitted(matrix: Matrix, work: Sequence[tuple[Boosting | Forest, str, str]], parallelism: int) -> list:
+    """A regressor for each (parameters, target, output), ``parallelism`` of them at a time, each in a scheduler pool of its own
+    so that under fair scheduling short fits do not wait for long ones."""
+    spark = matrix.rows.sparkSession
+    checkpoint_root(spark)
+
+    def fit_one(job: tuple[int, tuple[Boosting | Forest, str, str]]):
+        number, (model, target, output) = job
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{number % parallelism}")
+        return model.estimator(target, output).fit(matrix.rows.filter(F.col(target).isNotNull()))
+
+    with ThreadPool(max(1, min(parallelism, len(work)))) as pool:
+        # As in Spark's own parallel tuning: each thread submits its jobs with this thread's properties.
+        return pool.map(inheritable_thread_target(spark)(fit_one), list(enumerate(work)))
+
+
+def fit_per_target(
+    df: DataFrame,
+    model: Boosting | Forest,
+    features: Sequence[str] = tuple(names.MODEL_INPUTS),
+    targets: Sequence[str] = tuple(names.TARGETS),
+    outputs: Sequence[str] = tuple(names.PREDICTED),
+    encode: Sequence[str] = (),
+    parallelism: int = 3,
+) -> TargetModels:
+    """M4 / M5: one regressor per target over the same assembled inputs (see ``assembled``), ``parallelism`` at a time."""
+    with assembled(df, features, targets, encode) as matrix:
+        return fit_variants(matrix, {"": model}, outputs, parallelism)[""]
+
+
+def fit_variants(
+    matrix: Matrix,
+    variants: Mapping[str, Boosting | Forest],
+    outputs: Sequence[str] = tuple(names.PREDICTED),
+    parallelism: int = 3,
+) -> dict[str, TargetModels]:
+    """All variants of all targets on one matrix, ``parallelism`` fits at a time whatever they belong to."""
+    work = [(model, t, o) for model in variants.values() for t, o in zip(matrix.targets, outputs, strict=True)]
+    fitted, n = _fitted(matrix, work, parallelism), len(matrix.targets)
+    named = dict(zip(matrix.targets, outputs, strict=True))
+    return {
+        name: TargetModels(PipelineModel([*matrix.stages, *fitted[i * n : (i + 1) * n]]), matrix.features, named)
+        for i, name in enumerate(variants)
+    }
 
 
 def compare_variants(
@@ -180,13 +222,27 @@ def compare_variants(
     features: Sequence[str] = tuple(names.MODEL_INPUTS),
     targets: Sequence[str] = tuple(names.TARGETS),
     outputs: Sequence[str] = tuple(names.PREDICTED),
+    parallelism: int = 3,
 ) -> DataFrame:
-    """Each parameter set trained and judged on the same split; one row per variant."""
-    reports = []
-    for name, model in variants.items():
-        scored = fit_per_target(train, model, features, targets, outputs).score(test)
-        pairs = {t: (t, o) for t, o in zip(targets, outputs, strict=True)}
-        report = metrics_uniform(scored, pairs)
+    """Each parameter set trained and judged on the same split; one row per variant.
+
+    The train rows are assembled once for all variants. The test rows are as well: they are read once, every model adds its
+    prediction to them, and one aggregate gives the errors of all.
+    """
+    with assembled(train, features, targets) as matrix:
+        fitted = fit_variants(matrix, variants, outputs, parallelism)
+        scored = PipelineModel(list(matrix.stages)).transform(test.select(*features, *targets))
+        pairs = {}
+        for i, models in enumerate(fitted.values()):
+            for target, stage in zip(targets, models.regressors(), strict=True):
+                column = f"_{i}_{target}"
+                scored = stage.copy({stage.predictionCol: column}).transform(scored)
+                pairs[column] = (target, column)
+        errors = metrics_per_target(scored, pairs)
+    rows = []
+    for i, (name, model) in enumerate(variants.items()):
         settings = F.create_map(*[F.lit(x) for k, v in vars(model).items() for x in (k, str(v))])
-        reports.append(report.select(F.lit(name).alias("variant"), settings.alias("parameters"), "mse", "mae", "r2"))
-    return reduce(DataFrame.unionByName, reports)
+        rows += [F.struct(F.lit(f"_{i}_{t}").alias("target"), F.lit(name).alias("variant"), settings.alias("parameters"), F.lit(i).alias("place")) for t in targets]
+    named = train.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    means = [F.avg(m).alias(m) for m in ("mse", "mae", "r2")]
+    return errors.join(named, "target").groupBy("place", "variant").agg(F.any_value("parameters").alias("parameters"), *means).drop("place")
