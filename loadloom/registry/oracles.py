@@ -331,6 +331,10 @@ SELECT * FROM both_sides WHERE change IS NOT NULL""",
     "WHERE nth = 1",
     "appended_table": _readings("readings"),
     "overwritten_table": _readings("readings"),
+    "replaced_versions": f"""WITH {BASE}, numbered AS (SELECT *, CAST(id AS BIGINT) % 3 AS rest FROM readings)
+SELECT id, {_r('Wind_Speed')}, CAST(2 AS BIGINT) AS versions FROM numbered WHERE DateTime >= '2024-01-20'""",
+    "appended_by_key": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) OVER (PARTITION BY "
+    "l_orderkey, l_linenumber) = 1 AND l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL AS stored FROM lineitem",
     "inserted_features": f"WITH {PREPARED} SELECT id, DateTime, "
     + ", ".join(_r(c) for c in [*names.WEATHER, *names.FLOWS])
     + f", {', '.join(names.INDICATORS)} FROM prepared",
@@ -508,3 +512,63 @@ FROM events""",
     "stored_parts": f"WITH {PREPARED},\n{SPLIT.format(source='prepared')} SELECT split AS part, id, "
     f"CAST(2 AS BIGINT) AS copies, CAST(2 AS BIGINT) AS stamps, {_r('Zone_1_Power_Consumption', 'zone')} FROM split",
 }
+
+_NEWER = """newer AS (
+  SELECT *, CASE WHEN Wind_Speed < 20 THEN Temperature + 1 ELSE Temperature END AS raised FROM readings WHERE DateTime >= '2024-01-05')"""
+_NUMBERS = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS x FROM calendar" for c in names.NUMERIC_FEATURES)
+_LEVELS = "SELECT '{0}' AS \"column\", count(*) AS rows, count({1}) AS present, string_agg(DISTINCT {1}, ',' ORDER BY {1}) AS levels FROM kinds"
+_CHART_PAIRS = " UNION ALL ".join(
+    f"SELECT '{t}' AS target, '{series}' AS series, epoch_us(DateTime) AS m, DateTime AS t, CAST({c} AS DOUBLE) AS v FROM scored WHERE {c} IS NOT NULL"
+    for t, p in zip(names.TARGETS, ["prediction_new", "prediction_2", "prediction_3"], strict=True)
+    for series, c in (("actual", t), ("predicted", p))
+)
+ORACLES |= {
+    "changes_between_versions": ORACLES["changed_rows"],
+    "changes_of_few_parts": f"""WITH {BASE} SELECT id, 'update' AS change, {_r('Wind_Speed', 'old_Wind_Speed')}, CAST(-1 AS DOUBLE) AS new_Wind_Speed,
+{_r('Humidity', 'old_Humidity')}, {_r('Humidity', 'new_Humidity')} FROM readings WHERE CAST(id AS BIGINT) % 997 = 5""",
+    "version_feed_state": f"WITH {BASE}, {_NEWER} SELECT id, {_r('raised', 'Temperature')}, {_r('Wind_Speed')} FROM newer",
+    "filtered_append": f"WITH {BASE} SELECT id, {', '.join(_r(c) for c in READING_DOUBLES)} FROM readings",
+    "point_lookups": ORACLES["key_list_lookup"],
+    "stream_sync_parts": "SELECT user_id, event_id, ts, CAST(3 AS BIGINT) AS refused FROM events "
+    "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
+    "stream_sync_expired": """WITH e AS (SELECT *, event_type = 'purchase' AS gone FROM events),
+w0 AS (SELECT max(ts) - INTERVAL 3 DAY AS w FROM e WHERE event_id % 3 = 0),
+b1 AS (SELECT e.* FROM e, w0 WHERE event_id % 3 = 1 AND ts >= w),
+w1 AS (SELECT greatest((SELECT w FROM w0), max(ts) - INTERVAL 3 DAY) AS w FROM b1),
+b2 AS (SELECT e.* FROM e, w1 WHERE event_id % 3 = 2 AND ts >= w),
+w2 AS (SELECT greatest((SELECT w FROM w1), max(ts) - INTERVAL 3 DAY) AS w FROM b2),
+s0 AS (SELECT * FROM e WHERE event_id % 3 = 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+k0 AS (SELECT s0.* FROM s0, w0 WHERE NOT (gone AND ts < w)),
+s1 AS (SELECT * FROM (SELECT * FROM k0 UNION ALL SELECT * FROM b1) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+k1 AS (SELECT s1.* FROM s1, w1 WHERE NOT (gone AND ts < w)),
+s2 AS (SELECT * FROM (SELECT * FROM k1 UNION ALL SELECT * FROM b2) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT user_id, event_id, ts, CASE WHEN gone THEN 'deleted' ELSE 'row' END AS kind FROM s2, w2 WHERE NOT (gone AND ts < w)
+UNION ALL SELECT user_id, event_id, ts, 'late' FROM e, w0 WHERE event_id % 3 = 1 AND ts < w
+UNION ALL SELECT user_id, event_id, ts, 'late' FROM e, w1 WHERE event_id % 3 = 2 AND ts < w""",
+    "stored_profile": ORACLES["prep_profile"],
+    "stored_moments": f"""WITH {CALENDAR}, numbers AS ({_NUMBERS})
+SELECT "column", {_r('avg(x)', 'mean')}, {_r('stddev_samp(x)', 'deviation')}, count(*) AS rows, count(x) AS present,
+{_r('min(x)', 'low')}, {_r('max(x)', 'high')} FROM numbers GROUP BY "column\"""",
+    "merged_levels": f"""WITH {CALENDAR}, kinds AS (
+  SELECT CAST(DayOfWeek AS VARCHAR) AS d, CASE WHEN Humidity > 3 THEN substr(id, 1, 1) END AS kind FROM calendar)
+{_LEVELS.format('DayOfWeek', 'd')} UNION ALL {_LEVELS.format('kind', 'kind')}""",
+    "observed_contract": ORACLES["contract_columns"],
+    "observed_split": ORACLES["temporal_split"],
+    "chart_points": f"""WITH {SCORED}, points AS ({_CHART_PAIRS}),
+ends AS (SELECT min(epoch_us(DateTime)) AS a, max(epoch_us(DateTime)) AS b FROM scored),
+placed AS (SELECT p.*, (m - a) // ((b - a) // 50 + 1) AS pixel FROM points p, ends)
+SELECT target, series, CAST(pixel AS BIGINT) AS pixel, count(*) AS points,
+  first(t ORDER BY t, v) AS first_time, round(first(v ORDER BY t, v), 6) + 0.0 AS first_value,
+  last(t ORDER BY t, v) AS last_time, round(last(v ORDER BY t, v), 6) + 0.0 AS last_value,
+  first(t ORDER BY v, t) AS low_time, round(first(v ORDER BY v, t), 6) + 0.0 AS low_value,
+  first(t ORDER BY v DESC, t) AS high_time, round(first(v ORDER BY v DESC, t), 6) + 0.0 AS high_value
+FROM placed GROUP BY target, series, pixel""",
+    "arrow_interaction": ORACLES["weather_interaction"],
+    "wrapped_models_routed": f"""WITH {SCORED} SELECT id, {_r('Humidity')}, {_r('prediction_2')},
+{_r(f'(Humidity + prediction_2) * CASE WHEN {ODD} THEN 1.3 ELSE 0.7 END', 'Prediction')},
+CASE WHEN {ODD} THEN 'Model A' ELSE 'Model B' END AS model FROM scored""",
+    "stored_order_slice": f"""WITH {BASE}, placed AS (
+  SELECT *, row_number() OVER (ORDER BY DateTime, id) - 1 AS place, count(*) OVER () AS n FROM readings)
+SELECT id, DateTime, {_r('Wind_Speed')} FROM placed WHERE place >= n // 3 AND place < n // 2""",
+    "position_draws": "SELECT count(*) AS rows, count(*) AS draws, true AS spread_fits FROM events",
+}

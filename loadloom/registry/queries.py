@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,21 @@ from loadloom.functions import (
     step_after,
     utc_now,
 )
-from loadloom.operators import columns, contracts, evaluate, keys, lookup, models, prepare, ranking, routing, synthetic
+from loadloom.operators import (
+    arrow,
+    columns,
+    contracts,
+    evaluate,
+    keys,
+    lookup,
+    models,
+    positions,
+    prepare,
+    ranking,
+    routing,
+    states,
+    synthetic,
+)
 from loadloom.operators.changes import change_set
 from loadloom.operators.sampling import sample_exactly
 from loadloom.plans import prepare_data, refresh, serving, training
@@ -34,7 +48,7 @@ from loadloom.registry.inputs import (
     text_readings,
 )
 from loadloom.session import scratch_path
-from loadloom.sources import files, runlog, tables
+from loadloom.sources import files, keyed_store, runlog, tables
 from loadloom.streaming import keyed_sync
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -445,6 +459,7 @@ def _fresh_table(spark, label: str) -> tuple[str, str]:
 
 def _released(spark, name: str, path: str) -> DataFrame:
     """The table's files, its name given back to the catalog."""
+    path = tables.location(spark, name)
     spark.sql(f"DROP TABLE {name}")
     return tables.scan(spark, path)
 
@@ -469,6 +484,32 @@ def overwritten_table(spark, sf):
     return _released(spark, name, path)
 
 
+@query
+def replaced_versions(spark, sf):
+    """A bucketed table replaced three times from itself: its rows, and how many versions are kept."""
+    train, test = _halves(spark, sf)
+    name, path = _fresh_table(spark, "replaced")
+    tables.append(train, name, path, buckets=4)
+    for step in range(3):
+        rows = spark.table(name).filter(F.col("id").cast("bigint") % 3 != step)
+        tables.overwrite(rows.unionByName(test.filter(F.col("id").cast("bigint") % 3 == step)), name)
+    kept = len(tables.versions(spark, name))
+    return _released(spark, name, path).select("id", "Wind_Speed", F.lit(kept).alias("versions"))
+
+
+@query
+def appended_by_key(spark, sf):
+    """Line items added to some of them twice over; those without a key of their own are set apart."""
+    line, own = table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]
+    good, bad = keys.divide_by_key(line, own)
+    name, path = _fresh_table(spark, "lines")
+    tables.append(good.filter("l_orderkey % 2 = 0"), name, path, own)
+    for _ in range(2):
+        tables.append_unseen(good, name, own)
+    stored = _released(spark, name, path).select(*own, F.lit(True).alias("stored"))
+    return stored.unionAll(bad.select(*own, F.lit(False)))
+
+
 @query
 def inserted_features(spark, sf):
     rows = prepare_data.prepared(prepare_data.raw_readings(readings(spark, sf)))
@@ -1066,3 +1107,227 @@ def stored_parts(spark, sf):
         rows = rows.select(F.lit(part).alias("part"), "*")
         out = rows if out is None else out.unionAll(rows)
     return out
+
+
+# ---- versions, feeds, states --------------------------------------------------------------------------------------
+
+
+def _older_and_newer(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Two states of the readings: rows gone, rows added, values raised in some days only."""
+    source = readings(spark, sf)
+    raised = F.when(F.col("Wind_Speed") < 20, F.col("Temperature") + 1).otherwise(F.col("Temperature"))
+    new = source.filter(F.col("DateTime") >= _at(FIRST_DAY)).withColumn("Temperature", raised)
+    return source.filter(F.col("DateTime") < _at(TEST_UNTIL)), new
+
+
+@query
+def changes_between_versions(spark, sf):
+    """Two versions stored in shared folders; only folders that differ are read."""
+    target, columns = scratch_path(spark, "versions"), ["Temperature", "Zone_1_Power_Consumption"]
+    for rows in _older_and_newer(spark, sf):
+        keyed_store.publish(rows.select(names.KEY, *columns), target, names.KEY, 16)
+    return keyed_store.changes_between_versions(spark, target, 0, 1, columns)
+
+
+@query
+def changes_of_few_parts(spark, sf):
+    """A few keys changed among many parts."""
+    target, rows = scratch_path(spark, "versions"), readings(spark, sf).select(names.KEY, "Wind_Speed", "Humidity")
+    few = F.col("id").cast("bigint") % 997 == 5
+    keyed_store.publish(rows, target, names.KEY, 32)
+    keyed_store.publish(rows.withColumn("Wind_Speed", F.when(few, -1.0).otherwise(F.col("Wind_Speed"))), target)
+    return keyed_store.changes_between_versions(spark, target, 0, 1, ["Wind_Speed", "Humidity"])
+
+
+@query
+def version_feed_state(spark, sf):
+    """The stored changes of two versions, taken in by a stream: the rows of the second."""
+    target, out = scratch_path(spark, "versions"), scratch_path(spark, "feed_state")
+    for number, rows in enumerate(_older_and_newer(spark, sf)):
+        keyed_store.publish(rows.select(names.KEY, "Temperature", "Wind_Speed"), target, names.KEY, 16)
+        keyed_store.store_changes(spark, target, number, ["Temperature", "Wind_Speed"])
+        feed = keyed_store.read_changes(spark, target)
+        keyed_sync.sync(feed, out, names.KEY, ["version"], 8)
+    state = keyed_sync.read_state(spark, out, feed.schema, names.KEY, ["version"], "deleted")
+    return state.select(names.KEY, "Temperature", "Wind_Speed")
+
+
+@query
+def filtered_append(spark, sf):
+    """All readings appended twice to the earlier half; filters over the keys say which folders to look into."""
+    train, _ = _halves(spark, sf)
+    target = scratch_path(spark, "filtered")
+    keyed_store.publish(train.drop(names.TIME), target, names.KEY, 8)
+    for _ in range(2):
+        keyed_store.append_unseen(readings(spark, sf).drop(names.TIME), target)
+    keyed_store.fold(spark, target)
+    return keyed_store.read(spark, target)
+
+
+@query
+def point_lookups(spark, sf):
+    """Requested documents from parts that are pruned at run time."""
+    target = scratch_path(spark, "points")
+    documents = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    keyed_store.publish(documents, target, "doc_id", 16)
+    wanted = table(spark, sf, "labels").select((F.col("doc_id") * 3).alias("doc_id"))
+    return keyed_store.point_lookup(wanted, target, ["lang", "n_chars"])
+
+
+def _fed(spark, sf, parts: int, step) -> tuple[str, T.StructType]:
+    """Events in three files, each synced and then handed to ``step``."""
+    events = table(spark, sf, "events").withColumn("gone", F.col("event_type") == F.lit("purchase"))
+    source, target = scratch_path(spark, "feed"), scratch_path(spark, "sync")
+    for part in range(3):
+        events.filter(F.col("event_id") % 3 == part).repartition(2).write.mode("append").parquet(source)
+        stream = keyed_sync.read_stream(spark, source, events.schema)
+        keyed_sync.sync(stream, target, "user_id", ["ts", "event_id"], parts if part == 0 else None, "ts")
+        step(target, events.schema)
+    return target, events.schema
+
+
+@query
+def stream_sync_parts(spark, sf):
+    """A table begun with 8 parts, compactions that ask for 10 refused and repeated without a number."""
+    refused = []
+
+    def step(target, schema):
+        try:
+            keyed_sync.compact(spark, target, schema, "user_id", ["ts", "event_id"], 10)
+        except ValueError:
+            refused.append(True)
+        keyed_sync.compact(spark, target, schema, "user_id", ["ts", "event_id"])
+
+    target, schema = _fed(spark, sf, 8, step)
+    state = keyed_sync.read_state(spark, target, schema, "user_id", ["ts", "event_id"])
+    return state.select("user_id", "event_id", "ts", F.lit(len(refused)).alias("refused"))
+
+
+@query
+def stream_sync_expired(spark, sf):
+    """Deletions kept for three days of event time: rows, deletions still known, and rows that came too late."""
+    key, version = "user_id", ["ts", "event_id"]
+
+    def step(target, schema):
+        keyed_sync.compact(spark, target, schema, key, version, None, "gone", "ts", timedelta(days=3))
+
+    target, schema = _fed(spark, sf, 8, step)
+    state = keyed_sync.read_state(spark, target, schema, key, version)
+    late = keyed_sync.read_late(spark, target, schema)
+    kind = F.when(F.col("gone"), "deleted").otherwise("row")
+    return state.select(key, "event_id", "ts", kind.alias("kind")).unionAll(late.select(key, "event_id", "ts", F.lit("late")))
+
+
+def _stored_state(spark, sf) -> DataFrame:
+    """Statistics of the readings stored in three steps, the last of which finds nothing new."""
+    rows = prepare.with_calendar(readings(spark, sf))
+    name, path = _fresh_table(spark, "state")
+    for upto in (TEST_FROM, datetime(2100, 1, 1), datetime(2100, 1, 1)):
+        states.fold_new(spark, name, rows.filter(F.col(names.TIME) < _at(upto)), names.NUMERIC_FEATURES, names.CATEGORIES, names.TIME, path)
+    return _released(spark, name, path)
+
+
+@query
+def stored_profile(spark, sf):
+    return states.profile_of(_stored_state(spark, sf)).select("column", "mean", "scale")
+
+
+@query
+def stored_moments(spark, sf):
+    state = _stored_state(spark, sf)
+    moments = states.moments_of(state)
+    return moments.join(state.select("column", "rows", "present", "low", "high"), "column")
+
+
+@query
+def merged_levels(spark, sf):
+    """Levels of categories merged from three states."""
+    rows = prepare.with_calendar(readings(spark, sf)).withColumn("kind", F.when(F.col("Humidity") > 3, F.col("id").substr(1, 1)))
+    third = F.col("id").cast("bigint") % 3
+    found = states.merged(*[states.state_of(rows.filter(third == n), [], ["DayOfWeek", "kind"]) for n in range(3)])
+    return found.select("column", "rows", "present", F.array_join(F.coalesce(F.col("levels").cast("array<string>"), F.col("labels")), ",").alias("levels"))
+
+
+@query
+def observed_contract(spark, sf):
+    """The column report counted by the write of the coerced rows."""
+    rows, counts = contracts.reported(text_readings(spark, sf), TEXT_SCHEMA)
+    contracts.coerce(rows, TEXT_SCHEMA, lenient=True).write.parquet(scratch_path(spark, "coerced"))
+    return counts.report()
+
+
+@query
+def observed_split(spark, sf):
+    """The split summary counted by the write of the split rows."""
+    rows, counts = ranking.summarised_split(ranking.temporal_split(readings(spark, sf)))
+    rows.write.partitionBy("split").parquet(scratch_path(spark, "split"))
+    return counts.report()
+
+
+@query
+def chart_points(spark, sf):
+    return evaluate.chart_points(scored(spark, sf), PAIRS, 50)
+
+
+@query
+def arrow_interaction(spark, sf):
+    """The three-factor interaction as a Python function on Arrow arrays."""
+    rows = readings(spark, sf).select(names.KEY, *names.WEATHER)
+    return rows.withColumn(names.INTERACTION, ARROW_INTERACTION.bind(lookup.WEATHER_FEATURE.bindings))
+
+
+@query
+def wrapped_models_routed(spark, sf):
+    """Rows scored by the wrapped model that their key goes to; each wrapper scales what it predicts."""
+    rows = scored(spark, sf).select("id", "Humidity", "prediction_2")
+
+    def wrapped(factor):
+        return arrow.ModelWrapper(
+            "scaled", str(factor), float, _scaled_sum, {"humidity": "double", "base": "double"}, ["Prediction"]
+        )
+
+    bound = {"humidity": "Humidity", "base": "prediction_2"}
+    score = lambda factor: lambda df: wrapped(factor).score(df, bound)
+    return routing.route_scored(rows, score(1.3), score(0.7), outputs=["Prediction"])
+
+
+def _three_factors(a, b, c):
+    import pyarrow.compute as pc
+
+    return pc.multiply(pc.multiply(a, b), c)
+
+
+def _scaled_sum(factor, columns):
+    import pyarrow.compute as pc
+
+    return [pc.multiply(pc.add(columns["humidity"], columns["base"]), factor)]
+
+
+ARROW_INTERACTION = arrow.ArrowFunction(
+    "loadloom_arrow_interaction", dict.fromkeys(("temperature", "humidity", "wind_speed"), "double"), "double", _three_factors
+)
+
+
+@query
+def stored_order_slice(spark, sf):
+    """Readings stored in time order; the rows at some positions, from the files that hold them."""
+    path = scratch_path(spark, "in_order")
+    ranking.in_time_order(readings(spark, sf).select("id", "DateTime", "Wind_Speed")).write.parquet(path)
+    at = positions.positions_of(spark.read.parquet(path))
+    return positions.rows_at(at, at.rows // 3, at.rows // 2)
+
+
+@query
+def position_draws(spark, sf):
+    """As many draws as rows, by position: the rows of the table, how many draws, and how many were drawn more than once."""
+    path = scratch_path(spark, "drawn_from")
+    readings(spark, sf).select("id", "Wind_Speed").write.parquet(path)
+    at = positions.positions_of(spark.read.parquet(path))
+    drawn = positions.draw(at, at.rows, seed=7).groupBy("id", "Wind_Speed").agg(F.count(F.lit(1)).alias("times"))
+    known = readings(spark, sf).select("id", "Wind_Speed")
+    seen = known.join(drawn, ["id", "Wind_Speed"], "left").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("times").alias("draws"),
+        # A row is drawn at least once with a chance of 1 - 1/e; within six deviations.
+        (F.abs(F.count("times") - F.count(F.lit(1)) * 0.6321205588) <= 6 * F.sqrt(F.count(F.lit(1)) * 0.0972)).alias("spread_fits"),
+    )
+    return seen
