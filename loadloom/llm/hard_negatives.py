@@ -210,6 +210,18 @@ def _window(lo: np.ndarray, hi: np.ndarray, norm: np.ndarray, angle: np.ndarray,
     return a, b
 
 
+def _together(slots: np.ndarray, first: np.ndarray, last: np.ndarray, most: int = 128) -> Iterator[np.ndarray]:
+    """Slots, in order of their windows' beginnings, in groups whose windows nearly coincide, to be scored by one product."""
+    begin = 0
+    for end in range(1, len(slots) + 1):
+        if end < len(slots) and end - begin < most:
+            part = slots[begin : end + 1]
+            if (last[part].max() - first[part].min()) * len(part) <= 1.5 * (last[part] - first[part]).sum():
+                continue
+        yield slots[begin:end]
+        begin = end
+
+
 FOUND = "row bigint, slot bigint, vec_id bigint, score bigint"
 _FOUND = pa.schema([("row", pa.int64()), ("slot", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -236,8 +248,7 @@ def _scored(directions: dict[int, np.ndarray], k: int):
         alive = np.flatnonzero(first < last)
         alive = alive[np.argsort(first[alive], kind="stable")]
         for part in _size_classes(q[at[alive]]) if len(alive) else []:
-            for begin in range(0, len(part), 128):
-                slots = alive[part[begin : begin + 128]]
+            for slots in _together(alive[part], first, last):
                 i, j = int(first[slots].min()), int(last[slots].max())
                 asked, back = np.unique(at[slots], return_inverse=True)
                 for rows in _size_classes(v[i:j]):
