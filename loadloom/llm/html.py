@@ -7,6 +7,9 @@ or body if it has none, is its text.
 
 Paragraphs, headings and lists inside an article are never taken for a template: a site may print the same article, or the
 same passage in several, and that is text. Copies of a page count once, so that they do not make templates of each other.
+
+Pages are read in time proportional to their length, however broken: nothing is searched twice, and a tag that the end of the page
+cuts off is dropped, as browsers do.
 """
 
 from __future__ import annotations
@@ -24,8 +27,8 @@ from pyspark.sql import functions as F
 
 from loadloom.llm.graphs import written
 
-#: A subtree is a template on a host from this many different pages on, and this share of its pages.
-MIN_PAGES, MIN_SHARE = 5, 0.01
+#: A subtree is a template on a host from this many different pages on, however many the host has.
+MIN_PAGES = 5
 #: Up to so many templates are broadcast; more are joined to the pages.
 BROADCAST = 200_000
 
@@ -48,10 +51,10 @@ ENDS = {
 }
 _ENDS = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in ENDS.items()}
 
-#: Never article text, by tag, by role, and by a word of class or id.
+#: Never article text, by tag, by role, and by class or id.
 DROPPED = frozenset(
     "head nav footer aside form script style noscript template iframe svg canvas button select textarea input object embed "
-    "dialog menu title audio video map math noembed noframes xmp".split()
+    "dialog menu title audio video map noembed noframes xmp".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 WORDS = frozenset(
@@ -60,16 +63,34 @@ WORDS = frozenset(
     "replies respond disqus share sharing social related recommended breadcrumb breadcrumbs menu nav navbar navigation footer "
     "masthead pagination pager widget toolbar skip topbar".split()
 )
+#: With only these beside them, words of the list above still name what is no article text: ``site-footer``, ``share_buttons``.
+BESIDE = frozenset(
+    "site page main global top bottom left right primary secondary upper lower inner outer box bar bars list lists link links button "
+    "buttons block blocks area wrapper wrap container content section group item items icon icons unit slot row header form panel "
+    "holder region module".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Blocks of running text, safe inside an article.
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tfoot tr td th figure figcaption caption".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.DOTALL,
+#: What a ``<`` begins; a start tag whose quotes hold no angle bracket is taken whole. Nothing here is looked at twice.
+_OPEN = re.compile(
+    r"<(?:(!--)|[!?][^>]*+>|/([a-zA-Z][^\s/>]*+)[^>]*+>|([a-zA-Z][^\s/>]*+)(?:((?:[^>\"']++|\"[^\"<>]*+\"|'[^'<>]*+')*+)>)?+)"
 )
+_PLAIN = re.compile(r"[^>\"']*+")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _WORD = re.compile(r"[a-z0-9]+")
+
+
+def _names_no_text(value: str) -> bool:
+    """Whether a class or id of it says that an element is no article text: one whole name, not a word of a longer one."""
+    for name in value.split():
+        parts = _WORD.findall(name)
+        if any(p in WORDS for p in parts) and all(p in WORDS or p in BESIDE for p in parts):
+            return True
+    return False
+
+
 #: Elements nested deeper lie side by side.
 DEPTH = 256
 
@@ -78,70 +99,118 @@ DEPTH = 256
 class Element:
     tag: str
     role: str = ""
-    words: frozenset[str] = frozenset()
+    dropped: bool = False
     mark: str = ""
     parent: Element | None = None
     children: list[Element | str] = field(default_factory=list)
 
 
+def _tag_end(page: str, at: int, last: int, hopeless: set[int]) -> tuple[int, int]:
+    """Where the attributes of a tag that reach up to ``at`` end, and where the tag does; ``last`` is the page's last ``>``.
+
+    Quoted values may hold angle brackets. A quote that is never closed counts as nothing; ``hopeless`` has the quotes from which
+    no end was found, so each is followed once a page.
+    """
+    begin, followed = at, []
+    while True:
+        at = _PLAIN.match(page, at).end()
+        if at <= last and page[at] == ">":
+            return at, at + 1
+        if at > last or at in hopeless:
+            break
+        followed.append(at)
+        close = page.find(page[at], at + 1, last + 1)
+        if close < 0:
+            break
+        at = close + 1
+    hopeless.update(followed)
+    end = page.find(">", begin)
+    return end, end + 1
+
+
 def parse(page: str) -> Element:
     """The element tree of a page, tags closed as browsers do; comments and declarations left out."""
-    root = node = Element("#root")
-    at, low = 0, None
-    end = len(page)
-    depth: dict[int, int] = {id(root): 0}
+    root = Element("#root")
+    stack, open_tags = [root], Counter()
+    at, low, end, last = 0, None, len(page), page.rfind(">")
     flat: Counter[str] = Counter()
-    while at < end:
-        m = _TOKEN.search(page, at)
-        if not m:
-            node.children.append(page[at:])
+    hopeless: set[int] = set()
+    text_from = 0
+
+    def pop_to(size: int) -> None:
+        while len(stack) > size:
+            open_tags[stack.pop().tag] -= 1
+
+    while True:
+        at = page.find("<", at)
+        if at < 0:
+            at = end
             break
-        if m.start() > at:
-            node.children.append(page[at : m.start()])
-        at = m.end()
-        closing = m.group(1)
-        if closing:
-            tag = closing.lower()
+        m = _OPEN.match(page, at) if at < last else None
+        if m is None:
+            if at > last and at + 1 < end and (page[at + 1] in "/!?" or page[at + 1].isascii() and page[at + 1].isalpha()):
+                break  # a tag or comment that the end cuts off
+            at += 1
+            continue
+        if at > text_from:
+            stack[-1].children.append(page[text_from:at])
+        if m.group(1):
+            close = page.find("-->", at + 2)
+            at = text_from = end if close < 0 else close + 3
+            continue
+        if m.group(2):
+            at = text_from = m.end()
+            tag = m.group(2).lower()
             if flat[tag]:
                 flat[tag] -= 1
-                continue
-            up = node
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                node = up.parent
+            elif open_tags[tag]:
+                up = len(stack) - 1
+                while stack[up].tag != tag:
+                    up -= 1
+                pop_to(up)
             elif tag == "p":  # an empty paragraph, to browsers
-                node.children.append(Element("p", parent=node))
+                stack[-1].children.append(Element("p", parent=stack[-1]))
             continue
-        tag = (m.group(2) or m.group(4) or "").lower()
-        if not tag:
+        if not m.group(3):
+            at = text_from = m.end()
             continue
+        tag, attributes = m.group(3).lower(), m.group(4)
+        if attributes is None:
+            begin = m.end(3)
+            stop, at = _tag_end(page, begin, last, hopeless)
+            attributes = page[begin:stop]
+        else:
+            at = m.end()
+        text_from = at
         if tag in CLOSES_P:
-            up = node
-            while up is not root and up.tag != "p" and up.tag not in ("button", "table", "td", "th"):
-                up = up.parent
-            if up.tag == "p":
-                node = up.parent
+            if open_tags["p"]:
+                up = len(stack) - 1
+                while up and stack[up].tag not in ("p", "button", "table", "td", "th"):
+                    up -= 1
+                if stack[up].tag == "p":
+                    pop_to(up)
         elif tag in _ENDS:
             ended, stops = _ENDS[tag]
-            up, last = node, None
-            while up is not root and up.tag not in stops:
-                if up.tag in ended:
-                    last = up
-                up = up.parent
-            if last is not None:
-                node = last.parent
-        attributes = m.group(3) or m.group(5) or ""
-        new = Element(tag, parent=node)
-        if attributes and "=" in attributes:
+            if any(open_tags[t] for t in ended):
+                up, found = len(stack) - 1, 0
+                while up and stack[up].tag not in stops:
+                    if stack[up].tag in ended:
+                        found = up
+                    up -= 1
+                if found:
+                    pop_to(found)
+        new = Element(tag, parent=stack[-1])
+        if "=" in attributes:
             for name, a, b, c in _ATTRIBUTE.findall(attributes):
-                value = (a or b or c).lower()
-                if name.lower() == "role":
+                value, name = (a or b or c).lower(), name.lower()
+                if name == "role":
                     new.role = value.strip()
                 else:
-                    new.words |= frozenset(_WORD.findall(value))
-                    new.mark += f"{name.lower()}={value};"
-        node.children.append(new)
+                    # Headings have ids made of their words, and so may have what they stand over.
+                    if tag not in HEADINGS and not (name == "id" and tag in PROSE) and tag not in INLINE:
+                        new.dropped = new.dropped or _names_no_text(value)
+                    new.mark += f"{name}={value};"
+        stack[-1].children.append(new)
         if tag in RAW:
             if low is None:
                 low = page.lower()
@@ -151,40 +220,57 @@ def parse(page: str) -> Element:
             if tag == "title" or tag == "textarea":
                 new.children.append(page[at:stop])
             close = page.find(">", stop)
-            at = end if close < 0 else close + 1
+            at = text_from = end if close < 0 else close + 1
         elif tag not in VOID and (tag in CLOSES_P or not attributes.endswith("/")):
-            depth[id(new)] = depth[id(node)] + 1
-            if depth[id(new)] < DEPTH:
-                node = new
+            if len(stack) < DEPTH:
+                stack.append(new)
+                open_tags[tag] += 1
             else:
                 flat[tag] += 1
+    if at > text_from:
+        stack[-1].children.append(page[text_from:at])
     return root
 
 
-def _holds(e: Element, tags: frozenset[str]) -> bool:
-    return any(isinstance(c, Element) and (c.tag in tags or _holds(c, tags)) for c in e.children)
-
-
 _MAIN = frozenset(("article", "main"))
 _KEEPERS = frozenset(("article", "main", "h1"))
 
 
-def _is_dropped(e: Element) -> bool:
-    if e.tag in DROPPED:
-        return True
-    if e.role in ROLES or not e.words.isdisjoint(WORDS):
-        return e.tag not in ("html", "body", "main") and not _holds(e, _KEEPERS)
-    return e.tag == "header" and not _inside(e, "article")
+def _kept_over(root: Element) -> tuple[set[int], set[int]]:
+    """Elements that hold an article or main part, and those that hold one or a first heading, by ``id``."""
+    main: set[int] = set()
+    keep: set[int] = set()
+
+    def walk(e: Element) -> None:
+        for c in e.children:
+            if isinstance(c, Element):
+                walk(c)
+                if c.tag in _MAIN or id(c) in main:
+                    main.add(id(e))
+                if c.tag in _KEEPERS or id(c) in keep:
+                    keep.add(id(e))
+
+    walk(root)
+    return main, keep
 
 
-def _inside(e: Element, tag: str) -> bool:
+def _inside(e: Element, tags: frozenset[str]) -> bool:
     while e.parent is not None:
         e = e.parent
-        if e.tag == tag:
+        if e.tag in tags:
             return True
     return False
 
 
+def _is_dropped(e: Element, main: set[int], keep: set[int]) -> bool:
+    if e.tag in DROPPED:
+        # Some sites wrap the whole page in a form.
+        return e.tag != "form" or id(e) not in main
+    if e.role in ROLES or e.dropped:
+        return e.tag not in ("html", "body", "main") and id(e) not in keep
+    return e.tag == "header" and not _inside(e, _MAIN)
+
+
 def subtree_hashes(root: Element) -> dict[int, int]:
     """Hash of each element that could be part of a template, by ``id`` of the element."""
     out: dict[int, int] = {}
@@ -220,6 +306,7 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
         gone = {k for k, h in hashes.items() if h in templates}
     else:
         gone = set()
+    main, keep = _kept_over(root)
     blocks: list[str] = []
     run: list[str] = []
 
@@ -238,7 +325,7 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
             elif c.tag in VOID:
                 if c.tag == "hr":
                     close()
-            elif id(c) not in gone and not _is_dropped(c):
+            elif id(c) not in gone and not _is_dropped(c, main, keep):
                 if c.tag in INLINE:
                     emit(c)
                 else:
@@ -249,7 +336,7 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
     def roots(e: Element, wanted) -> list[Element]:
         found = []
         for c in e.children:
-            if isinstance(c, Element) and id(c) not in gone and not _is_dropped(c):
+            if isinstance(c, Element) and id(c) not in gone and not _is_dropped(c, main, keep):
                 found += [c] if wanted(c) else roots(c, wanted)
         return found
 
@@ -299,9 +386,7 @@ def _texts(sent=None):
     return run
 
 
-def extract_pages(
-    pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, broadcast: int = BROADCAST
-) -> DataFrame:
+def extract_pages(pages: DataFrame, min_pages: int = MIN_PAGES, broadcast: int = BROADCAST) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html); other columns are ignored.
 
     Null and empty pages give an empty text. Pages without a host form one group. Repeated rows give repeated results; ids
@@ -315,10 +400,8 @@ def extract_pages(
     rows = rows.withColumns({"host": host(F.col("url")), "digest": F.xxhash64("html")})
     rows = rows.withColumn("page_key", F.xxhash64("host", "digest"))
     marks = written(rows.select("page_key", "host", "digest", "html").mapInArrow(_marks, "page_key bigint, host string, digest bigint, subtree bigint"), "subtrees")
-    sizes = rows.select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     counts = marks.select("host", "subtree", "digest").distinct().groupBy("host", "subtree").agg(F.count("*").alias("held"))
-    templates = counts.where(F.col("held") >= min_pages).join(sizes, "host").where(F.col("held") >= min_share * F.col("pages"))
-    templates = written(templates.select("host", "subtree"), "templates")
+    templates = written(counts.where(F.col("held") >= min_pages).select("host", "subtree"), "templates")
     columns = ["page_id", "url", "html", "host"]
     if templates.count() <= broadcast:
         by_host: dict[str, set[int]] = {}

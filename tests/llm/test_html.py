@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from loadloom.llm import html
@@ -51,5 +54,85 @@ def test_edges(spark):
     assert html.extract_pages(_pages(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<form id=aspnetForm><input><article><h1>T</h1><p>a</p></article><select><option>o</select></form>", "T a"),
+    ("<form><p>name</p><input></form><p>a</p>", "a"),
+    ("<article><p>a</p><form><p>comment here</p><textarea>x</textarea></form></article>", "a"),
+    ("<div class='content no-sidebar'><p>a</p></div>", "a"), ("<article><div class='entry has-sidebar'><p>a</p></div></article>", "a"),
+    ("<article><section id='social-history'><p>a</p></section><p id='reply-to-critics'>b</p></article>", "a b"),
+    ("<main><header><h1>T</h1></header><p>a</p></main>", "T a"), ("<article><p>so <math><mi>x</mi></math> is</p></article>", "so x is"),
+    ("<article><h2 id='related-work'>R</h2><h2 id=related>S</h2><p id=notice>n <span class='label-widget'>w</span></p></article>", "R S n w"),
+    ("<article><p>a</p><div class='share_buttons'>s</div><ul class='social-links'><li>t</ul><div id=site-footer>f</div></article>", "a"),
+    ("<div class='ad'>x</div><div class='ads-box'>y</div><div class='advanced'>z</div><p>a</p>", "z a"),
+    ("<article><p>a</p><div class=sidebar-left>s</div><section class='post-comments-closed'>c</section></article>", "a c"),
+    ("<p>a</p><p class='x", "a"), ("<p>a</p><", "a <"), ("<p>a</p></", "a"), ("<p>a</p><!-- b", "a"), ("<p>a</p><!doctype", "a"), ("a <3 b", "a <3 b"),
+    ("<p title='a>b'>x</p><p title=\"it's>\">y</p>", "x y"), ("<p title='>x</p><p>y</p>", "x y"), ("<a x=\"1'>z</a>", "z"),
+])
+def test_articles_are_not_dropped_by_a_word_and_cut_off_tags_are(page, text):
+    assert html.main_text(page) == text
+
+
+LENGTH = 300_000
+
+
+@pytest.mark.parametrize("piece", [
+    "<p", "<a x=\"", "<a x='y' ", "<", "</", "</p", "<!--", "<!", "<p>", "</x>", "<div>", "<li>", "<td>", "<a \">", "<a '\">", "<p x='<>\">", "<a x='>\"",
+    "<script>", "</script", "<textarea>", "<b></p>", "<div class='ad'>", "<form>", "&amp", "<!-- -->", "<tr><td>x", "x ",
+])
+@pytest.mark.parametrize("end", ["", ">", "</p>text"])
+def test_broken_pages_take_time_in_proportion_to_their_length(piece, end):
+    page = "<article><p>begin</p>" + piece * (LENGTH // len(piece)) + end
+    started = time.process_time()
+    html.main_text(page)
+    html.subtree_hashes(html.parse(page))
+    assert time.process_time() - started < 3  # two passes; square time would be minutes
+
+
+def test_templates_go_by_pages_not_by_shares(spark):
+    bar = "<div class=x><p>campaign of the season</p></div>"
+    page = lambda i, more: (i, f"http://big.example/{i}", f"<body>{more}<div><p>own {i}</p></div></body>")
+    rows = [page(i, bar if i % 150 == 0 else "") for i in range(2400)]
+    got = _texts(spark, rows)
+    assert all(got[i] == f"own {i}" for i in range(2400))
+
+
+def _brute_templates(pages, least):
+    """Subtrees by the text of their markup instead of hashes, counted per host over different pages."""
+    seen = {}
+    for _, url, page in pages:
+        held = {}
+        root = html.parse(page)
+        hashes = html.subtree_hashes(root)
+
+        def form(e):
+            return (e.tag, e.mark, tuple(form(c) if isinstance(c, html.Element) else " ".join(c.split()) for c in e.children if not isinstance(c, html.Element) or (c.tag not in html.RAW and c.tag != "head")))
+
+        def walk(e):
+            for c in e.children:
+                if isinstance(c, html.Element):
+                    if id(c) in hashes:
+                        held[form(c)] = hashes[id(c)]
+                    walk(c)
+
+        walk(root)
+        for f, h in held.items():
+            seen.setdefault((url.split("/")[2], f), (h, set()))[1].add(page)
+    return {(site, h) for (site, _), (h, found) in seen.items() if len(found) >= least}
+
+
+def test_counts_per_host_equal_brute_force(spark):
+    rng = random.Random(6)
+    blocks = [f"<div class='k{i % 3}'><p>block {i}</p>{'<ul><li>x</ul>' * (i % 2)}</div>" for i in range(12)]
+    pages = []
+    for i in range(240):
+        shown = [b for n, b in enumerate(blocks) if rng.random() < (n + 1) / 40]
+        rng.shuffle(shown)
+        pages.append((i, f"http://h{rng.randrange(4)}.example/{i}", f"<body>{''.join(shown)}<div><p>own {i % 200}</p></div></body>"))
+    templates = _brute_templates(pages, html.MIN_PAGES)
+    want = {i: html.main_text(page, frozenset(h for site, h in templates if site == url.split("/")[2])) for i, url, page in pages}
+    assert _texts(spark, pages) == want
+    assert any(f"block {n}" in t for n in range(12) for t in want.values()) and sum("block 11" in t for t in want.values()) < 40
+
+
 def test_deeply_nested_page_does_not_fail(spark):
     assert html.main_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
