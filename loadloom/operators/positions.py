@@ -64,7 +64,7 @@ def rows_at(at: Positions, start: int, stop: int) -> DataFrame:
 def draw(at: Positions, n: int, seed: int = 0) -> DataFrame:
     """``n`` independent uniform draws of rows, in no order and with repetition. Nothing is stored.
 
-    Positions are drawn by a hash of the draw's number, found in the index, and joined to the rows of the files they fall into.
+    Positions are drawn by a digest of seed and number of the draw, found in the index, and joined to the rows of the files they fall into.
     A row drawn more than once is returned as often; a repeated run with the same seed draws the same rows.
     """
     if n <= 0:
@@ -72,8 +72,9 @@ def draw(at: Positions, n: int, seed: int = 0) -> DataFrame:
     if at.rows == 0:
         raise ValueError("cannot draw from an empty frame")
     spark = at.frame.sparkSession
-    # 63 bits over the number of rows: the bias towards any position is below rows / 2^63.
-    drawn = spark.range(n).select(F.pmod(F.shiftrightunsigned(F.xxhash64("id", F.lit(seed)), 1), F.lit(at.rows)).alias("place"))
+    # 60 bits of a digest over the number of rows: the bias towards any position is below rows / 2^60.
+    digest = F.md5(F.concat_ws("/", F.lit(seed).cast("string"), F.col("id").cast("string")))
+    drawn = spark.range(n).select((F.conv(F.right(digest, F.lit(15)), 16, 10).cast("bigint") % at.rows).alias("place"))
     drawn = drawn.groupBy("place").agg(F.count(F.lit(1)).alias("_times"))
     # Every file stands under each stretch of positions that it reaches into; there are about twice as many as files.
     size = max(1, at.rows // max(1, at.index.count()))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadloom.operators.ranking import value_at_rank
-from loadloom.session import remove, scratch_path
+from loadloom.session import remove, remove_at_end, scratch_path
 
 
 @contextmanager
@@ -27,9 +27,13 @@ def exact_sample(df: DataFrame, n: int, seed: int = 0) -> Iterator[DataFrame]:
 def sample_exactly(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """``n`` independent uniform draws of rows, in no order.
 
-    The draws are kept below the shared scratch folder; use ``exact_sample`` to have them removed.
+    The draws are kept below the shared scratch folder until the driver ends; ``exact_sample`` removes them earlier, and of
+    stored files ``positions.draw`` takes draws that are kept nowhere.
     """
-    return _drawn(df, n, seed)[0]
+    kept, path = _drawn(df, n, seed)
+    if path:
+        remove_at_end(df.sparkSession, path)
+    return kept
 
 
 def _drawn(df: DataFrame, n: int, seed: int) -> tuple[DataFrame, str | None]:

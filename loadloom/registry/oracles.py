@@ -570,5 +570,8 @@ CASE WHEN {ODD} THEN 'Model A' ELSE 'Model B' END AS model FROM scored""",
     "stored_order_slice": f"""WITH {BASE}, placed AS (
   SELECT *, row_number() OVER (ORDER BY DateTime, id) - 1 AS place, count(*) OVER () AS n FROM readings)
 SELECT id, DateTime, {_r('Wind_Speed')} FROM placed WHERE place >= n // 3 AND place < n // 2""",
-    "position_draws": "SELECT count(*) AS rows, count(*) AS draws, true AS spread_fits FROM events",
+    "position_draws": """WITH placed AS (SELECT CAST(event_id AS VARCHAR) AS id, row_number() OVER (ORDER BY ts, CAST(event_id AS VARCHAR)) - 1 AS place FROM events),
+draws AS (SELECT CAST('0x' || right(md5('7/' || n), 15) AS BIGINT) % (SELECT count(*) FROM events) AS place FROM range((SELECT count(*) FROM events)) r(n))
+SELECT id, count(*) AS times FROM draws JOIN placed USING (place) GROUP BY id""",
+    "stamped_rows": f"SELECT CAST(event_id AS VARCHAR) AS id, TIMESTAMP '2024-03-01 01:02:03.456789' AS {names.STAMP}, true AS later FROM events",
 }

@@ -1319,15 +1319,16 @@ def stored_order_slice(spark, sf):
 
 @query
 def position_draws(spark, sf):
-    """As many draws as rows, by position: the rows of the table, how many draws, and how many were drawn more than once."""
+    """As many draws as rows, by position in stored order: the rows drawn, and how often."""
     path = scratch_path(spark, "drawn_from")
-    readings(spark, sf).select("id", "Wind_Speed").write.parquet(path)
+    ranking.in_time_order(readings(spark, sf).select("id", "DateTime")).write.parquet(path)
     at = positions.positions_of(spark.read.parquet(path))
-    drawn = positions.draw(at, at.rows, seed=7).groupBy("id", "Wind_Speed").agg(F.count(F.lit(1)).alias("times"))
-    known = readings(spark, sf).select("id", "Wind_Speed")
-    seen = known.join(drawn, ["id", "Wind_Speed"], "left").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("times").alias("draws"),
-        # A row is drawn at least once with a chance of 1 - 1/e; within six deviations.
-        (F.abs(F.count("times") - F.count(F.lit(1)) * 0.6321205588) <= 6 * F.sqrt(F.count(F.lit(1)) * 0.0972)).alias("spread_fits"),
-    )
-    return seen
+    return positions.draw(at, at.rows, seed=7).groupBy("id").agg(F.count(F.lit(1)).alias("times"))
+
+
+@query
+def stamped_rows(spark, sf):
+    """Rows of a run with its load stamp, to the microsecond; the present time lies after it."""
+    at = datetime(2024, 3, 1, 1, 2, 3, 456789, timezone.utc)
+    rows = readings(spark, sf).select("id", load_stamp(at).cast("timestamp_ntz").alias(names.STAMP), utc_now().alias("now"))
+    return rows.select("id", names.STAMP, (F.col("now") > F.col(names.STAMP)).alias("later"))

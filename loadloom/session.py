@@ -72,3 +72,9 @@ def numbered_folders(spark: SparkSession, folder: str, label: str, finished: boo
 def make_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Has a scratch folder removed when the driver ends in an orderly way."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
