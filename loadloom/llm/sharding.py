@@ -4,7 +4,8 @@ Rows are ordered by a hash of their text, then by a hash of id and text. Where t
 round lays probes into the interval that still holds a splitter and adds up the exact bytes between them in one small
 aggregate; the interval shrinks by that factor until a probe is within tolerance. Rows are moved once, at the end. Equal
 texts lie side by side and share a shard unless their group is too large for the tolerance, in which case it is split by the
-second hash. Only DataFrame functions run; the driver sees a bounded number of counts per round.
+second hash, and copies of one row by their number. Only DataFrame functions run; the driver sees a bounded number of counts per
+round.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ SPACE = 1 << 62
 PROBES, REFINE = 1024, 64
 #: Rows that one task numbers at most, on average.
 NUMBERED = 100_000
+#: Copies of one row that one task unfolds at once.
+UNFOLDED = 100_000
 
 
 @dataclass
@@ -33,7 +36,7 @@ class Interval:
     lo: int = 0
     hi: int = SPACE
     text_key: int | None = None
-    found: tuple[int, int] | None = None
+    found: tuple[int, int, int] | None = None
 
 
 def _key(*columns: str) -> Column:
@@ -63,8 +66,8 @@ def _counted(keys: DataFrame, spans: list[Interval], probes: int) -> dict[int, d
     return out
 
 
-def splitters(keys: DataFrame, shards: int, tolerance: float) -> list[tuple[int, int]]:
-    """The first (text key, row key) of each shard but the first. ``tolerance``: share of a shard's bytes."""
+def splitters(keys: DataFrame, shards: int, tolerance: float) -> list[tuple[int, int, int]]:
+    """The first (text key, row key, copy) of each shard but the first. ``tolerance``: share of a shard's bytes."""
     total = keys.agg(F.sum(F.col("size") * F.col("copies"))).first()[0] or 0
     slack = int(tolerance * total / shards)
     open_ = every = [Interval(total * i // shards) for i in range(1, shards)]
@@ -86,8 +89,10 @@ def splitters(keys: DataFrame, shards: int, tolerance: float) -> list[tuple[int,
             else:
                 left, after = s.hi, below
             near, error = (left, s.target - below) if s.target - below <= after - s.target else (right, after - s.target)
-            if error <= slack or left >= s.hi or (right - left == 1 and s.text_key is not None):
-                s.found = (near, 0) if s.text_key is None else (s.text_key, near)
+            if error <= slack or left >= s.hi:
+                s.found = (near, 0, 0) if s.text_key is None else (s.text_key, near, 0)
+            elif right - left == 1 and s.text_key is not None:
+                s.found = (s.text_key, *_between_copies(keys, s, left, below))
             elif right - left == 1:
                 s.below, s.text_key, s.lo, s.hi = below, left, 0, SPACE
             else:
@@ -97,11 +102,38 @@ def splitters(keys: DataFrame, shards: int, tolerance: float) -> list[tuple[int,
     return sorted(s.found for s in every)
 
 
+def _between_copies(keys: DataFrame, s: Interval, row_key: int, below: int) -> tuple[int, int]:
+    """The row key and copy nearest to the target among the copies of the row (of the rows, if their keys are equal) there."""
+    one = keys.where((F.col("text_key") == s.text_key) & (F.col("row_key") == row_key)).agg(F.sum("copies"), F.sum(F.col("size") * F.col("copies"))).first()
+    copies, size = one
+    copy = round((s.target - below) * copies / size)
+    return (row_key, copy) if copy < copies else (row_key + 1, 0)
+
+
+def _in_shards(keys: DataFrame, bounds: list[tuple[int, int, int]]) -> DataFrame:
+    """``keys`` with ``shard`` and the copies that lie there; a row whose copies a splitter divides has one row per shard."""
+    first, cuts = F.lit(0), []
+    for text_key, row_key, copy in bounds:
+        here = (F.col("text_key") == text_key) & (F.col("row_key") == row_key)
+        past = (F.col("text_key") > text_key) | ((F.col("text_key") == text_key) & (F.col("row_key") > row_key))
+        first = first + (past | (here if copy == 0 else F.lit(False))).cast("int")
+        if copy:
+            cuts.append(F.when(here, F.lit(copy).cast("bigint")))
+    if not cuts:
+        return keys.withColumn("shard", first)
+    # Rows with equal keys (a hash's fault) are divided alike, each at most at its own last copy.
+    inner = F.transform(F.array_compact(F.array(*cuts)), lambda c: F.least(c, F.col("copies")))
+    ends = F.concat(inner, F.array("copies"))
+    pieces = F.transform(ends, lambda e, i: F.struct((first + i).alias("shard"), (e - F.when(i == 0, 0).otherwise(F.get(ends, i - 1))).alias("copies")))
+    rows = keys.withColumn("piece", F.explode(pieces)).withColumns({"shard": F.col("piece.shard"), "copies": F.col("piece.copies")})
+    return rows.drop("piece").where("copies > 0")
+
+
 def shard_by_bytes(docs: DataFrame, shards: int = 24, tolerance: float = 0.005) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every row of ``docs`` (doc_id, text); other columns are ignored.
 
     ``size`` is the UTF-8 length plus 8 (a null text: 8, checksum 0). The bytes of a shard are within ``tolerance`` of the mean
-    or as near as whole rows allow; rows that agree in id and text stay together. Slots count from 0 without gaps. A null
+    or as near as whole rows allow, repeated rows included. Slots count from 0 without gaps. A null
     doc_id is a value like any other. Every repeated row has a slot of its own. An empty table gives an empty result.
     """
     text = F.col("text").cast("string")
@@ -114,19 +146,18 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, tolerance: float = 0.005)
     keys = rows.groupBy("doc_id", "size", "text_crc32", "text_key").agg(F.count("*").alias("copies"))
     keys = written(keys.withColumn("row_key", _key("doc_id", "text_key")), "keys")
     bounds = splitters(keys, shards, tolerance)
-    shard = F.lit(0)
-    for text_key, row_key in bounds:
-        past = (F.col("text_key") > text_key) | ((F.col("text_key") == text_key) & (F.col("row_key") >= row_key))
-        shard = shard + past.cast("int")
     parts = max(1, -(-keys.count() // (shards * NUMBERED)))
-    placed = keys.withColumn("shard", shard).withColumn("part", F.pmod("row_key", F.lit(parts)))
+    placed = _in_shards(keys, bounds).withColumn("part", F.pmod("row_key", F.lit(parts)))
     sizes = placed.groupBy("shard", "part").agg(F.sum("copies").alias("rows"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("shard", "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("shard", "part").orderBy("text_key", "row_key", "doc_id", "size", "text_crc32")
     numbered = placed.withColumn("end", F.sum("copies").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     slots = numbered.join(starts, ["shard", "part"]).withColumn("last", F.col("start") + F.col("end") - 1)
-    return slots.select(
-        "doc_id", "size", "text_crc32", "shard",
-        F.explode(F.sequence(F.col("last") - F.col("copies") + 1, F.col("last"))).alias("slot"),
-    )
+    columns = ["doc_id", "size", "text_crc32", "shard"]
+    slots = slots.select(*columns, (F.col("last") - F.col("copies") + 1).alias("low"), F.col("last").alias("high"), "copies")
+    # Many copies of one row are cut into stretches that are spread over tasks.
+    few, many = slots.where(F.col("copies") <= UNFOLDED), slots.where(F.col("copies") > UNFOLDED)
+    many = many.withColumn("low", F.explode(F.sequence("low", "high", F.lit(UNFOLDED).cast("bigint"))))
+    many = many.withColumn("high", F.least(F.col("low") + UNFOLDED - 1, "high")).repartition("shard", "low")
+    return few.unionByName(many).select(*columns, F.explode(F.sequence("low", "high")).alias("slot"))

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from helpers import EDGES, doc_frame, prose
 
+from loadloom.llm import sharding
 from loadloom.llm.sharding import shard_by_bytes
 
 
@@ -44,4 +45,21 @@ def test_edges(spark):
     _check(EDGES, shard_by_bytes(doc_frame(spark, EDGES), 24).collect(), 24)
     assert shard_by_bytes(doc_frame(spark, []), 24).count() == 0
     one = [(1, "a")] * 50
-    assert len(_check(one, shard_by_bytes(doc_frame(spark, one), 3).collect(), 3)) == 1
+    assert sorted(_check(one, shard_by_bytes(doc_frame(spark, one), 3).collect(), 3).values()) == [144, 153, 153]
+
+
+@pytest.mark.parametrize("unfolded", [100_000, 7])
+def test_copies_of_one_row_are_divided(spark, monkeypatch, unfolded):
+    monkeypatch.setattr(sharding, "UNFOLDED", unfolded)
+    rng = random.Random(5)
+    rows = [(i, prose(rng, rng.randrange(5, 60))) for i in range(600)] + [(7000, "one row " * 20)] * 300
+    load = _check(rows, shard_by_bytes(doc_frame(spark, rows), 24).collect(), 24)
+    mean = sum(load.values()) / 24
+    assert len(load) == 24 and max(load.values()) - min(load.values()) < 0.02 * mean + 1000
+
+
+def test_two_rows_of_many_copies_and_one_shard(spark):
+    rows = [(1, "a" * 92)] * 400 + [(2, "b" * 192)] * 200 + [(3, None)] * 10
+    load = _check(rows, shard_by_bytes(doc_frame(spark, rows), 8).collect(), 8)
+    assert max(load.values()) - min(load.values()) <= 400
+    assert len(_check(rows, shard_by_bytes(doc_frame(spark, rows), 1).collect(), 1)) == 1
