@@ -2,7 +2,8 @@
 
 *Layouts.* The field paths that a record fills are hashed into its fingerprint; a declared mapping is looked up by it and says
 which fields are role, text and order. Fields that no mapping names do not count, so clashing or extra columns do no harm. A
-record that fills fields of several layouts takes the first of ``PRECEDENCE`` whose fields it fills; the others are ignored.
+record that fills fields of several layouts takes the first of ``PRECEDENCE`` whose fields it fills; the others are ignored. A
+record with a turn number and no list of turns is a turn itself, whatever else it fills.
 
 *Template.* ``<|turn|>role`` newline ``text<|end|>`` newline, for each turn. Inside roles and texts a backslash is doubled and a
 control string gets one after its first character, so no text can open or close a turn, and reading back is exact. The loss
@@ -52,10 +53,10 @@ LAYOUTS = (
     Layout("row", (("role", ("text",)),), optional=("turn", "role", "text"), order="turn"),
 )
 
-#: (layout, paths filled, paths not filled) for records whose fingerprint is no layout's own; any one of the last three will do.
+#: (layout, paths filled, paths not filled) for records whose fingerprint is no layout's own; any one of the last two will do.
 PRECEDENCE = (
-    ("messages", ("messages",), ()), ("conversations", ("conversations",), ()), ("row", ("role", "text"), ()), ("instruction", ("instruction",), ()),
-    ("prompt_response", ("prompt", "response"), ("completion",)), ("prompt", ("prompt",), ()), ("row", ("text",), ()), ("row", ("role",), ()), ("row", ("turn",), ()),
+    ("messages", ("messages",), ()), ("conversations", ("conversations",), ()), ("row", ("role", "text"), ()), ("row", ("turn",), ()), ("instruction", ("instruction",), ()),
+    ("prompt_response", ("prompt", "response"), ("completion",)), ("prompt", ("prompt",), ()), ("row", ("text",), ()), ("row", ("role",), ()),
 )
 
 
@@ -149,11 +150,12 @@ def _turns(df: DataFrame, layout: Layout) -> Column | None:
     return F.array_compact(F.array(*out)) if out else None
 
 
-def canonical_turns(records: DataFrame, conv_id: str = "conv_id") -> DataFrame:
+def canonical_turns(records: DataFrame, conv_id: str = "conv_id", strict: bool = False) -> DataFrame:
     """(conv_id, layout, turn, role, text), a row for each turn of every record.
 
-    Null roles and texts are empty; a null order stays null and comes first. A record of no known layout gives no rows (list
-    them with ``layout_of``). Repeated records give repeated turns. Any other column is ignored.
+    Null roles and texts are empty; a null order stays null and comes first. A record that fills fields, but none of
+    the layouts, gives no rows (``without_layout`` lists them), or fails the job with ``strict``. Repeated records give repeated
+    turns. Any other column is ignored.
     """
     kind = "array<struct<turn:bigint,role:string,text:string>>"
     name, turns = layout_of(records), None
@@ -164,6 +166,8 @@ def canonical_turns(records: DataFrame, conv_id: str = "conv_id") -> DataFrame:
             turns = F.when(this, got.cast(kind)) if turns is None else turns.when(this, got.cast(kind))
     if turns is None:
         turns = F.lit(None).cast(kind)
+    if strict:
+        turns = F.when(F.col("__layout").isNull() & _fills(records, conv_id), _lost(conv_id).cast(kind)).otherwise(turns)
     return (
         records.withColumn("__layout", name)
         .select(F.col(conv_id).alias("conv_id"), F.col("__layout").alias("layout"), F.explode(turns).alias("t"))
@@ -171,6 +175,21 @@ def canonical_turns(records: DataFrame, conv_id: str = "conv_id") -> DataFrame:
     )
 
 
+def _fills(records: DataFrame, conv_id: str) -> Column:
+    """Whether a record fills any column that a layout names."""
+    named = [c for c in records.columns if c != conv_id and c in {p.partition("[].")[0] for p in _known()}]
+    return reduce(Column.__or__, [F.col(c).isNotNull() for c in named], F.lit(False))
+
+
+def _lost(conv_id: str) -> Column:
+    return F.raise_error(F.concat(F.lit("no layout for the record of conversation "), F.coalesce(F.col(conv_id).cast("string"), F.lit("null"))))
+
+
+def without_layout(records: DataFrame, conv_id: str = "conv_id") -> DataFrame:
+    """The records that fill fields of layouts but match none."""
+    return records.where(layout_of(records).isNull() & _fills(records, conv_id))
+
+
 def escaped(x: Column) -> Column:
     return F.regexp_replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), CONTROL, r"$0\\")
 

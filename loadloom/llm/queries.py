@@ -44,7 +44,7 @@ def op2_chat(spark: SparkSession, sf: str) -> DataFrame:
     turns = [F.struct(F.lit(r).alias("role"), F.lit(CONTROL_TEXT).alias("content")) for r in ("user", "assistant")]
     extra = spark.range(1).select(F.lit(-1).cast("bigint").alias("conv_id"), F.array(*turns).alias("messages"))
     records = _table(spark, sf, "conversations").unionByName(extra, allowMissingColumns=True)
-    return chat.conversation_digests(chat.canonical_turns(records))
+    return chat.conversation_digests(chat.canonical_turns(records, strict=True))
 
 
 def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:

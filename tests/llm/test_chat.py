@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from loadloom.llm import chat
@@ -66,6 +67,10 @@ def test_layouts_are_known_by_their_fingerprint(spark):
     ]
     named = spark.createDataFrame(rows, schema)
     assert named.where(chat.layout_of(named).isNull()).select("conv_id").collect() == [(7,)]
+    assert [r["conv_id"] for r in chat.without_layout(named).collect()] == [7]
+    with pytest.raises(Exception, match="no layout for the record of conversation 7"):
+        chat.canonical_turns(named, strict=True).collect()
+    assert chat.canonical_turns(named.where("conv_id <> 7"), strict=True).count() == len(got)
 
 
 def test_filled_columns_of_other_layouts_do_no_harm(spark):
@@ -78,6 +83,7 @@ def test_filled_columns_of_other_layouts_do_no_harm(spark):
         ({"conversations": also, "prompt": "p", "text": "t"}, "conversations"), ({"instruction": "i", "output": "o", "prompt": "p"}, "instruction"),
         ({"prompt": "p", "completion": "c", "response": "r"}, "prompt"), ({"prompt": "p", "response": "r", "system": "s"}, "prompt_response"),
         *[({"turn": 1, "role": "user", "text": "t", c: "x"}, "row") for c in texts[:7]], ({"turn": 1, "text": "t", "system": "s"}, "row"),
+        ({"turn": 1, "role": "assistant", "prompt": "p"}, "row"), ({"turn": 0, "prompt": "p", "completion": "c"}, "row"), ({"turn": 2, "messages": said}, "messages"),
     ]
     names = [x.split(" ")[0] for x in ("conv_id", "messages", "conversations", "turn", *texts)]
     df = spark.createDataFrame([tuple({"conv_id": i, **case}.get(c) for c in names) for i, (case, _) in enumerate(cases)], schema)
