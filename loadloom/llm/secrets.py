@@ -1,7 +1,7 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest.
 
 A candidate is a value behind a hint word and a colon or an equals sign, of at least ``MIN_HINTED`` characters of any kind (with
-blanks, if quoted and of up to 200); a value of at least ``MIN_ASSIGNED`` behind any equals sign, or behind a colon if it is quoted or has a
+blanks, if quoted); a value of at least ``MIN_ASSIGNED`` behind any equals sign, or behind a colon if it is quoted or has a
 digit, unless it holds an assignment itself; a run of at least ``MIN_LENGTH`` letters, digits and ``_+/-`` with a digit in it, or
 behind an equals sign; or of an issued format. Unquoted values end at a blank, a quote, an angle bracket or the next
 assignment, without closing punctuation. The forest sees its length and
@@ -12,6 +12,8 @@ Only DataFrame functions and Spark's own forest run.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -19,7 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadloom.llm.graphs import written
+from loadloom.llm.graphs import unused, written
 
 MIN_LENGTH, MIN_ASSIGNED, MIN_HINTED = 12, 6, 4
 _CHARS = r"A-Za-z0-9_+/\-"
@@ -47,7 +49,7 @@ _WHOLE = r"(?!//|[^\s\"'`]{0,200}\w[=:][^\s=\"'`])"
 _SHAPE = r"(?:(?<=[\"'`])|(?<==\s{0,2})|(?=[^\s\"'`<>0-9]{0,200}+[0-9]))"
 BLANK, LINE = r"\s", r"\r\n"
 CANDIDATE = (
-    rf"{_BEHIND}(?:{_HINTED}(?:{_quoted(MIN_HINTED, '', BLANK)}|{_quoted(MIN_HINTED, '200', LINE)}|{_bare(MIN_HINTED)})"
+    rf"{_BEHIND}(?:{_HINTED}(?:{_quoted(MIN_HINTED, '', BLANK)}|{_quoted(MIN_HINTED, '', LINE)}|{_bare(MIN_HINTED)})"
     rf"|{_WHOLE}{_SHAPE}(?:{_quoted(MIN_ASSIGNED, '', BLANK)}|{_bare(MIN_ASSIGNED)}))"
     rf"|(?<![{_CHARS}])(?:(?:(?=[A-Za-z_+/\-]*+[0-9])|(?<==\s?[\"']?))[{_CHARS}]{{{MIN_LENGTH},}}+"
     rf"|(?:AKIA|ASIA)[A-Z0-9]{{16}}(?![{_CHARS}]))"
@@ -140,6 +142,17 @@ def weak_labels(rows: DataFrame) -> DataFrame:
     return rows.withColumn("label", F.when(plain, 0.0).when(secret, 1.0)).where("label is not null")
 
 
+def _bounded(rows: DataFrame, n: int, most: int, order: Column) -> DataFrame:
+    """The ``most`` rows of ``n`` with the smallest hash. Those far above it go before anything is sorted, in every task alone."""
+    if n <= most:
+        return rows
+    # Ten deviations above ``most``: that fewer are left is out of the question.
+    share = (most + 10 * most**0.5 + 100) / n
+    if share < 1:
+        rows = rows.where(order < F.lit(int(-(2**63) + share * 2**64)))
+    return rows.orderBy(order, "found", "before", "after").limit(most)
+
+
 def fit_forest(labelled: DataFrame, max_rows: int = MAX_LABELLED, trees: int = 20, depth: int = 6, seed: int = 5) -> PipelineModel | float:
     """A forest from labelled findings (the columns of ``with_features`` and ``label``), at most ``max_rows`` of each label.
 
@@ -147,10 +160,11 @@ def fit_forest(labelled: DataFrame, max_rows: int = MAX_LABELLED, trees: int = 2
     nothing is taken for a false positive unlearned.
     """
     order = F.xxhash64("found", "before", F.lit(seed))
-    best = Window.partitionBy("label").orderBy(order, "found", "before", "after")
-    rows = labelled.where("label is not null").select("label", "found", "before", "after", *FEATURES).distinct()
-    rows = rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= max_rows).drop("rank")
-    rows = written(rows, "labelled")
+    rows = written(labelled.where("label is not null").select("label", "found", "before", "after", *FEATURES).distinct(), "labelled")
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return 1.0
+    rows = written(reduce(DataFrame.unionByName, [_bounded(rows.where(F.col("label") == x), n, max_rows, order) for x, n in sorted(counts.items())]), "bounded")
     labels = [r["label"] for r in rows.select("label").distinct().limit(3).collect()]
     if len(labels) < 2:
         return labels[0] if labels else 1.0
@@ -182,12 +196,13 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs``, all rows and columns, with every secret of ``found`` replaced; texts without one are returned as they are."""
-    secret = found.where("is_secret").groupBy("doc_id", "text_key").agg(F.collect_set("ordinal").alias("ordinals"))
-    secret = secret.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("ordinals").alias("__ordinals"))
-    rows = docs.alias("d").join(secret, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__key")), "left")
+    own_id, own_key, own = unused(docs, "secret_id", "secret_key", "secret_ordinals")
+    secret = found.where("is_secret").groupBy("doc_id", "text_key").agg(F.collect_set("ordinal").alias(own))
+    secret = secret.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key), own)
+    rows = docs.join(secret, F.col("doc_id").cast("bigint").eqNullSafe(F.col(own_id)) & (F.xxhash64(F.col("text").cast("string")) == F.col(own_key)), "left")
     text = F.col("text").cast("string")
     parts, cut = F.split(text, CANDIDATE, -1), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    put = F.transform(cut, lambda x, i: F.concat(F.get(parts, i), F.when(F.array_contains("__ordinals", i), REPLACEMENT).otherwise(x)))
+    put = F.transform(cut, lambda x, i: F.concat(F.get(parts, i), F.when(F.array_contains(own, i), REPLACEMENT).otherwise(x)))
     whole = F.concat(F.array_join(put, ""), F.element_at(parts, -1))
-    kept = [F.when(F.col("__ordinals").isNull(), F.col("text")).otherwise(whole).alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns]
+    kept = [F.when(F.col(own).isNull(), F.col("text")).otherwise(whole).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     return rows.select(*kept)

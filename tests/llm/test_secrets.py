@@ -1,5 +1,6 @@
 import random
 
+from pyspark.sql import functions as F
 from helpers import EDGES, doc_frame, prose
 
 from loadloom.llm import secrets
@@ -86,6 +87,37 @@ def test_any_assigned_value_is_a_candidate(spark):
     ]
 
 
+def test_long_quoted_values_with_blanks_and_clashing_columns(spark):
+    rows, _ = _corpus()
+    phrase = " ".join(f"word{i}x9" for i in range(400))
+    docs = doc_frame(spark, [*rows, (20_001, f'password = "{phrase}"'), (20_002, 'password = "no end ' + "x9 " * 300)])
+    for c in ("__id", "__key", "secret_id", "secret_key", "secret_ordinals", "ordinals", "d"):
+        docs = docs.withColumn(c, F.lit("kept"))
+    found = secrets.candidates(docs).where("doc_id = 20001").collect()
+    assert [r["found"] for r in found] == [phrase]
+    marked = secrets.scan(docs).withColumn("is_secret", F.col("doc_id") == 20_001)
+    got = secrets.redacted(docs, marked)
+    assert got.columns == docs.columns and got.count() == docs.count()
+    row = got.where("doc_id = 20001").first()
+    assert row["text"] == f'password = "{secrets.REPLACEMENT}"' and row["secret_id"] == row["__id"] == "kept"
+
+
+def test_training_rows_are_bounded_by_their_hash_without_a_window(spark):
+    rows = spark.range(40_000).selectExpr(
+        "cast(id % 2 as double) AS label", "cast(id as string) AS found", "'b' AS before", "'a' AS after",
+        *[f"rand({i}) AS {c}" for i, c in enumerate(secrets.FEATURES)],
+    )
+    order = F.xxhash64("found", "before", F.lit(5))
+    one = rows.where("label = 0")
+    got = secrets._bounded(one, 20_000, 300, order)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Filter" in plan
+    want = one.orderBy(order, "found").limit(300)
+    assert sorted(r["found"] for r in got.collect()) == sorted(r["found"] for r in want.collect())
+    model = secrets.fit_forest(rows, max_rows=200, trees=2, depth=2)
+    assert model.stages[-1].getNumTrees == 2
+
+
 def test_main_path_has_no_python(spark):
     rows, _ = _corpus()
     plan = secrets.scan(doc_frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
