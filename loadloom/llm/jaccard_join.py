@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadloom.llm import textarrays as ta
-from loadloom.llm.graphs import components, written
+from loadloom.llm.graphs import components, unused, written
 
 #: Text bytes per bucket of shingles: a task then holds about three and a half million of them.
 BUCKET_BYTES = 24_000_000
@@ -365,13 +365,14 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, bucket_bytes
     """``docs``, all columns, with one row of each component: that of the smallest doc_id (nulls last), then of the smallest
     hash of its text. Rows without any word are no component's and all stay."""
     rows, roots = _rooted(docs, width, percent, bucket_bytes)
-    own_key = F.struct(F.col("doc_id").isNull().alias("__null"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("key").alias("__key"))
+    own = unused(docs, "own_null", "own_id", "own_key")
+    own_key = F.struct(F.col("doc_id").isNull().alias(own[0]), F.coalesce("doc_id", F.lit(0)).alias(own[1]), F.col("key").alias(own[2]))
     # Copies are brought to one row per set, combined before the shuffle, before sets are brought to components.
     first = rows.where("n > 0").groupBy("sid").agg(F.min(own_key).alias("b"))
     kept = first.join(roots, "sid").groupBy("root").agg(F.min("b").alias("b")).select("b.*")
-    text, own = F.col("text").cast("string"), ["__null", "__id", "__key"]
+    text = F.col("text").cast("string")
     marked = docs.withColumns(
-        {"__null": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), "__key": F.xxhash64(text)}
+        {own[0]: F.col("doc_id").isNull(), own[1]: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), own[2]: F.xxhash64(text)}
     )
     wordless = text.isNull() | ~text.rlike(r"[^\x20\x09-\x0D]")
     one = marked.join(kept, own, "left_semi").dropDuplicates(own).drop(*own)

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import EDGES, doc_frame, edited, prose, words
 
 from loadloom.llm.graphs import components
@@ -74,6 +75,15 @@ def test_one_of_each_group_stays(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_one_of_each_with_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "x"), (2, "a b c d e f", "y"), (3, None, "z")], "doc_id bigint, text string, __key string")
+    for c in ("__id", "__null", "own_id", "own_key", "own_null", "sid", "root", "b"):
+        docs = docs.withColumn(c, F.lit("kept"))
+    got = one_of_each(docs)
+    assert got.columns == docs.columns
+    assert sorted((r["doc_id"], r["__key"], r["own_key"], r["sid"]) for r in got.collect()) == [(1, "x", "kept", "kept"), (3, "z", "kept", "kept")]
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 2), (2, 3), (5, 4), (7, 7)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 60)] + [(100, 99), (99, 0)]])
 def test_graph_components(spark, edges):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
