@@ -143,7 +143,9 @@ def _repeated(buckets: int):
         head = np.maximum.accumulate(np.where(same, 0, np.arange(len(hashes))))
         keep = (owner != owner[head]) | (start != start[head])
         owner, hashes, start, end = owner[keep], hashes[keep], start[keep], end[keep]
-        target = (table[:, 1].view(U64) % U64(buckets)).astype(np.int64)[owner]
+        # By document, not by its text alone: a text may be that of any share of the documents.
+        both = ta.mix(np.ascontiguousarray(table[:, 0]).view(U64)) ^ np.ascontiguousarray(table[:, 1]).view(U64)
+        target = (ta.mix(both) % U64(buckets)).astype(np.int64)[owner]
         return pa.Table.from_batches([_blocks(target, table, owner, hashes, start, end)])
 
     return run
