@@ -26,13 +26,19 @@ SCALE, CELLS = 1024, 256
 VECTORS, QUERIES = 8192, 2048
 #: Exact vectors that each query reads before it knows its kth score, as a multiple of k.
 FIRST = 2
+#: Scores lie below this.
+LIMIT = float(2**63)
+
+
+#: Whole numbers below this are exact in a double.
+EXACT = float(2**53)
 
 
 def whole(embedding: Column) -> Column:
-    """``floor(1024 * x)`` of each component; NULL if a component is null or not finite."""
-    doubles = F.transform(embedding, lambda x: x.cast("double"))
-    bad = F.exists(doubles, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return F.when(~F.coalesce(bad, F.lit(False)), F.transform(doubles, lambda x: F.floor(x * SCALE).cast("bigint")))
+    """``floor(1024 * x)`` of each component; NULL if one is null, not finite, or beyond what a double holds exactly."""
+    scaled = F.transform(embedding, lambda x: x.cast("double") * SCALE)
+    bad = F.exists(scaled, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) >= EXACT))
+    return F.when(~F.coalesce(bad, F.lit(False)), F.transform(scaled, lambda x: F.floor(x).cast("bigint")))
 
 
 def _vectors(group: pa.Table) -> np.ndarray:
@@ -76,11 +82,15 @@ def _bounded(low: np.ndarray, width: np.ndarray, k: int):
                     slack = 1e-13 * (np.abs(q) @ most)[:, None]
                     lower = scores + (np.minimum(q, 0) @ (width - 1))[:, None] - slack
                     gap = (np.abs(q) @ (width - 1))[:, None] + 2 * slack
+                    # A score that may lie beyond 64 bits counts for nothing until it is known; one that must is none.
+                    none = (lower >= LIMIT) | (lower + gap < -LIMIT)
+                    lower = np.where((lower < -LIMIT) | (lower + gap >= LIMIT), -np.inf, lower)
                     kept = min(k, lower.shape[1])
                     least = np.partition(lower, lower.shape[1] - kept, axis=1)[:, -kept][:, None]
-                    i, j = np.nonzero(lower + gap >= least)
+                    i, j = np.nonzero((lower + gap >= least) & ~none | np.isneginf(lower) & ~none)
                     found = lower[i, j]
-                    columns = [query_keys[a + i], keys[j], found, found + gap[i, 0]]
+                    upper = np.where(np.isneginf(found), np.inf, found + gap[i, 0])
+                    columns = [query_keys[a + i], keys[j], found, upper]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_CANDIDATES)
 
     return run
@@ -94,8 +104,12 @@ def _first(df: DataFrame, by: str, order: list[Column], k: int) -> DataFrame:
 def _scored(pairs: DataFrame, vectors: DataFrame, queries: DataFrame) -> DataFrame:
     """Exact scores of (query, key) pairs."""
     rows = pairs.join(vectors.select("key", "v"), "key").join(queries.select(F.col("key").alias("query"), F.col("v").alias("q")), "query")
-    score = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0).cast("bigint"), lambda s, x: s + x)
-    return rows.select("query", "key", score.alias("score"))
+    wide = F.aggregate(F.zip_with("q", "v", lambda a, b: a.cast("decimal(17,0)") * b.cast("decimal(17,0)")), F.lit(0).cast("decimal(38,0)"), lambda s, x: (s + x).cast("decimal(38,0)"))
+    plain = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0).cast("bigint"), lambda s, x: s + x)
+    # Products of components below 2^24 cannot pass 64 bits.
+    large = F.exists("q", lambda x: F.abs(x) >= 1 << 24) | F.exists("v", lambda x: F.abs(x) >= 1 << 24)
+    score = F.when(large, wide.try_cast("bigint")).otherwise(plain)
+    return rows.select("query", "key", score.alias("score")).where("score is not null")
 
 
 def _search(classes: DataFrame, queries: DataFrame, dims: int, k: int) -> DataFrame:
@@ -125,8 +139,8 @@ def top_k(embeddings: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose vec_id is divisible by ``every``, the k highest inner products.
 
     Ties go to the smaller vec_id. Rows with the query's own id are no candidates; with fewer than k others, all are returned.
-    Vectors that are null or hold nulls or numbers that are not finite, and null ids, take no part; vectors of different
-    lengths never meet, and empty ones none. Rows that agree in id and vector are one. Other columns are ignored.
+    Vectors that are null or hold nulls, numbers that are not finite or beyond 2^43, and null ids, take no part; scores beyond 64
+    bits count as none; vectors of different lengths never meet, and empty ones none. Rows that agree in id and vector are one. Other columns are ignored.
     """
     spark = embeddings.sparkSession
     rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), whole(F.col("embedding")).alias("v"))
