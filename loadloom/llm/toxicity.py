@@ -4,7 +4,7 @@ Features of a text: its distinct words, word pairs and pairs with one or two wor
 coordinates and worth 1. Every coordinate has its own learning rate, which falls with the gradients it has seen, and L1
 keeps at zero whatever has not earned a weight. What scoring needs is a small table of weights.
 
-Training uses at most ``max_rows`` labelled rows, those with the smallest hash of their id, dealt over shards of about
+Training uses at most ``max_rows`` labelled rows, those with the smallest hash of id and text, dealt over shards of about
 ``shard_rows``. Each shard learns from its own rows, ``rounds`` times over; the states are then averaged coordinate by
 coordinate in Spark, and only coordinates with a weight leave it. The bound covers training only: every row of the corpus is
 scored, whole.
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadloom.llm import textarrays as ta
+from loadloom.llm.graphs import written
 
 #: (salt, distances of the words) of each kind of feature.
 KINDS = ((1, (0,)), (2, (0, 1)), (3, (0, 2)), (4, (0, 3)))
@@ -126,19 +127,27 @@ def _shard_learns(s: Settings):
 def train(docs: DataFrame, labels: DataFrame, s: Settings | None = None) -> Weights:
     """Weights learned from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic); other columns are ignored.
 
-    Rows with a null id or label are passed over; of repeated ids the label 1 wins, and each row of a repeated document
-    counts. Without any labelled row all weights are 0 and every score is 0.5.
+    Rows with a null id or label are passed over; of repeated ids the label 1 wins. Rows that agree in id and text count once. At
+    most ``max_rows`` labelled documents are learned from, those with the smallest hash; labels without a document use up none
+    of them. Without any labelled row all weights are 0 and every score is 0.5.
     """
     s = s or Settings()
-    order = F.xxhash64("doc_id", F.lit(s.seed))
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    known = known.orderBy(order, "doc_id").limit(s.max_rows)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = texts.join(F.broadcast(known), "doc_id").withColumn("order", F.xxhash64("doc_id", "text", F.lit(s.seed)))
-    total = known.count()
+    texts = texts.withColumn("key", F.xxhash64("text"))
+    # Labelled documents first, as ids and hashes; the bound is on those, and only then are their texts fetched.
+    pairs = texts.select("doc_id", "key").join(known, "doc_id").groupBy("doc_id", "key").agg(F.max("label").alias("label"))
+    pairs = written(pairs.withColumn("order", F.xxhash64("doc_id", "key", F.lit(s.seed))), "labelled")
+    total = pairs.count()
+    if total > s.max_rows:
+        share = min(1.0, (s.max_rows + 10 * s.max_rows**0.5 + 100) / total)
+        near = pairs.where(F.col("order") <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64))))
+        pairs = written(near.orderBy("order", "doc_id", "key").limit(s.max_rows), "labelled")
+        total = pairs.count()
     shards = max(1, -(-total // s.shard_rows))
-    chosen = chosen.withColumn("label", F.col("label").cast("double")).withColumn("shard", F.pmod(order, F.lit(shards)))
+    chosen = texts.join(F.broadcast(pairs), ["doc_id", "key"]).groupBy("doc_id", "key").agg(F.first("text").alias("text"), F.max("label").alias("label"), F.max("order").alias("order"))
+    chosen = chosen.withColumn("label", F.col("label").cast("double")).withColumn("shard", F.pmod(F.xxhash64("order"), F.lit(shards)))
     state = State(np.zeros(s.dims), np.zeros(s.dims))
     if total:
         seen = chosen.groupBy("shard").applyInArrow(_shard_learns(s), "at bigint, z double, n double")

@@ -48,6 +48,30 @@ def test_edges(spark):
     assert toxicity.score_documents(doc_frame(spark, []), model).count() == 0
 
 
+def test_labels_of_other_documents_use_up_no_bound(spark):
+    rows, labels = _corpus(300)
+    others = [(10**6 + i, 1, i % 2) for i in range(3000)]
+    marks = spark.createDataFrame([*[x[:3] for x in labels], *others], "doc_id bigint, quality int, toxic int")
+    bounded = toxicity.Settings(max_rows=300)
+    docs = doc_frame(spark, rows)
+    got, want = toxicity.train(docs, marks, bounded), toxicity.train(docs, marks.where("doc_id < 1000000"))
+    assert got.bias == want.bias and got.index.tolist() == want.index.tolist() and got.value.tolist() == want.value.tolist()
+
+
+def test_the_bound_is_on_rows_and_repeated_rows_count_once(spark):
+    rows, labels = _corpus(100)
+    # One labelled id with very many texts, and one row many times over.
+    hot = [(7, f"{rows[7][1]} {i}") for i in range(800)]
+    docs = doc_frame(spark, [*rows, *hot, *[rows[3]] * 500])
+    marks = spark.createDataFrame([x[:3] for x in labels], "doc_id bigint, quality int, toxic int")
+    few = toxicity.Settings(max_rows=150, shard_rows=50)
+    model = toxicity.train(docs, marks, few)
+    assert 0 < len(model.index)
+    assert toxicity.train(docs.repartition(3), marks, few).value.tolist() == model.value.tolist()
+    once = toxicity.train(doc_frame(spark, rows), marks)
+    assert toxicity.train(doc_frame(spark, [*rows, *[rows[3]] * 500]), marks).value.tolist() == once.value.tolist()
+
+
 def test_without_labels_every_score_is_half(spark):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     model = toxicity.train(doc_frame(spark, [(1, "a b")]), none)
