@@ -135,8 +135,8 @@ def test_one_text_of_many_documents_is_dealt_over_tasks():
     text = " ".join(f"One sentence number {i} of the same text." for i in range(20))
     n = 300
     batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([77] * n, pa.int64()), pa.array([text] * n)], names=["a", "b", "c"])
-    (spread,) = sentence_spans._spread(1)(iter([batch]))
-    again = sentence_spans._repeated(64)(pa.Table.from_batches([spread]))
+    (spread,) = ss._spread(1)(iter([batch]))
+    again = ss._repeated(64)(pa.Table.from_batches([spread]))
     sizes = [len(x.as_py()) // 8 for x in again.column("hashes")]
     assert again.num_rows > 50 and max(sizes) < 0.1 * sum(sizes)
     assert np.unique(again.column("bucket").to_numpy()).size == again.num_rows
