@@ -70,3 +70,15 @@ def hourly(spark):
 def plan_of(df):
     """The physical plan; of one that has run, the final form only."""
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def counting_reads(df):
+    """``df``, and an accumulator of the rows that its scans deliver."""
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(run, df.schema), seen

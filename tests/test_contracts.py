@@ -1,8 +1,10 @@
 import pytest
+from conftest import counting_reads
 from pyspark.sql import types as T
 
 from loadloom import names
-from loadloom.operators import contracts, keys
+from loadloom.operators import contracts, keys, ranking
+from loadloom.session import scratch_path
 
 SCHEMA = T.StructType([T.StructField("a", T.DoubleType()), T.StructField("n", T.IntegerType(), False)])
 
@@ -67,3 +69,29 @@ def test_key_violations_and_assertion(spark):
         keys.assert_key(df, ["id"])
     good = df.filter("id = 'b'")
     assert keys.assert_key(good, ["id"]) is good
+
+
+def test_a_write_counts_for_the_report_in_its_own_pass(spark, text):
+    rows, read = counting_reads(text)
+    observed, counts = contracts.reported(rows, SCHEMA)
+    path = scratch_path(spark, "observed")
+    contracts.coerce(observed, SCHEMA, lenient=True).write.parquet(path)
+    got = sorted(map(tuple, counts.report().collect()))
+    assert got == sorted(map(tuple, contracts.column_report(text, SCHEMA).collect()))
+    assert read.value == 4 and spark.read.parquet(path).count() == 4
+
+
+def test_report_of_an_empty_write_and_of_missing_columns(spark, text):
+    observed, counts = contracts.reported(text.drop("a").limit(0), SCHEMA)
+    observed.write.parquet(scratch_path(spark, "observed"))
+    assert sorted(map(tuple, counts.report().collect())) == [("a", "double", False, 0, 0, 0), ("n", "int", True, 0, 0, 0)]
+
+
+def test_split_is_summarised_by_the_write(spark):
+    df = spark.range(100).selectExpr("cast(id as string) AS id", "timestamp_seconds(id * 60) AS DateTime")
+    split = ranking.temporal_split(df, 0.25)
+    rows, read = counting_reads(split)
+    observed, counts = ranking.summarised_split(rows)
+    observed.write.partitionBy("split").parquet(scratch_path(spark, "split"))
+    assert sorted(map(tuple, counts.report().collect())) == sorted(map(tuple, ranking.split_summary(split).collect()))
+    assert read.value == 100

@@ -74,3 +74,37 @@ def test_importance_order_and_zero(spark):
     assert [r["feature"] for r in evaluate.top_features(mean, 2).collect()] == ["a", "b"]
     assert evaluate.top_features(mean, 0).count() == 0
     assert evaluate.top_features(mean, 10).count() == 3
+
+
+def test_chart_points_equal_brute_force_and_are_bounded(spark):
+    rng = random.Random(3)
+    values = [None, float("nan"), 1.0, 2.0, 2.0, -5.0, 7.5]
+    rows = [(None if rng.random() < 0.05 else rng.randrange(500), rng.choice(values), rng.choice(values)) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "s int, y double, p double").selectExpr("timestamp_seconds(s) AS t", "s", "y", "p")
+    got = evaluate.chart_points(df, {"one": ("y", "p"), "two": ("p", "y")}, 16, "t")
+    want = {}
+    dated = [r for r in rows if r[0] is not None]
+    first, width = min(r[0] for r in dated) * 10**6, None
+    width = (max(r[0] for r in dated) * 10**6 - first) // 16 + 1
+    for target, order in (("one", (1, 2)), ("two", (2, 1))):
+        for series, c in zip(("actual", "predicted"), order, strict=True):
+            for r in dated:
+                if r[c] is not None and r[c] == r[c]:
+                    want.setdefault((target, series, (r[0] * 10**6 - first) // width), []).append((r[0], r[c]))
+    found = {(r["target"], r["series"], r["pixel"]): r for r in got.collect()}
+    assert found.keys() == want.keys() and len(found) <= 4 * 16
+    at = lambda r, n: (int(r[f"{n}_time"].timestamp()), r[f"{n}_value"])
+    for key, points in want.items():
+        r = found[key]
+        assert r["points"] == len(points)
+        assert at(r, "first") == min(points) and at(r, "last") == max(points)
+        assert at(r, "low") == min(points, key=lambda x: (x[1], x[0])) and at(r, "high") == max(points, key=lambda x: (x[1], -x[0]))
+
+
+def test_chart_points_of_one_instant_and_of_nothing(spark):
+    df = spark.createDataFrame([(5, 1.0, 2.0), (5, 3.0, None)], "s int, y double, p double").selectExpr("timestamp_seconds(s) AS t", "y", "p")
+    got = evaluate.chart_points(df, {"one": ("y", "p")}, 100, "t").collect()
+    assert sorted((r["series"], r["pixel"], r["low_value"], r["high_value"]) for r in got) == [("actual", 0, 1.0, 3.0), ("predicted", 0, 2.0, 2.0)]
+    assert evaluate.chart_points(df.limit(0), {"one": ("y", "p")}, 100, "t").count() == 0
+    with pytest.raises(ValueError, match="pixels"):
+        evaluate.chart_points(df, {"one": ("y", "p")}, 0, "t")

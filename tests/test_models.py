@@ -1,4 +1,5 @@
 import pytest
+from conftest import counting_reads
 from pyspark.sql import functions as F
 
 from loadloom import names
@@ -100,6 +101,23 @@ def test_variants_one_row_each(parts):
     assert rows["A"]["parameters"]["max_depth"] == "1"
 
 
+def test_variants_share_one_matrix_and_give_what_each_alone_gives(spark, parts):
+    train, test = parts
+    rows, read = counting_reads(train)
+    variants = {"A": models.Forest(3, 2), "B": models.Forest(3, 4), "C": models.Boosting(0.5, 2, 2)}
+    got = {r["variant"]: r for r in models.compare_variants(rows, test, variants).collect()}
+    assert read.value == train.count()
+    for name, model in variants.items():
+        alone = models.fit_per_target(train, model).score(test)
+        want = evaluate.metrics_uniform(alone, {t: (t, o) for t, o in zip(names.TARGETS, names.PREDICTED, strict=True)}).first()
+        for metric in ("mse", "mae", "r2"):
+            assert got[name][metric] == pytest.approx(want[metric])
+    with models.assembled(train) as matrix:
+        fitted = models.fit_variants(matrix, variants, parallelism=5)
+    assert list(fitted) == list(variants) and fitted["B"].score(test).count() == test.count()
+    assert fitted["B"].importances(test).count() == len(names.MODEL_INPUTS) * 3
+
+
 def test_prediction_table_and_routing(parts, forest):
     out = serving.prediction_table(*parts, forest.score)
     assert out.columns == ["id", *names.WEATHER, *names.PREDICTED]
