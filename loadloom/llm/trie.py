@@ -159,16 +159,19 @@ def _rake(tree: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tree.where(leaf).select("id", *TOTALS), rest
 
 
-def _compress_between(rest: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Merges nodes into an only child of another label: those whose coin shows 1 while the child's shows 0.
-
-    Returns the rest and the links (id, into, and the weight of each total between them).
-    """
+def _meets_another(turn: int) -> Column:
+    """Whether a node goes into its only child of another label: its coin shows 1 and the child's 0, so no two such nodes meet."""
     coin = lambda c: F.pmod(F.xxhash64(c, F.lit(turn)), F.lit(2))
     gone = F.col("only").isNotNull() & (F.col("only.label") != F.col("label")) & (coin(F.col("id")) == 1) & (coin(F.col("only.id")) == 0)
-    gone = F.coalesce(gone, F.lit(False))
+    return F.coalesce(gone, F.lit(False))
+
+
+def _compress_between(rest: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Merges nodes into an only child of another label. Returns the rest and the links (id, into, and the weight of each total
+    between them)."""
+    gone = _meets_another(turn)
     merged = rest.where(gone).select(F.col("only.id").alias("id"), F.col("id").alias("gone"), F.col("parent").alias("to"), *[F.col(t).alias(f"m_{t}") for t in TOTALS], *[F.col(f"above_{t}").alias(f"ma_{t}") for t in TOTALS])
-    kept = rest.where(~gone).join(merged, "id", "left")
+    kept = written(rest.where(~gone).join(merged, "id", "left"), "between")
     zero = F.lit(0)
     links = kept.where("gone is not null").select(F.col("gone").alias("id"), F.col("id").alias("into"), *[(F.col(f"m_{t}") + F.col(f"above_{t}")).alias(t) for t in TOTALS])
     kept = kept.select(
@@ -196,7 +199,7 @@ def _compress_along(rest: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
         # All own sums in the run but the lowest node's, from here down; all sums above nodes below this one.
         columns[f"w_{t}"] = F.sum(F.when(F.col("down"), F.col(t)).otherwise(0)).over(run) + F.coalesce(F.sum(f"above_{t}").over(below), zero)
         columns[f"a_{t}"] = F.sum(F.when(F.col("down"), F.col(t)).otherwise(0) + F.col(f"above_{t}")).over(whole)
-    rows = rows.withColumns(columns)
+    rows = written(rows.withColumns(columns), "along")
     links = rows.where("down").select("id", "into", *[F.col(f"w_{t}").alias(t) for t in TOTALS])
     kept = rows.where("not down").select("id", F.col("top").alias("parent"), "label", "depth", "kids", *TOTALS, *[F.col(f"a_{t}").alias(f"above_{t}") for t in TOTALS])
     return kept, links
@@ -215,12 +218,11 @@ def subtree_totals(nodes: DataFrame) -> DataFrame:
         leaves, rest = _rake(tree)
         raked.append(leaves)
         rest = written(rest, "raked")
-        rest, between = _compress_between(rest, turn)
-        rest, along = written(rest, "between"), written(between, "links")
+        if not rest.where(_meets_another(turn)).isEmpty():
+            rest, between = _compress_between(rest, turn)
+            links.append(between)
+        tree, along = _compress_along(rest, turn)
         links.append(along)
-        rest = _compress_along(rest, turn)
-        links.append(written(rest[1], "links"))
-        tree = written(rest[0], "tree")
         turn += 1
     if not raked:
         return nodes.select("id", *TOTALS)
