@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadloom.operators.columns import unused
+
 #: Models of this worker process, by what they were loaded from. A worker serves one task at a time.
 _LOADED: dict[tuple, Any] = {}
 MODELS_KEPT = 4
@@ -90,8 +92,9 @@ class ModelWrapper:
 
         call = F.arrow_udf(run, "struct<" + ",".join(f"`{o}`:double" for o in self.outputs) + ">")
         packed = F.struct(*[F.col(bound[a]).cast(t).alias(a) for a, t in self.inputs.items()])
-        scored = df.withColumn("_scored", call(packed))
-        return scored.select(*df.columns, *[F.col("_scored")[o].alias(o) for o in self.outputs])
+        both = unused("_scored", df)
+        scored = df.withColumn(both, call(packed))
+        return scored.select(*df.columns, *[F.col(both)[o].alias(o) for o in self.outputs])
 
 
 def loaded(source: str, load: Callable[[str], Any]) -> Any:

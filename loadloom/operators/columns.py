@@ -8,6 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """A column name like ``name`` that none of the frames has, so that users may call their columns as they like."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def clean_names(df: DataFrame) -> DataFrame:
     """P5: runs of blanks in a name become one underscore, blanks at the ends go."""
     return df.toDF(*["_".join(name.split()) for name in df.columns])

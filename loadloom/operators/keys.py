@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loadloom.operators.columns import unused
 from loadloom.operators.skew import fits_broadcast, key_columns, skew_safe_join
 
 
@@ -37,8 +38,9 @@ def divide_by_key(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]
     The offending keys are counted before the shuffle; rows are then joined to those few keys, so a key that a third of the table
     shares is one row there.
     """
-    bad = key_violations(df, keys).select(*[F.col(k).alias(f"_bad_{k}") for k in keys])
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_bad_{k}")) for k in keys])
+    theirs = [unused(f"_bad_{k}", df) for k in keys]
+    bad = key_violations(df, keys).select(*[F.col(k).alias(t) for k, t in zip(keys, theirs, strict=True)])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(t)) for k, t in zip(keys, theirs, strict=True)])
     return df.join(bad, same, "left_anti"), df.join(bad, same, "left_semi")
 
 
@@ -53,11 +55,12 @@ def guarded(df: DataFrame, keys: list[str], columns: Mapping[str, Column], name:
     for k in keys:
         any_null = any_null | F.col(k).isNull()
     message = F.lit(f"{name}: key ({', '.join(keys)}) is NULL or repeated")
-    numbered = df.withColumn("_nth", nth)
+    place = unused("_nth", df)
+    numbered = df.withColumn(place, nth)
     return numbered.select(
         *keys,
         *[
-            F.when((F.col("_nth") > 1) | any_null, F.raise_error(message)).otherwise(c).alias(n)
+            F.when((F.col(place) > 1) | any_null, F.raise_error(message)).otherwise(c).alias(n)
             for n, c in columns.items()
         ],
     )

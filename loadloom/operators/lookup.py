@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadloom import names
-from loadloom.operators.columns import without
+from loadloom.operators.columns import unused, without
 from loadloom.operators.skew import Skew, fits_broadcast, key_columns, narrowed_to, skew_of, skew_safe_join
 
 
@@ -73,9 +73,6 @@ WEATHER_FEATURE = FunctionFeature(
 )
 
 
-COPIES = "_copies"
-
-
 def look_up(base: DataFrame, lookup: Lookup, skew: Skew | None = None) -> DataFrame:
     """Every base row once, with the features of its key, NULL where the table lacks the key.
 
@@ -89,18 +86,19 @@ def look_up(base: DataFrame, lookup: Lookup, skew: Skew | None = None) -> DataFr
         *[F.col(a).alias(b) for a, b in zip(own, keys, strict=True)],
         *[F.col(c).alias(name) for c, name in zip(lookup.features, features, strict=True)],
     )
+    copies = unused("_copies", base, picked)
     narrow = fits_broadcast(base) and not fits_broadcast(picked)
     if narrow:
         picked = narrowed_to(picked, base, keys)
     if not lookup.key_checked:
-        picked = picked.groupBy(*keys).agg(*[F.any_value(c).alias(c) for c in features], F.count(F.lit(1)).alias(COPIES))
+        picked = picked.groupBy(*keys).agg(*[F.any_value(c).alias(c) for c in features], F.count(F.lit(1)).alias(copies))
     joined = base.join(picked, keys, "left") if narrow else skew_safe_join(base, picked, keys, "left", skew)
-    ordered = joined.select(*base.columns, *features, *([] if lookup.key_checked else [COPIES]))
+    ordered = joined.select(*base.columns, *features, *([] if lookup.key_checked else [copies]))
     if lookup.key_checked:
         return ordered
     refused = F.raise_error(F.lit(f"lookup: key ({', '.join(own)}) is requested and repeated in the table"))
-    checked = {c: F.when(F.col(COPIES) > 1, refused).otherwise(F.col(c)) for c in features}
-    return ordered.withColumns(checked).drop(COPIES)
+    checked = {c: F.when(F.col(copies) > 1, refused).otherwise(F.col(c)) for c in features}
+    return ordered.withColumns(checked).drop(copies)
 
 
 def look_up_keys(keys: DataFrame, table: DataFrame, key: str | Sequence[str], features: Sequence[str]) -> DataFrame:

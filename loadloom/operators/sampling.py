@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadloom.operators.columns import unused
 from loadloom.operators.ranking import value_at_rank
 from loadloom.session import remove, remove_at_end, scratch_path
 
@@ -43,7 +44,7 @@ def _drawn(df: DataFrame, n: int, seed: int) -> tuple[DataFrame, str | None]:
     uniform draws in all. Asking for slightly more than ``n`` and keeping a random ``n`` of them leaves exactly that
     many independent draws, in one narrow scan. Rows are neither numbered nor moved.
     """
-    size = df.count()
+    size, number = df.count(), unused("_draw", df)
     if n <= 0 or size == 0:
         if n > 0:
             raise ValueError("cannot draw from an empty frame")
@@ -52,7 +53,7 @@ def _drawn(df: DataFrame, n: int, seed: int) -> tuple[DataFrame, str | None]:
         # Eight deviations above n: falling short has a probability below 1e-14, and is then retried.
         expected = n + 8 * math.sqrt(n) + 16
         draws = df.sample(withReplacement=True, fraction=expected / size, seed=seed)
-        numbered = draws.withColumn("_draw", F.shiftrightunsigned(F.xxhash64(F.rand(seed + 1)), 1))
+        numbered = draws.withColumn(number, F.shiftrightunsigned(F.xxhash64(F.rand(seed + 1)), 1))
         # The draws are a small part of the frame; storing them fixes their number and order for the steps below.
         path = scratch_path(df.sparkSession, "draws")
         numbered.write.parquet(path)
@@ -61,11 +62,11 @@ def _drawn(df: DataFrame, n: int, seed: int) -> tuple[DataFrame, str | None]:
             break
         remove(df.sparkSession, path)
         seed += 2
-    last = value_at_rank(stored, "_draw", n)
-    kept = stored.filter(F.col("_draw") <= F.lit(last.value))
+    last = value_at_rank(stored, number, n)
+    kept = stored.filter(F.col(number) <= F.lit(last.value))
     surplus = last.before + last.ties - n
     if surplus:
         # Equal 63-bit draw numbers: all but practically impossible, resolved among those few rows.
-        tied = stored.filter(F.col("_draw") == F.lit(last.value)).limit(last.ties - surplus)
-        kept = stored.filter(F.col("_draw") < F.lit(last.value)).unionAll(tied)
-    return kept.drop("_draw"), path
+        tied = stored.filter(F.col(number) == F.lit(last.value)).limit(last.ties - surplus)
+        kept = stored.filter(F.col(number) < F.lit(last.value)).unionAll(tied)
+    return kept.drop(number), path

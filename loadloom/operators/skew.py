@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadloom.operators.columns import unused
+
 # A key is hot when it holds more than this share of the rows (at most 1/share keys can) and at least so many of them
 # that one task would feel it. It is cut into pieces of about a quarter of that, so that pieces spread evenly over tasks.
 # Milder skew is left to the adaptive join.
@@ -113,9 +115,10 @@ def skew_safe_join(
     # The salt depends on the row and the number of its task's partition: rows equal in every column part too, and a task
     # that runs again sends its rows to the same places whatever order they come in.
     spread = F.xxhash64(*[F.col(c) for c in _hashable(left)], F.spark_partition_id())
-    salted = left.withColumn("_salt", F.pmod(spread, F.when(_no_key(keys), without).otherwise(number)).cast("int"))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), number - 1)))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    salt = unused("_salt", left, right)
+    salted = left.withColumn(salt, F.pmod(spread, F.when(_no_key(keys), without).otherwise(number)).cast("int"))
+    repeated = right.withColumn(salt, F.explode(F.sequence(F.lit(0), number - 1)))
+    return salted.join(repeated, [*keys, salt], how).drop(salt)
 
 
 def _pieces_of(rows: int) -> int:

@@ -221,3 +221,20 @@ def test_change_set_shuffles_each_side_once(spark, sf):
     frame = readings(spark, sf)
     plan = plan_of(changes.change_set(frame, frame, ["Humidity"]))
     assert plan.count("Exchange hashpartitioning") == 2 and "SinglePartition" not in plan
+
+
+def test_columns_may_have_any_name(spark, no_broadcast, monkeypatch):
+    from loadloom.operators import sampling, skew
+
+    monkeypatch.setattr(skew, "HOT_ROWS", 5)
+    own = ("_salt", "_nth", "_copies", "_draw", "_bad_id")
+    base = spark.range(60).selectExpr("cast(id % 3 as string) AS id", *[f"'{c}' AS {c}" for c in own])
+    table = spark.range(3).selectExpr("cast(id as string) AS id", "id AS x", *[f"id AS `{c}x`" for c in own])
+    out = lookup.look_up(base, lookup.Lookup(table, ["x"]))
+    assert out.columns == [*base.columns, "x"] and out.filter("x = cast(id as int) AND _salt = '_salt' AND _copies = '_copies'").count() == 60
+    assert skew.skew_safe_join(base, table, "id", "left_semi").columns == base.columns
+    good, bad = keys.divide_by_key(base, ["id"])
+    assert (good.count(), bad.count()) == (0, 60)
+    assert sampling.sample_exactly(base, 10).columns == base.columns
+    named = spark.range(3).selectExpr("cast(id as string) AS id", "id AS _nth")
+    assert keys.guarded(named, ["id"], {"_nth": named["_nth"]}, "t").filter("_nth >= 0").count() == 3

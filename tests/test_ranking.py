@@ -172,3 +172,15 @@ def test_split_moves_no_row_and_filters_in_the_scan(spark, sf):
 def test_unorderable_column_is_refused(spark):
     with pytest.raises(TypeError):
         ranking.value_at_rank(spark.sql("SELECT 1.0D AS x"), "x", 1)
+
+
+def test_rows_with_equal_hashes_are_told_apart_by_their_text(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(ranking, "row_hash", lambda df: F.lit(7).cast("bigint"))
+    rows = [("k", 5, f"v{i % 7}") for i in range(30)]
+    df = spark.createDataFrame(rows, "id string, DateTime int, v string").withColumn("DateTime", F.timestamp_seconds("DateTime"))
+    want = sorted(v for *_, v in rows)
+    for n in (1, 4, 5, 6, 17, 29):
+        got = sorted(r["v"] for r in ranking.rows_between(df, 0, n).collect())
+        assert got == want[:n]
