@@ -115,3 +115,31 @@ def pack_documents(docs: DataFrame, lengths: Sequence[int] = LENGTHS, cost: Call
     groups = max(1, -(-int(total) // group))
     pieces = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "text_key", "copy", "piece"), F.lit(groups)))
     return pieces.groupBy("group").applyInArrow(_pack_group(tuple(lengths), cost), _PACKED)
+
+
+#: Stands in the place behind the last word of a text.
+SEPARATOR = "<|endoftext|>"
+
+
+def sequence_texts(docs: DataFrame, packed: DataFrame, separator: str = SEPARATOR) -> DataFrame:
+    """(sequence, length, n_places, words): what each sequence of ``pack_documents`` holds, one word per place, in order.
+
+    ``docs`` are the packed rows; a piece's words are cut from its whole text, and the piece that ends a text has the separator in its
+    last place. Places beyond ``n_places`` up to ``length`` are to be padded. A sequence is of bounded size by its length, so its
+    pieces meet in one task; equal texts are read once however many copies were packed.
+    """
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    texts = texts.groupBy("doc_id", "text_key").agg(F.first("text").alias("text"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"\S+"), F.lit(0))
+    texts = texts.select(F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"), F.concat(words, F.array(F.lit(separator))).alias("all"))
+    # A text's pieces are cut once, before its copies multiply them.
+    cuts = packed.groupBy("doc_id", "text_key", "first_word", "n_places").agg(F.count("*").alias("copies"))
+    pieces = cuts.join(texts, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key")))
+    pieces = pieces.select("doc_id", "text_key", "first_word", F.slice("all", (F.col("first_word") + 1).cast("int"), F.col("n_places")).alias("part"))
+    same = [packed[c].eqNullSafe(pieces[c]) for c in ("doc_id", "text_key", "first_word")]
+    placed = packed.join(pieces, same[0] & same[1] & same[2]).select("sequence", "length", "place", "n_places", "part")
+    whole = placed.groupBy("sequence").agg(
+        F.first("length").alias("length"), F.sum("n_places").alias("n_places"), F.array_sort(F.collect_list(F.struct("place", "part"))).alias("parts")
+    )
+    return whole.select("sequence", "length", "n_places", F.flatten(F.transform("parts", lambda p: p["part"])).alias("words"))

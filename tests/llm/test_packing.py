@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from helpers import EDGES, doc_frame, prose
 
-from loadloom.llm.packing import LENGTHS, pack, pack_documents, sequence_cost
+from loadloom.llm.packing import LENGTHS, SEPARATOR, pack, pack_documents, sequence_cost, sequence_texts
 
 
 def _plain_best_fit(sizes, opened):
@@ -67,5 +67,27 @@ def test_every_word_has_one_place(spark):
     assert sum(length.values()) < 1.1 * sum(need.values()) + max(LENGTHS) * 4
 
 
+def test_sequences_hold_every_text_once_and_whole(spark):
+    rng = random.Random(12)
+    rows = [*EDGES, *[(100 + i, prose(rng, rng.choice((1, 40, 700, 5000, 9000)))) for i in range(40)], *[(99, "the same row")] * 6]
+    docs = doc_frame(spark, rows)
+    packed = pack_documents(docs, group=20).persist()
+    got = {r["sequence"]: r for r in sequence_texts(docs, packed).collect()}
+    pieces = {}
+    for r in packed.collect():
+        held = got[r["sequence"]]
+        assert held["length"] == r["length"]
+        pieces.setdefault((r["doc_id"], r["text_key"], r["copy"]), []).append((r["piece"], held["words"][r["place"] : r["place"] + r["n_places"]]))
+    said = Counter()
+    for (doc_id, *_), parts in pieces.items():
+        words = [w for _, part in sorted(parts) for w in part]
+        assert words[-1] == SEPARATOR and SEPARATOR not in words[:-1]
+        said[(doc_id, " ".join(words[:-1]))] += 1
+    assert said == Counter((d, " ".join((t or "").split())) for d, t in rows)
+    assert all(len(r["words"]) == r["n_places"] <= r["length"] for r in got.values())
+    packed.unpersist()
+    assert sequence_texts(docs.limit(0), pack_documents(docs.limit(0))).count() == 0
+
+
 def test_empty_table(spark):
     assert pack_documents(doc_frame(spark, [])).count() == 0
