@@ -26,7 +26,7 @@ from loadloom.operators.changes import as_updates, change_set
 from loadloom.operators.keys import assert_key, unseen_rows
 from loadloom.operators.ranking import row_hash
 from loadloom.operators.skew import fits_broadcast, key_columns
-from loadloom.session import numbered_folders
+from loadloom.session import numbered_folders, remove
 
 PART = "part"
 #: Bits per key and bits asked for each; bits of one bitmap.
@@ -188,6 +188,31 @@ def fold(spark: SparkSession, target: str) -> int | None:
     return _commit(spark, target, last.number + 1, last.folders.where(~F.col(PART).isin(many)), rows, last.parts, last.keys)
 
 
+def expire(spark: SparkSession, target: str, keep: int = 2) -> list[int]:
+    """Removes all versions but the last ``keep``, and the folders that none of those has; returns the removed numbers.
+
+    Manifests go first, so a run that fails half way leaves no version without its rows; the next run removes the rest. No reader
+    may be at work on the removed versions. Stored changes stay.
+    """
+    found = versions(spark, target)
+    gone, kept = found[:-keep], found[-keep:]
+    for number in gone:
+        remove(spark, f"{target}/manifest/version={number}")
+    held = {p for number in kept for _, p in version(spark, target, number).paths()}
+    for number in numbered_folders(spark, f"{target}/data", "version", finished=False):
+        if number > kept[-1]:
+            continue  # a version that is being written
+        folder = f"data/version={number}"
+        own = {f"{folder}/{PART}={p}" for p in numbered_folders(spark, f"{target}/{folder}", PART, finished=False)}
+        if not own & held:
+            remove(spark, f"{target}/{folder}")
+            remove(spark, f"{target}/filters/version={number}")
+        else:
+            for path in own - held:
+                remove(spark, f"{target}/{path}")
+    return gone
+
+
 def folders_that_may_hold(df: DataFrame, target: str, at: Version) -> DataFrame:
     """(keys, part, path): folders whose filter does not rule a key of ``df`` out. No row of the table is read."""
     spark, keys = df.sparkSession, at.keys

@@ -5,7 +5,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from loadloom.operators.keys import unseen_rows
-from loadloom.session import scratch_path
+from loadloom.session import numbered_folders, scratch_path
 from loadloom.sources import keyed_store
 from loadloom.streaming import keyed_sync
 
@@ -140,6 +140,22 @@ def test_the_feed_of_all_versions_leads_a_sync_to_the_last_one(spark, target):
         assert ids(state) == sorted(rows)
 
 
+def test_old_versions_expire_with_the_folders_that_no_kept_one_has(spark, target):
+    for n in range(5):
+        rows = [(i, n if int(i) % 25 == n else 0) for i, _ in rows_upto(100)]
+        keyed_store.publish(frame(spark, rows), target, "id", 8)
+    before = {v: ids(keyed_store.read(spark, target, v)) for v in (3, 4)}
+    held = {p for v in (3, 4) for _, p in keyed_store.version(spark, target, v).paths()}
+    assert keyed_store.expire(spark, target) == [0, 1, 2] and keyed_store.versions(spark, target) == [3, 4]
+    assert {v: ids(keyed_store.read(spark, target, v)) for v in (3, 4)} == before
+    left = {f"data/version={v}/part={p}" for v in numbered_folders(spark, f"{target}/data", "version", False) for p in numbered_folders(spark, f"{target}/data/version={v}", "part", False)}
+    assert left == held
+    assert keyed_store.append_unseen(frame(spark, rows_upto(110, 1)), target) == 5
+    assert len(ids(keyed_store.read(spark, target))) == 110
+    assert keyed_store.changes_between_versions(spark, target, 3, 5, ["n"]).where("change = 'insert'").count() == 10
+    assert keyed_store.expire(spark, target, 9) == []
+
+
 def test_point_lookups_prune_parts_at_run_time(spark, target):
     keyed_store.publish(frame(spark, rows_upto(500, 2)), target, "id", 64)
     asked = spark.createDataFrame([("3", 1), ("4", 2), ("3", 3), ("none", 4), (None, 5)], "id string, at int")
