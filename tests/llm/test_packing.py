@@ -9,7 +9,8 @@ from loadloom.llm.packing import LENGTHS, SEPARATOR, pack, pack_documents, seque
 
 
 def _plain_best_fit(sizes, opened):
-    bins, out = [], []
+    """(room left in each bin's opened length, how full it is)."""
+    bins = []
     for s in sizes:
         fitting = [(b[0] - b[1], k) for k, b in enumerate(bins) if b[0] - b[1] >= s]
         if fitting:
@@ -19,29 +20,80 @@ def _plain_best_fit(sizes, opened):
             bins.append([opened[s], 0])
             k = len(bins) - 1
         bins[k][1] += s
-        out.append(bins[k][0] - bins[k][1])
-    return out, len(bins)
+    return [b[1] for b in bins]
+
+
+def _holds(lengths):
+    return lambda n: next(c for c in lengths if c >= n)
+
+
+def _cost(fulls, lengths):
+    return sum(sequence_cost(_holds(lengths)(n)) for n in fulls)
+
+
+def _cheapest(sizes, lengths):
+    """Over all packings: pieces one by one into every bin that has room, or a new one."""
+    best, bins = [float("inf")], []
+
+    def place(i):
+        if i == len(sizes):
+            best[0] = min(best[0], _cost(bins, lengths))
+            return
+        for k in range(len(bins)):
+            if bins[k] + sizes[i] <= lengths[-1]:
+                bins[k] += sizes[i]
+                place(i + 1)
+                bins[k] -= sizes[i]
+        bins.append(sizes[i])
+        place(i + 1)
+        bins.pop()
+
+    place(0)
+    return best[0]
+
+
+def _fulls(sizes, bins, offsets, kept, lengths):
+    """How full each bin is, after checking that pieces lie side by side and bins are as short as can be."""
+    spans = defaultdict(list)
+    for s, b, o in zip(sizes.tolist(), bins.tolist(), offsets.tolist(), strict=True):
+        spans[b].append((o, s))
+    for b, parts in spans.items():
+        parts.sort()
+        assert parts[0][0] == 0 and all(a + n == c for (a, n), (c, _) in zip(parts, parts[1:]))
+    used = {b: sum(n for _, n in parts) for b, parts in spans.items()}
+    assert all(kept[i] == _holds(lengths)(used[b]) for i, b in enumerate(bins.tolist()))
+    return list(used.values())
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_places_as_plain_best_fit_does_and_takes_the_cheapest_limit(seed):
+def test_costs_what_the_cheapest_limit_costs(seed):
     rng = random.Random(seed)
     lengths = (8, 16, 32)
     sizes = np.array(sorted((rng.randint(1, 32) for _ in range(120)), reverse=True))
-    bins, offsets, kept = pack(sizes, lengths)
-    used = Counter()
-    for s, b, o in zip(sizes, bins, offsets):
-        assert o == used[b]
-        used[b] += s
-    hold = lambda n: next(c for c in lengths if c >= n)
-    assert all(kept[i] == hold(used[b]) for i, b in enumerate(bins))
-    mine = sum(sequence_cost(hold(n)) for n in used.values())
-    totals = []
+    mine = _cost(_fulls(sizes, *pack(sizes, lengths), lengths), lengths)
+    totals, hold = [], _holds(lengths)
     for limit in lengths:
         opened = {s: min([c for c in lengths if s <= c <= limit] or [hold(s)], key=lambda c: (sequence_cost(c) / c, -c)) for s in range(1, 33)}
-        rooms, n = _plain_best_fit(sizes.tolist(), opened)
-        totals.append(n)
-    assert len(used) in totals and mine <= sum(sequence_cost(hold(s)) for s in sizes.tolist())
+        totals.append(_cost(_plain_best_fit(sizes.tolist(), opened), lengths))
+    assert mine == min(totals) <= _cost(sizes.tolist(), lengths)
+
+
+def test_is_close_to_the_cheapest_of_all_packings():
+    rng = random.Random(1)
+    lengths, gaps = (512, 1024, 2048, 4096), []
+    for _ in range(60):
+        sizes = np.array(sorted((rng.randint(1, rng.choice((300, 1500, 4096))) for _ in range(7)), reverse=True))
+        mine = _cost(_fulls(sizes, *pack(sizes, lengths), lengths), lengths)
+        gaps.append(mine / _cheapest(sizes.tolist(), lengths) - 1)
+    assert min(gaps) > -1e-12 and np.mean(gaps) < 0.015 and np.mean(np.array(gaps) < 1e-12) > 0.85
+
+
+def test_many_pieces_cost_hardly_more_than_their_places():
+    """No packing can cost less per place than full sequences of the longest length."""
+    rng = random.Random(5)
+    sizes = np.array(sorted((min(4096, int(rng.lognormvariate(5.5, 1.2)) + 1) for _ in range(20_000)), reverse=True))
+    least = sizes.sum() * sequence_cost(4096) / 4096
+    assert _cost(_fulls(sizes, *pack(sizes), LENGTHS), LENGTHS) < 1.001 * least
 
 
 def test_every_word_has_one_place(spark):
