@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadloom import names
@@ -31,9 +31,16 @@ def time_grid(df: DataFrame, rows: int = 1008, minutes: int = 10, time: str = na
     )
 
 
-def _seed_of(seed: int, column: str) -> int:
-    """Spark adds the number of the partition to a seed, so seeds of columns must lie far apart to give other streams."""
-    return int.from_bytes(hashlib.sha256(f"{seed}:{column}".encode()).digest()[:7], "big")
+def normal(number: Column, seed: int, column: str) -> Column:
+    """A standard normal value for each number, from a digest: the same in every run and on any partitioning, and other
+    columns and seeds give independent ones.
+
+    52 bits each of the digest's two ends are two uniform numbers, which Box and Muller's transformation turns into a normal one.
+    """
+    digest = F.md5(F.concat_ws("/", F.lit(str(seed)), F.lit(column), number.cast("string")))
+    bits = lambda hexadecimal: F.conv(hexadecimal, 16, 10).cast("bigint")
+    radius = F.sqrt(-2 * F.log((bits(F.left(digest, F.lit(13))) + 1) / F.lit(2.0**52)))
+    return radius * F.cos(bits(F.right(digest, F.lit(13))) / F.lit(2.0**52) * (2 * math.pi))
 
 
 def continue_series(
@@ -48,11 +55,11 @@ def continue_series(
     """New rows on a grid after the series, each column normal with its own moments.
 
     The grid starts after the last time of ``marked`` where that is given. The moments are one pass and enter the plan
-    as literals; rows are generated where they are used.
+    as literals; rows are generated where they are used, and a run with the same seed gives the same rows.
     """
     found = {r["column"]: r for r in moments(df, columns).collect()}
     values = []
     for c in columns:
         mean, deviation = F.lit(found[c]["mean"]).cast("double"), F.lit(found[c]["deviation"]).cast("double")
-        values.append((F.randn(_seed_of(seed, c)) * deviation + mean).alias(c))
+        values.append((normal(F.col("step"), seed, c) * deviation + mean).alias(c))
     return time_grid(df if marked is None else marked, rows, minutes, time).select(time, *values)

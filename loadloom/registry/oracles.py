@@ -575,3 +575,17 @@ draws AS (SELECT CAST('0x' || right(md5('7/' || n), 15) AS BIGINT) % (SELECT cou
 SELECT id, count(*) AS times FROM draws JOIN placed USING (place) GROUP BY id""",
     "stamped_rows": f"SELECT CAST(event_id AS VARCHAR) AS id, TIMESTAMP '2024-03-01 01:02:03.456789' AS {names.STAMP}, true AS later FROM events",
 }
+_DRAWN = "sqrt(-2 * ln((CAST('0x' || left(md5('0/{0}/' || i), 13) AS BIGINT) + 1) / 4503599627370496.0)) * cos(CAST('0x' || right(md5('0/{0}/' || i), 13) AS BIGINT) / 4503599627370496.0 * 2 * pi())"
+_GRID = f"""WITH {BASE}, m AS (SELECT max(DateTime) AS last, {', '.join(f'avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}' for c in READING_DOUBLES)} FROM readings)"""
+ORACLES |= {
+    "synthetic_rows": f"{_GRID} SELECT last + to_minutes(10 * i) AS DateTime, "
+    + ", ".join(_r(f"{_DRAWN.format(c)} * s_{c} + m_{c}", c) for c in READING_DOUBLES)
+    + " FROM m, range(1, 1009) r(i)",
+}
+# The same rows after the test set, prepared as the readings are: with their own key and statistics.
+_MADE = ", ".join(f"{_DRAWN.format(c)} * s_{c} + m_{c} AS {c}" for c in READING_DOUBLES)
+_BATCH = f"""{_GRID.removeprefix('WITH ')},
+made AS (SELECT CAST(CAST(floor(epoch(DateTime)) AS BIGINT) AS VARCHAR) AS id, * FROM (
+  SELECT (SELECT max(DateTime) FROM readings WHERE DateTime >= '2024-01-20' AND DateTime < '2024-01-25') + to_minutes(10 * i) AS DateTime, {_MADE}
+  FROM m, range(1, 1009) r(i)))"""
+ORACLES["synthetic_batch"] = ORACLES["prep_apply"].replace("FROM readings)", "FROM made)").replace(BASE, _BATCH)

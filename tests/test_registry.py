@@ -20,8 +20,8 @@ def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {
-        "preview_rows", "synthetic_rows", "bootstrap_sample", "gbt_metrics", "forest_metrics", "forest_importance",
-        "variant_comparison", "model_comparison", "ab_scored_rows", "synthetic_batch", "batch_scored_keys",
+        "preview_rows", "bootstrap_sample", "gbt_metrics", "forest_metrics", "forest_importance",
+        "variant_comparison", "model_comparison", "ab_scored_rows", "batch_scored_keys",
     }
 
 
