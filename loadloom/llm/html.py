@@ -63,11 +63,13 @@ WORDS = frozenset(
     "replies respond disqus share sharing social related recommended breadcrumb breadcrumbs menu nav navbar navigation footer "
     "masthead pagination pager widget toolbar skip topbar".split()
 )
-#: With only these beside them, words of the list above still name what is no article text: ``site-footer``, ``share_buttons``.
+#: With only these, or numbers, beside them, words of the list above still name what is no article text: ``site-footer``,
+#: ``share_buttons``, ``comment-17``. Not so ``no-sidebar`` or ``related-work``.
 BESIDE = frozenset(
     "site page main global top bottom left right primary secondary upper lower inner outer box bar bars list lists link links button "
     "buttons block blocks area wrapper wrap container content section group item items icon icons unit slot row header form panel "
-    "holder region module".split()
+    "holder region module body text author meta thread post posts article articles story stories media signup trail title message "
+    "count counter sticky fixed floating mobile desktop tablet small large".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Blocks of running text, safe inside an article.
@@ -86,7 +88,7 @@ def _names_no_text(value: str) -> bool:
     """Whether a class or id of it says that an element is no article text: one whole name, not a word of a longer one."""
     for name in value.split():
         parts = _WORD.findall(name)
-        if any(p in WORDS for p in parts) and all(p in WORDS or p in BESIDE for p in parts):
+        if any(p in WORDS for p in parts) and all(p in WORDS or p in BESIDE or p.isdigit() for p in parts):
             return True
     return False
 
@@ -95,11 +97,18 @@ def _names_no_text(value: str) -> bool:
 DEPTH = 256
 
 
+_MAIN = frozenset(("article", "main"))
+_KEEPERS = frozenset(("article", "main", "h1"))
+
+
 @dataclass
 class Element:
     tag: str
     role: str = ""
     dropped: bool = False
+    #: Whether an article or main part lies below, and whether one or a first heading does.
+    over_main: bool = False
+    over_kept: bool = False
     mark: str = ""
     parent: Element | None = None
     children: list[Element | str] = field(default_factory=list)
@@ -211,6 +220,12 @@ def parse(page: str) -> Element:
                         new.dropped = new.dropped or _names_no_text(value)
                     new.mark += f"{name}={value};"
         stack[-1].children.append(new)
+        if tag in _KEEPERS:
+            main = tag in _MAIN
+            for e in reversed(stack):
+                if e.over_main or (e.over_kept and not main):
+                    break
+                e.over_kept, e.over_main = True, main
         if tag in RAW:
             if low is None:
                 low = page.lower()
@@ -232,28 +247,6 @@ def parse(page: str) -> Element:
     return root
 
 
-_MAIN = frozenset(("article", "main"))
-_KEEPERS = frozenset(("article", "main", "h1"))
-
-
-def _kept_over(root: Element) -> tuple[set[int], set[int]]:
-    """Elements that hold an article or main part, and those that hold one or a first heading, by ``id``."""
-    main: set[int] = set()
-    keep: set[int] = set()
-
-    def walk(e: Element) -> None:
-        for c in e.children:
-            if isinstance(c, Element):
-                walk(c)
-                if c.tag in _MAIN or id(c) in main:
-                    main.add(id(e))
-                if c.tag in _KEEPERS or id(c) in keep:
-                    keep.add(id(e))
-
-    walk(root)
-    return main, keep
-
-
 def _inside(e: Element, tags: frozenset[str]) -> bool:
     while e.parent is not None:
         e = e.parent
@@ -262,12 +255,12 @@ def _inside(e: Element, tags: frozenset[str]) -> bool:
     return False
 
 
-def _is_dropped(e: Element, main: set[int], keep: set[int]) -> bool:
+def _is_dropped(e: Element) -> bool:
     if e.tag in DROPPED:
         # Some sites wrap the whole page in a form.
-        return e.tag != "form" or id(e) not in main
+        return e.tag != "form" or not e.over_main
     if e.role in ROLES or e.dropped:
-        return e.tag not in ("html", "body", "main") and id(e) not in keep
+        return e.tag not in ("html", "body", "main") and not e.over_kept
     return e.tag == "header" and not _inside(e, _MAIN)
 
 
@@ -306,7 +299,6 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
         gone = {k for k, h in hashes.items() if h in templates}
     else:
         gone = set()
-    main, keep = _kept_over(root)
     blocks: list[str] = []
     run: list[str] = []
 
@@ -325,7 +317,7 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
             elif c.tag in VOID:
                 if c.tag == "hr":
                     close()
-            elif id(c) not in gone and not _is_dropped(c, main, keep):
+            elif id(c) not in gone and not _is_dropped(c):
                 if c.tag in INLINE:
                     emit(c)
                 else:
@@ -336,7 +328,7 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
     def roots(e: Element, wanted) -> list[Element]:
         found = []
         for c in e.children:
-            if isinstance(c, Element) and id(c) not in gone and not _is_dropped(c, main, keep):
+            if isinstance(c, Element) and id(c) not in gone and not _is_dropped(c):
                 found += [c] if wanted(c) else roots(c, wanted)
         return found
 

@@ -65,6 +65,8 @@ def test_edges(spark):
     ("<article><p>a</p><div class='share_buttons'>s</div><ul class='social-links'><li>t</ul><div id=site-footer>f</div></article>", "a"),
     ("<div class='ad'>x</div><div class='ads-box'>y</div><div class='advanced'>z</div><p>a</p>", "z a"),
     ("<article><p>a</p><div class=sidebar-left>s</div><section class='post-comments-closed'>c</section></article>", "a c"),
+    ("<article><p>a</p><div id='comment-17'>c</div><div class='comment-body'>d</div><div class='related-posts'>e</div></article>", "a"),
+    ("<article><p>a</p><div class='newsletter-signup mobile'>n</div><div class='social-history'>h</div></article>", "a h"),
     ("<p>a</p><p class='x", "a"), ("<p>a</p><", "a <"), ("<p>a</p></", "a"), ("<p>a</p><!-- b", "a"), ("<p>a</p><!doctype", "a"), ("a <3 b", "a <3 b"),
     ("<p title='a>b'>x</p><p title=\"it's>\">y</p>", "x y"), ("<p title='>x</p><p>y</p>", "x y"), ("<a x=\"1'>z</a>", "z"),
 ])
