@@ -31,6 +31,8 @@ ROWS, ANCHORS, FIRST = 4096, 512, 2
 SLACK = 1e-6
 #: Whole numbers up to here are exact in a double.
 EXACT = float(2**53)
+#: Rows with larger components are scored apart from the others.
+HUGE = 2**22
 LOWEST, HIGHEST = -(2**63), 2**63 - 1
 
 
@@ -185,16 +187,16 @@ def _pairs(anchors: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def _products(v: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact inner products, rows by queries; Python's whole numbers where doubles would round."""
-    size = np.abs(v).max(initial=0).astype(np.float64) * np.abs(q).max(initial=0) * v.shape[1]
+    """Exact inner products, rows by queries; Python's whole numbers where doubles would round. Doubles hold the components."""
+    size = np.abs(v).max(initial=0) * np.abs(q).max(initial=0) * v.shape[1]
     if size < EXACT:
-        return v.astype(np.float64) @ q.astype(np.float64).T
-    return v.astype(object) @ q.astype(object).T
+        return v @ q.T
+    return v.astype(np.int64).astype(object) @ q.astype(np.int64).astype(object).T
 
 
 def _size_classes(v: np.ndarray) -> list[np.ndarray]:
     """Row numbers with small and with huge components, so that few huge ones do not slow the others down."""
-    huge = np.abs(v).max(axis=1, initial=0) >= 2**22
+    huge = np.abs(v).max(axis=1, initial=0) >= HUGE
     return [x for x in (np.flatnonzero(~huge), np.flatnonzero(huge)) if len(x)]
 
 
@@ -241,7 +243,9 @@ def _scored(directions: dict[int, np.ndarray], k: int):
         own = directions.get(d)
         _, angles = _angles(v, None if own is None else own[[r["cell"]]])
         order = np.argsort(angles[:, 0], kind="stable")
-        angles, ids, v = angles[order, 0], ids[order], v[order]
+        # Components are exact in doubles, and converted once for all products.
+        angles, ids, v, q = angles[order, 0], ids[order], v[order].astype(np.float64), q.astype(np.float64)
+        huge = bool(len(v)) and np.abs(v).max() >= HUGE
         norm, angle = _angles(q, None if own is None else own[[r["cell"]]])
         a, b = _window(s_lo.astype(np.float64), s_hi.astype(np.float64), norm[at], angle[at, 0], r["least"], r["most"])
         first, last = np.searchsorted(angles, a, side="left"), np.searchsorted(angles, b, side="right")
@@ -251,16 +255,15 @@ def _scored(directions: dict[int, np.ndarray], k: int):
             for slots in _together(alive[part], first, last):
                 i, j = int(first[slots].min()), int(last[slots].max())
                 asked, back = np.unique(at[slots], return_inverse=True)
-                for rows in _size_classes(v[i:j]):
-                    rows = rows + i
-                    scores = _products(v[rows], q[asked])
+                for rows in [i + r for r in _size_classes(v[i:j])] if huge else [slice(i, j)]:
+                    scores, own_ids = _products(v[rows], q[asked]), ids[rows]
                     for s, c in zip(slots, back, strict=True):
                         got = scores[:, c]
-                        fits = np.flatnonzero((got >= int(s_lo[s])) & (got <= int(s_hi[s])) & (ids[rows] != q_ids[at[s]]))
+                        fits = np.flatnonzero((got >= int(s_lo[s])) & (got <= int(s_hi[s])) & (own_ids != q_ids[at[s]]))
                         if len(fits) > k:
                             kth = np.sort(got[fits])[-k]
                             fits = fits[got[fits] >= kth]
-                        best = sorted((-int(got[x]), int(ids[rows[x]])) for x in fits)
+                        best = sorted((-int(got[x]), int(own_ids[x])) for x in fits)
                         # Ties with the floor count only with a smaller id.
                         best = [(x, y) for x, y in best if -x > int(s_lo[s]) or y <= int(s_id[s])][:k]
                         yield from ((int(s_row[s]), int(s_slot[s]), y, -x) for x, y in best)
