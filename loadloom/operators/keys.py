@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loadloom.operators.columns import unused
 from loadloom.operators.skew import fits_broadcast, key_columns, skew_safe_join
+from loadloom.session import remove_at_end, scratch_path
 
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -35,13 +36,21 @@ def assert_key(df: DataFrame, keys: list[str]) -> DataFrame:
 def divide_by_key(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with a key of their own, and rows whose key is NULL in a column or occurs more than once.
 
-    The offending keys are counted before the shuffle; rows are then joined to those few keys, so a key that a third of the table
-    shares is one row there.
+    The offending keys are counted before the shuffle, once, when this is called, and kept below the shared scratch folder until
+    the driver ends. Rows are then joined to those few keys, so a key that a third of the table shares is one row there, and where
+    they fit a broadcast no row of the frame moves.
     """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "bad_keys")
+    violations = key_violations(df, keys).select(*keys)
+    violations.write.parquet(path)
+    remove_at_end(spark, path)
     theirs = [unused(f"_bad_{k}", df) for k in keys]
-    bad = key_violations(df, keys).select(*[F.col(k).alias(t) for k, t in zip(keys, theirs, strict=True)])
+    bad = spark.read.schema(violations.schema).parquet(path)
+    named = bad.select(*[F.col(k).alias(t) for k, t in zip(keys, theirs, strict=True)])
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(t)) for k, t in zip(keys, theirs, strict=True)])
-    return df.join(bad, same, "left_anti"), df.join(bad, same, "left_semi")
+    present = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    good = skew_safe_join(df.filter(present), bad.filter(present), keys, "left_anti")
+    return good.select(*[F.col(f"`{c}`") for c in df.columns]), df.join(named, same, "left_semi")
 
 
 def guarded(df: DataFrame, keys: list[str], columns: Mapping[str, Column], name: str) -> DataFrame:

@@ -502,10 +502,15 @@ def appended_by_key(spark, sf):
     """Line items added to some of them twice over; those without a key of their own are set apart."""
     line, own = table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]
     good, bad = keys.divide_by_key(line, own)
+    # Checked and joined by key twice over: stored once, in as many buckets as a shuffle has parts, its rows move no more.
+    once, at = _fresh_table(spark, "good")
+    tables.append(good, once, at, own, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    good = spark.table(once)
     name, path = _fresh_table(spark, "lines")
     tables.append(good.filter("l_orderkey % 2 = 0"), name, path, own)
     for _ in range(2):
         tables.append_unseen(good, name, own)
+    tables.drop(spark, once)
     stored = _released(spark, name, path).select(*own, F.lit(True).alias("stored"))
     return stored.unionAll(bad.select(*own, F.lit(False)))
 

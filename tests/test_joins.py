@@ -223,6 +223,54 @@ def test_change_set_shuffles_each_side_once(spark, sf):
     assert plan.count("Exchange hashpartitioning") == 2 and "SinglePartition" not in plan
 
 
+@pytest.fixture
+def some_share_keys(spark):
+    """A third of the rows have key 7, some have none, some share one with another row, and most have their own."""
+    return spark.range(3000).select(
+        F.col("id").alias("row"),
+        F.lit("x").alias("a"),
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 2500).alias("k"),
+        (F.col("id") % 2).alias("half"),
+    )
+
+
+@pytest.mark.parametrize("own", [["k"], ["half", "k"]])
+@pytest.mark.parametrize("ways", [[], ["no_broadcast"], ["no_broadcast", "some_are_hot"]])
+def test_rows_divided_by_key_are_all_there_whatever_the_join(request, some_share_keys, own, ways):
+    for fixture in ways:
+        request.getfixturevalue(fixture)
+    good, bad = keys.divide_by_key(some_share_keys, own)
+    assert ("_salt" in plan_of(good)) == ("some_are_hot" in ways)
+    groups = {}
+    for r in some_share_keys.collect():
+        groups.setdefault(tuple(r[c] for c in own), []).append(r["row"])
+    alone = sorted(rows[0] for key, rows in groups.items() if len(rows) == 1 and None not in key)
+    assert good.columns == bad.columns == some_share_keys.columns
+    assert 0 < len(alone) < 3000 and sorted(r["row"] for r in good.collect()) == alone
+    assert sorted(r["row"] for r in bad.collect()) == sorted(set(range(3000)) - set(alone))
+
+
+def test_no_row_moves_and_nothing_is_counted_again_if_few_keys_offend(some_share_keys):
+    for part in keys.divide_by_key(some_share_keys, ["k"]):
+        assert part.count() > 0 and "Exchange hashpartitioning" not in plan_of(part)
+
+
+@pytest.mark.parametrize("ways", [[], ["no_broadcast"]])
+def test_keys_that_are_no_numbers_or_zeros_are_counted_like_others(spark, request, ways):
+    for fixture in ways:
+        request.getfixturevalue(fixture)
+    rows = [(float("nan"), 1), (float("nan"), 2), (0.0, 3), (-0.0, 4), (1.5, 5), (None, 6)]
+    good, bad = keys.divide_by_key(spark.createDataFrame(rows, "k double, row int"), ["k"])
+    assert [r["row"] for r in good.collect()] == [5]
+    assert sorted(r["row"] for r in bad.collect()) == [1, 2, 3, 4, 6]
+
+
+def test_rows_with_a_key_of_their_own_come_dealt_by_it(spark, some_share_keys, no_broadcast):
+    good, _ = keys.divide_by_key(some_share_keys, ["k"])
+    dealt = good.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "k")
+    assert plan_of(dealt).count("Exchange hashpartitioning(k") == 2  # the rows and the offending keys
+
+
 def test_columns_may_have_any_name(spark, no_broadcast, monkeypatch):
     from loadloom.operators import sampling, skew
 
